@@ -168,6 +168,7 @@ def province_facts(nation: DataFrame, customer: DataFrame, supplier: DataFrame,
         (F.coalesce("n_cust", F.lit(0)) * 10.0).alias("distribution_lines_km"),
         snap(F.lit(10.0) + F.col("avg_bal") / 400.0, 6).alias("system_loss_pct"),
         F.lit(2023).alias("report_year"),
+        (F.coalesce("n_supp", F.lit(0)) * 50.0).alias("installed_capacity_mw_2023"),
     )
 
 
