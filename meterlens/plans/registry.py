@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import meter_oracle, meter_queries, national_oracle, national_queries
+from . import meter_oracle, meter_queries, national_oracle, national_queries, ops_oracle, ops_queries
 
 
 def all_queries() -> dict:
     out = {}
     out.update(meter_queries.QUERIES)
     out.update(national_queries.QUERIES)
+    out.update(ops_queries.QUERIES)
     return out
 
 
@@ -16,4 +17,5 @@ def all_oracles() -> dict:
     out = {}
     out.update(meter_oracle.ORACLE)
     out.update(national_oracle.ORACLE)
+    out.update(ops_oracle.ORACLE)
     return out

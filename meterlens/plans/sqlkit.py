@@ -288,3 +288,11 @@ population AS (
          {snap('CAST(count(*) FILTER (WHERE c_acctbal > 1000) AS DOUBLE) * 100.0 / count(*)', 6)} AS literacy_rate_pct
   FROM customer GROUP BY 1
 )"""
+
+
+def renamed_view(view: str, base: str, prefix: str, source_table: str, where: str) -> str:
+    """Copy of a view chain with its CTE names prefixed and its source table filtered."""
+    import re
+    out = re.sub(rf"\b{base}(_\w+)?\b", lambda m: prefix + (m.group(1) or ""), view)
+    return out.replace(f"FROM {source_table} ", f"FROM (SELECT * FROM {source_table} WHERE {where}) ") \
+              .replace(f"FROM {source_table}\n", f"FROM (SELECT * FROM {source_table} WHERE {where})\n")
