@@ -118,12 +118,21 @@ def consumption_weather_sql(monthly: DataFrame, weather: DataFrame,
 
 
 # ---------------------------------------------------------------- A17
+def pearson(x: str, y: str):
+    """Pearson r with pairwise NULL drop; NULL (not an ANSI error) when either
+    side is constant -- where pandas gives NaN."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    xs, ys = F.when(both, F.col(x)), F.when(both, F.col(y))
+    den = F.sqrt(F.var_pop(xs) * F.var_pop(ys))
+    return F.try_divide(F.covar_pop(xs, ys), F.when(den > 0, den))
+
+
 def correlations(df: DataFrame, target: str = "total_gwh",
                  variables: list[str] | None = None) -> DataFrame:
-    """Pearson r per variable (pairwise NULL drop), one aggregation pass,
-    unpivoted to one row per variable."""
+    """Pearson r per variable, one aggregation pass, unpivoted to one row
+    per variable."""
     vars_ = [v for v in (variables or CORR_VARS) if v in df.columns]
-    one = df.agg(*[F.corr(v, target).alias(v) for v in vars_])
+    one = df.agg(*[pearson(v, target).alias(v) for v in vars_])
     long = one.unpivot([], vars_, "weather_variable", "_r")
     r = F.col("_r")
     return long.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,12 @@ from ..sources.tables import EVENT_TYPE_BOUNDS, meter_readings, read_table
 RANGE_START, RANGE_END = "2024-01-05", "2024-01-20"
 
 
+@lru_cache(maxsize=64)
 def raw_meters(spark: SparkSession, sf: str) -> DataFrame:
     return meter_readings(read_table(spark, sf, "events"))
 
 
+@lru_cache(maxsize=64)
 def clean(spark: SparkSession, sf: str) -> DataFrame:
     return M.clean_meters(raw_meters(spark, sf), bounds=EVENT_TYPE_BOUNDS)
 

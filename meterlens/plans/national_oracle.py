@@ -188,13 +188,15 @@ GROUP BY mc.year, mc.month, mc.month_name, mc.total_gwh, mc.peak_demand_mw
 """),
     "degree_days": with_views(WEATHER_VIEW, "SELECT * FROM weather"),
     "correlations": with_views(JOINED_VIEW, f""",
-c AS (SELECT corr(avg_temp_c, total_gwh) AS avg_temp_c, corr(max_temp_c, total_gwh) AS max_temp_c,
-             corr(avg_humidity_pct, total_gwh) AS avg_humidity_pct,
-             corr(total_rainfall_mm, total_gwh) AS total_rainfall_mm,
-             corr(total_hdd, total_gwh) AS total_hdd, corr(total_cdd, total_gwh) AS total_cdd,
-             corr(temp_demand_index, total_gwh) AS temp_demand_index FROM joined),
-u AS (UNPIVOT c ON avg_temp_c, max_temp_c, avg_humidity_pct, total_rainfall_mm, total_hdd, total_cdd,
-      temp_demand_index INTO NAME weather_variable VALUE r)
+c AS (SELECT covar_pop(CASE WHEN (avg_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN avg_temp_c END, CASE WHEN (avg_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END) / CASE WHEN sqrt(var_pop(CASE WHEN (avg_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN avg_temp_c END) * var_pop(CASE WHEN (avg_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) > 0 THEN sqrt(var_pop(CASE WHEN (avg_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN avg_temp_c END) * var_pop(CASE WHEN (avg_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) END AS avg_temp_c,
+  covar_pop(CASE WHEN (max_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN max_temp_c END, CASE WHEN (max_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END) / CASE WHEN sqrt(var_pop(CASE WHEN (max_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN max_temp_c END) * var_pop(CASE WHEN (max_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) > 0 THEN sqrt(var_pop(CASE WHEN (max_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN max_temp_c END) * var_pop(CASE WHEN (max_temp_c IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) END AS max_temp_c,
+  covar_pop(CASE WHEN (avg_humidity_pct IS NOT NULL AND total_gwh IS NOT NULL) THEN avg_humidity_pct END, CASE WHEN (avg_humidity_pct IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END) / CASE WHEN sqrt(var_pop(CASE WHEN (avg_humidity_pct IS NOT NULL AND total_gwh IS NOT NULL) THEN avg_humidity_pct END) * var_pop(CASE WHEN (avg_humidity_pct IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) > 0 THEN sqrt(var_pop(CASE WHEN (avg_humidity_pct IS NOT NULL AND total_gwh IS NOT NULL) THEN avg_humidity_pct END) * var_pop(CASE WHEN (avg_humidity_pct IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) END AS avg_humidity_pct,
+  covar_pop(CASE WHEN (total_rainfall_mm IS NOT NULL AND total_gwh IS NOT NULL) THEN total_rainfall_mm END, CASE WHEN (total_rainfall_mm IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END) / CASE WHEN sqrt(var_pop(CASE WHEN (total_rainfall_mm IS NOT NULL AND total_gwh IS NOT NULL) THEN total_rainfall_mm END) * var_pop(CASE WHEN (total_rainfall_mm IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) > 0 THEN sqrt(var_pop(CASE WHEN (total_rainfall_mm IS NOT NULL AND total_gwh IS NOT NULL) THEN total_rainfall_mm END) * var_pop(CASE WHEN (total_rainfall_mm IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) END AS total_rainfall_mm,
+  covar_pop(CASE WHEN (total_hdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_hdd END, CASE WHEN (total_hdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END) / CASE WHEN sqrt(var_pop(CASE WHEN (total_hdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_hdd END) * var_pop(CASE WHEN (total_hdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) > 0 THEN sqrt(var_pop(CASE WHEN (total_hdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_hdd END) * var_pop(CASE WHEN (total_hdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) END AS total_hdd,
+  covar_pop(CASE WHEN (total_cdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_cdd END, CASE WHEN (total_cdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END) / CASE WHEN sqrt(var_pop(CASE WHEN (total_cdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_cdd END) * var_pop(CASE WHEN (total_cdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) > 0 THEN sqrt(var_pop(CASE WHEN (total_cdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_cdd END) * var_pop(CASE WHEN (total_cdd IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) END AS total_cdd,
+  covar_pop(CASE WHEN (temp_demand_index IS NOT NULL AND total_gwh IS NOT NULL) THEN temp_demand_index END, CASE WHEN (temp_demand_index IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END) / CASE WHEN sqrt(var_pop(CASE WHEN (temp_demand_index IS NOT NULL AND total_gwh IS NOT NULL) THEN temp_demand_index END) * var_pop(CASE WHEN (temp_demand_index IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) > 0 THEN sqrt(var_pop(CASE WHEN (temp_demand_index IS NOT NULL AND total_gwh IS NOT NULL) THEN temp_demand_index END) * var_pop(CASE WHEN (temp_demand_index IS NOT NULL AND total_gwh IS NOT NULL) THEN total_gwh END)) END AS temp_demand_index FROM joined),
+u AS (SELECT * FROM c UNPIVOT INCLUDE NULLS (r FOR weather_variable IN (avg_temp_c, max_temp_c, avg_humidity_pct,
+      total_rainfall_mm, total_hdd, total_cdd, temp_demand_index)))
 SELECT weather_variable, {snap('r', 4)} AS correlation_r,
   CASE WHEN r > 0 THEN 'Positive' ELSE 'Negative' END AS direction,
   CASE WHEN abs(r) > 0.7 THEN 'Strong' WHEN abs(r) > 0.4 THEN 'Moderate' ELSE 'Weak' END AS strength,

@@ -3,6 +3,8 @@ and nation/customer/supplier (provinces)."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -15,23 +17,28 @@ from ..sources.tables import (national_annual, national_monthly, population_fact
 STATION = "ST-N"
 
 
+@lru_cache(maxsize=64)
 def monthly(spark, sf):
     return S.clean_monthly(national_monthly(read_table(spark, sf, "orders")))
 
 
+@lru_cache(maxsize=64)
 def annual(spark, sf):
     return S.clean_annual(national_annual(read_table(spark, sf, "orders")))
 
 
+@lru_cache(maxsize=64)
 def weather(spark, sf):
     return W.enrich_weather(weather_observations(read_table(spark, sf, "lineitem")))
 
 
+@lru_cache(maxsize=64)
 def provinces(spark, sf):
     t = lambda n: read_table(spark, sf, n)
     return R.clean_provinces(province_facts(t("nation"), t("customer"), t("supplier"), t("lineitem")))
 
 
+@lru_cache(maxsize=64)
 def joined(spark, sf):
     return W.consumption_weather(monthly(spark, sf), weather(spark, sf), STATION)
 

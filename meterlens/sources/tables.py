@@ -16,6 +16,8 @@ work grows with its input table:
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,10 @@ PF_BASE = 0.75
 EVENT_TYPE_BOUNDS = {"click": (0.0, 15.0), "view": (0.0, 100.0), "purchase": (0.0, 800.0)}
 
 
+@lru_cache(maxsize=256)
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of one driver table.  DataFrames are immutable plans, so
+    the analysed scan is reused per (session, folder, table)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
