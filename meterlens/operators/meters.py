@@ -197,7 +197,8 @@ def peak_calendar(clean: DataFrame) -> DataFrame:
     kwh = F.col(KWH)
     g = (clean.groupBy("date", TYPE)
          .agg(exact(F.sum(kwh)).alias("daily_total_kwh"), F.max(kwh).alias("peak_hour_kwh"),
-              F.min_by("hour", F.struct(-kwh, F.col(TS), F.col(RID))).alias("peak_hour"),
+              F.min_by("hour", F.when(kwh.isNotNull(), F.struct(-kwh, F.col(TS), F.col(RID))))
+              .alias("peak_hour"),
               exact(F.avg(kwh)).alias("avg_kwh"), exact(F.avg(VOLT)).alias("avg_voltage"),
               exact(F.avg(PF)).alias("avg_pf")))
     return g.select("*", cal.day_name("date").alias("weekday"),

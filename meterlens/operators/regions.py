@@ -79,10 +79,13 @@ def province_performance_sql(fact: DataFrame, dim: DataFrame, report_year: int =
         "province_name_en", F.col("electrification_pct_2021").alias("electrification_pct"),
         F.col("per_capita_kwh_2023").alias("per_capita_kwh"),
         F.col("annual_consumption_gwh_2023").alias("annual_consumption_gwh"), "system_loss_pct",
-        F.rank().over(Window.orderBy(F.col("per_capita_kwh_2023").desc())).alias("rank_per_capita"),
-        F.rank().over(Window.orderBy(F.col("electrification_pct_2021").desc()))
+        # PostgreSQL null order: NULLs sort as the largest value
+        F.rank().over(Window.orderBy(F.col("per_capita_kwh_2023").desc_nulls_first()))
+        .alias("rank_per_capita"),
+        F.rank().over(Window.orderBy(F.col("electrification_pct_2021").desc_nulls_first()))
         .alias("rank_electrification"),
-        F.rank().over(Window.orderBy(F.col("system_loss_pct").asc())).alias("rank_efficiency"))
+        F.rank().over(Window.orderBy(F.col("system_loss_pct").asc_nulls_last()))
+        .alias("rank_efficiency"))
 
 
 # ---------------------------------------------------------------- W8

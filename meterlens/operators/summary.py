@@ -65,9 +65,11 @@ def loss_totals(losses: DataFrame) -> DataFrame:
         exact(F.sum("estimated_loss_gwh")).alias("total_loss_gwh"),
         exact(F.sum(F.col("estimated_loss_gwh") * AVG_TARIFF)).alias("revenue_impact_npr_mn"),
         exact(F.sum("potential_saving_gwh")).alias("total_recoverable_gwh"),
-        F.min_by("province_name", F.struct(-loss, F.col("province_name"))).alias("highest_loss_province"),
+        F.min_by("province_name", F.when(loss.isNotNull(), F.struct(-loss, F.col("province_name"))))
+        .alias("highest_loss_province"),
         F.max(loss).alias("highest_loss_pct"),
-        F.min_by("province_name", F.struct(loss, F.col("province_name"))).alias("lowest_loss_province"),
+        F.min_by("province_name", F.when(loss.isNotNull(), F.struct(loss, F.col("province_name"))))
+        .alias("lowest_loss_province"),
         F.min(loss).alias("lowest_loss_pct"))
 
 

@@ -79,7 +79,7 @@ FROM clean GROUP BY consumer_type, hour, is_weekend
     "peak_calendar": with_views(CLEAN_VIEW, f"""
 SELECT date, consumer_type, {exact(f'sum({KWH})')} AS daily_total_kwh,
        max({KWH}) AS peak_hour_kwh,
-       arg_min(hour, ({KWH} * -1, "timestamp", reading_id)) AS peak_hour,
+       arg_min(hour, CASE WHEN {KWH} IS NOT NULL THEN ({KWH} * -1, "timestamp", reading_id) END) AS peak_hour,
        {exact(f'avg({KWH})')} AS avg_kwh, {exact('avg(voltage_v)')} AS avg_voltage,
        {exact('avg(power_factor)')} AS avg_pf,
        dayname(date) AS weekday, CAST(weekofyear(date) AS INTEGER) AS week_number

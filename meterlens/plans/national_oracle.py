@@ -240,9 +240,9 @@ FROM province
 SELECT n.n_name AS province_name_en, pe.electrification_pct_2021 AS electrification_pct,
   pe.per_capita_kwh_2023 AS per_capita_kwh, pe.annual_consumption_gwh_2023 AS annual_consumption_gwh,
   pe.system_loss_pct,
-  rank() OVER (ORDER BY pe.per_capita_kwh_2023 DESC) AS rank_per_capita,
-  rank() OVER (ORDER BY pe.electrification_pct_2021 DESC) AS rank_electrification,
-  rank() OVER (ORDER BY pe.system_loss_pct ASC) AS rank_efficiency
+  rank() OVER (ORDER BY pe.per_capita_kwh_2023 DESC NULLS FIRST) AS rank_per_capita,
+  rank() OVER (ORDER BY pe.electrification_pct_2021 DESC NULLS FIRST) AS rank_electrification,
+  rank() OVER (ORDER BY pe.system_loss_pct ASC NULLS LAST) AS rank_efficiency
 FROM province pe JOIN nation n ON n.n_nationkey = pe.province_id
 WHERE pe.report_year = 2023
 """),

@@ -282,9 +282,9 @@ lt AS (
   SELECT {exact('sum(estimated_loss_gwh)')} AS total_loss_gwh,
          {exact('sum(estimated_loss_gwh * 9.0)')} AS revenue_impact_npr_mn,
          {exact('sum(potential_saving_gwh)')} AS total_recoverable_gwh,
-         arg_min(province_name, (-system_loss_pct, province_name)) AS highest_loss_province,
+         arg_min(province_name, CASE WHEN system_loss_pct IS NOT NULL THEN (-system_loss_pct, province_name) END) AS highest_loss_province,
          max(system_loss_pct) AS highest_loss_pct,
-         arg_min(province_name, (system_loss_pct, province_name)) AS lowest_loss_province,
+         arg_min(province_name, CASE WHEN system_loss_pct IS NOT NULL THEN (system_loss_pct, province_name) END) AS lowest_loss_province,
          min(system_loss_pct) AS lowest_loss_pct
   FROM losses),
 cur_m AS (SELECT * FROM mt WHERE year = 1998 AND month = 6),

@@ -36,12 +36,12 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events*.parqu
 
 
 def ingest_deduplicated(spark: SparkSession, folder: str, out_dir: str,
-                        watermark: str = "2 hours") -> DataFrame:
+                        watermark: str = "2 hours", pattern: str = "events*.parquet") -> DataFrame:
     """File stream -> meter view -> key de-dup within the watermark -> Parquet.
 
     Returns the batch view of the written table.
     """
-    m = _event_time(meter_readings(event_stream(spark, folder)))
+    m = _event_time(meter_readings(event_stream(spark, folder, pattern)))
     d = m.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(KEYS)
     q = (d.drop("event_time").writeStream.format("parquet")
          .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_ckpt")
@@ -51,14 +51,14 @@ def ingest_deduplicated(spark: SparkSession, folder: str, out_dir: str,
 
 
 def hourly_load_stream(spark: SparkSession, folder: str, out_dir: str,
-                       watermark: str = "2 hours") -> DataFrame:
+                       watermark: str = "2 hours", pattern: str = "events*.parquet") -> DataFrame:
     """Hourly system load over event time.
 
     Complete output through ``foreachBatch`` (state = hours x types, bounded
     by the calendar), so every window is emitted, including the last open
     ones that append mode would hold back.
     """
-    src = _event_time(meter_readings(event_stream(spark, folder)))
+    src = _event_time(meter_readings(event_stream(spark, folder, pattern)))
     agg = (src.withWatermark("event_time", watermark)
            .groupBy(F.window("event_time", "1 hour").alias("w"), "consumer_type")
            .agg(F.sum("consumption_kwh").alias("total_kwh"), F.avg("voltage_v").alias("avg_voltage"),

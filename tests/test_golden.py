@@ -1,0 +1,105 @@
+"""Golden comparisons against the committed outputs of the reference
+(read as data only; skipped when the folder is absent)."""
+
+import math
+import os
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from meterlens.functions import calendar as cal
+from meterlens.operators import regions as R
+from meterlens.operators import series as S
+from meterlens.operators import weather as W
+from meterlens.sources import raw
+
+from conftest import REFERENCE_DATA
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(REFERENCE_DATA), reason="reference data not present")
+OUT = os.path.join(os.path.dirname(REFERENCE_DATA), "reports", "output")
+
+
+def golden(rel):
+    return pd.read_csv(os.path.join(REFERENCE_DATA, rel))
+
+
+def compare(got: pd.DataFrame, exp: pd.DataFrame, key, cols, tol=1e-9):
+    m = exp.merge(got, on=key, suffixes=("_exp", "_got"))
+    assert len(m) == len(exp), f"{len(m)} of {len(exp)} keys matched"
+    for c in cols:
+        for a, b in zip(m[f"{c}_exp"], m[f"{c}_got"]):
+            if isinstance(a, float) and math.isnan(a):
+                assert b is None or (isinstance(b, float) and math.isnan(b)), c
+            elif isinstance(a, str):
+                assert a == b, (c, a, b)
+            else:
+                assert abs(float(a) - float(b)) <= tol, (c, a, b)
+
+
+@pytest.fixture(scope="module")
+def raws(spark):
+    return raw.extract_bundle(spark, REFERENCE_DATA)
+
+
+def test_annual_kpi_summary(raws):
+    got = S.annual_summary(S.clean_annual(raws["annual"])).toPandas()
+    exp = golden("processed/aggregated_data/annual_kpi_summary.csv")
+    compare(got, exp, "fiscal_year", ["net_energy_gwh", "self_sufficiency_ratio", "load_factor_pct",
+                                      "total_energy_gwh_yoy_pct", "peak_demand_mw_yoy_pct",
+                                      "total_consumers_yoy_pct", "per_capita_kwh_yoy_pct", "trade_balance_gwh"])
+
+
+def test_monthly_trends(raws):
+    m = S.calculate_revenue(S.clean_monthly(raws["monthly"]))
+    m = m.withColumns({"fiscal_year": cal.fiscal_year("date"), "fiscal_quarter": cal.fiscal_quarter("date")})
+    got = S.monthly_trends(m).toPandas()
+    exp = golden("processed/aggregated_data/monthly_trends.csv")
+    compare(got, exp, ["year", "month"], ["growth_rate_pct", "seasonal_index", "total_gwh_3m_avg",
+                                          "total_revenue_npr", "total_revenue_nrs_mn", "fiscal_year",
+                                          "fiscal_quarter", "season", "month_name"])
+
+
+def test_revenue_by_sector(raws):
+    got = S.revenue_by_sector(S.calculate_revenue(S.clean_monthly(raws["monthly"]))).toPandas()
+    exp = golden("processed/aggregated_data/revenue_by_sector.csv")
+    compare(got, exp, "year", [c for c in exp.columns if c not in ("year", "aggregated_at")])
+
+
+def test_province_ranking_and_losses(raws):
+    prov = R.clean_provinces(raws["province_electricity"])
+    got = R.province_ranking(R.province_enriched(prov, None)).toPandas()
+    exp = golden("processed/aggregated_data/province_ranking.csv")
+    compare(got, exp, "province_id", ["kwh_per_household", "electrification_gap_pct", "consumers_per_km2",
+                                      "estimated_revenue_npr_mn", "rank_per_capita", "rank_consumption",
+                                      "rank_electrification", "rank_system_loss"])
+    got = R.system_losses_by_province(prov).toPandas()
+    exp = golden("processed/aggregated_data/system_losses_by_province.csv")
+    compare(got, exp, "province_id", ["estimated_loss_gwh", "loss_per_km_mwh", "loss_reduction_target_pct",
+                                      "potential_saving_gwh"])
+
+
+def test_demand_forecast_and_sector_breakdown(raws):
+    a = S.clean_annual(raws["annual"]).select(F.lit("N").alias("series"), "fiscal_year", "total_energy_gwh")
+    got = S.forecast_demand(a).toPandas()
+    exp = pd.read_csv(os.path.join(OUT, "demand_forecast.csv"))
+    compare(got, exp, "fiscal_year", ["forecast_gwh", "growth_assumption_pct"])
+    four = ["domestic_gwh", "industrial_gwh", "commercial_gwh", "irrigation_gwh"]
+    got = S.sector_breakdown(S.clean_annual(raws["annual"]), four).toPandas()
+    exp = pd.read_csv(os.path.join(OUT, "sector_breakdown.csv"))
+    compare(got, exp, "fiscal_year", [c for c in exp.columns if c.endswith("_pct")])
+
+
+def test_weather_cleaned_and_join(raws):
+    wx = W.enrich_weather(raws["weather"])
+    got = wx.withColumn("date", F.date_format("date", "yyyy-MM-dd")).toPandas()
+    exp = golden("processed/cleaned_data/weather_cleaned.csv")
+    compare(got, exp, ["station_id", "date"], ["hdd", "cdd", "temp_range_c", "thermal_discomfort_index",
+                                               "season"])
+    flags = exp.merge(got, on=["station_id", "date"], suffixes=("_exp", "_got"))
+    for c in ["is_monsoon", "is_dry_season", "is_hot_day", "is_cold_day", "is_rainy_day"]:
+        assert (flags[f"{c}_exp"].astype(bool) == flags[f"{c}_got"].astype(bool)).all(), c
+    j = W.consumption_weather(S.clean_monthly(raws["monthly"]), wx).toPandas()
+    exp = golden("processed/transformed_data/weather_consumption_transformed.csv")
+    compare(j, exp, ["year", "month"], ["avg_temp_c", "max_temp_c", "total_rainfall_mm", "avg_humidity_pct",
+                                        "total_hdd", "total_cdd", "temp_demand_index"], tol=1e-9)
