@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.exprs import clip, exact, safe_div, snap
 from .ranking import global_rank
+from .sequence import DEFAULT_CHUNK_ROWS, index_within, neighbour, rolling_avgs, runs
 
 CONSUMPTION_BOUNDS = {
     "Domestic": (0.0, 15.0),
@@ -128,20 +129,29 @@ def outlier_counts(df: DataFrame, bounds: dict | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C13 / W4 / W5 / C6 / C7
-def engineer_features(clean: DataFrame) -> DataFrame:
+def engineer_features(clean: DataFrame, skew_safe: bool = True,
+                      chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Rolling 24/168-reading means, demand category, quality flags, daily deviation.
 
-    All per-meter windows share one partitioning (meter_id) and one sort
-    (timestamp, reading_id); the daily mean uses a frame-less window on
-    (meter_id, date), which Catalyst plans in the same exchange.
+    ``skew_safe`` (default): per-meter row index + chunked windows with a
+    167-row halo (``sequence.rolling_avgs``), so a meter holding a large share
+    of all readings is spread over many tasks.  ``skew_safe=False``: one
+    ``Window.partitionBy(meter_id)`` pass (one shuffle; each meter in one
+    task) for data known to be balanced.  Both give identical results.
     """
-    w = Window.partitionBy(METER).orderBy(*_meter_order())
     kwh = F.col(KWH)
-    r24 = snap(F.avg(kwh).over(w.rowsBetween(-23, 0)), 4)
-    r168 = snap(F.avg(kwh).over(w.rowsBetween(-167, 0)), 4)
+    if skew_safe:
+        ix = index_within(clean, [METER], TS, [RID], "_idx")
+        x = rolling_avgs(ix, [METER], "_idx", {"_r24": (KWH, 24), "_r168": (KWH, 168)}, chunk_rows)
+    else:
+        w = Window.partitionBy(METER).orderBy(*_meter_order())
+        x = clean.select("*", F.avg(kwh).over(w.rowsBetween(-23, 0)).alias("_r24"),
+                         F.avg(kwh).over(w.rowsBetween(-167, 0)).alias("_r168"))
+    # the daily mean holds one meter-day per task
     daily = F.avg(kwh).over(Window.partitionBy(METER, "date"))
-    out = clean.select("*", r24.alias("rolling_24h_kwh"), r168.alias("rolling_7d_kwh"),
-                       snap(kwh - daily, 4).alias("deviation_from_daily_avg"))
+    out = x.select(*clean.columns, snap("_r24", 4).alias("rolling_24h_kwh"),
+                   snap("_r168", 4).alias("rolling_7d_kwh"),
+                   snap(kwh - daily, 4).alias("deviation_from_daily_avg"))
     ratio = kwh / (F.col("rolling_24h_kwh") + F.lit(1e-9))
     return out.select(
         "*",
@@ -247,34 +257,51 @@ def low_power_factor_meters(clean: DataFrame, low: float = 0.85, having: float =
 
 
 # ---------------------------------------------------------------- W10
-def outage_islands(raw: DataFrame, min_hours: float = 2.0) -> DataFrame:
-    """Gaps-and-islands outage detection in one window pass.
+def outage_islands(raw: DataFrame, min_hours: float = 2.0, skew_safe: bool = True) -> DataFrame:
+    """Gaps-and-islands outage detection.
 
     A run of bad readings starts at its first bad row and ends at the first
-    good row after it (that row also gives the consumer type); runs still open
-    at the end of a meter's data are dropped.
+    good row after it (that row also gives the consumer type); runs still
+    open at the end of a meter's data are dropped.
+
+    ``skew_safe`` (default): runs are found from per-meter row indexes
+    (``sequence.runs``) and closed by an equi-join on (meter, index), so no
+    task holds a whole meter.  ``skew_safe=False``: one ordered window pass
+    per meter.
     """
-    w = Window.partitionBy(METER).orderBy(*_meter_order())
     bad = F.coalesce((F.col(KWH) == 0) | (F.col(VOLT) < VOLTAGE_MIN), F.lit(False))
     x = raw.select(METER, TYPE, TS, RID, bad.alias("_bad"))
-    prev_bad = F.lag("_bad", 1, False).over(w)
-    x = x.select("*", prev_bad.alias("_prev_bad"))
-    start_ts = F.when(F.col("_bad") & ~F.col("_prev_bad"), F.col(TS))
-    x = x.select("*", F.last(start_ts, ignorenulls=True)
-                 .over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_start"))
-    closing = x.filter(~F.col("_bad") & F.col("_prev_bad"))
-    hours = F.timestamp_diff("SECOND", F.col("_start"), F.col(TS)) / 3600.0
-    return (closing.select(METER, TYPE, F.col("_start").alias("outage_start"),
-                           F.col(TS).alias("outage_end"), hours.alias("_h"))
+    hours = F.timestamp_diff("SECOND", F.col("outage_start"), F.col("outage_end")) / 3600.0
+    if skew_safe:
+        ix = index_within(x, [METER], TS, [RID], "_idx")
+        r = runs(ix, [METER], "_idx", F.col("_bad"), TS,
+                 aggs=[F.min_by(TS, F.col("_idx")).alias("outage_start")])
+        closing = ix.select(METER, (F.col("_idx") - 1).alias("run_last_idx"), TYPE,
+                            F.col(TS).alias("outage_end"))
+        j = r.join(closing, [METER, "run_last_idx"])
+    else:
+        w = Window.partitionBy(METER).orderBy(*_meter_order())
+        x = x.select("*", F.lag("_bad", 1, False).over(w).alias("_prev_bad"))
+        start_ts = F.when(F.col("_bad") & ~F.col("_prev_bad"), F.col(TS))
+        x = x.select("*", F.last(start_ts, ignorenulls=True)
+                     .over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("outage_start"))
+        j = (x.filter(~F.col("_bad") & F.col("_prev_bad"))
+             .select(METER, TYPE, "outage_start", F.col(TS).alias("outage_end")))
+    return (j.select(METER, TYPE, "outage_start", "outage_end", hours.alias("_h"))
             .filter(F.col("_h") >= min_hours)
-            .select(METER, TYPE, "outage_start", "outage_end",
-                    snap("_h", 2).alias("duration_hours")))
+            .select(METER, TYPE, "outage_start", "outage_end", snap("_h", 2).alias("duration_hours")))
 
 
 # ---------------------------------------------------------------- W11
-def outage_suspects(clean: DataFrame) -> DataFrame:
-    w = Window.partitionBy(METER).orderBy(*_meter_order())
-    x = clean.select(METER, TS, KWH, F.lead(KWH, 1).over(w).alias("_next"))
+def outage_suspects(clean: DataFrame, skew_safe: bool = True) -> DataFrame:
+    """Zero reading followed by a zero reading (one row per hit)."""
+    if skew_safe:
+        ix = index_within(clean.select(METER, TS, RID, KWH), [METER], TS, [RID], "_idx")
+        x = neighbour(ix, [METER], "_idx", [KWH], 1, "_next_").withColumnRenamed(
+            "_next_" + KWH, "_next")
+    else:
+        w = Window.partitionBy(METER).orderBy(*_meter_order())
+        x = clean.select(METER, TS, KWH, F.lead(KWH, 1).over(w).alias("_next"))
     return (x.filter((F.col(KWH) == 0) & (F.col("_next") == 0))
             .select(METER, F.col(TS).alias("suspected_outage_start"),
                     F.lit("Possible 2-hour outage").alias("flag")))

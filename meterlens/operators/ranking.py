@@ -4,11 +4,14 @@
 ``global_rank`` instead range-partitions the rows on the sort key, numbers the
 rows inside each sorted partition, and adds per-partition offsets.  The offset
 table has one row per range partition (its size is the partition count the
-caller chooses), so broadcasting it is bounded.  The range exchange is planned
-once and reused by both branches, so partition contents are consistent.
+caller chooses), so broadcasting it is bounded.
 
-The order must be total (append a unique tie-breaker) so recomputation after a
-lost executor reproduces the same ranks.
+Range bounds come from sampling, so two executions of the same range exchange
+may cut the data differently.  The sorted, range-partitioned rows are
+therefore checkpointed once (reliable checkpoint in the session's
+``spark.checkpoint.dir``) and both the partition counts and the row numbers
+are read from that stored copy.  The order must be total (append a unique
+tie-breaker).
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _PID, _MID, _OFF, _CNT, _TOT = "_rk_pid", "_rk_mid", "_rk_off", "_rk_cnt", "_rk_tot"
 
 
@@ -33,11 +38,11 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
     second scan and no single-row cross join: it rides on the offset table).
     """
     n = _num_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn(_PID, F.spark_partition_id())
+    stored = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    counts = (stored.select(F.spark_partition_id().alias(_PID))
+              .groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT)))
+    ranged = (stored.withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id()))
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     w = Window.orderBy(_PID)  # one row per range partition: bounded by n
     offsets = counts.select(
         _PID,

@@ -57,9 +57,9 @@ def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    d = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set")
+    """Reliable checkpoint into the session's checkpoint folder (never a local
+    checkpoint).  A session without ``spark.checkpoint.dir`` (local runs,
+    tests) gets a fresh scratch folder."""
+    d = ensure_test_checkpoint_dir(df.sparkSession)
     df.sparkSession.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)
