@@ -140,18 +140,21 @@ def engineer_features(clean: DataFrame, skew_safe: bool = True,
     task) for data known to be balanced.  Both give identical results.
     """
     kwh = F.col(KWH)
+    # daily mean first, on (meter, day): the same partitioning the row index uses
+    cols = clean.columns
+    clean = clean.withColumn("_day", F.date_trunc("day", F.col(TS)))
+    clean = clean.withColumn("_daily", F.avg(kwh).over(Window.partitionBy(METER, "_day")))
     if skew_safe:
-        ix = index_within(clean, [METER], TS, [RID], "_idx")
+        ix = index_within(clean, [METER], TS, [RID], "_idx", bucket_col="_day")
         x = rolling_avgs(ix, [METER], "_idx", {"_r24": (KWH, 24), "_r168": (KWH, 168)}, chunk_rows)
     else:
         w = Window.partitionBy(METER).orderBy(*_meter_order())
         x = clean.select("*", F.avg(kwh).over(w.rowsBetween(-23, 0)).alias("_r24"),
                          F.avg(kwh).over(w.rowsBetween(-167, 0)).alias("_r168"))
-    # the daily mean holds one meter-day per task
-    daily = F.avg(kwh).over(Window.partitionBy(METER, "date"))
-    out = x.select(*clean.columns, snap("_r24", 4).alias("rolling_24h_kwh"),
+    out = x.select(*cols,
+                   snap("_r24", 4).alias("rolling_24h_kwh"),
                    snap("_r168", 4).alias("rolling_7d_kwh"),
-                   snap(kwh - daily, 4).alias("deviation_from_daily_avg"))
+                   snap(kwh - F.col("_daily"), 4).alias("deviation_from_daily_avg"))
     ratio = kwh / (F.col("rolling_24h_kwh") + F.lit(1e-9))
     return out.select(
         "*",

@@ -29,13 +29,18 @@ DEFAULT_BUCKET = "day"
 
 
 def index_within(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str], idx: str = "_idx",
-                 bucket: str = DEFAULT_BUCKET) -> DataFrame:
-    """1-based row position per key, ordered by (``ts``, ``tiebreak``)."""
-    b = F.date_trunc(bucket, F.col(ts))
-    x = df.withColumn("_bk", b)
+                 bucket: str = DEFAULT_BUCKET, bucket_col: str | None = None) -> DataFrame:
+    """1-based row position per key, ordered by (``ts``, ``tiebreak``).
+
+    ``bucket_col``: an existing column equal to ``date_trunc(bucket, ts)``;
+    reusing it lets earlier windows on (keys, bucket) share the exchange.
+    """
+    x = df.withColumnRenamed(bucket_col, "_bk") if bucket_col else \
+        df.withColumn("_bk", F.date_trunc(bucket, F.col(ts)))
+    # bucket sizes: a partial aggregation over the key and bucket columns only
+    sizes = x.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys, "_bk").orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
     x = x.withColumn("_rn", F.row_number().over(w))
-    sizes = df.groupBy(*keys, b.alias("_bk")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_bk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (x.join(offsets, keys + ["_bk"])
