@@ -115,3 +115,37 @@ def month_short_name(d: ColumnOrName) -> Column:
 
 def iso_week(d: ColumnOrName) -> Column:
     return F.weekofyear(col(d))
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_as_instant(ts: ColumnOrName) -> Column:
+    """Zone-less timestamp read as UTC -> TIMESTAMP (an instant), whatever the
+    session time zone (watermarks and event-time windows need TIMESTAMP)."""
+    micros = F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit(_EPOCH_NTZ)), col(ts))
+    return F.timestamp_micros(micros)
+
+
+def instant_as_ntz(ts: ColumnOrName) -> Column:
+    """Inverse of ``ntz_as_instant``: the UTC wall-clock time of an instant."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)),
+                           F.to_timestamp_ntz(F.lit(_EPOCH_NTZ)))
+
+
+def trunc_ntz(unit: str, ts: ColumnOrName) -> Column:
+    """Truncate a zone-less timestamp (or date) to ``unit`` without touching
+    the session time zone (``date_trunc`` returns a zoned TIMESTAMP computed
+    in the session zone).  Units: year, month, day, hour."""
+    c = col(ts)
+    zero = F.lit(0)
+    unit = unit.lower()
+    if unit == "hour":
+        return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), zero, zero)
+    if unit == "day":
+        return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), zero, zero, zero)
+    if unit == "month":
+        return F.make_timestamp_ntz(F.year(c), F.month(c), F.lit(1), zero, zero, zero)
+    if unit == "year":
+        return F.make_timestamp_ntz(F.year(c), F.lit(1), F.lit(1), zero, zero, zero)
+    raise ValueError(f"unsupported unit {unit!r}")

@@ -68,5 +68,5 @@ def monthly_series_panel(monthly: DataFrame, dim: DataFrame) -> DataFrame:
     """Monthly facts JOIN date dimension, month-truncated time axis."""
     m = monthly.withColumn("date_id", F.date_format("date", "yyyyMMdd").cast("int"))
     j = m.join(dim.select("date_id", "full_date"), "date_id")
-    return j.select(F.date_trunc("month", "full_date").alias("time"),
+    return j.select(cal.trunc_ntz("month", "full_date").alias("time"),
                     F.col("total_gwh").alias("value"), F.lit("Total").alias("metric"))

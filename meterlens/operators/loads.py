@@ -7,9 +7,11 @@ version directory and never overwrites the path it reads from.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import trunc_ntz
+
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Keep the last row per key (``order`` ascending; last wins), as an
@@ -78,7 +80,7 @@ def range_join(facts: DataFrame, ranges: DataFrame, key: str, at: str,
     latest fact period (one scalar, read once).
     """
     last = facts.agg(F.max(F.col(at))).first()[0]
-    b = lambda c: F.date_trunc(bucket, c).cast("date")
+    b = lambda c: trunc_ntz(bucket, c)
     hi = F.coalesce(F.col(end), F.lit(last).cast("timestamp_ntz"))
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
     r = ranges.withColumn("_bk", F.explode(F.sequence(b(F.col(start)), b(hi), step)))

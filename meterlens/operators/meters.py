@@ -142,7 +142,7 @@ def engineer_features(clean: DataFrame, skew_safe: bool = True,
     kwh = F.col(KWH)
     # daily mean first, on (meter, day): the same partitioning the row index uses
     cols = clean.columns
-    clean = clean.withColumn("_day", F.date_trunc("day", F.col(TS)))
+    clean = clean.withColumn("_day", cal.trunc_ntz("day", TS))
     clean = clean.withColumn("_daily", F.avg(kwh).over(Window.partitionBy(METER, "_day")))
     if skew_safe:
         ix = index_within(clean, [METER], TS, [RID], "_idx", bucket_col="_day")

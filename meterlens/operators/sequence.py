@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import trunc_ntz
+
 DEFAULT_CHUNK_ROWS = 1_000_000
 DEFAULT_BUCKET = "day"
 
@@ -32,11 +34,11 @@ def index_within(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str], i
                  bucket: str = DEFAULT_BUCKET, bucket_col: str | None = None) -> DataFrame:
     """1-based row position per key, ordered by (``ts``, ``tiebreak``).
 
-    ``bucket_col``: an existing column equal to ``date_trunc(bucket, ts)``;
+    ``bucket_col``: an existing column equal to ``trunc_ntz(bucket, ts)``;
     reusing it lets earlier windows on (keys, bucket) share the exchange.
     """
     x = df.withColumnRenamed(bucket_col, "_bk") if bucket_col else \
-        df.withColumn("_bk", F.date_trunc(bucket, F.col(ts)))
+        df.withColumn("_bk", trunc_ntz(bucket, ts))
     # bucket sizes: a partial aggregation over the key and bucket columns only
     sizes = x.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys, "_bk").orderBy(F.col(ts), *[F.col(c) for c in tiebreak])

@@ -21,7 +21,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import fiscal_year
+from ..functions.calendar import fiscal_year, trunc_ntz
 from ..functions.exprs import exact, safe_div, snap
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -59,7 +59,7 @@ def meter_readings(events: DataFrame) -> DataFrame:
     """Events as hourly smart-meter readings (timestamp truncated to the hour)."""
     k = F.get_json_object("props", "$.k").cast("int")
     return events.select(
-        F.date_trunc("HOUR", "ts").alias("timestamp"),
+        trunc_ntz("hour", "ts").alias("timestamp"),
         F.col("user_id").alias("meter_id"),
         F.col("event_type").alias("consumer_type"),
         F.when(F.col("value") < DEAD_BAND, F.lit(0.0)).otherwise(F.col("value"))

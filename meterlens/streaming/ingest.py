@@ -14,14 +14,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.calendar import instant_as_ntz, ntz_as_instant
 from ..sources.tables import meter_readings
 
 KEYS = ["meter_id", "timestamp"]
 
 
 def _event_time(df: DataFrame) -> DataFrame:
-    # watermarks need TIMESTAMP (with zone); the file timestamps are zone-less
-    return df.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    # watermarks need TIMESTAMP (an instant); file timestamps are zone-less UTC
+    return df.withColumn("event_time", ntz_as_instant("timestamp"))
 
 
 def run_dir(base: str, name: str) -> str:
@@ -66,7 +67,7 @@ def hourly_load_stream(spark: SparkSession, folder: str, out_dir: str,
     target = f"{out_dir}/data"
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        batch.select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "consumer_type",
+        batch.select(instant_as_ntz("w.start").alias("hour_start"), "consumer_type",
                      "total_kwh", "avg_voltage", "avg_pf", "readings") \
             .write.mode("overwrite").parquet(target)
 
@@ -82,9 +83,9 @@ def low_consumption_sessions(meters: DataFrame, gap: str = "2 hours") -> DataFra
     DataFrames; it approximates the batch outage islands, which close on the
     first good reading instead of on a gap."""
     bad = F.coalesce((F.col("consumption_kwh") == 0) | (F.col("voltage_v") < 180), F.lit(False))
-    s = meters.filter(bad).withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    s = _event_time(meters.filter(bad))
     g = s.groupBy("meter_id", F.session_window("event_time", gap).alias("s")).agg(
         F.count(F.lit(1)).alias("bad_readings"), F.min("timestamp").alias("first_bad"),
         F.max("timestamp").alias("last_bad"))
     return g.select("meter_id", "first_bad", "last_bad", "bad_readings",
-                    F.col("s.end").cast("timestamp_ntz").alias("session_end"))
+                    instant_as_ntz("s.end").alias("session_end"))
