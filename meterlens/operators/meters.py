@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.exprs import clip, exact, safe_div, snap
 from .ranking import global_rank
-from .sequence import DEFAULT_CHUNK_ROWS, index_within, neighbour, rolling_avgs, runs
+from .sequence import (DEFAULT_CHUNK_ROWS, index_within, neighbour, rolling_avgs, runs,
+                       split_by_size)
 
 CONSUMPTION_BOUNDS = {
     "Domestic": (0.0, 15.0),
@@ -129,28 +130,34 @@ def outlier_counts(df: DataFrame, bounds: dict | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C13 / W4 / W5 / C6 / C7
-def engineer_features(clean: DataFrame, skew_safe: bool = True,
+def engineer_features(clean: DataFrame, skew: str = "auto",
                       chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Rolling 24/168-reading means, demand category, quality flags, daily deviation.
 
-    ``skew_safe`` (default): per-meter row index + chunked windows with a
-    167-row halo (``sequence.rolling_avgs``), so a meter holding a large share
-    of all readings is spread over many tasks.  ``skew_safe=False``: one
-    ``Window.partitionBy(meter_id)`` pass (one shuffle; each meter in one
-    task) for data known to be balanced.  Both give identical results.
+    ``skew``: "window" -- one ``Window.partitionBy(meter_id)`` pass (one
+    shuffle, each meter in one task); "chunked" -- per-meter row index plus
+    chunked windows with a 167-row halo (``sequence.rolling_avgs``), so no
+    task holds more than ``chunk_rows`` + 167 rows of a meter; "auto"
+    (default) -- meters with more than ``chunk_rows`` readings take the
+    chunked path, all others the window pass.  All modes give identical rows.
     """
     kwh = F.col(KWH)
-    # daily mean first, on (meter, day): the same partitioning the row index uses
     cols = clean.columns
-    clean = clean.withColumn("_day", cal.trunc_ntz("day", TS))
-    clean = clean.withColumn("_daily", F.avg(kwh).over(Window.partitionBy(METER, "_day")))
-    if skew_safe:
-        ix = index_within(clean, [METER], TS, [RID], "_idx", bucket_col="_day")
-        x = rolling_avgs(ix, [METER], "_idx", {"_r24": (KWH, 24), "_r168": (KWH, 168)}, chunk_rows)
-    else:
+
+    def with_rolling(df: DataFrame, chunked: bool) -> DataFrame:
+        # daily mean first, on (meter, day): the partitioning the row index reuses
+        df = df.withColumn("_day", cal.trunc_ntz("day", TS))
+        df = df.withColumn("_daily", F.avg(kwh).over(Window.partitionBy(METER, "_day")))
+        if chunked:
+            ix = index_within(df, [METER], TS, [RID], "_idx", bucket_col="_day")
+            return rolling_avgs(ix, [METER], "_idx", {"_r24": (KWH, 24), "_r168": (KWH, 168)},
+                                chunk_rows).drop("_idx")
         w = Window.partitionBy(METER).orderBy(*_meter_order())
-        x = clean.select("*", F.avg(kwh).over(w.rowsBetween(-23, 0)).alias("_r24"),
-                         F.avg(kwh).over(w.rowsBetween(-167, 0)).alias("_r168"))
+        return df.select("*", F.avg(kwh).over(w.rowsBetween(-23, 0)).alias("_r24"),
+                         F.avg(kwh).over(w.rowsBetween(-167, 0)).alias("_r168")).drop("_day")
+
+    x = _by_skew(clean, skew, chunk_rows, lambda d: with_rolling(d, False),
+                 lambda d: with_rolling(d, True))
     out = x.select(*cols,
                    snap("_r24", 4).alias("rolling_24h_kwh"),
                    snap("_r168", 4).alias("rolling_7d_kwh"),
@@ -165,6 +172,16 @@ def engineer_features(clean: DataFrame, skew_safe: bool = True,
     )
 
 
+def _by_skew(df: DataFrame, skew: str, chunk_rows: int, window_fn, chunked_fn) -> DataFrame:
+    if skew == "window":
+        return window_fn(df)
+    if skew == "chunked":
+        return chunked_fn(df)
+    if skew == "auto":
+        return split_by_size(df, METER, chunk_rows, window_fn, chunked_fn)
+    raise ValueError(f"skew must be auto, chunked or window, not {skew!r}")
+
+
 # ---------------------------------------------------------------- A2 / C2
 def hourly_system_load(clean: DataFrame, scale: float = SCALE) -> DataFrame:
     g = (clean.groupBy("date", "hour", TYPE)
@@ -260,51 +277,61 @@ def low_power_factor_meters(clean: DataFrame, low: float = 0.85, having: float =
 
 
 # ---------------------------------------------------------------- W10
-def outage_islands(raw: DataFrame, min_hours: float = 2.0, skew_safe: bool = True) -> DataFrame:
+def outage_islands(raw: DataFrame, min_hours: float = 2.0, skew: str = "auto",
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Gaps-and-islands outage detection.
 
     A run of bad readings starts at its first bad row and ends at the first
     good row after it (that row also gives the consumer type); runs still
     open at the end of a meter's data are dropped.
 
-    ``skew_safe`` (default): runs are found from per-meter row indexes
-    (``sequence.runs``) and closed by an equi-join on (meter, index), so no
-    task holds a whole meter.  ``skew_safe=False``: one ordered window pass
-    per meter.
+    ``skew`` as in ``engineer_features``: the chunked path finds runs from
+    per-meter row indexes (``sequence.runs``) and closes them with an
+    equi-join on (meter, index), so no task holds a whole meter; the window
+    path is one ordered pass per meter.
     """
     bad = F.coalesce((F.col(KWH) == 0) | (F.col(VOLT) < VOLTAGE_MIN), F.lit(False))
     x = raw.select(METER, TYPE, TS, RID, bad.alias("_bad"))
-    hours = F.timestamp_diff("SECOND", F.col("outage_start"), F.col("outage_end")) / 3600.0
-    if skew_safe:
-        ix = index_within(x, [METER], TS, [RID], "_idx")
+
+    def chunked(d: DataFrame) -> DataFrame:
+        ix = index_within(d, [METER], TS, [RID], "_idx")
         r = runs(ix, [METER], "_idx", F.col("_bad"), TS,
                  aggs=[F.min_by(TS, F.col("_idx")).alias("outage_start")])
         closing = ix.select(METER, (F.col("_idx") - 1).alias("run_last_idx"), TYPE,
                             F.col(TS).alias("outage_end"))
-        j = r.join(closing, [METER, "run_last_idx"])
-    else:
+        return r.join(closing, [METER, "run_last_idx"]).select(
+            METER, TYPE, "outage_start", "outage_end")
+
+    def window(d: DataFrame) -> DataFrame:
         w = Window.partitionBy(METER).orderBy(*_meter_order())
-        x = x.select("*", F.lag("_bad", 1, False).over(w).alias("_prev_bad"))
+        d = d.select("*", F.lag("_bad", 1, False).over(w).alias("_prev_bad"))
         start_ts = F.when(F.col("_bad") & ~F.col("_prev_bad"), F.col(TS))
-        x = x.select("*", F.last(start_ts, ignorenulls=True)
+        d = d.select("*", F.last(start_ts, ignorenulls=True)
                      .over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("outage_start"))
-        j = (x.filter(~F.col("_bad") & F.col("_prev_bad"))
-             .select(METER, TYPE, "outage_start", F.col(TS).alias("outage_end")))
+        return (d.filter(~F.col("_bad") & F.col("_prev_bad"))
+                .select(METER, TYPE, "outage_start", F.col(TS).alias("outage_end")))
+
+    j = _by_skew(x, skew, chunk_rows, window, chunked)
+    hours = F.timestamp_diff("SECOND", F.col("outage_start"), F.col("outage_end")) / 3600.0
     return (j.select(METER, TYPE, "outage_start", "outage_end", hours.alias("_h"))
             .filter(F.col("_h") >= min_hours)
             .select(METER, TYPE, "outage_start", "outage_end", snap("_h", 2).alias("duration_hours")))
 
 
 # ---------------------------------------------------------------- W11
-def outage_suspects(clean: DataFrame, skew_safe: bool = True) -> DataFrame:
+def outage_suspects(clean: DataFrame, skew: str = "auto",
+                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Zero reading followed by a zero reading (one row per hit)."""
-    if skew_safe:
-        ix = index_within(clean.select(METER, TS, RID, KWH), [METER], TS, [RID], "_idx")
-        x = neighbour(ix, [METER], "_idx", [KWH], 1, "_next_").withColumnRenamed(
-            "_next_" + KWH, "_next")
-    else:
+    def chunked(d: DataFrame) -> DataFrame:
+        ix = index_within(d, [METER], TS, [RID], "_idx")
+        return neighbour(ix, [METER], "_idx", [KWH], 1, "_next_").withColumnRenamed(
+            "_next_" + KWH, "_next").drop("_idx")
+
+    def window(d: DataFrame) -> DataFrame:
         w = Window.partitionBy(METER).orderBy(*_meter_order())
-        x = clean.select(METER, TS, KWH, F.lead(KWH, 1).over(w).alias("_next"))
+        return d.select("*", F.lead(KWH, 1).over(w).alias("_next"))
+
+    x = _by_skew(clean.select(METER, TS, RID, KWH), skew, chunk_rows, window, chunked)
     return (x.filter((F.col(KWH) == 0) & (F.col("_next") == 0))
             .select(METER, F.col(TS).alias("suspected_outage_start"),
                     F.lit("Possible 2-hour outage").alias("flag")))

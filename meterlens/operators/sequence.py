@@ -89,3 +89,28 @@ def runs(indexed: DataFrame, keys: list[str], idx: str, flag: Column, ts: str,
             .agg(F.min(idx).alias("run_first_idx"), F.max(idx).alias("run_last_idx"),
                  F.count(F.lit(1)).alias("run_rows"), *(aggs or []))
             .drop("_run"))
+
+
+MAX_LISTED_HOT_KEYS = 10_000
+
+
+def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
+                  max_listed: int = MAX_LISTED_HOT_KEYS) -> DataFrame:
+    """Run ``large(rows of keys with more than threshold rows)`` and
+    ``small(all other rows)`` and union the results.
+
+    The per-key counts are a partial aggregation; at most ``max_listed`` hot
+    keys reach the driver.  With no hot key only ``small`` runs (one plain
+    window pass); with more hot keys than ``max_listed`` every key takes the
+    ``large`` path.  Each key is processed whole by one path, so the union
+    equals either path alone.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = [r[0] for r in counts.filter(F.col("_n") > threshold).select(key)
+           .limit(max_listed + 1).collect()]
+    if not hot:
+        return small(df)
+    if len(hot) > max_listed:
+        return large(df)
+    is_hot = F.col(key).isin(hot)
+    return small(df.filter(~is_hot)).unionByName(large(df.filter(is_hot)))

@@ -204,12 +204,14 @@ def test_skew_safe_paths_match_plain_windows(spark):
     clean = M.clean_meters(raw)
     cols = ["meter_id", "timestamp", "rolling_24h_kwh", "rolling_7d_kwh", "deviation_from_daily_avg",
             "demand_category"]
-    fast = sorted(map(tuple, M.engineer_features(clean, skew_safe=True, chunk_rows=200)
-                      .select(cols).collect()))
-    plain = sorted(map(tuple, M.engineer_features(clean, skew_safe=False).select(cols).collect()))
-    assert fast == plain and len(fast) == clean.count()
-    assert sorted(map(tuple, M.outage_islands(raw).collect())) == \
-        sorted(map(tuple, M.outage_islands(raw, skew_safe=False).collect()))
-    assert sorted(map(tuple, M.outage_suspects(clean).collect())) == \
-        sorted(map(tuple, M.outage_suspects(clean, skew_safe=False).collect()))
-    assert sorted(tuple(r) for r in M.outage_islands(raw).collect()) == brute_outages(raw.toPandas())
+    def feats(mode):
+        return sorted(map(tuple, M.engineer_features(clean, skew=mode, chunk_rows=200)
+                          .select(cols).collect()))
+    plain = feats("window")
+    assert feats("chunked") == plain and feats("auto") == plain and len(plain) == clean.count()
+    isl = {m: sorted(map(tuple, M.outage_islands(raw, skew=m, chunk_rows=200).collect()))
+           for m in ["window", "chunked", "auto"]}
+    assert isl["window"] == isl["chunked"] == isl["auto"] == brute_outages(raw.toPandas())
+    sus = {m: sorted(map(tuple, M.outage_suspects(clean, skew=m, chunk_rows=200).collect()))
+           for m in ["window", "chunked", "auto"]}
+    assert sus["window"] == sus["chunked"] == sus["auto"]
