@@ -14,7 +14,7 @@ def date_dimension(bounds: DataFrame, start: str = "start_date", end: str = "end
 
     ``bounds`` is normally a one-row aggregate (min/max date of a fact
     table); the generated row count is the number of days, independent of
-    the fact volume.  Bikram Sambat and holiday columns stay NULL (declared
+    the fact volume.  Local-calendar (BS) and holiday columns stay NULL (declared
     but never computed by the reference).
     """
     days = bounds.select(F.explode(F.sequence(F.col(start), F.col(end))).alias("full_date")).distinct()

@@ -1,8 +1,8 @@
 """Raw file sources of the metering data model.
 
 Every CSV is read with a declared schema (no inference) in PERMISSIVE mode;
-malformed rows land in ``_corrupt_record``.  Inline reference tables (S7)
-are small literals.
+malformed rows land in ``_corrupt_record``.  Inline literal tables (S7)
+load through ``spark.createDataFrame`` with a declared schema.
 """
 
 from __future__ import annotations
@@ -49,18 +49,15 @@ METER_SCHEMA = (
     "timestamp timestamp_ntz, meter_id string, consumer_type string, consumption_kwh double, "
     "voltage_v double, power_factor double, apparent_power_kva double")
 
-FILES = {
-    "annual": ("raw/nea_reports/nea_annual_consumption.csv", ANNUAL_SCHEMA, "NEA Annual Report"),
-    "monthly": ("raw/nea_reports/nea_monthly_consumption.csv", MONTHLY_SCHEMA,
-                "NEA Monthly Operational Report"),
-    "tariff": ("raw/nea_reports/nea_tariff_structure.csv", TARIFF_SCHEMA, "NEA Tariff"),
-    "province_electricity": ("raw/open_data_nepal/province_electricity_data.csv", PROVINCE_SCHEMA,
-                             "Open Data Nepal"),
-    "district_electricity": ("raw/open_data_nepal/district_electricity.csv", DISTRICT_SCHEMA,
-                             "Open Data Nepal"),
-    "population": ("external/population_data/nepal_province_population.csv", POPULATION_SCHEMA,
-                   "Census 2021"),
-    "weather": ("raw/weather_api/weather_data.csv", WEATHER_SCHEMA, "Weather backup"),
+# dataset name -> (declared schema, source label)
+DATASETS = {
+    "annual": (ANNUAL_SCHEMA, "annual report"),
+    "monthly": (MONTHLY_SCHEMA, "monthly operational report"),
+    "tariff": (TARIFF_SCHEMA, "tariff schedule"),
+    "province_electricity": (PROVINCE_SCHEMA, "open data portal"),
+    "district_electricity": (DISTRICT_SCHEMA, "open data portal"),
+    "population": (POPULATION_SCHEMA, "census"),
+    "weather": (WEATHER_SCHEMA, "weather backup"),
 }
 
 
@@ -70,19 +67,20 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
             .schema(schema).csv(path))
 
 
-def extract(spark: SparkSession, data_root: str, name: str) -> DataFrame:
-    """One dataset with ``extracted_at`` and ``source`` columns."""
-    rel, schema, source = FILES[name]
-    df = read_csv(spark, os.path.join(data_root, rel), schema)
+def extract(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One named dataset from a header CSV at ``path`` with
+    ``extracted_at`` and ``source`` columns."""
+    schema, source = DATASETS[name]
+    df = read_csv(spark, path, schema)
     if name == "monthly":
         df = df.withColumn("date", F.make_date("year", "month", F.lit(1)))
     return df.withColumns({"extracted_at": F.current_timestamp(), "source": F.lit(source)})
 
 
-def load_weather(spark: SparkSession, data_root: str, start: str | None = None,
+def load_weather(spark: SparkSession, path: str, start: str | None = None,
                  end: str | None = None) -> DataFrame:
     """Weather backup with an inclusive date range."""
-    df = extract(spark, data_root, "weather")
+    df = extract(spark, path, "weather")
     if start:
         df = df.filter(F.col("date") >= F.to_date(F.lit(start)))
     if end:
@@ -101,10 +99,10 @@ def meter_file(spark: SparkSession, path: str, start: str | None = None,
     return df
 
 
-def extract_bundle(spark: SparkSession, data_root: str) -> dict[str, DataFrame]:
-    """The named raw datasets that exist under ``data_root`` (lazy)."""
-    return {name: extract(spark, data_root, name) for name, (rel, _, _) in FILES.items()
-            if os.path.exists(os.path.join(data_root, rel))}
+def extract_bundle(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The named raw datasets whose files exist (lazy DataFrames)."""
+    return {name: extract(spark, path, name) for name, path in paths.items()
+            if name in DATASETS and os.path.exists(path)}
 
 
 def stored_or(spark: SparkSession, path: str, fallback: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ MONTHLY = ("year int, month int, month_name string, date date, domestic_gwh doub
 
 
 def monthly_rows(spec):
-    return [(y, m, "  baisakh ", dt.date(y, m, 1), 1.0, 1.0, 1.0, 1.0, 1.0, t, 10.0, 1.0, lf)
+    return [(y, m, "  first month ", dt.date(y, m, 1), 1.0, 1.0, 1.0, 1.0, 1.0, t, 10.0, 1.0, lf)
             for (y, m, t, lf) in spec]
 
 
@@ -60,7 +60,7 @@ def test_clean_monthly_growth_fill_and_names(spark):
     assert out[0].growth_rate_pct is None              # first month of its year (starts in April)
     assert out[3].growth_rate_pct is None              # first month of 2024
     assert abs(out[1].growth_rate_pct - (5 / 100 - 1) * 100) < 1e-9
-    assert out[2].load_factor_pct == 0.0 and out[0].month_name == "Baisakh"
+    assert out[2].load_factor_pct == 0.0 and out[0].month_name == "First Month"
     assert [r.season for r in out] == ["Pre-Monsoon", "Pre-Monsoon", "Monsoon", "Winter"]
 
 
