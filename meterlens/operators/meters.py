@@ -210,6 +210,19 @@ def hourly_load_profile(clean: DataFrame, approx: bool = False) -> DataFrame:
     return g.withColumn("day_type", cal.day_type("is_weekend"))
 
 
+# ---------------------------------------------------------------- A25
+def load_profile_sql(clean: DataFrame) -> DataFrame:
+    """SQL form of the load profile: NUMERIC (half-up) rounding, exact p90."""
+    kwh = F.col(KWH)
+    g = (clean.groupBy(TYPE, "hour", "is_weekend")
+         .agg(snap(F.avg(kwh), 4, "half_up").alias("avg_kwh"),
+              snap(F.max(kwh), 4, "half_up").alias("peak_kwh"),
+              snap(F.percentile(kwh, 0.9), 4, "half_up").alias("p90_kwh"),
+              F.count(F.lit(1)).alias("sample_count")))
+    return g.select(TYPE, "hour", cal.day_type("is_weekend").alias("day_type"),
+                    "avg_kwh", "peak_kwh", "p90_kwh", "sample_count")
+
+
 # ---------------------------------------------------------------- A5
 def daily_load_curve(clean: DataFrame) -> DataFrame:
     kwh = F.col(KWH)

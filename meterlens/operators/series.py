@@ -124,6 +124,15 @@ def monthly_trends(clean: DataFrame) -> DataFrame:
     })
 
 
+# ---------------------------------------------------------------- K7
+def monthly_revenue_view(trends_with_revenue: DataFrame) -> DataFrame:
+    """Monthly listing / revenue view ordered by (year, month)."""
+    return trends_with_revenue.select(
+        "year", "month", "month_name", "fiscal_year", "season", "total_gwh", "peak_demand_mw",
+        F.col("total_revenue_nrs_mn").alias("revenue_npr_mn"), "growth_rate_pct", "seasonal_index",
+    ).orderBy("year", "month")
+
+
 # ---------------------------------------------------------------- A11
 def revenue_by_sector(monthly_rev: DataFrame) -> DataFrame:
     rev_cols = [c for c in ["domestic_revenue_npr", "industrial_revenue_npr",

@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions import calendar as cal
 from .operators import meters as M
@@ -99,3 +100,35 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
         for df in persisted:
             df.unpersist()
     return timings
+
+
+def analysis_bundles(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
+    """The four analysis bundles as named lazy DataFrames
+    (consumption, peak demand, weather, province)."""
+    t = lambda n: read_table(spark, sf_dir, n)
+    annual = S.clean_annual(national_annual(t("orders")))
+    monthly = S.clean_monthly(national_monthly(t("orders")))
+    clean = M.clean_meters(meter_readings(t("events")), bounds=EVENT_TYPE_BOUNDS)
+    joined = W.consumption_weather(monthly, W.enrich_weather(weather_observations(t("lineitem"))),
+                                   STATION)
+    prov = R.clean_provinces(province_facts(t("nation"), t("customer"), t("supplier"), t("lineitem")))
+    series = annual.select(F.lit("National").alias("series"), "fiscal_year", "total_energy_gwh")
+    return {
+        "consumption": {"national_growth": S.national_growth(annual),
+                        "sector_breakdown": S.sector_breakdown(annual),
+                        "trade_balance": S.trade_balance(annual),
+                        "forecast": S.forecast_demand(series),
+                        "seasonality": S.seasonality(monthly)},
+        "peak_demand": {"daily_load_curve": M.daily_load_curve(clean),
+                        "load_factor": M.load_factor_daily(clean),
+                        "system_peak_days": M.system_peak_days(clean),
+                        "peak_offpeak_ratio": M.peak_offpeak_ratio(clean),
+                        "load_duration_curve": M.load_duration_curve(clean)},
+        "weather": {"correlations": W.correlations(joined),
+                    "monsoon_impact": W.monsoon_impact(joined),
+                    "seasonal_profile": S.seasonal_profile(monthly)},
+        "province": {"electrification_gap": R.electrification_gap(prov),
+                     "inequality": R.gini(prov, "per_capita_kwh_2023", label="province_name"),
+                     "system_losses": R.system_losses_analysis(prov),
+                     "ranking": R.composite_rank(prov)},
+    }

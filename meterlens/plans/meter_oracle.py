@@ -67,6 +67,14 @@ SELECT consumer_type, hour, is_weekend,
        count({KWH}) AS sample_count,
        CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type
 FROM clean GROUP BY consumer_type, hour, is_weekend
+"""),
+    "load_profile_sql": with_views(CLEAN_VIEW, f"""
+SELECT consumer_type, hour, CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+       {snap(f'avg({KWH})', 4, 'half_up')} AS avg_kwh,
+       {snap(f'max({KWH})', 4, 'half_up')} AS peak_kwh,
+       {snap(f'quantile_cont({KWH}, 0.9)', 4, 'half_up')} AS p90_kwh,
+       count(*) AS sample_count
+FROM clean GROUP BY consumer_type, hour, is_weekend
 """),
     "daily_load_curve": with_views(CLEAN_VIEW, f"""
 SELECT consumer_type, hour, is_weekend,

@@ -55,6 +55,10 @@ def q_hourly_load_profile(spark, sf):
     return M.hourly_load_profile(clean(spark, sf))
 
 
+def q_load_profile_sql(spark, sf):
+    return M.load_profile_sql(clean(spark, sf))
+
+
 def q_daily_load_curve(spark, sf):
     return M.daily_load_curve(clean(spark, sf))
 
@@ -108,6 +112,7 @@ QUERIES = {
     "meter_features": q_meter_features,
     "hourly_system_load": q_hourly_system_load,
     "hourly_load_profile": q_hourly_load_profile,
+    "load_profile_sql": q_load_profile_sql,
     "daily_load_curve": q_daily_load_curve,
     "peak_calendar": q_peak_calendar,
     "load_factor_daily": q_load_factor_daily,

@@ -81,6 +81,12 @@ SELECT *, {snap('total_gwh / avg(total_gwh) OVER (PARTITION BY year)', 4)} AS se
        {snap('avg(total_gwh) OVER (ORDER BY year, month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 2)} AS total_gwh_3m_avg,
        {fiscal_year('date')} AS fiscal_year, {fiscal_quarter('date')} AS fiscal_quarter
 FROM monthly
+"""),
+    "monthly_revenue_view": with_views(MONTHLY_REV, f"""
+SELECT year, month, month_name, {fiscal_year('date')} AS fiscal_year, season, total_gwh, peak_demand_mw,
+       total_revenue_nrs_mn AS revenue_npr_mn, growth_rate_pct,
+       {snap('total_gwh / avg(total_gwh) OVER (PARTITION BY year)', 4)} AS seasonal_index
+FROM mrev ORDER BY year, month
 """),
     "annual_kpis": with_views(ANNUAL_SUMMARY, f"""
 SELECT {_ANN_COLS},

@@ -63,6 +63,10 @@ def q_monthly_trends(spark, sf):
     return S.monthly_trends(monthly(spark, sf))
 
 
+def q_monthly_revenue_view(spark, sf):
+    return S.monthly_revenue_view(S.monthly_trends(S.calculate_revenue(monthly(spark, sf))))
+
+
 def q_annual_kpis(spark, sf):
     return S.annual_summary(annual(spark, sf)).withColumn(
         "fiscal_year_start", cal.fiscal_year_start_date("fiscal_year"))
@@ -190,6 +194,7 @@ QUERIES = {
     "sector_share": q_sector_share,
     "sector_breakdown": q_sector_breakdown,
     "monthly_trends": q_monthly_trends,
+    "monthly_revenue_view": q_monthly_revenue_view,
     "annual_kpis": q_annual_kpis,
     "annual_yoy_sql": q_annual_yoy_sql,
     "national_growth": q_national_growth,

@@ -56,3 +56,15 @@ def test_versioned_table_and_load_count(spark):
     assert back.filter(F.col("v").isNull()).count() == 1
     export_csv(back, os.path.join(base, "export"), single_file=True)
     assert len([f for f in os.listdir(os.path.join(base, "export")) if f.endswith(".csv")]) == 1
+
+
+def test_analysis_bundles_run(spark):
+    from meterlens.pipeline import analysis_bundles
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    b = analysis_bundles(spark, sf)
+    assert set(b) == {"consumption", "peak_demand", "weather", "province"}
+    for group in b.values():
+        for df in group.values():
+            assert df.count() >= 1
