@@ -130,8 +130,8 @@ def outlier_counts(df: DataFrame, bounds: dict | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C13 / W4 / W5 / C6 / C7
-def engineer_features(clean: DataFrame, skew: str = "auto",
-                      chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def engineer_features(clean: DataFrame, skew: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                      size_source: DataFrame | None = None) -> DataFrame:
     """Rolling 24/168-reading means, demand category, quality flags, daily deviation.
 
     ``skew``: "window" -- one ``Window.partitionBy(meter_id)`` pass (one
@@ -140,6 +140,8 @@ def engineer_features(clean: DataFrame, skew: str = "auto",
     task holds more than ``chunk_rows`` + 167 rows of a meter; "auto"
     (default) -- meters with more than ``chunk_rows`` readings take the
     chunked path, all others the window pass.  All modes give identical rows.
+    ``size_source`` (e.g. the raw readings) bounds per-meter counts without
+    re-running the de-duplication.
     """
     kwh = F.col(KWH)
     cols = clean.columns
@@ -157,7 +159,7 @@ def engineer_features(clean: DataFrame, skew: str = "auto",
                          F.avg(kwh).over(w.rowsBetween(-167, 0)).alias("_r168")).drop("_day")
 
     x = _by_skew(clean, skew, chunk_rows, lambda d: with_rolling(d, False),
-                 lambda d: with_rolling(d, True))
+                 lambda d: with_rolling(d, True), size_source)
     out = x.select(*cols,
                    snap("_r24", 4).alias("rolling_24h_kwh"),
                    snap("_r168", 4).alias("rolling_7d_kwh"),
@@ -172,13 +174,15 @@ def engineer_features(clean: DataFrame, skew: str = "auto",
     )
 
 
-def _by_skew(df: DataFrame, skew: str, chunk_rows: int, window_fn, chunked_fn) -> DataFrame:
+def _by_skew(df: DataFrame, skew: str, chunk_rows: int, window_fn, chunked_fn,
+             size_source: DataFrame | None = None) -> DataFrame:
     if skew == "window":
         return window_fn(df)
     if skew == "chunked":
         return chunked_fn(df)
     if skew == "auto":
-        return split_by_size(df, METER, chunk_rows, window_fn, chunked_fn)
+        return split_by_size(df, METER, chunk_rows, window_fn, chunked_fn,
+                             size_source=None if size_source is None else size_source.select(METER))
     raise ValueError(f"skew must be auto, chunked or window, not {skew!r}")
 
 
@@ -332,8 +336,8 @@ def outage_islands(raw: DataFrame, min_hours: float = 2.0, skew: str = "auto",
 
 
 # ---------------------------------------------------------------- W11
-def outage_suspects(clean: DataFrame, skew: str = "auto",
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def outage_suspects(clean: DataFrame, skew: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                    size_source: DataFrame | None = None) -> DataFrame:
     """Zero reading followed by a zero reading (one row per hit)."""
     def chunked(d: DataFrame) -> DataFrame:
         ix = index_within(d, [METER], TS, [RID], "_idx")
@@ -344,7 +348,7 @@ def outage_suspects(clean: DataFrame, skew: str = "auto",
         w = Window.partitionBy(METER).orderBy(*_meter_order())
         return d.select("*", F.lead(KWH, 1).over(w).alias("_next"))
 
-    x = _by_skew(clean.select(METER, TS, RID, KWH), skew, chunk_rows, window, chunked)
+    x = _by_skew(clean.select(METER, TS, RID, KWH), skew, chunk_rows, window, chunked, size_source)
     return (x.filter((F.col(KWH) == 0) & (F.col("_next") == 0))
             .select(METER, F.col(TS).alias("suspected_outage_start"),
                     F.lit("Possible 2-hour outage").alias("flag")))

@@ -95,7 +95,8 @@ MAX_LISTED_HOT_KEYS = 10_000
 
 
 def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
-                  max_listed: int = MAX_LISTED_HOT_KEYS) -> DataFrame:
+                  max_listed: int = MAX_LISTED_HOT_KEYS,
+                  size_source: DataFrame | None = None) -> DataFrame:
     """Run ``large(rows of keys with more than threshold rows)`` and
     ``small(all other rows)`` and union the results.
 
@@ -103,9 +104,11 @@ def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
     keys reach the driver.  With no hot key only ``small`` runs (one plain
     window pass); with more hot keys than ``max_listed`` every key takes the
     ``large`` path.  Each key is processed whole by one path, so the union
-    equals either path alone.
+    equals either path alone.  ``size_source``: a cheaper frame whose per-key
+    row counts bound those of ``df`` (e.g. the raw scan before de-duplication).
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (size_source if size_source is not None else df).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"))
     hot = [r[0] for r in counts.filter(F.col("_n") > threshold).select(key)
            .limit(max_listed + 1).collect()]
     if not hot:

@@ -44,7 +44,7 @@ def q_meter_outlier_counts(spark, sf):
 
 
 def q_meter_features(spark, sf):
-    return M.engineer_features(clean(spark, sf))
+    return M.engineer_features(clean(spark, sf), size_source=raw_meters(spark, sf))
 
 
 def q_hourly_system_load(spark, sf):
@@ -84,7 +84,7 @@ def q_outage_islands(spark, sf):
 
 
 def q_outage_suspects(spark, sf):
-    return M.outage_suspects(clean(spark, sf))
+    return M.outage_suspects(clean(spark, sf), size_source=raw_meters(spark, sf))
 
 
 def q_demand_peaks_topn(spark, sf):
