@@ -4,8 +4,9 @@
 (extract -> clean -> transform -> aggregate -> dashboard export -> checks)
 over the driver's tables; nothing runs until ``run`` writes the outputs.
 The cleaned meter table feeds five outputs, so it is persisted
-(MEMORY_AND_DISK, recomputed from lineage if an executor is lost);
-everything else stays lazy.  Independent outputs are submitted as
+(MEMORY_AND_DISK, recomputed from lineage if an executor is lost); so are
+the annual, monthly and province aggregates, whose size is bounded by the
+calendar and by geography.  Everything else stays lazy.  Independent outputs are submitted as
 concurrent Spark jobs.
 """
 
@@ -35,10 +36,12 @@ def build(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], list[
     t = lambda n: read_table(spark, sf_dir, n)
     raw = meter_readings(t("events"))
     clean = M.clean_meters(raw, bounds=EVENT_TYPE_BOUNDS).persist(StorageLevel.MEMORY_AND_DISK)
-    annual = S.clean_annual(national_annual(t("orders")))
-    monthly = S.clean_monthly(national_monthly(t("orders")))
+    keep = StorageLevel.MEMORY_AND_DISK
+    annual = S.clean_annual(national_annual(t("orders"))).persist(keep)
+    monthly = S.clean_monthly(national_monthly(t("orders"))).persist(keep)
     weather = W.enrich_weather(weather_observations(t("lineitem")))
-    prov = R.clean_provinces(province_facts(t("nation"), t("customer"), t("supplier"), t("lineitem")))
+    prov = R.clean_provinces(province_facts(t("nation"), t("customer"), t("supplier"),
+                                            t("lineitem"))).persist(keep)
     monthly_rev = S.calculate_revenue(monthly).withColumns(
         {"fiscal_year": cal.fiscal_year("date"), "fiscal_quarter": cal.fiscal_quarter("date")})
     summary = S.annual_summary(annual)
@@ -73,7 +76,7 @@ def build(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], list[
         # validate
         "validation": Q.validation_checks(annual, clean, prov, monthly),
     }
-    return out, [clean]
+    return out, [clean, annual, monthly, prov]
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,

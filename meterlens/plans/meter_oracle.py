@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sqlkit import CLEAN_VIEW, METER_VIEW, clip, exact, fiscal_quarter, fiscal_year, snap, with_views
+from .sqlkit import CLEAN_VIEW, METER_VIEW, exact, fiscal_quarter, fiscal_year, snap, with_views
 
 KWH = "consumption_kwh"
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import meters as M
 from ..sources.tables import EVENT_TYPE_BOUNDS, meter_readings, read_table

@@ -14,9 +14,9 @@ from ..operators import quality as Q
 from ..operators import regions as R
 from ..operators import series as S
 from ..operators import summary as U
-from ..session import ensure_test_checkpoint_dir
+from ..session import checkpoint_folder
 from ..sources.payloads import decode_props
-from ..sources.tables import EVENT_TYPE_BOUNDS, meter_readings, national_annual, read_table
+from ..sources.tables import EVENT_TYPE_BOUNDS, national_annual, read_table
 from ..streaming import ingest as ST
 from .meter_queries import clean as clean_meters
 from .meter_queries import raw_meters
@@ -202,8 +202,7 @@ def q_json_payload_decode(spark, sf):
 
 
 def _stream_base(spark):
-    base = ensure_test_checkpoint_dir(spark)
-    return base
+    return checkpoint_folder(spark)
 
 
 def q_stream_ingest_parity(spark, sf):

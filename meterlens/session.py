@@ -47,8 +47,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
-def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
-    """Tests only: a fresh scratch folder when the session names none."""
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a fresh scratch folder only
+    when the session names none (local runs and tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         spark.sparkContext.setCheckpointDir(d)
@@ -60,6 +61,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's checkpoint folder (never a local
     checkpoint).  A session without ``spark.checkpoint.dir`` (local runs,
     tests) gets a fresh scratch folder."""
-    d = ensure_test_checkpoint_dir(df.sparkSession)
+    d = checkpoint_folder(df.sparkSession)
     df.sparkSession.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)
+
+
+ensure_test_checkpoint_dir = checkpoint_folder  # name used by tests and tools
