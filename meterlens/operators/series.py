@@ -182,6 +182,16 @@ def trade_balance(annual: DataFrame) -> DataFrame:
         snap(safe_div(imp, F.col("total_energy_gwh")) * 100, 2).alias("import_dependency_pct"))
 
 
+def trade_balance_sql(annual: DataFrame) -> DataFrame:
+    """the SQL form -- no NULL filling, half-up rounding."""
+    imp, exp = F.col("energy_imported_gwh"), F.col("energy_exported_gwh")
+    return annual.select(
+        "fiscal_year", "energy_imported_gwh", "energy_exported_gwh",
+        exact(exp - imp).alias("trade_balance_gwh"),
+        F.when(exp > imp, "Net Exporter").otherwise("Net Importer").alias("trade_status"),
+        snap(safe_div(imp, F.col("total_energy_gwh")) * 100, 2, "half_up").alias("import_dependency_pct"))
+
+
 # ---------------------------------------------------------------- A13 / A14 / K4
 def _cagr(end: Column, start: Column, years: Column) -> Column:
     ratio = safe_div(end, start)

@@ -225,6 +225,13 @@ SELECT fiscal_year, energy_imported_gwh, energy_exported_gwh,
        THEN 'Net Exporter' ELSE 'Net Importer' END AS trade_status,
   {snap('COALESCE(energy_imported_gwh, 0.0) / NULLIF(total_energy_gwh, 0) * 100', 2)} AS import_dependency_pct
 FROM annual
+"""),
+    "trade_balance_sql": with_views(ANNUAL_VIEW, f"""
+SELECT fiscal_year, energy_imported_gwh, energy_exported_gwh,
+  {exact('energy_exported_gwh - energy_imported_gwh')} AS trade_balance_gwh,
+  CASE WHEN energy_exported_gwh > energy_imported_gwh THEN 'Net Exporter' ELSE 'Net Importer' END AS trade_status,
+  {snap('energy_imported_gwh / NULLIF(total_energy_gwh, 0) * 100', 2, 'half_up')} AS import_dependency_pct
+FROM annual
 """),
     "province_clean": with_views(PROVINCE_VIEW, "SELECT * FROM province"),
     "province_enriched": with_views(PROVINCE_VIEW + "," + POPULATION_VIEW, f"""

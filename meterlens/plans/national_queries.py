@@ -138,6 +138,10 @@ def q_trade_balance(spark, sf):
     return S.trade_balance(annual(spark, sf))
 
 
+def q_trade_balance_sql(spark, sf):
+    return S.trade_balance_sql(annual(spark, sf))
+
+
 def q_province_clean(spark, sf):
     return provinces(spark, sf)
 
@@ -211,6 +215,7 @@ QUERIES = {
     "ols_regression": q_ols_regression,
     "monsoon_impact": q_monsoon_impact,
     "trade_balance": q_trade_balance,
+    "trade_balance_sql": q_trade_balance_sql,
     "province_clean": q_province_clean,
     "province_enriched": q_province_enriched,
     "province_ranking": q_province_ranking,

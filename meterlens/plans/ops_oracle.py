@@ -305,3 +305,34 @@ ORACLE["period_report"] = with_views(
         _rows("system_losses", "lt", ["total_loss_gwh", "revenue_impact_npr_mn", "total_recoverable_gwh"],
               ["highest_loss_province", "lowest_loss_province"], "yearly 1998/99"),
     ]))
+
+
+def _trends(prefix: str, where: str) -> str:
+    v = renamed_view(MONTHLY_VIEW, "monthly", prefix, "orders", where)
+    return v + f""",
+{prefix}_t AS (SELECT *, {snap('total_gwh / avg(total_gwh) OVER (PARTITION BY year)', 4)} AS seasonal_index,
+    {snap('avg(total_gwh) OVER (ORDER BY year, month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 2)} AS total_gwh_3m_avg,
+    {fiscal_year('date')} AS fiscal_year, {fiscal_quarter('date')} AS fiscal_quarter FROM {prefix})"""
+
+
+_MCOLS = ["month_name", "date", "domestic_gwh", "industrial_gwh", "commercial_gwh", "irrigation_gwh",
+          "other_gwh", "total_gwh", "peak_demand_mw", "avg_daily_mwh", "load_factor_pct", "season",
+          "growth_rate_pct", "seasonal_index", "total_gwh_3m_avg", "fiscal_year", "fiscal_quarter"]
+_MUPD = {"total_gwh", "peak_demand_mw", "seasonal_index"}
+
+
+def _mmerge(c):
+    if c in _MUPD:
+        return f"CASE WHEN b.year IS NOT NULL THEN b.{c} ELSE s.{c} END AS {c}"
+    return f"CASE WHEN s.year IS NOT NULL THEN s.{c} ELSE b.{c} END AS {c}"
+
+
+ORACLE["upsert_monthly"] = with_views(
+    _trends("smon", "o_orderdate < TIMESTAMP '1999-01-01 00:00:00'") + ","
+    + _trends("bmon", "o_orderdate >= TIMESTAMP '1998-06-01 00:00:00'"), f"""
+SELECT COALESCE(s.year, b.year) AS year, COALESCE(s.month, b.month) AS month,
+  {', '.join(_mmerge(c) for c in _MCOLS)},
+  CASE WHEN s.year IS NOT NULL AND b.year IS NOT NULL THEN 'updated'
+       WHEN b.year IS NOT NULL THEN 'inserted' ELSE 'kept' END AS merge_action
+FROM smon_t s FULL OUTER JOIN bmon_t b ON s.year = b.year AND s.month = b.month
+""")

@@ -50,6 +50,19 @@ def q_upsert_merge(spark, sf):
     return merged.drop("loaded_at")
 
 
+MONTHLY_UPDATE = ["total_gwh", "peak_demand_mw", "seasonal_index"]
+
+
+def q_upsert_monthly(spark, sf):
+    from ..sources.tables import national_monthly
+    orders = read_table(spark, sf, "orders")
+    def trends(o):
+        return S.monthly_trends(S.clean_monthly(national_monthly(o)))
+    stored = trends(orders.filter(F.col("o_orderdate") < "1999-01-01"))
+    batch = trends(orders.filter(F.col("o_orderdate") >= "1998-06-01"))
+    return L.upsert(stored, batch, ["year", "month"], MONTHLY_UPDATE).drop("loaded_at")
+
+
 def q_append_new_only(spark, sf):
     m = raw_meters(spark, sf)
     stored = m.filter(F.col("timestamp") < F.to_timestamp_ntz(F.lit("2024-01-20")))
@@ -228,6 +241,7 @@ QUERIES = {
     "daily_system_load": q_daily_system_load,
     "dashboard_monthly_series": q_dashboard_monthly_series,
     "upsert_merge": q_upsert_merge,
+    "upsert_monthly": q_upsert_monthly,
     "append_new_only": q_append_new_only,
     "constraint_audit": q_constraint_audit,
     "table_profiles": q_table_profiles,
