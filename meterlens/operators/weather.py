@@ -102,19 +102,25 @@ def consumption_weather(monthly: DataFrame, weather: DataFrame,
 
 def consumption_weather_sql(monthly: DataFrame, weather: DataFrame,
                             station: str = REFERENCE_STATION) -> DataFrame:
-    """The SQL form -- station test inside the ON clause, then group."""
-    w = weather.select(F.year("date").alias("_y"), F.month("date").alias("_m"), "station_id",
-                       "avg_temp_c", "rainfall_mm", "humidity_pct", "hdd", "cdd")
-    cond = ((w["station_id"] == station) & (w["_y"] == monthly["year"])
-            & (w["_m"] == monthly["month"]))
+    """The SQL form (station test in the ON clause, LEFT JOIN, GROUP BY the
+    monthly row), planned as aggregate-then-join: each monthly row matches
+    exactly one (year, month) group of station readings, so aggregating the
+    big side first gives the same rows while the join input shrinks to one
+    row per month instead of every observation shuffled on ~12 keys a year."""
+    w = (weather.filter(F.col("station_id") == station)
+         .groupBy(F.year("date").alias("year"), F.month("date").alias("month"))
+         .agg(F.avg("avg_temp_c").alias("_t"), F.sum("rainfall_mm").alias("_r"),
+              F.avg("humidity_pct").alias("_h"), F.sum("hdd").alias("_hdd"),
+              F.sum("cdd").alias("_cdd")))
     j = monthly.select("year", "month", "month_name", "total_gwh", "peak_demand_mw") \
-        .join(w, cond, "left")
-    return j.groupBy("year", "month", "month_name", "total_gwh", "peak_demand_mw").agg(
-        snap(F.avg("avg_temp_c"), 2, "half_up").alias("avg_temp_c"),
-        snap(F.sum("rainfall_mm"), 1, "half_up").alias("total_rainfall_mm"),
-        snap(F.avg("humidity_pct"), 1, "half_up").alias("avg_humidity_pct"),
-        snap(F.sum("hdd"), 2, "half_up").alias("total_hdd"),
-        snap(F.sum("cdd"), 2, "half_up").alias("total_cdd"))
+        .join(w, ["year", "month"], "left")
+    return j.select(
+        "year", "month", "month_name", "total_gwh", "peak_demand_mw",
+        snap("_t", 2, "half_up").alias("avg_temp_c"),
+        snap("_r", 1, "half_up").alias("total_rainfall_mm"),
+        snap("_h", 1, "half_up").alias("avg_humidity_pct"),
+        snap("_hdd", 2, "half_up").alias("total_hdd"),
+        snap("_cdd", 2, "half_up").alias("total_cdd"))
 
 
 # ---------------------------------------------------------------- A17
