@@ -65,8 +65,9 @@ def q_upsert_monthly(spark, sf):
 
 def q_append_new_only(spark, sf):
     m = raw_meters(spark, sf)
-    stored = m.filter(F.col("timestamp") < F.to_timestamp_ntz(F.lit("2024-01-20")))
-    batch = m.filter(F.col("timestamp") >= F.to_timestamp_ntz(F.lit("2024-01-15")))
+    # hour-aligned bounds: the same predicate on the stored event time reaches the scan
+    stored = m.filter(F.col("read_at") < F.to_timestamp_ntz(F.lit("2024-01-20")))
+    batch = m.filter(F.col("read_at") >= F.to_timestamp_ntz(F.lit("2024-01-15")))
     return L.append_new_only(stored, batch, ["meter_id", "timestamp"], [F.col("reading_id")])
 
 
