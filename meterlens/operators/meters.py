@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.exprs import clip, exact, safe_div, snap
+from .quantiles import grouped_percentiles
 from .ranking import global_rank
 from .sequence import (DEFAULT_CHUNK_ROWS, index_within, neighbour, rolling_avgs, runs,
                        split_by_size)
@@ -201,39 +202,53 @@ def hourly_system_load(clean: DataFrame, scale: float = SCALE) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A3
-def hourly_load_profile(clean: DataFrame, approx: bool = False) -> DataFrame:
+def hourly_load_profile(clean: DataFrame, approx: bool = False, percentiles: str = "auto",
+                        hot_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Mean, p95, p05 (exact, linear interpolation), sample std and count by
+    (type, hour, weekend).  ``percentiles``: "auto" computes groups above
+    ``hot_rows`` rows with the distributed exact method
+    (``quantiles.exact_percentiles``) and the rest with ``percentile``;
+    ``approx=True`` uses ``percentile_approx`` (bounded memory, approximate)."""
     kwh = F.col(KWH)
+    keys = [TYPE, "hour", "is_weekend"]
     if approx:
-        p95, p05 = F.percentile_approx(kwh, 0.95), F.percentile_approx(kwh, 0.05)
+        g = clean.groupBy(*keys).agg(
+            F.avg(kwh).alias("_avg"), F.percentile_approx(kwh, 0.95).alias("_p95"),
+            F.percentile_approx(kwh, 0.05).alias("_p05"), F.stddev_samp(kwh).alias("_std"),
+            F.count(kwh).alias("sample_count"))
     else:
-        p95, p05 = F.percentile(kwh, 0.95), F.percentile(kwh, 0.05)
-    g = (clean.groupBy(TYPE, "hour", "is_weekend")
-         .agg(snap(F.avg(kwh), 4).alias("avg_kwh"), snap(p95, 4).alias("p95_kwh"),
-              snap(p05, 4).alias("p05_kwh"), snap(F.stddev_samp(kwh), 4).alias("std_kwh"),
-              F.count(kwh).alias("sample_count")))
-    return g.withColumn("day_type", cal.day_type("is_weekend"))
+        g = grouped_percentiles(clean, keys, KWH, {"_p95": 0.95, "_p05": 0.05},
+                                {"_avg": F.avg(kwh), "_std": F.stddev_samp(kwh),
+                                 "sample_count": F.count(kwh)}, percentiles, hot_rows)
+    return g.select(*keys, snap("_avg", 4).alias("avg_kwh"), snap("_p95", 4).alias("p95_kwh"),
+                    snap("_p05", 4).alias("p05_kwh"), snap("_std", 4).alias("std_kwh"),
+                    "sample_count", cal.day_type("is_weekend").alias("day_type"))
 
 
 # ---------------------------------------------------------------- A25
-def load_profile_sql(clean: DataFrame) -> DataFrame:
+def load_profile_sql(clean: DataFrame, percentiles: str = "auto",
+                     hot_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """SQL form of the load profile: NUMERIC (half-up) rounding, exact p90."""
     kwh = F.col(KWH)
-    g = (clean.groupBy(TYPE, "hour", "is_weekend")
-         .agg(snap(F.avg(kwh), 4, "half_up").alias("avg_kwh"),
-              snap(F.max(kwh), 4, "half_up").alias("peak_kwh"),
-              snap(F.percentile(kwh, 0.9), 4, "half_up").alias("p90_kwh"),
-              F.count(F.lit(1)).alias("sample_count")))
+    keys = [TYPE, "hour", "is_weekend"]
+    g = grouped_percentiles(clean, keys, KWH, {"_p90": 0.9},
+                            {"_avg": F.avg(kwh), "_max": F.max(kwh), "sample_count": F.count(F.lit(1))},
+                            percentiles, hot_rows)
     return g.select(TYPE, "hour", cal.day_type("is_weekend").alias("day_type"),
-                    "avg_kwh", "peak_kwh", "p90_kwh", "sample_count")
+                    snap("_avg", 4, "half_up").alias("avg_kwh"),
+                    snap("_max", 4, "half_up").alias("peak_kwh"),
+                    snap("_p90", 4, "half_up").alias("p90_kwh"), "sample_count")
 
 
 # ---------------------------------------------------------------- A5
-def daily_load_curve(clean: DataFrame) -> DataFrame:
+def daily_load_curve(clean: DataFrame, percentiles: str = "auto",
+                     hot_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     kwh = F.col(KWH)
-    g = (clean.groupBy(TYPE, "hour", "is_weekend")
-         .agg(exact(F.avg(kwh)).alias("avg_kwh"), F.max(kwh).alias("max_kwh"),
-              exact(F.percentile(kwh, 0.9)).alias("p90_kwh")))
-    return g.select("*", F.col("hour").between(18, 21).alias("is_nea_peak"),
+    keys = [TYPE, "hour", "is_weekend"]
+    g = grouped_percentiles(clean, keys, KWH, {"_p90": 0.9},
+                            {"_avg": F.avg(kwh), "max_kwh": F.max(kwh)}, percentiles, hot_rows)
+    return g.select(*keys, exact("_avg").alias("avg_kwh"), "max_kwh", exact("_p90").alias("p90_kwh"),
+                    F.col("hour").between(18, 21).alias("is_nea_peak"),
                     cal.hour_label("hour").alias("time_label"))
 
 
