@@ -98,6 +98,11 @@ SELECT date, consumer_type, {exact(f'avg({KWH})')} AS avg_kwh, max({KWH}) AS pea
        {exact(f'sum({KWH})')} AS total_kwh,
        {snap(f'avg({KWH}) / NULLIF(max({KWH}), 0) * 100', 2)} AS load_factor_pct
 FROM clean GROUP BY date, consumer_type
+"""),
+    "mean_load_factor": with_views(CLEAN_VIEW, f""",
+lf AS (SELECT date, consumer_type, {snap(f'avg({KWH}) / NULLIF(max({KWH}), 0) * 100', 2)} AS load_factor_pct
+       FROM clean GROUP BY date, consumer_type)
+SELECT {exact('avg(load_factor_pct)')} AS avg_load_factor_pct FROM lf
 """),
     "peak_offpeak_ratio": with_views(CLEAN_VIEW, f""",
 p AS (

@@ -83,6 +83,10 @@ def q_load_factor_daily(spark, sf):
     return M.load_factor_daily(clean(spark, sf))
 
 
+def q_mean_load_factor(spark, sf):
+    return M.mean_load_factor(M.load_factor_daily(clean(spark, sf)))
+
+
 def q_peak_offpeak_ratio(spark, sf):
     return M.peak_offpeak_ratio(clean(spark, sf))
 
@@ -128,6 +132,7 @@ QUERIES = {
     "daily_load_curve": q_daily_load_curve,
     "peak_calendar": q_peak_calendar,
     "load_factor_daily": q_load_factor_daily,
+    "mean_load_factor": q_mean_load_factor,
     "peak_offpeak_ratio": q_peak_offpeak_ratio,
     "low_value_meters": q_low_value_meters,
     "outage_islands": q_outage_islands,

@@ -336,3 +336,10 @@ SELECT COALESCE(s.year, b.year) AS year, COALESCE(s.month, b.month) AS month,
        WHEN b.year IS NOT NULL THEN 'inserted' ELSE 'kept' END AS merge_action
 FROM smon_t s FULL OUTER JOIN bmon_t b ON s.year = b.year AND s.month = b.month
 """)
+
+
+ORACLE["daily_summary_fallback"] = with_views(MONTHLY_VIEW, f"""
+SELECT {snap('arg_max(avg_daily_mwh, (year, month))', 1)} AS est_daily_mwh,
+       {snap('arg_max(peak_demand_mw, (year, month))', 1)} AS est_peak_mw
+FROM monthly
+""")

@@ -156,6 +156,10 @@ def q_daily_summary(spark, sf):
     return U.daily_summary(M.peak_calendar(clean_meters(spark, sf)), "2024-01-15")
 
 
+def q_daily_summary_fallback(spark, sf):
+    return U.monthly_fallback(monthly(spark, sf))
+
+
 def q_period_report(spark, sf):
     losses = R.system_losses_by_province(provinces(spark, sf))
     m = U.monthly_report(S.monthly_trends(monthly(spark, sf)), losses, 1998, 6)
@@ -250,6 +254,7 @@ QUERIES = {
     "quality_and_alerts": q_quality_and_alerts,
     "recent_runs": q_recent_runs,
     "daily_summary": q_daily_summary,
+    "daily_summary_fallback": q_daily_summary_fallback,
     "period_report": q_period_report,
     "dashboard_export": q_dashboard_export,
     "dashboard_hourly_profile": q_dashboard_hourly_profile,
