@@ -19,17 +19,6 @@ mrev AS (SELECT *,
   {snap('(' + ' + '.join(f'{s}_revenue_npr' for s in _SECT) + ') / 1e6', 2)} AS total_revenue_nrs_mn
   FROM mrev0)"""
 
-_YR = "(" + " + ".join(f"{s}_revenue_npr" for s in _SECT) + ")"
-
-
-def _ffill_yoy(c):
-    return f"""{exact(f'''(last_value({c} IGNORE NULLS) OVER (ORDER BY fiscal_year ROWS UNBOUNDED PRECEDING)
-      / NULLIF(lag(last_value({c} IGNORE NULLS) OVER (ORDER BY fiscal_year ROWS UNBOUNDED PRECEDING))
-               OVER (ORDER BY fiscal_year), 0) - 1) * 100''')} AS {c}_yoy_pct"""
-
-
-def _yoy_two_step(c):
-    return f"_f_{c}"
 
 
 ANNUAL_SUMMARY = ANNUAL_VIEW + """,

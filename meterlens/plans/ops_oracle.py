@@ -3,7 +3,6 @@ date dimension, tariff range join, payload decoding and streaming parity."""
 
 from __future__ import annotations
 
-from .national_oracle import ORACLE as NAT
 from .sqlkit import (ANNUAL_VIEW, CLEAN_VIEW, METER_VIEW, MONTHLY_VIEW, PROVINCE_VIEW, exact,
                      fiscal_quarter, fiscal_year, renamed_view, season, snap, with_views)
 
@@ -112,10 +111,6 @@ UNION ALL SELECT 'meter_readings', 'power_factor_in_0_1', count(*) FILTER (WHERE
 UNION ALL SELECT 'lineitem', 'discount_in_0_1', count(*) FILTER (WHERE NOT COALESCE(l_discount BETWEEN 0 AND 1, false)) FROM lineitem
 UNION ALL SELECT 'lineitem', 'quantity_positive', count(*) FILTER (WHERE NOT COALESCE(l_quantity > 0, false)) FROM lineitem
 """),
-    "table_profiles": " UNION ALL ".join(
-        f"""SELECT '{t}' AS dataset, count(*) AS rows, CAST(len(columns(*)) AS INTEGER) AS columns, 0 AS total_nulls FROM {t}"""
-        for t in [])  # replaced below
-    ,
     "validation_checks": with_views(ANNUAL_VIEW + "," + CLEAN_VIEW + "," + PROVINCE_VIEW + "," + MONTHLY_VIEW.replace("\nmonthly_g", "\nmonthly_g", 1), f""",
 d AS (SELECT total_energy_gwh - lag(total_energy_gwh) OVER (ORDER BY fiscal_year) AS dd FROM annual)
 SELECT 'annual_growth' AS check_name, 'FAIL' AS severity,
@@ -260,8 +255,6 @@ _MT = MONTHLY_VIEW + f""",
 mt AS (SELECT *, {snap('total_gwh / avg(total_gwh) OVER (PARTITION BY year)', 4)} AS seasonal_index,
               {snap('avg(total_gwh) OVER (ORDER BY year, month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 2)} AS total_gwh_3m_avg,
               {fiscal_year('date')} AS fiscal_year FROM monthly)"""
-NAT_ANN = NAT["annual_kpis"]
-ORACLE["period_report"] = None  # filled in registry with a composed query
 
 
 def _rows(section, src, numeric, text, report):
