@@ -107,8 +107,10 @@ def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
     equals either path alone.  ``size_source``: a cheaper frame whose per-key
     row counts bound those of ``df`` (e.g. the raw scan before de-duplication).
     """
-    counts = (size_source if size_source is not None else df).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"))
+    src = size_source if size_source is not None else df
+    if src.count() <= threshold:  # no key can exceed the threshold: skip the grouped count
+        return small(df)
+    counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = [r[0] for r in counts.filter(F.col("_n") > threshold).select(key)
            .limit(max_listed + 1).collect()]
     if not hot:
