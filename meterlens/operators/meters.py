@@ -203,7 +203,8 @@ def hourly_system_load(clean: DataFrame, scale: float = SCALE) -> DataFrame:
 
 # ---------------------------------------------------------------- A3
 def hourly_load_profile(clean: DataFrame, approx: bool = False, percentiles: str = "auto",
-                        hot_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                        hot_rows: int = DEFAULT_CHUNK_ROWS,
+                        size_source: DataFrame | None = None) -> DataFrame:
     """Mean, p95, p05 (exact, linear interpolation), sample std and count by
     (type, hour, weekend).  ``percentiles``: "auto" computes groups above
     ``hot_rows`` rows with the distributed exact method
@@ -219,21 +220,30 @@ def hourly_load_profile(clean: DataFrame, approx: bool = False, percentiles: str
     else:
         g = grouped_percentiles(clean, keys, KWH, {"_p95": 0.95, "_p05": 0.05},
                                 {"_avg": F.avg(kwh), "_std": F.stddev_samp(kwh),
-                                 "sample_count": F.count(kwh)}, percentiles, hot_rows)
+                                 "sample_count": F.count(kwh)}, percentiles, hot_rows,
+                                size_source)
     return g.select(*keys, snap("_avg", 4).alias("avg_kwh"), snap("_p95", 4).alias("p95_kwh"),
                     snap("_p05", 4).alias("p05_kwh"), snap("_std", 4).alias("std_kwh"),
                     "sample_count", cal.day_type("is_weekend").alias("day_type"))
 
 
+def profile_keys(raw: DataFrame) -> DataFrame:
+    """(type, hour, weekend) of raw readings: per-group counts here bound the
+    counts after cleaning (de-duplication only removes rows)."""
+    feats = cal.meter_time_features(TS)
+    return raw.select(TYPE, feats["hour"].alias("hour"), feats["is_weekend"].alias("is_weekend"))
+
+
 # ---------------------------------------------------------------- A25
 def load_profile_sql(clean: DataFrame, percentiles: str = "auto",
-                     hot_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                     hot_rows: int = DEFAULT_CHUNK_ROWS,
+                     size_source: DataFrame | None = None) -> DataFrame:
     """SQL form of the load profile: NUMERIC (half-up) rounding, exact p90."""
     kwh = F.col(KWH)
     keys = [TYPE, "hour", "is_weekend"]
     g = grouped_percentiles(clean, keys, KWH, {"_p90": 0.9},
                             {"_avg": F.avg(kwh), "_max": F.max(kwh), "sample_count": F.count(F.lit(1))},
-                            percentiles, hot_rows)
+                            percentiles, hot_rows, size_source)
     return g.select(TYPE, "hour", cal.day_type("is_weekend").alias("day_type"),
                     snap("_avg", 4, "half_up").alias("avg_kwh"),
                     snap("_max", 4, "half_up").alias("peak_kwh"),
@@ -242,11 +252,13 @@ def load_profile_sql(clean: DataFrame, percentiles: str = "auto",
 
 # ---------------------------------------------------------------- A5
 def daily_load_curve(clean: DataFrame, percentiles: str = "auto",
-                     hot_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                     hot_rows: int = DEFAULT_CHUNK_ROWS,
+                     size_source: DataFrame | None = None) -> DataFrame:
     kwh = F.col(KWH)
     keys = [TYPE, "hour", "is_weekend"]
     g = grouped_percentiles(clean, keys, KWH, {"_p90": 0.9},
-                            {"_avg": F.avg(kwh), "max_kwh": F.max(kwh)}, percentiles, hot_rows)
+                            {"_avg": F.avg(kwh), "max_kwh": F.max(kwh)}, percentiles, hot_rows,
+                            size_source)
     return g.select(*keys, exact("_avg").alias("avg_kwh"), "max_kwh", exact("_p90").alias("p90_kwh"),
                     F.col("hour").between(18, 21).alias("is_nea_peak"),
                     cal.hour_label("hour").alias("time_label"))

@@ -50,11 +50,14 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
 
 def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
                         aggs: dict[str, Column], mode: str = "auto",
-                        hot_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                        hot_rows: int = DEFAULT_CHUNK_ROWS,
+                        size_source: DataFrame | None = None) -> DataFrame:
     """``groupBy(keys).agg(expr AS name for aggs, percentile(value, p) AS name ...)``.
 
     mode "aggregate": Spark's ``percentile``; "distributed": ``exact_percentiles``;
     "auto": per group by its row count.  All modes return the same values.
+    ``size_source``: a cheaper frame with the ``keys`` columns whose per-group
+    row counts bound those of ``df`` (e.g. the raw rows before de-duplication).
     """
     named = [c.alias(n) for n, c in aggs.items()]
 
@@ -75,6 +78,7 @@ def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[
         raise ValueError(f"mode must be auto, aggregate or distributed, not {mode!r}")
     gk = F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
     keyed = df.withColumn("_gk", gk)
+    sizes = None if size_source is None else size_source.select(gk.alias("_gk"))
     return split_by_size(keyed, "_gk", hot_rows,
                          lambda d: small(d.drop("_gk")).select(*order),
-                         lambda d: large(d.drop("_gk")).select(*order))
+                         lambda d: large(d.drop("_gk")).select(*order), size_source=sizes)

@@ -64,15 +64,15 @@ def q_hourly_system_load(spark, sf):
 
 
 def q_hourly_load_profile(spark, sf):
-    return M.hourly_load_profile(clean(spark, sf))
+    return M.hourly_load_profile(clean(spark, sf), size_source=M.profile_keys(raw_meters(spark, sf)))
 
 
 def q_load_profile_sql(spark, sf):
-    return M.load_profile_sql(clean(spark, sf))
+    return M.load_profile_sql(clean(spark, sf), size_source=M.profile_keys(raw_meters(spark, sf)))
 
 
 def q_daily_load_curve(spark, sf):
-    return M.daily_load_curve(clean(spark, sf))
+    return M.daily_load_curve(clean(spark, sf), size_source=M.profile_keys(raw_meters(spark, sf)))
 
 
 def q_peak_calendar(spark, sf):

@@ -47,3 +47,6 @@ def test_grouped_modes_agree(spark):
                                                              hot_rows=100).collect())
              for m in ["aggregate", "distributed", "auto"]}
     assert modes["aggregate"] == modes["distributed"] == modes["auto"]
+    bounded = sorted(tuple(r) for r in grouped_percentiles(
+        df, ["g"], "v", probs, aggs, "auto", hot_rows=100, size_source=df.select("g")).collect())
+    assert bounded == modes["aggregate"]
