@@ -68,3 +68,16 @@ def test_analysis_bundles_run(spark):
     for group in b.values():
         for df in group.values():
             assert df.count() >= 1
+
+
+def test_pipeline_writes_every_output(spark):
+    from meterlens import pipeline
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    out = tempfile.mkdtemp(prefix="ml-pipe-")
+    timings = pipeline.run(spark, sf, out_dir=out, parallelism=2)
+    assert len(timings) == 23
+    for name in timings:
+        assert spark.read.parquet(os.path.join(out, name)).count() >= 0
+    assert spark.read.parquet(os.path.join(out, "dashboard_data")).count() >= 1
