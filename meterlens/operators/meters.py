@@ -183,7 +183,8 @@ def _by_skew(df: DataFrame, skew: str, chunk_rows: int, window_fn, chunked_fn,
         return chunked_fn(df)
     if skew == "auto":
         return split_by_size(df, METER, chunk_rows, window_fn, chunked_fn,
-                             size_source=None if size_source is None else size_source.select(METER))
+                             size_source=None if size_source is None else size_source.select(METER),
+                             confirm=True)
     raise ValueError(f"skew must be auto, chunked or window, not {skew!r}")
 
 

@@ -96,7 +96,7 @@ MAX_LISTED_HOT_KEYS = 10_000
 
 def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
                   max_listed: int = MAX_LISTED_HOT_KEYS,
-                  size_source: DataFrame | None = None) -> DataFrame:
+                  size_source: DataFrame | None = None, confirm: bool = False) -> DataFrame:
     """Run ``large(rows of keys with more than threshold rows)`` and
     ``small(all other rows)`` and union the results.
 
@@ -105,7 +105,9 @@ def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
     window pass); with more hot keys than ``max_listed`` every key takes the
     ``large`` path.  Each key is processed whole by one path, so the union
     equals either path alone.  ``size_source``: a cheaper frame whose per-key
-    row counts bound those of ``df`` (e.g. the raw scan before de-duplication).
+    row counts bound those of ``df`` (e.g. the raw scan before de-duplication);
+    ``confirm``: recount the candidates on ``df`` itself, restricted to those
+    keys (worth it when the key filter reaches below ``df``'s aggregations).
     """
     src = size_source if size_source is not None else df
     if src.count() <= threshold:  # no key can exceed the threshold: skip the grouped count
@@ -113,6 +115,10 @@ def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
     counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = [r[0] for r in counts.filter(F.col("_n") > threshold).select(key)
            .limit(max_listed + 1).collect()]
+    if hot and confirm and size_source is not None and len(hot) <= max_listed:
+        hot = [r[0] for r in df.filter(F.col(key).isin(hot)).groupBy(key)
+               .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
+               .select(key).collect()]
     if not hot:
         return small(df)
     if len(hot) > max_listed:

@@ -209,6 +209,9 @@ def test_skew_safe_paths_match_plain_windows(spark):
                           .select(cols).collect()))
     plain = feats("window")
     assert feats("chunked") == plain and feats("auto") == plain and len(plain) == clean.count()
+    confirmed = sorted(map(tuple, M.engineer_features(clean, skew="auto", chunk_rows=200, size_source=raw)
+                           .select(cols).collect()))
+    assert confirmed == plain
     isl = {m: sorted(map(tuple, M.outage_islands(raw, skew=m, chunk_rows=200).collect()))
            for m in ["window", "chunked", "auto"]}
     assert isl["window"] == isl["chunked"] == isl["auto"] == brute_outages(raw.toPandas())
