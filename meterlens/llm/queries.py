@@ -5,14 +5,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash_dedup
+from . import chat_format, simhash_dedup, url_filter
 from .common import table
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
+    blocked = spark.createDataFrame([(h,) for h in url_filter.BLOCKED_HOSTS], "host string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules, blocked)
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    talk = talk.unionByName(chat_format.probe_rows(spark, talk))
+    return chat_format.digest(chat_format.format_trees(chat_format.conversation_nodes(talk)))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op6_url_filter": op6_url_filter,
+    "op9_chat_format": op9_chat_format,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
