@@ -5,16 +5,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, simhash_dedup, url_filter
+from . import chat_format, language_id, quality, simhash_dedup, url_filter
 from .common import table
 
 
+def op5_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train_model(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
     blocked = spark.createDataFrame([(h,) for h in url_filter.BLOCKED_HOSTS], "host string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, blocked)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train_model(docs))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     talk = talk.unionByName(chat_format.probe_rows(spark, talk))
@@ -26,7 +36,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_url_filter": op6_url_filter,
+    "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
