@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, language_id, quality, simhash_dedup, url_filter
+from . import chat_format, language_id, quality, simhash_dedup, toxicity, url_filter
 from .common import table
 
 
@@ -20,6 +20,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, blocked)
 
 
+def op7_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train_model(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.train_model(docs))
@@ -38,6 +43,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_url_filter": op6_url_filter,
+    "op7_toxicity_gru": op7_toxicity_gru,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
