@@ -4,11 +4,16 @@ production parameters, to its whole table and derives the digest columns."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, language_id, quality, simhash_dedup, toxicity, url_filter
+from . import chat_format, language_id, quality, simhash_dedup, topk_search, toxicity, url_filter
 from .common import table
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train_model(docs, table(spark, sf_dir, "labels")))
@@ -41,6 +46,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_url_filter": op6_url_filter,
     "op7_toxicity_gru": op7_toxicity_gru,
