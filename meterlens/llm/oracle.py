@@ -12,6 +12,25 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+_WORDS = rf"regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP3 = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[p:p + least(13, len(w)) - 1], ' ') AS k
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS p FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS k
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT dw.doc_id, dw.p, dw.n, iw.item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.n = iw.n),
+words AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 OP6 = f"""
 WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
     ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
@@ -45,4 +64,4 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
     formatted_chars::BIGINT AS formatted_chars FROM g
 """
 
-ORACLE: dict[str, str] = {"op1_topk_search": OP1, "op6_url_filter": OP6, "op9_chat_format": OP9}
+ORACLE: dict[str, str] = {"op1_topk_search": OP1, "op3_decontamination": OP3, "op6_url_filter": OP6, "op9_chat_format": OP9}

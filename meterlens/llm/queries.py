@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, quality, simhash_dedup, topk_search, toxicity, url_filter
+from . import chat_format, decontaminate, language_id, quality, simhash_dedup, topk_search, toxicity, url_filter
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op5_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train_model(docs, table(spark, sf_dir, "labels")))
@@ -47,6 +51,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk_search": op1_topk_search,
+    "op3_decontamination": op3_decontamination,
     "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_url_filter": op6_url_filter,
     "op7_toxicity_gru": op7_toxicity_gru,
