@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, quality, simhash_dedup, topk_search, toxicity, url_filter
+from . import chat_format, decontaminate, language_id, quality, simhash_dedup, token_output, topk_search, toxicity, url_filter
 from .common import table
 
 
@@ -18,6 +18,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file (given by the installed package)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op5_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train_model(docs, table(spark, sf_dir, "labels")))
@@ -52,6 +63,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op3_decontamination": op3_decontamination,
+    "op4_token_output": op4_token_output,
     "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_url_filter": op6_url_filter,
     "op7_toxicity_gru": op7_toxicity_gru,
