@@ -6,23 +6,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, quality, simhash_dedup, token_output, topk_search, toxicity, url_filter
+from . import chat_format, decontaminate, language_id, quality, sentencepiece_codec, simhash_dedup, token_output, topk_search, toxicity, url_filter
 from .common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file (given by the installed package)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.digest(decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
-
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), model)
 
-def tokenizer_file(name: str) -> str:
-    """Place of a public tokenizer file (given by the installed package)."""
-    import public_tokenizers
 
-    return public_tokenizers.path(name)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +68,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk_search": op1_topk_search,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_decontamination": op3_decontamination,
     "op4_token_output": op4_token_output,
     "op5_quality_nbsvm": op5_quality_nbsvm,
