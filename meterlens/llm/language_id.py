@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ BUCKETS = 1 << 15
 SAMPLE_ROWS = 2400
 SLICE_BYTES = 4 << 20
 UNDETERMINED = "und"
+MIN_SCORE = 0.2  # of a kept document
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -166,3 +168,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
                       F.when(sure, F.col("lang")).otherwise(UNDETERMINED).alias("lang_pred"),
                       F.when(sure, F.col("score")).otherwise(0.0).alias("score"))
+
+
+def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """``docs`` (all columns) without the rows whose language is undetermined
+    or predicted with less than ``min_score``."""
+    model = train_model(docs)
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for part in slices(batches, "text", SLICE_BYTES):
+            for at in range(0, part.num_rows, 64):
+                rows = part.slice(at, 64)
+                lang, score = shared.value.predict(profiles(rows))
+                letters = pc.fill_null(pc.match_substring_regex(rows.column("text"), r"\p{L}"), False)
+                yield rows.filter(pc.and_(letters, pa.array((lang != UNDETERMINED) & (score >= min_score))))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -352,3 +352,17 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     out = text_rows(docs, "doc_id").mapInArrow(run, f"doc_id {kind}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` (all columns) without the rows that score ``threshold`` or more:
+    scored and dropped where they are read, without a join."""
+    model = train_model(docs, labels)
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for part in slices(batches, "text", SLICE_BYTES):
+            yield part.filter(pa.array(shared.value.score(part.column("text")) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
