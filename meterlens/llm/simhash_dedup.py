@@ -40,6 +40,7 @@ from .common import byte_rows, checkpoint, ship, slices, store, text_rows
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 SLICE_BYTES = 8 << 20
+ROW = "__meterlens_row"  # stands for doc_id where that is null
 PIECE = 1 << 18  # shingles whose hashes are held at once
 SMALL_GROUP = 64  # groups up to this size are compared in one vectorised pass
 
@@ -286,10 +287,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if not unnamed.take(1):
         return out
     bare = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
-    bare_fp = bare.withColumn("_row", F.xxhash64("text"))
-    prints = fingerprints(bare_fp.select(F.col("_row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "_row")
+    bare_fp = bare.withColumn(ROW, F.xxhash64("text"))
+    prints = fingerprints(bare_fp.select(F.col(ROW).alias("doc_id"), "text")).withColumnRenamed("doc_id", ROW)
     alone = prints.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(unnamed, "fingerprint", "left_semi")
-    roots = near_duplicates(bare_fp.join(alone.select("_row"), "_row", "left_semi")
-                            .select(F.col("_row").alias("doc_id"), "text"))
-    first = roots.filter("doc_id = component_id").select(F.col("doc_id").alias("_row"))
-    return out.unionByName(bare_fp.join(first, "_row", "left_semi").select(*docs.columns))
+    roots = near_duplicates(bare_fp.join(alone.select(ROW), ROW, "left_semi")
+                            .select(F.col(ROW).alias("doc_id"), "text"))
+    first = roots.filter("doc_id = component_id").select(F.col("doc_id").alias(ROW))
+    return out.unionByName(bare_fp.join(first, ROW, "left_semi").select(*docs.columns))

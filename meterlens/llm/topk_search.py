@@ -14,12 +14,13 @@ all other shards, where only better candidates are kept.  A small window over
 the survivors makes the final ranks.
 
 Scores are exact integers: products are summed in float32, float64 or Python
-integers, whichever holds the largest possible sum exactly.
+integers, whichever holds the largest possible sum exactly; a score beyond 64
+bits is saturated.
 
 Cases: vectors that are null, or hold a null or non-finite component, and rows
 without vec_id take no part; vectors of unequal length are padded with zeros;
-rows that repeat a query's vec_id are its own and no candidates for it, other
-repeats are candidates each; equal scores rank by smaller vec_id; fewer than k
+rows that repeat a query's vec_id are its own and no candidates for it (a query
+id with several vectors asks with each), other repeats are candidates each; equal scores rank by smaller vec_id; fewer than k
 candidates give fewer rows; extra columns are ignored; an empty table gives no
 rows.
 """
