@@ -14,7 +14,9 @@ over a gap (a character other than the marker, then the marker): this is checked
 on the vocabulary, and then a text may be cut at single spaces and its words be
 looked up in a cache, the distinct new ones encoded as a batch.  Texts that a
 normaliser would change, or with runs of spaces or a space at an end, go
-whole.  ``encode`` verifies parity with the sentencepiece library on every
+whole.  A unigram lattice of the tokenizers library would also take the names of
+control, unknown and byte pieces for those pieces when a text spells them out;
+such texts are left to the sentencepiece library.  ``encode`` verifies parity with the sentencepiece library on every
 text; where the ids differ, the library's ids are kept and ``parity`` is false.
 
 Cases: a null or empty text has no ids and decodes to the empty string;
@@ -25,6 +27,7 @@ gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -153,6 +156,8 @@ class Codec:
         self.judge = sentencepiece.SentencePieceProcessor(model_proto=data)
         plain = not self.model.character_map and not self.model.single_spaces
         self.by_words = plain and self.model.dummy_prefix and self.model.cuts_at_spaces()
+        names = "|".join(re.escape(p) for p, _, kind in self.model.pieces if kind in (UNKNOWN, CONTROL))
+        self.spelled = rf"{names}|<0x[0-9A-F]{{2}}>" if self.model.kind == UNIGRAM else None
         self.words = PieceEncoder(self._whole, lambda t: pc.split_pattern(t, " "))
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
@@ -168,6 +173,10 @@ class Codec:
             odd = odd | (np.asarray(pc.binary_length(texts)) == 0)
         else:
             odd = np.ones(len(texts), bool)
+        left = np.zeros(len(texts), bool)
+        if self.spelled:
+            left = np.asarray(pc.match_substring_regex(texts, self.spelled))
+            odd = odd | left
         rows: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
         even = np.flatnonzero(~odd)
         if len(even) == len(texts):
@@ -176,7 +185,9 @@ class Codec:
             ids, size = self.words(texts.take(pa.array(even)))
             for i, part in zip(even, np.split(ids, np.cumsum(size)[:-1])):
                 rows[i] = part
-        whole = [i for i in np.flatnonzero(odd) if texts[i].as_py()]
+        for i in np.flatnonzero(left):
+            rows[i] = np.array(self.judge.encode(texts[int(i)].as_py()), np.int32)
+        whole = [int(i) for i in np.flatnonzero(odd & ~left) if texts[int(i)].as_py()]
         for i, ids in zip(whole, self._whole([texts[i].as_py() for i in whole])):
             rows[i] = np.array(ids, np.int32)
         return np.concatenate(rows), np.array([len(r) for r in rows], np.int64)

@@ -42,6 +42,7 @@ BUCKETS = 1 << 18
 GRAMS = (4, 5)
 INPUTS = 2 + 2 * len(GRAMS)
 BLOCK = 2048  # windows scored at once
+LEAST_STEPS = 50  # Adam steps a round
 CAUTION = 1.64  # standard deviations taken off every log-odds
 SLICE_BYTES = 4 << 20
 THRESHOLD = 0.7
@@ -318,9 +319,11 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 6, seed: int = 3) -> Mode
         x, mask, t = np.concatenate(xs), np.concatenate(masks), np.concatenate(ys).astype(np.float32)
         weight = np.where(t == 1, 0.5 * len(t) / max(1, t.sum()), 0.5 * len(t) / max(1, (1 - t).sum())).astype(np.float32)
         weight = np.sqrt(weight)
-        order = rng.permutation(len(t))
-        net.fit(((x[i], mask[i], t[i], weight[i]) for i in np.array_split(order, max(1, len(t) // 256))),
-                0.02 if r < rounds // 2 else 0.005)
+        batches = max(1, len(t) // 256)
+        for _ in range(max(1, -(-LEAST_STEPS // batches))):  # a small sample is gone over several times
+            order = rng.permutation(len(t))
+            net.fit(((x[i], mask[i], t[i], weight[i]) for i in np.array_split(order, batches)),
+                    0.02 if r < rounds // 2 else 0.005)
     for extra in ("m", "s"):
         delattr(net, extra)
     return Model(net, evidence.tables(), share)
