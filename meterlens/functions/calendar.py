@@ -62,13 +62,6 @@ def season_of_month(m: ColumnOrName, dec_is_winter: bool = True) -> Column:
     return out.otherwise("Winter")
 
 
-def season_ordinal(season: ColumnOrName) -> Column:
-    s = col(season)
-    expr = None
-    for i, name in enumerate(SEASONS):
-        expr = F.when(s == name, i) if expr is None else expr.when(s == name, i)
-    return expr
-
 
 def is_monsoon(m: ColumnOrName) -> Column:
     return col(m).between(6, 9)
@@ -109,9 +102,6 @@ def day_name(d: ColumnOrName) -> Column:
     return F.date_format(col(d), "EEEE")
 
 
-def month_short_name(d: ColumnOrName) -> Column:
-    return F.date_format(col(d), "MMM")
-
 
 def iso_week(d: ColumnOrName) -> Column:
     return F.weekofyear(col(d))

@@ -44,10 +44,6 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(col(num), col(den))
 
 
-def nullif_zero(c: ColumnOrName) -> Column:
-    c = col(c)
-    return F.when(c == 0, F.lit(None)).otherwise(c)
-
 
 def snap(c: ColumnOrName, digits: int, mode: str = "half_even") -> Column:
     """Round to ``digits`` decimals through an exact decimal.

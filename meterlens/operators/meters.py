@@ -25,8 +25,7 @@ from ..functions import calendar as cal
 from ..functions.exprs import clip, exact, safe_div, snap
 from .quantiles import grouped_percentiles
 from .ranking import global_rank
-from .sequence import (DEFAULT_CHUNK_ROWS, index_within, neighbour, rolling_avgs, runs,
-                       split_by_size)
+from .sequence import DEFAULT_CHUNK_ROWS, index_within, rolling_avgs
 
 CONSUMPTION_BOUNDS = {
     "Domestic": (0.0, 15.0),
@@ -78,12 +77,12 @@ def meter_registry(df: DataFrame) -> DataFrame:
 def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep the first row per key by an explicit order (pandas keep='first').
 
-    An aggregate (``min_by`` of the whole row) rather than a window: it is
-    partially aggregated before the shuffle, so a hot key does not pile up.
+    ``row_number() = 1`` plans a WindowGroupLimit before the shuffle, so a task
+    sends one row per key however often the key repeats, and columns that a
+    query does not use are pruned down to the scan.
     """
-    others = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*others), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(first).select(*keys, "_row.*").select(*df.columns)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_first", first).filter(F.col("_first") == 1).drop("_first")
 
 
 def _capped_consumption(bounds: dict[str, tuple[float, float]]) -> Column:
@@ -131,36 +130,20 @@ def outlier_counts(df: DataFrame, bounds: dict | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C13 / W4 / W5 / C6 / C7
-def engineer_features(clean: DataFrame, skew: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                      size_source: DataFrame | None = None) -> DataFrame:
+def engineer_features(clean: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Rolling 24/168-reading means, demand category, quality flags, daily deviation.
 
-    ``skew``: "window" -- one ``Window.partitionBy(meter_id)`` pass (one
-    shuffle, each meter in one task); "chunked" -- per-meter row index plus
-    chunked windows with a 167-row halo (``sequence.rolling_avgs``), so no
-    task holds more than ``chunk_rows`` + 167 rows of a meter; "auto"
-    (default) -- meters with more than ``chunk_rows`` readings take the
-    chunked path, all others the window pass.  All modes give identical rows.
-    ``size_source`` (e.g. the raw readings) bounds per-meter counts without
-    re-running the de-duplication.
+    The daily mean is a window on (meter, day); the rolling means run over
+    chunks of ``chunk_rows`` consecutive readings of a meter with a 167-row halo
+    (``sequence.rolling_avgs``), so no task holds a whole hot meter.
     """
     kwh = F.col(KWH)
     cols = clean.columns
-
-    def with_rolling(df: DataFrame, chunked: bool) -> DataFrame:
-        # daily mean first, on (meter, day): the partitioning the row index reuses
-        df = df.withColumn("_day", cal.trunc_ntz("day", TS))
-        df = df.withColumn("_daily", F.avg(kwh).over(Window.partitionBy(METER, "_day")))
-        if chunked:
-            ix = index_within(df, [METER], TS, [RID], "_idx", bucket_col="_day")
-            return rolling_avgs(ix, [METER], "_idx", {"_r24": (KWH, 24), "_r168": (KWH, 168)},
-                                chunk_rows).drop("_idx")
-        w = Window.partitionBy(METER).orderBy(*_meter_order())
-        return df.select("*", F.avg(kwh).over(w.rowsBetween(-23, 0)).alias("_r24"),
-                         F.avg(kwh).over(w.rowsBetween(-167, 0)).alias("_r168")).drop("_day")
-
-    x = _by_skew(clean, skew, chunk_rows, lambda d: with_rolling(d, False),
-                 lambda d: with_rolling(d, True), size_source)
+    # daily mean first, on (meter, day): the partitioning the row index reuses
+    x = clean.withColumn("_day", cal.trunc_ntz("day", TS))
+    x = x.withColumn("_daily", F.avg(kwh).over(Window.partitionBy(METER, "_day")))
+    x = index_within(x, [METER], TS, [RID], "_idx", bucket_col="_day")
+    x = rolling_avgs(x, [METER], "_idx", {"_r24": (KWH, 24), "_r168": (KWH, 168)}, chunk_rows)
     out = x.select(*cols,
                    snap("_r24", 4).alias("rolling_24h_kwh"),
                    snap("_r168", 4).alias("rolling_7d_kwh"),
@@ -175,19 +158,6 @@ def engineer_features(clean: DataFrame, skew: str = "auto", chunk_rows: int = DE
     )
 
 
-def _by_skew(df: DataFrame, skew: str, chunk_rows: int, window_fn, chunked_fn,
-             size_source: DataFrame | None = None) -> DataFrame:
-    if skew == "window":
-        return window_fn(df)
-    if skew == "chunked":
-        return chunked_fn(df)
-    if skew == "auto":
-        return split_by_size(df, METER, chunk_rows, window_fn, chunked_fn,
-                             size_source=None if size_source is None else size_source.select(METER),
-                             confirm=True)
-    raise ValueError(f"skew must be auto, chunked or window, not {skew!r}")
-
-
 # ---------------------------------------------------------------- A2 / C2
 def hourly_system_load(clean: DataFrame, scale: float = SCALE) -> DataFrame:
     g = (clean.groupBy("date", "hour", TYPE)
@@ -203,14 +173,10 @@ def hourly_system_load(clean: DataFrame, scale: float = SCALE) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A3
-def hourly_load_profile(clean: DataFrame, approx: bool = False, percentiles: str = "auto",
-                        hot_rows: int = DEFAULT_CHUNK_ROWS,
-                        size_source: DataFrame | None = None) -> DataFrame:
+def hourly_load_profile(clean: DataFrame, approx: bool = False) -> DataFrame:
     """Mean, p95, p05 (exact, linear interpolation), sample std and count by
-    (type, hour, weekend).  ``percentiles``: "auto" computes groups above
-    ``hot_rows`` rows with the distributed exact method
-    (``quantiles.exact_percentiles``) and the rest with ``percentile``;
-    ``approx=True`` uses ``percentile_approx`` (bounded memory, approximate)."""
+    (type, hour, weekend).  ``approx=True`` uses ``percentile_approx`` (bounded
+    memory, approximate)."""
     kwh = F.col(KWH)
     keys = [TYPE, "hour", "is_weekend"]
     if approx:
@@ -220,31 +186,18 @@ def hourly_load_profile(clean: DataFrame, approx: bool = False, percentiles: str
             F.count(kwh).alias("sample_count"))
     else:
         g = grouped_percentiles(clean, keys, KWH, {"_p95": 0.95, "_p05": 0.05},
-                                {"_avg": F.avg(kwh), "_std": F.stddev_samp(kwh),
-                                 "sample_count": F.count(kwh)}, percentiles, hot_rows,
-                                size_source)
+                                {"_avg": "avg", "_std": "std", "sample_count": "count"})
     return g.select(*keys, snap("_avg", 4).alias("avg_kwh"), snap("_p95", 4).alias("p95_kwh"),
                     snap("_p05", 4).alias("p05_kwh"), snap("_std", 4).alias("std_kwh"),
                     "sample_count", cal.day_type("is_weekend").alias("day_type"))
 
 
-def profile_keys(raw: DataFrame) -> DataFrame:
-    """(type, hour, weekend) of raw readings: per-group counts here bound the
-    counts after cleaning (de-duplication only removes rows)."""
-    feats = cal.meter_time_features(TS)
-    return raw.select(TYPE, feats["hour"].alias("hour"), feats["is_weekend"].alias("is_weekend"))
-
-
 # ---------------------------------------------------------------- A25
-def load_profile_sql(clean: DataFrame, percentiles: str = "auto",
-                     hot_rows: int = DEFAULT_CHUNK_ROWS,
-                     size_source: DataFrame | None = None) -> DataFrame:
+def load_profile_sql(clean: DataFrame) -> DataFrame:
     """SQL form of the load profile: NUMERIC (half-up) rounding, exact p90."""
-    kwh = F.col(KWH)
     keys = [TYPE, "hour", "is_weekend"]
     g = grouped_percentiles(clean, keys, KWH, {"_p90": 0.9},
-                            {"_avg": F.avg(kwh), "_max": F.max(kwh), "sample_count": F.count(F.lit(1))},
-                            percentiles, hot_rows, size_source)
+                            {"_avg": "avg", "_max": "max", "sample_count": "rows"})
     return g.select(TYPE, "hour", cal.day_type("is_weekend").alias("day_type"),
                     snap("_avg", 4, "half_up").alias("avg_kwh"),
                     snap("_max", 4, "half_up").alias("peak_kwh"),
@@ -252,14 +205,9 @@ def load_profile_sql(clean: DataFrame, percentiles: str = "auto",
 
 
 # ---------------------------------------------------------------- A5
-def daily_load_curve(clean: DataFrame, percentiles: str = "auto",
-                     hot_rows: int = DEFAULT_CHUNK_ROWS,
-                     size_source: DataFrame | None = None) -> DataFrame:
-    kwh = F.col(KWH)
+def daily_load_curve(clean: DataFrame) -> DataFrame:
     keys = [TYPE, "hour", "is_weekend"]
-    g = grouped_percentiles(clean, keys, KWH, {"_p90": 0.9},
-                            {"_avg": F.avg(kwh), "max_kwh": F.max(kwh)}, percentiles, hot_rows,
-                            size_source)
+    g = grouped_percentiles(clean, keys, KWH, {"_p90": 0.9}, {"_avg": "avg", "max_kwh": "max"})
     return g.select(*keys, exact("_avg").alias("avg_kwh"), "max_kwh", exact("_p90").alias("p90_kwh"),
                     F.col("hour").between(18, 21).alias("is_nea_peak"),
                     cal.hour_label("hour").alias("time_label"))
@@ -322,64 +270,72 @@ def low_power_factor_meters(clean: DataFrame, low: float = 0.85, having: float =
 
 
 # ---------------------------------------------------------------- W10
-def outage_islands(raw: DataFrame, min_hours: float = 2.0, skew: str = "auto",
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def outage_islands(raw: DataFrame, min_hours: float = 2.0) -> DataFrame:
     """Gaps-and-islands outage detection.
 
     A run of bad readings starts at its first bad row and ends at the first
     good row after it (that row also gives the consumer type); runs still
-    open at the end of a meter's data are dropped.
+    open at the end of a meter's data are dropped, and readings without a
+    timestamp have no place in the order and are left out.
 
-    ``skew`` as in ``engineer_features``: the chunked path finds runs from
-    per-meter row indexes (``sequence.runs``) and closes them with an
-    equi-join on (meter, index), so no task holds a whole meter; the window
-    path is one ordered pass per meter.
+    Runs that begin and end on one day are found inside (meter, day); runs that
+    touch a day's edge are stitched from a table with one row per meter and
+    day, so no task holds a whole hot meter.
     """
     bad = F.coalesce((F.col(KWH) == 0) | (F.col(VOLT) < VOLTAGE_MIN), F.lit(False))
-    x = raw.select(METER, TYPE, TS, RID, bad.alias("_bad"))
-
-    def chunked(d: DataFrame) -> DataFrame:
-        ix = index_within(d, [METER], TS, [RID], "_idx")
-        r = runs(ix, [METER], "_idx", F.col("_bad"), TS,
-                 aggs=[F.min_by(TS, F.col("_idx")).alias("outage_start")])
-        closing = ix.select(METER, (F.col("_idx") - 1).alias("run_last_idx"), TYPE,
-                            F.col(TS).alias("outage_end"))
-        return r.join(closing, [METER, "run_last_idx"]).select(
-            METER, TYPE, "outage_start", "outage_end")
-
-    def window(d: DataFrame) -> DataFrame:
-        w = Window.partitionBy(METER).orderBy(*_meter_order())
-        d = d.select("*", F.lag("_bad", 1, False).over(w).alias("_prev_bad"))
-        start_ts = F.when(F.col("_bad") & ~F.col("_prev_bad"), F.col(TS))
-        d = d.select("*", F.last(start_ts, ignorenulls=True)
-                     .over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("outage_start"))
-        return (d.filter(~F.col("_bad") & F.col("_prev_bad"))
-                .select(METER, TYPE, "outage_start", F.col(TS).alias("outage_end")))
-
-    j = _by_skew(x, skew, chunk_rows, window, chunked)
+    x = raw.filter(F.col(TS).isNotNull()).select(
+        METER, TYPE, TS, RID, bad.alias("_bad"), cal.trunc_ntz("day", TS).alias("_day"))
+    day = Window.partitionBy(METER, "_day").orderBy(*_meter_order())
+    x = x.select("*", F.lag("_bad", 1).over(day).alias("_prev"))
+    begins = F.when(F.col("_bad") & ~F.col("_prev"), F.col(TS))  # NULL on a day's first row
+    x = x.select("*", begins.alias("_begin"), F.last(begins, ignorenulls=True).over(
+        day.rowsBetween(Window.unboundedPreceding, 0)).alias("_open"))
+    inside = x.filter(~F.col("_bad") & F.col("_prev") & F.col("_open").isNotNull()).select(
+        METER, TYPE, F.col("_open").alias("outage_start"), F.col(TS).alias("outage_end"))
+
+    at = F.struct(TS, RID)
+    good = ~F.col("_bad")
+    days = x.groupBy(METER, "_day").agg(
+        F.min(TS).alias("_first"), F.max(good).alias("_has_good"),
+        F.min_by("_bad", at).alias("_leads_bad"), F.max_by("_bad", at).alias("_ends_bad"),
+        F.min_by(F.struct(TYPE, TS), F.when(good, at)).alias("_good"), F.max("_begin").alias("_begin"))
+    left_open = F.when(~F.col("_has_good"), F.col("_first")).when(F.col("_ends_bad"), F.col("_begin"))
+    order = Window.partitionBy(METER).orderBy("_day")  # one row per meter and day
+    days = days.select("*", left_open.alias("_left_open"), F.sum(F.col("_has_good").cast("int")).over(
+        order.rowsBetween(Window.unboundedPreceding, 0)).alias("_seg"))
+    # a segment: a day with a good reading and the wholly bad days after it
+    seg = Window.partitionBy(METER, "_seg").orderBy("_day").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    days = days.select("*", F.first("_left_open", ignorenulls=True).over(seg).alias("_carry"))
+    days = days.select("*", F.lag("_carry", 1).over(order).alias("_since"))
+    edges = days.filter(F.col("_has_good") & (F.col("_since").isNotNull() | F.col("_leads_bad"))).select(
+        METER, F.col(f"_good.{TYPE}").alias(TYPE), F.coalesce("_since", "_first").alias("outage_start"),
+        F.col(f"_good.{TS}").alias("outage_end"))
+
     hours = F.timestamp_diff("SECOND", F.col("outage_start"), F.col("outage_end")) / 3600.0
-    return (j.select(METER, TYPE, "outage_start", "outage_end", hours.alias("_h"))
-            .filter(F.col("_h") >= min_hours)
+    return (inside.unionByName(edges).withColumn("_h", hours).filter(F.col("_h") >= min_hours)
             .select(METER, TYPE, "outage_start", "outage_end", snap("_h", 2).alias("duration_hours")))
 
 
 # ---------------------------------------------------------------- W11
-def outage_suspects(clean: DataFrame, skew: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                    size_source: DataFrame | None = None) -> DataFrame:
-    """Zero reading followed by a zero reading (one row per hit)."""
-    def chunked(d: DataFrame) -> DataFrame:
-        ix = index_within(d, [METER], TS, [RID], "_idx")
-        return neighbour(ix, [METER], "_idx", [KWH], 1, "_next_").withColumnRenamed(
-            "_next_" + KWH, "_next").drop("_idx")
-
-    def window(d: DataFrame) -> DataFrame:
-        w = Window.partitionBy(METER).orderBy(*_meter_order())
-        return d.select("*", F.lead(KWH, 1).over(w).alias("_next"))
-
-    x = _by_skew(clean.select(METER, TS, RID, KWH), skew, chunk_rows, window, chunked, size_source)
-    return (x.filter((F.col(KWH) == 0) & (F.col("_next") == 0))
-            .select(METER, F.col(TS).alias("suspected_outage_start"),
-                    F.lit("Possible 2-hour outage").alias("flag")))
+def outage_suspects(clean: DataFrame) -> DataFrame:
+    """Zero reading followed by a zero reading (one row per hit).  The next
+    reading is looked up inside (meter, day), and for a day's last reading in a
+    table with one row per meter and day."""
+    x = clean.filter(F.col(TS).isNotNull()).select(
+        METER, TS, RID, KWH, cal.trunc_ntz("day", TS).alias("_day"))
+    day = Window.partitionBy(METER, "_day").orderBy(*_meter_order())
+    inside = (x.select("*", F.lead(KWH, 1).over(day).alias("_next"))
+              .filter((F.col(KWH) == 0) & (F.col("_next") == 0)).select(METER, TS))
+    at = F.struct(TS, RID)
+    days = x.groupBy(METER, "_day").agg(F.min_by(KWH, at).alias("_first"),
+                                        F.max_by(F.struct(KWH, TS), at).alias("_last"))
+    order = Window.partitionBy(METER).orderBy("_day")
+    edges = (days.select("*", F.lead("_first", 1).over(order).alias("_next"))
+             .filter((F.col(f"_last.{KWH}") == 0) & (F.col("_next") == 0))
+             .select(METER, F.col(f"_last.{TS}").alias(TS)))
+    return inside.unionByName(edges).select(METER, F.col(TS).alias("suspected_outage_start"),
+                                            F.lit("Possible 2-hour outage").alias("flag"))
 
 
 # ---------------------------------------------------------------- K1
@@ -430,13 +386,3 @@ def load_duration_curve(clean: DataFrame, consumer_type: str | None = None,
         "rank", F.col("_load").alias("load_kwh"),
         (F.col("rank") / F.col("_n") * 100).alias("exceedance_pct"),
         F.lit(consumer_type or "All").alias("consumer_type"), TS)
-
-
-# ---------------------------------------------------------------- A28 / J5
-def daily_system_load(clean: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Daily load by date x season x type, joined to the date dimension."""
-    d = dim_date.select("full_date", "season")
-    j = clean.join(d, clean["date"] == d["full_date"])
-    return (j.groupBy("date", "season", TYPE)
-            .agg(exact(F.sum(KWH)).alias("total_kwh"), exact(F.avg(KWH)).alias("avg_kwh"),
-                 F.max(KWH).alias("peak_kwh"), F.count_distinct(METER).alias("active_meters")))

@@ -1,43 +1,61 @@
-"""Exact percentiles that do not hold a whole group in one task.
+"""Exact percentiles that never hold a whole group in one task.
 
-``percentile`` keeps, per group, a map of every distinct value; the final
-merge of a group happens in one task.  ``exact_percentiles`` instead
-pre-aggregates to (group, value, count), takes running counts in sorted
-order over range partitions (``ranking.running_total``), and reads the two
-order statistics around position (n - 1) * p with partial aggregations --
-the same linear interpolation as Spark's ``percentile``.
-
-``grouped_percentiles`` combines both: groups with more than ``hot_rows``
-rows take the distributed path, all others the built-in aggregate.
+Spark's ``percentile`` keeps, per group, a map of every distinct value and
+merges it in one task.  Here the rows are first combined to (group, value,
+count).  A monotone code cuts the number line into narrow ranges (64 to a
+doubling), and counting rows by (group, range) -- a few thousand rows a group
+at most -- tells in which range each wanted order statistic lies and at which
+position inside it.  Only the values of those ranges are then ordered.  The
+result is the same linear interpolation as ``percentile``, at every size, with
+NULL as a group like any other and NULL values ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import running_total
-from .sequence import DEFAULT_CHUNK_ROWS, split_by_size
+from .sequence import null_safe_join
+
+_ZERO_OFFSET = 100_000  # beyond the largest |64 * log2(x)| of a double
+
+
+def _range_code(v: Column) -> Column:
+    """An integer that never falls when ``v`` rises; NaN ranks last."""
+    size = F.floor(F.least(F.log2(F.abs(v)) * 64, F.lit(_ZERO_OFFSET - 1.0))) + _ZERO_OFFSET
+    return (F.when(F.isnan(v), F.lit(10 * _ZERO_OFFSET)).when(v == 0, F.lit(0))
+            .when(v > 0, size).otherwise(-size).cast("long"))
+
 
+def _counted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    v = F.col(value).cast("double")
+    return df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                      num_partitions: int | None = None) -> DataFrame:
-    """One row per group: ``keys`` + one column per name in ``probs``."""
-    counts = (df.filter(F.col(value).isNotNull())
-              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    ranked = running_total(counts, [F.col(k) for k in keys] + [F.col(value)], "_c", "_cb",
-                           num_partitions)
-    sizes = ranked.groupBy(*keys).agg(F.min("_cb").alias("_g0"), F.sum("_c").alias("_n"))
-    x = ranked.join(sizes, keys)
-    start = F.col("_cb") - F.col("_g0")          # rank of this value's first copy in its group
-    end = start + F.col("_c")
-    picks = []
+
+def _picked(counts: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    known = counts.filter(F.col("_v").isNotNull()).withColumn("_b", _range_code(F.col("_v")))
+    ranges = known.groupBy(*keys, "_b").agg(F.sum("_c").alias("_rows"))
+    w = Window.partitionBy(*keys)
+    up_to = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("*", F.coalesce(F.sum("_rows").over(up_to), F.lit(0)).alias("_before"),
+                           F.sum("_rows").over(w).alias("_n"))
+    wanted = []
     for name, p in probs.items():
         pos = (F.col("_n") - 1) * F.lit(float(p))
-        for side, idx in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            picks.append(F.max(F.when((start <= idx) & (idx < end), F.col(value)))
-                         .alias(f"_{name}_{side}"))
-    g = x.groupBy(*keys).agg(F.first("_n").alias("_n"), *picks)
+        wanted += [F.struct(F.lit(f"{name}/lo").alias("slot"), F.floor(pos).alias("at")),
+                   F.struct(F.lit(f"{name}/hi").alias("slot"), F.ceil(pos).alias("at"))]
+    targets = ranges.select(*keys, "_b", "_n", "_before", "_rows", F.explode(F.array(*wanted)).alias("_w"))
+    at = F.col("_w.at") - F.col("_before")
+    targets = targets.filter((at >= 0) & (at < F.col("_rows"))).select(
+        *keys, "_b", "_n", F.col("_w.slot").alias("_slot"), at.alias("_at"))
+    near = null_safe_join(known, targets, [*keys, "_b"])
+    within = Window.partitionBy(*keys, "_b", "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_c").over(within), F.lit(0))
+    hit = near.withColumn("_start", start).filter(
+        (F.col("_start") <= F.col("_at")) & (F.col("_at") < F.col("_start") + F.col("_c")))
+    sides = [F.max(F.when(F.col("_slot") == f"{name}/{side}", F.col("_v"))).alias(f"_{name}_{side}")
+             for name in probs for side in ("lo", "hi")]
+    got = hit.groupBy(*keys).agg(F.first("_n").alias("_n"), *sides)
     cols = []
     for name, p in probs.items():
         pos = (F.col("_n") - 1) * F.lit(float(p))
@@ -45,40 +63,29 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         lo_v, hi_v = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         interp = (hi_i - pos) * lo_v + (pos - lo_i) * hi_v
         cols.append(F.when((lo_i == hi_i) | (lo_v == hi_v), lo_v).otherwise(interp).alias(name))
-    return g.select(*keys, *cols)
-
+    return got.select(*keys, *cols)
 
-def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                        aggs: dict[str, Column], mode: str = "auto",
-                        hot_rows: int = DEFAULT_CHUNK_ROWS,
-                        size_source: DataFrame | None = None) -> DataFrame:
-    """``groupBy(keys).agg(expr AS name for aggs, percentile(value, p) AS name ...)``.
 
-    mode "aggregate": Spark's ``percentile``; "distributed": ``exact_percentiles``;
-    "auto": per group by its row count.  All modes return the same values.
-    ``size_source``: a cheaper frame with the ``keys`` columns whose per-group
-    row counts bound those of ``df`` (e.g. the raw rows before de-duplication).
-    """
-    named = [c.alias(n) for n, c in aggs.items()]
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """One row per group that has a value: ``keys`` + one column per name in ``probs``."""
+    return _picked(_counted(df, keys, value), keys, probs)
 
-    def small(d: DataFrame) -> DataFrame:
-        return d.groupBy(*keys).agg(*named, *[F.percentile(value, p).alias(n)
-                                              for n, p in probs.items()])
 
-    def large(d: DataFrame) -> DataFrame:
-        return (d.groupBy(*keys).agg(*named)
-                .join(exact_percentiles(d, keys, value, probs), keys, "left"))
-
-    order = keys + list(aggs) + list(probs)
-    if mode == "aggregate":
-        return small(df).select(*order)
-    if mode == "distributed":
-        return large(df).select(*order)
-    if mode != "auto":
-        raise ValueError(f"mode must be auto, aggregate or distributed, not {mode!r}")
-    gk = F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
-    keyed = df.withColumn("_gk", gk)
-    sizes = None if size_source is None else size_source.select(gk.alias("_gk"))
-    return split_by_size(keyed, "_gk", hot_rows,
-                         lambda d: small(d.drop("_gk")).select(*order),
-                         lambda d: large(d.drop("_gk")).select(*order), size_source=sizes)
+def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+                        stats: dict[str, str]) -> DataFrame:
+    """Percentiles and simple statistics of ``value`` by ``keys``, all from the
+    one (group, value, count) aggregation.  ``stats``: name -> ``avg``, ``max``,
+    ``std`` (sample), ``count`` (of values) or ``rows``."""
+    counts = _counted(df, keys, value)
+    v, c = F.col("_v"), F.col("_c")
+    n, total = F.sum(F.when(v.isNotNull(), c)), F.sum(v * c)
+    forms = {
+        "avg": F.try_divide(total, n),
+        "max": F.max(v),
+        "std": F.when(n > 1, F.sqrt(F.greatest(F.sum(v * v * c) - total * total / n, F.lit(0.0)) / (n - 1))),
+        "count": F.coalesce(n, F.lit(0)),
+        "rows": F.sum(c),
+    }
+    base = counts.groupBy(*keys).agg(*[forms[kind].alias(name) for name, kind in stats.items()])
+    out = null_safe_join(base, _picked(counts, keys, probs), keys, "left")
+    return out.select(*keys, *stats, *probs)

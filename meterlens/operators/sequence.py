@@ -1,8 +1,8 @@
 """Per-key sequential operators that stay balanced when one key is huge.
 
-A ``Window.partitionBy(key)`` puts every row of a key into one task.  Meter
-data can be dominated by a single meter (a feeder head, a test rig), so the
-row-order operators here work on an explicit per-key row index instead:
+A ``Window.partitionBy(key)`` over all rows puts every row of a key into one
+task.  Meter data can be dominated by a single meter (a feeder head, a test
+rig), so row-order operators never do that here:
 
 * ``index_within``   -- 1-based position per key in time order: a row number
   inside (key, time bucket) plus the key's row count in earlier buckets
@@ -13,23 +13,33 @@ row-order operators here work on an explicit per-key row index instead:
   ``chunk_rows`` consecutive rows; the last N-1 rows of a chunk are copied
   into the next one (a halo), so every chunk window is exact and no task
   holds more than ``chunk_rows + N - 1`` rows.
-* ``neighbour``      -- lag/lead by k rows as an equi-join on (key, index +- k),
-  a join on a well-spread key.
-* ``runs``           -- gaps-and-islands: consecutive flagged rows share
-  ``index - rank among flagged rows``; runs are aggregated by that id.
+
+The same path runs at every size, and NULL is a key like any other: joins on
+keys use ``null_safe_join``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import trunc_ntz
 
-DEFAULT_CHUNK_ROWS = 1_000_000
+DEFAULT_CHUNK_ROWS = 100_000
 DEFAULT_BUCKET = "day"
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; keeps the left keys."""
+    other = right.select(*[F.col(k).alias(f"_j_{k}") for k in keys],
+                         *[c for c in right.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_j_{k}" for k in keys])
+
+
 def index_within(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str], idx: str = "_idx",
                  bucket: str = DEFAULT_BUCKET, bucket_col: str | None = None) -> DataFrame:
     """1-based row position per key, ordered by (``ts``, ``tiebreak``).
@@ -45,7 +55,7 @@ def index_within(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str], i
     x = x.withColumn("_rn", F.row_number().over(w))
     before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_bk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (x.join(offsets, keys + ["_bk"])
+    return (null_safe_join(x, offsets, keys + ["_bk"])
             .withColumn(idx, (F.col("_off") + F.col("_rn")).cast("long"))
             .drop("_bk", "_rn", "_off"))
 
@@ -66,62 +76,3 @@ def rolling_avgs(indexed: DataFrame, keys: list[str], idx: str, specs: dict[str,
     out = x.select("*", *[F.avg(c).over(w.rowsBetween(-(n - 1), 0)).alias(name)
                           for name, (c, n) in specs.items()])
     return out.filter(F.col("_chunk") == F.col("_own_chunk")).drop("_chunk", "_own_chunk")
-
-
-def neighbour(indexed: DataFrame, keys: list[str], idx: str, cols: list[str], offset: int,
-              prefix: str) -> DataFrame:
-    """Columns of the row ``offset`` positions later (negative: earlier) of the
-    same key, as ``prefix + col``; NULL when there is no such row."""
-    other = indexed.select(*keys, (F.col(idx) - offset).alias(idx),
-                           *[F.col(c).alias(prefix + c) for c in cols])
-    return indexed.join(other, keys + [idx], "left")
-
-
-def runs(indexed: DataFrame, keys: list[str], idx: str, flag: Column, ts: str,
-         aggs: list[Column] | None = None, bucket: str = DEFAULT_BUCKET) -> DataFrame:
-    """One row per maximal run of consecutive flagged rows of a key:
-    keys, ``run_first_idx``, ``run_last_idx``, ``run_rows`` and ``aggs``
-    evaluated over the run's rows (a partial aggregation: a long run of a hot
-    key is combined map-side)."""
-    flagged = indexed.filter(F.coalesce(flag, F.lit(False)))
-    ranked = index_within(flagged, keys, ts, [idx], "_fidx", bucket)
-    return (ranked.groupBy(*keys, (F.col(idx) - F.col("_fidx")).alias("_run"))
-            .agg(F.min(idx).alias("run_first_idx"), F.max(idx).alias("run_last_idx"),
-                 F.count(F.lit(1)).alias("run_rows"), *(aggs or []))
-            .drop("_run"))
-
-
-MAX_LISTED_HOT_KEYS = 10_000
-
-
-def split_by_size(df: DataFrame, key: str, threshold: int, small, large,
-                  max_listed: int = MAX_LISTED_HOT_KEYS,
-                  size_source: DataFrame | None = None, confirm: bool = False) -> DataFrame:
-    """Run ``large(rows of keys with more than threshold rows)`` and
-    ``small(all other rows)`` and union the results.
-
-    The per-key counts are a partial aggregation; at most ``max_listed`` hot
-    keys reach the driver.  With no hot key only ``small`` runs (one plain
-    window pass); with more hot keys than ``max_listed`` every key takes the
-    ``large`` path.  Each key is processed whole by one path, so the union
-    equals either path alone.  ``size_source``: a cheaper frame whose per-key
-    row counts bound those of ``df`` (e.g. the raw scan before de-duplication);
-    ``confirm``: recount the candidates on ``df`` itself, restricted to those
-    keys (worth it when the key filter reaches below ``df``'s aggregations).
-    """
-    src = size_source if size_source is not None else df
-    if src.count() <= threshold:  # no key can exceed the threshold: skip the grouped count
-        return small(df)
-    counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = [r[0] for r in counts.filter(F.col("_n") > threshold).select(key)
-           .limit(max_listed + 1).collect()]
-    if hot and confirm and size_source is not None and len(hot) <= max_listed:
-        hot = [r[0] for r in df.filter(F.col(key).isin(hot)).groupBy(key)
-               .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
-               .select(key).collect()]
-    if not hot:
-        return small(df)
-    if len(hot) > max_listed:
-        return large(df)
-    is_hot = F.col(key).isin(hot)
-    return small(df.filter(~is_hot)).unionByName(large(df.filter(is_hot)))

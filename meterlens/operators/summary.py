@@ -98,10 +98,6 @@ def yearly_report(annual_summary: DataFrame, losses: DataFrame, fiscal_year: str
             .withColumn("report", F.lit(f"yearly {fiscal_year}")))
 
 
-def previous_month(d) -> tuple[int, int]:
-    """Default report month: the month before ``d``; January rolls the year back."""
-    return (d.year - 1, 12) if d.month == 1 else (d.year, d.month - 1)
-
 
 # ---------------------------------------------------------------- S22
 def dashboard_export(annual_summary: DataFrame, exported_at=None) -> DataFrame:

@@ -157,7 +157,7 @@ FROM h WHERE {KWH} = 0 AND next_kwh = 0
     "demand_peaks_topn": with_views(METER_VIEW, f"""
 SELECT meter_id, consumer_type, "timestamp", {KWH} AS peak_consumption_kwh, voltage_v, power_factor
 FROM meter
-QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY {KWH} DESC, "timestamp", reading_id) <= 10
+QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY {KWH} DESC, "timestamp", reading_id) <= 100
 """),
     "system_peak_days": with_views(CLEAN_VIEW, f""",
 d AS (SELECT date, max({KWH}) AS peak_kwh FROM clean GROUP BY date)

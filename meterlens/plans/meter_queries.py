@@ -56,7 +56,7 @@ def q_meter_outlier_counts(spark, sf):
 
 
 def q_meter_features(spark, sf):
-    return M.engineer_features(clean(spark, sf), size_source=raw_meters(spark, sf))
+    return M.engineer_features(clean(spark, sf))
 
 
 def q_hourly_system_load(spark, sf):
@@ -64,15 +64,15 @@ def q_hourly_system_load(spark, sf):
 
 
 def q_hourly_load_profile(spark, sf):
-    return M.hourly_load_profile(clean(spark, sf), size_source=M.profile_keys(raw_meters(spark, sf)))
+    return M.hourly_load_profile(clean(spark, sf))
 
 
 def q_load_profile_sql(spark, sf):
-    return M.load_profile_sql(clean(spark, sf), size_source=M.profile_keys(raw_meters(spark, sf)))
+    return M.load_profile_sql(clean(spark, sf))
 
 
 def q_daily_load_curve(spark, sf):
-    return M.daily_load_curve(clean(spark, sf), size_source=M.profile_keys(raw_meters(spark, sf)))
+    return M.daily_load_curve(clean(spark, sf))
 
 
 def q_peak_calendar(spark, sf):
@@ -100,11 +100,11 @@ def q_outage_islands(spark, sf):
 
 
 def q_outage_suspects(spark, sf):
-    return M.outage_suspects(clean(spark, sf), size_source=raw_meters(spark, sf))
+    return M.outage_suspects(clean(spark, sf))
 
 
 def q_demand_peaks_topn(spark, sf):
-    return M.demand_peaks(raw_meters(spark, sf), top_n=10)
+    return M.demand_peaks(raw_meters(spark, sf), top_n=100)
 
 
 def q_system_peak_days(spark, sf):

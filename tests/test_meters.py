@@ -3,8 +3,11 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from meterlens.functions.exprs import snap
 from meterlens.operators import meters as M
 from meterlens.operators.ranking import global_rank, rank_within_groups
 
@@ -189,35 +192,53 @@ def test_peak_calendar_true_hour(spark):
     assert r.peak_hour == 5 and r.peak_hour_kwh == 9.0 and r.weekday == "Monday" and r.week_number == 1
 
 
-def test_skew_safe_paths_match_plain_windows(spark):
-    """A hot meter (most rows) with small chunks, so halos cross chunk edges."""
+def awkward_readings(hot):
+    """A meter ``hot`` with most rows, five small ones and one without an id;
+    several readings an hour, gaps, whole bad days."""
     rnd = random.Random(11)
     rows = []
-    for i in range(1500):  # hot meter: about 80 % of all rows, several per hour, gaps
-        rows.append((i // 2 + (i % 7 == 0) * 3, "HOT", "Domestic",
-                     0.0 if rnd.random() < 0.2 else rnd.uniform(0, 12),
+    for i in range(1500):
+        dead = rnd.random() < 0.2 or 300 < i < 420
+        rows.append((i // 2 + (i % 7 == 0) * 3, hot, "Domestic", 0.0 if dead else rnd.uniform(0, 12),
                      rnd.choice([170.0, 230.0, 230.0, None]), 0.9))
-    for m in range(5):
-        rows += [(i, f"M{m}", "Commercial", 0.0 if rnd.random() < 0.3 else rnd.uniform(0, 50),
-                  230.0, 0.9) for i in range(0, 120, rnd.choice([1, 2]))]
-    raw = frame(spark, rows)
+    for m in [f"M{k}" for k in range(5)] + [None]:
+        rows += [(i, m, rnd.choice(["Commercial", None]), 0.0 if rnd.random() < 0.3 else rnd.uniform(0, 50), 230.0, 0.9)
+                 for i in range(0, 120, rnd.choice([1, 2]))]
+    return rows
+
+
+@pytest.mark.parametrize("hot", ["HOT", None])
+def test_balanced_paths_equal_plain_windows(spark, hot):
+    raw = frame(spark, awkward_readings(hot))
     clean = M.clean_meters(raw)
-    cols = ["meter_id", "timestamp", "rolling_24h_kwh", "rolling_7d_kwh", "deviation_from_daily_avg",
-            "demand_category"]
-    def feats(mode):
-        return sorted(map(tuple, M.engineer_features(clean, skew=mode, chunk_rows=200)
-                          .select(cols).collect()))
-    plain = feats("window")
-    assert feats("chunked") == plain and feats("auto") == plain and len(plain) == clean.count()
-    confirmed = sorted(map(tuple, M.engineer_features(clean, skew="auto", chunk_rows=200, size_source=raw)
-                           .select(cols).collect()))
-    assert confirmed == plain
-    isl = {m: sorted(map(tuple, M.outage_islands(raw, skew=m, chunk_rows=200).collect()))
-           for m in ["window", "chunked", "auto"]}
-    assert isl["window"] == isl["chunked"] == isl["auto"] == brute_outages(raw.toPandas())
-    sus = {m: sorted(map(tuple, M.outage_suspects(clean, skew=m, chunk_rows=200).collect()))
-           for m in ["window", "chunked", "auto"]}
-    assert sus["window"] == sus["chunked"] == sus["auto"]
+    w = Window.partitionBy("meter_id").orderBy("timestamp", "reading_id")
+    cols = ["meter_id", "timestamp", "rolling_24h_kwh", "rolling_7d_kwh", "deviation_from_daily_avg"]
+    day = Window.partitionBy("meter_id", F.to_date("timestamp"))
+    plain = clean.select(
+        "meter_id", "timestamp", snap(F.avg("consumption_kwh").over(w.rowsBetween(-23, 0)), 4),
+        snap(F.avg("consumption_kwh").over(w.rowsBetween(-167, 0)), 4),
+        snap(F.col("consumption_kwh") - F.avg("consumption_kwh").over(day), 4))
+    by = lambda rows: sorted(map(tuple, rows), key=str)
+    got = M.engineer_features(clean, chunk_rows=200).select(cols)
+    assert by(got.collect()) == by(plain.collect()) and got.count() == clean.count()
+
+    bad = F.coalesce((F.col("consumption_kwh") == 0) | (F.col("voltage_v") < 180), F.lit(False))
+    d = raw.withColumn("bad", bad).withColumn("prev", F.lag("bad", 1, False).over(w))
+    d = d.withColumn("begin", F.last(F.when(F.col("bad") & ~F.col("prev"), F.col("timestamp")), ignorenulls=True)
+                     .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    want = [(r.meter_id, r.consumer_type, r.begin, r.timestamp) for r in d.filter("not bad and prev").collect()
+            if (r.timestamp - r.begin).total_seconds() >= 7200]
+    islands = M.outage_islands(raw).collect()
+    assert by((r.meter_id, r.consumer_type, r.outage_start, r.outage_end) for r in islands) == by(want) and want
+
+    nxt = clean.withColumn("n", F.lead("consumption_kwh", 1).over(w)).filter("consumption_kwh = 0 and n = 0")
+    assert by(M.outage_suspects(clean).select("meter_id", "suspected_outage_start").collect()) == \
+        by(nxt.select("meter_id", "timestamp").collect())
+
+
+def test_outage_islands_equal_the_loop(spark):
+    raw = frame(spark, [r for r in awkward_readings("HOT") if r[1] is not None and r[2] is not None])
+    assert sorted(map(tuple, M.outage_islands(raw).collect())) == brute_outages(raw.toPandas())
 
 
 def test_global_rank_consistent_across_pruned_branches(spark):

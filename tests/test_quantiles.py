@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from meterlens.operators.quantiles import exact_percentiles, grouped_percentiles
@@ -15,6 +17,8 @@ def _data(spark):
         for _ in range(rnd.choice([1, 2, 3, 17])):
             rows.append((f"g{g}", rnd.uniform(-5, 5)))
     rows += [("g0", None), ("nulls", None)]
+    rows += [(None, float(k) / 3) for k in range(50)]     # NULL is a group like any other
+    rows += [("odd", x) for x in (float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 1e-300, -1e300, 5.0)]
     return spark.createDataFrame(rows, "g string, v double")
 
 
@@ -27,26 +31,27 @@ def test_running_total_matches_cumsum(spark):
         acc += (i * 7) % 5
 
 
-def test_distributed_percentiles_equal_builtin(spark):
+def test_percentiles_equal_builtin(spark):
     df = _data(spark)
     probs = {"p95": 0.95, "p05": 0.05, "p50": 0.5, "p90": 0.9}
     exp = {r.g: r for r in df.groupBy("g").agg(*[F.percentile("v", p).alias(n)
                                                   for n, p in probs.items()]).collect()}
-    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, num_partitions=11).collect()}
-    assert set(got) == set(exp) - {"nulls"}
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs).collect()}
+    assert set(got) == set(exp) - {"nulls"} and None in got
     for g, r in got.items():
         for n in probs:
-            assert r[n] == exp[g][n], (g, n, r[n], exp[g][n])
-
-
-def test_grouped_modes_agree(spark):
-    df = _data(spark)
-    aggs = {"cnt": F.count("v"), "avg": F.avg("v")}
-    probs = {"p95": 0.95, "p05": 0.05}
-    modes = {m: sorted(tuple(r) for r in grouped_percentiles(df, ["g"], "v", probs, aggs, m,
-                                                             hot_rows=100).collect())
-             for m in ["aggregate", "distributed", "auto"]}
-    assert modes["aggregate"] == modes["distributed"] == modes["auto"]
-    bounded = sorted(tuple(r) for r in grouped_percentiles(
-        df, ["g"], "v", probs, aggs, "auto", hot_rows=100, size_source=df.select("g")).collect())
-    assert bounded == modes["aggregate"]
+            assert repr(r[n]) == repr(exp[g][n]), (g, n, r[n], exp[g][n])
+
+
+def test_grouped_statistics_equal_builtin(spark):
+    df = _data(spark).filter("g is null or g != 'odd'")
+    stats = {"cnt": "count", "rows": "rows", "mean": "avg", "top": "max", "sd": "std"}
+    got = {r.g: r for r in grouped_percentiles(df, ["g"], "v", {"p95": 0.95}, stats).collect()}
+    want = df.groupBy("g").agg(F.count("v").alias("cnt"), F.count(F.lit(1)).alias("rows"), F.avg("v").alias("mean"),
+                               F.max("v").alias("top"), F.stddev_samp("v").alias("sd"), F.percentile("v", 0.95).alias("p95"))
+    rows = want.collect()
+    assert len(rows) == len(got)
+    for r in rows:
+        for c in ["cnt", "rows", "mean", "top", "sd", "p95"]:
+            assert got[r.g][c] is None if r[c] is None else got[r.g][c] == pytest.approx(r[c], rel=1e-9, abs=1e-9, nan_ok=True), (r.g, c)
+    assert grouped_percentiles(df.filter("g = 'x'"), ["g"], "v", {"p95": 0.95}, stats).count() == 0
