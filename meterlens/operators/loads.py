@@ -7,22 +7,24 @@ version directory and never overwrites the path it reads from.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import trunc_ntz
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Keep the last row per key (``order`` ascending; last wins), as an
-    aggregate so it pre-combines before the shuffle."""
-    others = [c for c in df.columns if c not in keys]
-    row = F.max_by(F.struct(*others), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
+    """Keep the last row per key (``order`` ascending; last wins)."""
+    down = [o.desc() for o in order]
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(*down))
+    return df.withColumn("_last", last).filter(F.col("_last") == 1).drop("_last")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-           order: list[Column] | None = None, loaded_at: Column | None = None) -> DataFrame:
+           order: list[Column], loaded_at: Column | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols.
 
     * keys only in ``target`` are kept as they are;
@@ -31,8 +33,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
       every other column keeps the stored value.
     Duplicate keys inside the batch: the last row by ``order`` wins.
     """
-    if order is not None:
-        source = last_per_key(source, keys, order)
+    source = last_per_key(source, keys, order)
     loaded_at = F.current_timestamp() if loaded_at is None else loaded_at
     src = source.withColumn("loaded_at", loaded_at)
     tgt = target if "loaded_at" in target.columns else target.withColumn(
@@ -61,10 +62,11 @@ def append_new_only(target: DataFrame, batch: DataFrame, keys: list[str],
                     order: list[Column]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (row-level skip of
     duplicates), first row per key inside the batch.  Append the result."""
-    others = [c for c in batch.columns if c not in keys]
-    first = F.min_by(F.struct(*others), F.struct(*order)).alias("_row")
-    dedup = batch.groupBy(*keys).agg(first).select(*keys, "_row.*").select(*batch.columns)
-    return dedup.join(target.select(*keys), keys, "left_anti")
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    dedup = batch.withColumn("_first", first).filter(F.col("_first") == 1).drop("_first")
+    known = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return dedup.join(known, same, "left_anti")
 
 
 def range_join(facts: DataFrame, ranges: DataFrame, key: str, at: str,
@@ -76,14 +78,16 @@ def range_join(facts: DataFrame, ranges: DataFrame, key: str, at: str,
     Each range row is replicated once per ``bucket`` period it covers, and
     both sides join on (key, bucket) plus the range condition -- an
     equi-join with many distinct keys instead of a nested loop or a join on a
-    handful of hot category keys.  Open-ended ranges are expanded up to the
-    latest fact period (one scalar, read once).
+    handful of hot category keys.  Ranges are expanded only over the periods
+    that have facts: one that starts after the last fact is left out, an open or
+    far-future end stops there (two scalars, read once).
     """
-    last = facts.agg(F.max(F.col(at))).first()[0]
+    first, last = facts.agg(F.min(F.col(at)), F.max(F.col(at))).first()
     b = lambda c: trunc_ntz(bucket, c)
-    hi = F.coalesce(F.col(end), F.lit(last).cast("timestamp_ntz"))
+    first, last = (F.lit(x).cast("timestamp_ntz") for x in (first, last))
+    lo, hi = F.greatest(F.col(start), first), F.least(F.coalesce(F.col(end), last), last)
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    r = ranges.withColumn("_bk", F.explode(F.sequence(b(F.col(start)), b(hi), step)))
+    r = ranges.filter((F.col(start) <= last) & (b(lo) <= b(hi))).withColumn("_bk", F.explode(F.sequence(b(lo), b(hi), step)))
     f = facts.withColumn("_bk", b(F.col(at)))
     cond = ((f[key] == r[key]) & (f["_bk"] == r["_bk"]) & (f[at] >= r[start])
             & (r[end].isNull() | (f[at] < r[end])))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .sequence import null_safe_join
 
 _PID, _MID, _OFF, _CNT, _TOT = "_rk_pid", "_rk_mid", "_rk_off", "_rk_cnt", "_rk_tot"
 
@@ -73,7 +74,7 @@ def rank_within_groups(df: DataFrame, group: list[str], order: list[Column],
                         num_partitions=num_partitions)
     starts = keyed.groupBy(*group).agg(F.min("_rk_g").alias("_rk_first"),
                                        F.count(F.lit(1)).alias("_rk_size"))
-    out = keyed.join(starts, group).withColumn(
+    out = null_safe_join(keyed, starts, group).withColumn(
         rank_col, F.col("_rk_g") - F.col("_rk_first") + 1)
     if size_col:
         out = out.withColumn(size_col, F.col("_rk_size"))

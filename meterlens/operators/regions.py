@@ -70,22 +70,54 @@ def province_ranking(df: DataFrame) -> DataFrame:
     return out
 
 
-# ---------------------------------------------------------------- W9 / J3 / J6
+# ---------------------------------------------------------------- J3
+def with_province_dimension(fact: DataFrame, dim: DataFrame, report_year: int | None = None) -> DataFrame:
+    """Facts of one report year (all years if None) with the dimension's columns."""
+    f = fact if report_year is None else fact.filter(F.col("report_year") == report_year)
+    return f.drop("province_name").join(dim, "province_id")
+
+
+def _estimated(name: str):
+    """Stored estimates of the fact table: lost energy, its value, revenue."""
+    cons, loss = F.col("annual_consumption_gwh_2023"), F.col("system_loss_pct")
+    return {
+        "estimated_loss_gwh": snap(cons * loss / 100, 2),
+        "revenue_lost_npr_mn": snap(snap(cons * loss / 100, 3) * 1e6 * AVG_TARIFF / 1e6, 2),
+        "estimated_revenue_npr_mn": snap(cons * 1e6 * DOMESTIC_TARIFF / 1e6, 2),
+    }[name].alias(name)
+
+
+# ---------------------------------------------------------------- W9
 def province_performance_sql(fact: DataFrame, dim: DataFrame, report_year: int = 2023) -> DataFrame:
     """Fact JOIN province dimension for one report year, with three ranks."""
-    f = fact.filter(F.col("report_year") == report_year)
-    j = f.join(dim, "province_id")
+    j = with_province_dimension(fact, dim, report_year)
     return j.select(
         "province_name_en", F.col("electrification_pct_2021").alias("electrification_pct"),
         F.col("per_capita_kwh_2023").alias("per_capita_kwh"),
         F.col("annual_consumption_gwh_2023").alias("annual_consumption_gwh"), "system_loss_pct",
+        _estimated("estimated_loss_gwh"), _estimated("estimated_revenue_npr_mn"),
         # PostgreSQL null order: NULLs sort as the largest value
         F.rank().over(Window.orderBy(F.col("per_capita_kwh_2023").desc_nulls_first()))
         .alias("rank_per_capita"),
         F.rank().over(Window.orderBy(F.col("electrification_pct_2021").desc_nulls_first()))
         .alias("rank_electrification"),
         F.rank().over(Window.orderBy(F.col("system_loss_pct").asc_nulls_last()))
-        .alias("rank_efficiency"))
+        .alias("rank_efficiency")).orderBy(F.col("annual_consumption_gwh").desc_nulls_first(), "province_name_en")
+
+
+# ---------------------------------------------------------------- J6
+def province_performance_view(fact: DataFrame, dim: DataFrame) -> DataFrame:
+    """Every report year's facts with the dimension; ranks within a year."""
+    j = with_province_dimension(fact, dim)
+    w = Window.partitionBy("report_year")
+    return j.select(
+        "province_name_en", "headquarter", "report_year",
+        F.col("annual_consumption_gwh_2023").alias("annual_consumption_gwh"),
+        F.col("per_capita_kwh_2023").alias("per_capita_kwh"),
+        F.col("electrification_pct_2021").alias("electrification_pct"), "system_loss_pct",
+        F.rank().over(w.orderBy(F.col("per_capita_kwh_2023").desc_nulls_last())).alias("rank_per_capita"),
+        F.rank().over(w.orderBy(F.col("electrification_pct_2021").desc_nulls_last())).alias("rank_electrification"),
+        _estimated("estimated_revenue_npr_mn"))
 
 
 # ---------------------------------------------------------------- W8
@@ -103,7 +135,8 @@ def composite_rank(df: DataFrame) -> DataFrame:
     out = out.withColumn("composite_score", snap(score, 2))
     out = out.withColumn("overall_rank",
                          F.rank().over(Window.orderBy(F.col("composite_score").asc_nulls_last())))
-    return out.select("province_name", "overall_rank", "composite_score", *names)
+    return out.select("province_name", "overall_rank", "composite_score", *names) \
+        .orderBy("overall_rank", "province_name")
 
 
 # ---------------------------------------------------------------- W13 / W14 / F17
@@ -116,16 +149,19 @@ def electrification_gap(df: DataFrame) -> DataFrame:
         "province_name", "province_id", "electrification_pct_2021",
         unserved.alias("unelectrified_households"),
         snap(unserved * CONNECTION_COST_NPR / 1_000_000, 2).alias("est_connection_cost_npr_mn"),
-        snap(elec - mean, 2).alias("gap_vs_national_avg_pp"))
+        snap(elec - mean, 2).alias("gap_vs_national_avg_pp")) \
+        .orderBy(F.col("unelectrified_households").desc_nulls_last(), "province_id")
 
 
-def electrification_gap_sql(df: DataFrame) -> DataFrame:
+def electrification_gap_sql(fact: DataFrame, dim: DataFrame, report_year: int = 2023) -> DataFrame:
+    """F17 over J3: one report year's facts with the dimension's names."""
     elec = F.col("electrification_pct_2021")
     raw = F.col("households_2021") * (1 - elec / 100)
-    return df.select(
-        "province_name", elec.alias("electrification_pct"), F.col("households_2021").alias("households"),
+    return with_province_dimension(fact, dim, report_year).select(
+        "province_name_en", elec.alias("electrification_pct"), F.col("households_2021").alias("households"),
         snap(raw, 0, "half_up").cast("int").alias("unelectrified_hh"),
-        snap(raw * 25000 / 1000000, 2, "half_up").alias("est_connection_cost_npr_mn"))
+        snap(raw * 25000 / 1000000, 2, "half_up").alias("est_connection_cost_npr_mn")) \
+        .orderBy(F.col("unelectrified_hh").desc_nulls_first(), "province_name_en")
 
 
 # ---------------------------------------------------------------- A10 / W15 / F18
@@ -140,7 +176,8 @@ def system_losses_by_province(df: DataFrame) -> DataFrame:
         "loss_reduction_target_pct": snap(clip(loss - LOSS_TARGET, 0.0, None), 2),
     })
     return out.withColumn("potential_saving_gwh",
-                          snap(cons * F.col("loss_reduction_target_pct") / 100, 2))
+                          snap(cons * F.col("loss_reduction_target_pct") / 100, 2)) \
+        .orderBy(F.col("estimated_loss_gwh").desc_nulls_last(), "province_id")
 
 
 def system_losses_analysis(df: DataFrame) -> DataFrame:
@@ -151,16 +188,19 @@ def system_losses_analysis(df: DataFrame) -> DataFrame:
     return out.withColumns({
         "revenue_lost_npr_mn": snap(F.col("energy_lost_gwh") * 1e6 * AVG_TARIFF / 1e6, 2),
         "recoverable_revenue_npr_mn": snap(F.col("recoverable_gwh") * 1e6 * AVG_TARIFF / 1e6, 2),
-    })
+    }).orderBy(F.col("energy_lost_gwh").desc_nulls_last(), "province_name")
 
 
-def loss_opportunity_sql(df: DataFrame) -> DataFrame:
+def loss_opportunity_sql(fact: DataFrame, dim: DataFrame, report_year: int = 2023) -> DataFrame:
+    """F18 over J3: one report year's facts with the dimension's names."""
     cons, loss = F.col("annual_consumption_gwh_2023"), F.col("system_loss_pct")
     excess = F.greatest(F.lit(0.0), loss - LOSS_TARGET)
-    return df.select("province_name", "system_loss_pct",
-                     exact(excess).alias("excess_loss_pp"),
-                     snap(cons * excess / 100, 3, "half_up").alias("recoverable_gwh"),
-                     snap(cons * excess / 100 * 9, 2, "half_up").alias("recoverable_npr_mn"))
+    return with_province_dimension(fact, dim, report_year).select(
+        "province_name_en", "system_loss_pct", _estimated("estimated_loss_gwh"), _estimated("revenue_lost_npr_mn"),
+        exact(excess).alias("excess_loss_pp"),
+        snap(cons * excess / 100, 3, "half_up").alias("recoverable_gwh"),
+        snap(cons * excess / 100 * 9, 2, "half_up").alias("recoverable_npr_mn")) \
+        .orderBy(F.col("system_loss_pct").desc_nulls_first(), "province_name_en")
 
 
 # ---------------------------------------------------------------- A19
@@ -177,6 +217,7 @@ def gini(df: DataFrame, value: str, group: str | None = None,
     if group is None:
         x = x.withColumn(g, F.lit("All"))
     lab = label or value
+    x = x.select(*dict.fromkeys([g, value, lab]))  # the stored cut holds no other column
     order = [F.col(value)] + ([F.col(label)] if label else [])
     ranked = rank_within_groups(x, [g], order, "_i", "_n", num_partitions=num_partitions)
     i, n, v = F.col("_i"), F.col("_n"), F.col(value)

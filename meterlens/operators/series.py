@@ -223,6 +223,8 @@ def national_growth(annual: DataFrame, series: str | None = None) -> DataFrame:
         snap(_cagr(tot1, tot0, yrs), 2).alias("consumption_cagr_pct"),
         snap(_cagr(pc1, pc0, yrs), 2).alias("per_capita_cagr_pct"),
         guarded(tot1, tot0).alias("consumption_cagr_guarded_pct"),
+        guarded(pc1, pc0).alias("per_capita_cagr_guarded_pct"),
+        F.col("first_system_loss_pct").alias("system_loss_start_pct"),
         F.col("fiscal_year").alias("latest_fiscal_year"),
         F.col("total_energy_gwh").alias("latest_total_gwh"),
         snap((safe_div(tot1, F.col("prev_total")) - 1) * 100, 2).alias("yoy_growth_pct"),

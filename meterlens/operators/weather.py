@@ -146,52 +146,57 @@ def correlations(df: DataFrame, target: str = "total_gwh",
         F.when(r > 0, "Positive").otherwise("Negative").alias("direction"),
         F.when(F.abs(r) > 0.7, "Strong").when(F.abs(r) > 0.4, "Moderate").otherwise("Weak")
         .alias("strength"),
-        exact(F.abs(r)).alias("abs_r"))
+        exact(F.abs(r)).alias("abs_r")).orderBy(F.col("abs_r").desc_nulls_last(), "weather_variable")
 
 
 # ---------------------------------------------------------------- A18
+def least_norm_solution(gram: np.ndarray, moment: np.ndarray) -> np.ndarray:
+    """The x of least norm among all minimisers, from the normal equations
+    ``gram x = moment``.  Rank is judged on the equations scaled to a unit
+    diagonal; the part of a solution that lies in the null space is removed."""
+    size = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
+    values, vectors = np.linalg.eigh(gram / np.outer(size, size))
+    real = values > 1e-10 * max(values.max(initial=0.0), 1e-300)
+    used = vectors[:, real]
+    x = (used @ ((used.T @ (moment / size)) / values[real])) / size
+    if real.all():
+        return x
+    null, _ = np.linalg.qr(vectors[:, ~real] / size[:, None])
+    return x - null @ (null.T @ x)
+
+
 def ols_regression(df: DataFrame, target: str = "total_gwh",
                    features: list[str] | None = None, min_rows: int = 10) -> DataFrame:
     """Multi-variable OLS by normal equations.
 
-    Spark computes the centred cross-product moments in two aggregations
-    (means, then centred sums); only the k x k system (k = features + 1)
-    reaches the driver, where the minimum-norm solution is taken.
+    Spark sums the cross products of (1, features, target) in one aggregation;
+    only the k x k system (k = features + 1) reaches the driver, where the
+    minimum-norm solution over intercept and coefficients is taken.
     """
     spark = df.sparkSession
     feats = [c for c in (features or OLS_FEATURES) if c in df.columns]
-    cols = [target] + feats
-    clean = df.select(*cols).dropna()
-    means = clean.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
-    n = int(means["n"])
+    clean = df.select(target, *feats).dropna()
+    terms = {"1": F.lit(1.0), **{c: F.col(c).cast("double") for c in [*feats, target]}}
+    names = list(terms)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    sums = clean.agg(*[F.sum(terms[names[i]] * terms[names[j]]).alias(f"s{i}_{j}") for i, j in pairs]).first()
+    n = int(sums["s0_0"] or 0)
     schema = ("r_squared double, intercept double, n_observations long, error string, "
               + ", ".join(f"coeff_{c} double" for c in feats))
     if n < min_rows:
         return spark.createDataFrame(
             [(None, None, n, "Insufficient data for regression", *[None] * len(feats))], schema)
-    mu = {c: float(means[c]) for c in cols}
-    centred = {c: F.col(c) - F.lit(mu[c]) for c in cols}
-    prods = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            prods.append(F.sum(centred[a] * centred[b]).alias(f"{a}__{b}"))
-    m = clean.agg(*prods).first()
-    k = len(feats)
-    sxx = np.zeros((k, k))
-    sxy = np.zeros(k)
-    for i, a in enumerate(feats):
-        sxy[i] = m[f"{target}__{a}"]
-        for j, b in enumerate(feats):
-            key = f"{a}__{b}" if f"{a}__{b}" in m.asDict() else f"{b}__{a}"
-            sxx[i, j] = m[key]
-    syy = float(m[f"{target}__{target}"])
-    beta = np.linalg.pinv(sxx) @ sxy
-    intercept = mu[target] - float(np.dot(beta, [mu[c] for c in feats]))
-    ss_res = syy - 2 * float(beta @ sxy) + float(beta @ sxx @ beta)
-    r2 = 1 - ss_res / syy if syy > 0 else 0.0
-    row = (round(float(r2), 4), round(intercept, 4), n, None,
-           *[round(float(b), 6) for b in beta])
-    return spark.createDataFrame([row], schema)
+    full = np.zeros((len(names), len(names)))
+    for i, j in pairs:
+        full[i, j] = full[j, i] = sums[f"s{i}_{j}"]
+    gram, moment = full[:-1, :-1], full[:-1, -1]
+    x = least_norm_solution(gram, moment)
+    total = full[-1, -1] - full[0, -1] ** 2 / n
+    left = full[-1, -1] - 2 * float(x @ moment) + float(x @ gram @ x)
+    r2 = 1 - left / total if total > 0 else 0.0
+    row = spark.createDataFrame([(float(r2), float(x[0]), n, None, *[float(b) for b in x[1:]])], schema)
+    return row.select(snap("r_squared", 4).alias("r_squared"), snap("intercept", 4).alias("intercept"),
+                      "n_observations", "error", *[snap(f"coeff_{c}", 6).alias(f"coeff_{c}") for c in feats])
 
 
 # ---------------------------------------------------------------- A15

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sqlkit import (ANNUAL_VIEW, JOINED_VIEW, MONTHLY_VIEW, POPULATION_VIEW, PROVINCE_VIEW,
+from .sqlkit import (ANNUAL_VIEW, JOINED_VIEW, MONTHLY_VIEW, POPULATION_VIEW, PROVINCE_VIEW, PROVINCE_YEARS_VIEW,
                      WEATHER_VIEW, clip, exact, fiscal_quarter, fiscal_year, snap, with_views)
 
 _TARIFF = [("domestic", 8.5), ("industrial", 8.0), ("commercial", 11.5), ("irrigation", 4.5),
@@ -106,6 +106,8 @@ SELECT f_fy || ' – ' || fiscal_year AS period,
   {snap(_cagr('total_energy_gwh', 'f_tot', 'n_years - 1'), 2)} AS consumption_cagr_pct,
   {snap(_cagr('per_capita_kwh', 'f_pc', 'n_years - 1'), 2)} AS per_capita_cagr_pct,
   CASE WHEN f_tot > 0 THEN {snap(_cagr('total_energy_gwh', 'f_tot', 'n_years - 1'), 2)} ELSE 0.0 END AS consumption_cagr_guarded_pct,
+  CASE WHEN f_pc > 0 THEN {snap(_cagr('per_capita_kwh', 'f_pc', 'n_years - 1'), 2)} ELSE 0.0 END AS per_capita_cagr_guarded_pct,
+  f_loss AS system_loss_start_pct,
   fiscal_year AS latest_fiscal_year, total_energy_gwh AS latest_total_gwh,
   {snap('(total_energy_gwh / NULLIF(prev_total, 0) - 1) * 100', 2)} AS yoy_growth_pct,
   per_capita_kwh AS latest_per_capita_kwh, peak_demand_mw AS latest_peak_mw,
@@ -238,14 +240,48 @@ SELECT *, rank() OVER (ORDER BY per_capita_kwh_2023 DESC NULLS LAST) AS rank_per
   rank() OVER (ORDER BY system_loss_pct ASC NULLS LAST) AS rank_system_loss
 FROM province
 """),
-    "province_performance": with_views(PROVINCE_VIEW, """
+    "ols_regression": with_views(JOINED_VIEW, f""",
+d AS (SELECT total_gwh AS y, avg_temp_c AS a, total_hdd AS b, total_cdd AS c, total_rainfall_mm AS r FROM joined
+      WHERE total_gwh IS NOT NULL AND avg_temp_c IS NOT NULL AND total_hdd IS NOT NULL AND total_cdd IS NOT NULL
+        AND total_rainfall_mm IS NOT NULL),
+m AS (SELECT *, y - avg(y) OVER () AS yc, a - avg(a) OVER () AS e1, b - avg(b) OVER () AS bc, c - avg(c) OVER () AS cc,
+             r - avg(r) OVER () AS rc FROM d),
+-- each feature less its projection on the ones before it
+g2 AS (SELECT *, bc - (SELECT regr_slope(bc, e1) FROM m) * e1 AS e2 FROM m),
+g3 AS (SELECT *, cc - (SELECT regr_slope(cc, e1) FROM g2) * e1 - (SELECT regr_slope(cc, e2) FROM g2) * e2 AS e3 FROM g2),
+g4 AS (SELECT *, rc - (SELECT regr_slope(rc, e1) FROM g3) * e1 - (SELECT regr_slope(rc, e2) FROM g3) * e2
+               - (SELECT regr_slope(rc, e3) FROM g3) * e3 AS e4 FROM g3),
+-- coefficients from the last feature back
+k4 AS (SELECT regr_slope(yc, e4) AS v FROM g4),
+k3 AS (SELECT regr_slope(yc - (SELECT v FROM k4) * rc, e3) AS v FROM g4),
+k2 AS (SELECT regr_slope(yc - (SELECT v FROM k4) * rc - (SELECT v FROM k3) * cc, e2) AS v FROM g4),
+k1 AS (SELECT regr_slope(yc - (SELECT v FROM k4) * rc - (SELECT v FROM k3) * cc - (SELECT v FROM k2) * bc, e1) AS v FROM g4),
+f AS (SELECT *, (SELECT v FROM k1) * e1 + (SELECT v FROM k2) * bc + (SELECT v FROM k3) * cc + (SELECT v FROM k4) * rc AS fit FROM g4)
+SELECT {snap('1 - sum((yc - fit) * (yc - fit)) / sum(yc * yc)', 4)} AS r_squared,
+  {snap('avg(y) - (SELECT v FROM k1) * avg(a) - (SELECT v FROM k2) * avg(b) - (SELECT v FROM k3) * avg(c) - (SELECT v FROM k4) * avg(r)', 4)} AS intercept,
+  count(*) AS n_observations, CAST(NULL AS VARCHAR) AS error,
+  {snap('(SELECT v FROM k1)', 6)} AS coeff_avg_temp_c, {snap('(SELECT v FROM k2)', 6)} AS coeff_total_hdd,
+  {snap('(SELECT v FROM k3)', 6)} AS coeff_total_cdd, {snap('(SELECT v FROM k4)', 6)} AS coeff_total_rainfall_mm
+FROM f
+"""),
+    "province_performance_view": with_views(PROVINCE_YEARS_VIEW, f"""
+SELECT n.n_name AS province_name_en, r.r_name AS headquarter, pe.report_year,
+  pe.annual_consumption_gwh_2023 AS annual_consumption_gwh, pe.per_capita_kwh_2023 AS per_capita_kwh,
+  pe.electrification_pct_2021 AS electrification_pct, pe.system_loss_pct,
+  rank() OVER (PARTITION BY report_year ORDER BY pe.per_capita_kwh_2023 DESC NULLS LAST) AS rank_per_capita,
+  rank() OVER (PARTITION BY report_year ORDER BY pe.electrification_pct_2021 DESC NULLS LAST) AS rank_electrification,
+  {snap('pe.annual_consumption_gwh_2023 * 1e6 * 8.5 / 1e6', 2)} AS estimated_revenue_npr_mn
+FROM province_years pe JOIN nation n ON n.n_nationkey = pe.province_id JOIN region r ON r.r_regionkey = n.n_regionkey
+"""),
+    "province_performance": with_views(PROVINCE_YEARS_VIEW, f"""
 SELECT n.n_name AS province_name_en, pe.electrification_pct_2021 AS electrification_pct,
   pe.per_capita_kwh_2023 AS per_capita_kwh, pe.annual_consumption_gwh_2023 AS annual_consumption_gwh,
-  pe.system_loss_pct,
+  pe.system_loss_pct, {snap('pe.annual_consumption_gwh_2023 * pe.system_loss_pct / 100', 2)} AS estimated_loss_gwh,
+  {snap('pe.annual_consumption_gwh_2023 * 1e6 * 8.5 / 1e6', 2)} AS estimated_revenue_npr_mn,
   rank() OVER (ORDER BY pe.per_capita_kwh_2023 DESC NULLS FIRST) AS rank_per_capita,
   rank() OVER (ORDER BY pe.electrification_pct_2021 DESC NULLS FIRST) AS rank_electrification,
   rank() OVER (ORDER BY pe.system_loss_pct ASC NULLS LAST) AS rank_efficiency
-FROM province pe JOIN nation n ON n.n_nationkey = pe.province_id
+FROM province_years pe JOIN nation n ON n.n_nationkey = pe.province_id
 WHERE pe.report_year = 2023
 """),
     "composite_rank": with_views(PROVINCE_VIEW, f""",
@@ -267,11 +303,11 @@ SELECT province_name, province_id, electrification_pct_2021,
   {snap('electrification_pct_2021 - avg(electrification_pct_2021) OVER ()', 2)} AS gap_vs_national_avg_pp
 FROM province
 """),
-    "electrification_gap_sql": with_views(PROVINCE_VIEW, f"""
-SELECT province_name, electrification_pct_2021 AS electrification_pct, households_2021 AS households,
+    "electrification_gap_sql": with_views(PROVINCE_YEARS_VIEW, f"""
+SELECT n_name AS province_name_en, electrification_pct_2021 AS electrification_pct, households_2021 AS households,
   CAST({snap('households_2021 * (1 - electrification_pct_2021 / 100)', 0, 'half_up')} AS INTEGER) AS unelectrified_hh,
   {snap('households_2021 * (1 - electrification_pct_2021 / 100) * 25000 / 1000000', 2, 'half_up')} AS est_connection_cost_npr_mn
-FROM province
+FROM province_years JOIN nation ON n_nationkey = province_id WHERE report_year = 2023
 """),
     "system_losses": with_views(PROVINCE_VIEW, f""",
 a AS (SELECT province_id, province_name, annual_consumption_gwh_2023, system_loss_pct, transmission_lines_km,
@@ -291,12 +327,14 @@ SELECT *, {snap('energy_lost_gwh * 1e6 * 9.0 / 1e6', 2)} AS revenue_lost_npr_mn,
        {snap('recoverable_gwh * 1e6 * 9.0 / 1e6', 2)} AS recoverable_revenue_npr_mn
 FROM a
 """),
-    "loss_opportunity": with_views(PROVINCE_VIEW, f"""
-SELECT province_name, system_loss_pct,
+    "loss_opportunity": with_views(PROVINCE_YEARS_VIEW, f"""
+SELECT n_name AS province_name_en, system_loss_pct,
+  {snap('annual_consumption_gwh_2023 * system_loss_pct / 100', 2)} AS estimated_loss_gwh,
+  {snap(snap('annual_consumption_gwh_2023 * system_loss_pct / 100', 3) + ' * 1e6 * 9.0 / 1e6', 2)} AS revenue_lost_npr_mn,
   {exact('greatest(0.0, system_loss_pct - 15.0)')} AS excess_loss_pp,
   {snap('annual_consumption_gwh_2023 * greatest(0.0, system_loss_pct - 15.0) / 100', 3, 'half_up')} AS recoverable_gwh,
   {snap('annual_consumption_gwh_2023 * greatest(0.0, system_loss_pct - 15.0) / 100 * 9', 2, 'half_up')} AS recoverable_npr_mn
-FROM province
+FROM province_years JOIN nation ON n_nationkey = province_id WHERE report_year = 2023
 """),
     "inequality_gini": f"""
 WITH x AS (

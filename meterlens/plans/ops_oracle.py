@@ -217,7 +217,9 @@ SELECT event_id, ts, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
   (json_valid(props) IS NOT TRUE) AS malformed
 FROM events
 """,
-    "stream_ingest_parity": with_views(METER_VIEW, 'SELECT DISTINCT meter_id, "timestamp" FROM meter'),
+    "stream_ingest_parity": with_views(METER_VIEW, """
+SELECT "timestamp", meter_id, consumer_type, consumption_kwh, voltage_v, power_factor, read_at, reading_id FROM meter
+QUALIFY row_number() OVER (PARTITION BY meter_id, "timestamp" ORDER BY reading_id) = 1"""),
     "stream_hourly_load": with_views(METER_VIEW, f"""
 SELECT "timestamp" AS hour_start, consumer_type, {snap(f'sum({KWH})', 6)} AS total_kwh,
   {snap('avg(voltage_v)', 6)} AS avg_voltage, {snap('avg(power_factor)', 6)} AS avg_pf, count(*) AS readings

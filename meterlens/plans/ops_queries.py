@@ -46,7 +46,7 @@ def q_upsert_merge(spark, sf):
     orders = read_table(spark, sf, "orders")
     stored = S.clean_annual(national_annual(orders.filter(F.col("o_orderdate") < "1999-01-01")))
     batch = S.clean_annual(national_annual(orders.filter(F.col("o_orderdate") >= "1998-01-01")))
-    merged = L.upsert(stored, batch, ["fiscal_year"], ANNUAL_UPDATE)
+    merged = L.upsert(stored, batch, ["fiscal_year"], ANNUAL_UPDATE, [F.col("fiscal_year")])
     return merged.drop("loaded_at")
 
 
@@ -60,7 +60,7 @@ def q_upsert_monthly(spark, sf):
         return S.monthly_trends(S.clean_monthly(national_monthly(o)))
     stored = trends(orders.filter(F.col("o_orderdate") < "1999-01-01"))
     batch = trends(orders.filter(F.col("o_orderdate") >= "1998-06-01"))
-    return L.upsert(stored, batch, ["year", "month"], MONTHLY_UPDATE).drop("loaded_at")
+    return L.upsert(stored, batch, ["year", "month"], MONTHLY_UPDATE, [F.col("date")]).drop("loaded_at")
 
 
 def q_append_new_only(spark, sf):
@@ -224,9 +224,15 @@ def _stream_base(spark):
 
 
 def q_stream_ingest_parity(spark, sf):
-    out = ST.run_dir(_stream_base(spark), "ingest")
-    df = ST.ingest_deduplicated(spark, sf, out)
-    return df.select("meter_id", "timestamp")
+    """Two triggers of one job: the newer half of the events arrives first, the
+    older half afterwards."""
+    job = ST.run_dir(_stream_base(spark), "ingest")
+    events, cut = read_table(spark, sf, "events"), F.to_timestamp_ntz(F.lit("2024-01-15"))
+    for late in (False, True):
+        part = events.filter(F.col("ts") < cut if late else (F.col("ts") >= cut) | F.col("ts").isNull())
+        part.write.mode("append").parquet(f"{job}/landed")
+        out = ST.ingest_deduplicated(spark, f"{job}/landed", job, pattern="part-*.parquet")
+    return out
 
 
 def q_stream_hourly_load(spark, sf):

@@ -281,6 +281,14 @@ province AS (
   FROM province_raw
 )"""
 
+# the same facts for two report years; the earlier one with a tenth less consumption
+PROVINCE_YEARS_VIEW = PROVINCE_VIEW + f""",
+province_years AS (
+  SELECT * FROM province
+  UNION ALL
+  SELECT * REPLACE (2022 AS report_year, {snap('annual_consumption_gwh_2023 * 0.9', 6)} AS annual_consumption_gwh_2023) FROM province
+)"""
+
 POPULATION_VIEW = f"""
 population AS (
   SELECT c_nationkey AS province_id, {snap('avg(c_acctbal)', 6)} AS per_capita_income_usd,

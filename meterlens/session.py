@@ -1,9 +1,6 @@
 """Session helpers: a local session for tests/bench and checkpoint-dir lookup.
 
-Library code never creates a session; it receives one.  ``checkpoint_dir``
-reads ``spark.checkpoint.dir`` from the running session (the shared folder a
-cluster names) and only falls back to a caller-given folder when unset, as in
-tests.
+Library code never creates a session; it receives one.
 """
 
 from __future__ import annotations
@@ -34,35 +31,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The session's ``spark.checkpoint.dir``; set ``fallback`` only when unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d
-    if fallback is None:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; configure a shared folder for the cluster")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
-
-
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a fresh scratch folder only
-    when the session names none (local runs and tests)."""
+    """The session's ``spark.checkpoint.dir``, the folder that a cluster's
+    executors share.  A local master that names none (tests) gets one scratch
+    folder a session; any other session must name it."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="meterlens-ckpt-"))
+    sc = spark.sparkContext
+    if not d:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        if not hasattr(sc, "_meterlens_checkpoints"):
+            sc._meterlens_checkpoints = tempfile.mkdtemp(prefix="meterlens-ckpt-")
+        d = sc._meterlens_checkpoints
+    sc.setCheckpointDir(d)
+    return d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's checkpoint folder (never a local
-    checkpoint).  A session without ``spark.checkpoint.dir`` (local runs,
-    tests) gets a fresh scratch folder."""
-    d = checkpoint_folder(df.sparkSession)
-    df.sparkSession.sparkContext.setCheckpointDir(d)
+    checkpoint)."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,14 +1,13 @@
 """Raw file sources of the metering data model.
 
-Every CSV is read with a declared schema (no inference) in PERMISSIVE mode;
-malformed rows land in ``_corrupt_record``.  Inline literal tables (S7)
-load through ``spark.createDataFrame`` with a declared schema.
+Every CSV is read with a declared schema (no inference) in PERMISSIVE mode; a
+row that does not fit keeps its text in ``_corrupt_record``.  Paths are asked
+for through Spark, so any file system that Spark reads will do.
 """
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +48,8 @@ METER_SCHEMA = (
     "timestamp timestamp_ntz, meter_id string, consumer_type string, consumption_kwh double, "
     "voltage_v double, power_factor double, apparent_power_kva double")
 
+CORRUPT = "_corrupt_record"
+
 # dataset name -> (declared schema, source label)
 DATASETS = {
     "annual": (ANNUAL_SCHEMA, "annual report"),
@@ -63,8 +64,19 @@ DATASETS = {
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").option("encoding", "UTF-8")
-            .schema(schema).csv(path))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("encoding", "UTF-8").schema(f"{schema}, {CORRUPT} string").csv(path))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds anything at ``path``, in whatever file system."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def extract(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -99,12 +111,20 @@ def meter_file(spark: SparkSession, path: str, start: str | None = None,
     return df
 
 
-def extract_bundle(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """The named raw datasets whose files exist (lazy DataFrames)."""
-    return {name: extract(spark, path, name) for name, path in paths.items()
-            if name in DATASETS and os.path.exists(path)}
+def extract_bundle(spark: SparkSession, paths: dict[str, str],
+                   optional: set[str] = frozenset()) -> dict[str, DataFrame]:
+    """The named raw datasets as lazy DataFrames.  A dataset whose path is
+    missing is an error, unless it is ``optional``: then it is left out."""
+    unknown = sorted(set(paths) - set(DATASETS))
+    if unknown:
+        raise KeyError(f"unknown datasets: {unknown}")
+    there = {name: path_exists(spark, path) for name, path in paths.items()}
+    missing = sorted(n for n, found in there.items() if not found and n not in optional)
+    if missing:
+        raise FileNotFoundError(f"no data at {', '.join(f'{n}: {paths[n]}' for n in missing)}")
+    return {name: extract(spark, path, name) for name, path in paths.items() if there[name]}
 
 
 def stored_or(spark: SparkSession, path: str, fallback: DataFrame) -> DataFrame:
     """Use a stored Parquet table when it exists, else the recomputed plan."""
-    return spark.read.parquet(path) if os.path.exists(path) else fallback
+    return spark.read.parquet(path) if path_exists(spark, path) else fallback

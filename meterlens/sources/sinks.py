@@ -1,8 +1,9 @@
 """Sinks: versioned Parquet tables, table loads, CSV exports.
 
-Parquet has no in-place update, so each merge result is appended as a new
-``version=`` partition of the table folder and readers take the newest
-version (partition pruning).  A job never overwrites the folder it reads.
+Parquet has no in-place update, so each merge result is written to a new
+``version=`` folder of the table, and a one-row pointer written after it names
+the version that readers take.  A job never overwrites the folder it reads, and
+a version that was not finished is never read.
 """
 
 from __future__ import annotations
@@ -17,15 +18,19 @@ INTERNAL_COLS = ["extracted_at", "cleaned_at", "aggregated_at"]
 
 
 def write_version(df: DataFrame, table_dir: str, version: int | None = None) -> int:
+    """Write a version (again, if a try of the same number failed), then its pointer."""
     v = int(version if version is not None else time.time() * 1000)
-    df.withColumn("version", F.lit(v)).write.mode("append").partitionBy("version").parquet(table_dir)
+    df.write.mode("overwrite").parquet(f"{table_dir}/version={v}")
+    spark = df.sparkSession
+    spark.range(1).select(F.lit(v).cast("long").alias("version")).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{table_dir}/_pointers/{v}")
     return v
 
 
 def read_current(spark: SparkSession, table_dir: str) -> DataFrame:
-    all_v = spark.read.parquet(table_dir)
-    latest = all_v.agg(F.max("version")).first()[0]
-    return all_v.filter(F.col("version") == latest).drop("version")
+    """The newest finished version; the pointers are tiny, the versions unread."""
+    latest = spark.read.parquet(f"{table_dir}/_pointers/*").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{table_dir}/version={latest}")
 
 
 def prepare_for_load(df: DataFrame) -> DataFrame:
@@ -38,9 +43,12 @@ def prepare_for_load(df: DataFrame) -> DataFrame:
 
 def load_dataframe(df: DataFrame, path: str, if_exists: str = "append",
                    partition_by: list[str] | None = None) -> int:
-    """Write ``df`` (append / replace / fail) and return the row count,
-    measured by an ``Observation`` during the write (no second pass)."""
+    """Write ``df`` (append / replace / fail) and return the row count, measured
+    by an ``Observation`` during the write (no second pass).  An empty input is
+    skipped: nothing is written or replaced."""
     mode = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}[if_exists]
+    if df.isEmpty():
+        return 0
     obs = Observation("load")
     out = prepare_for_load(df).observe(obs, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode(mode)

@@ -2,9 +2,9 @@
 
 The reference ingests meter files as a daily batch; these run the same
 operators incrementally over a file source with ``trigger(availableNow=True)``
-so a scheduler can start them like a batch job.  Output and checkpoint
-folders live under the session's ``spark.checkpoint.dir`` (a shared folder on
-a cluster), never a machine-local temp folder.
+so a scheduler can start them like a batch job.  A job has one folder, given by
+the caller (the queries take one under the session's shared checkpoint folder):
+its table and its checkpoint stay there from trigger to trigger.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import instant_as_ntz, ntz_as_instant
+from ..operators.loads import append_new_only
+from ..sources.raw import path_exists
 from ..sources.tables import meter_readings
 
 KEYS = ["meter_id", "timestamp"]
@@ -36,45 +38,63 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events*.parqu
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
-def ingest_deduplicated(spark: SparkSession, folder: str, out_dir: str,
-                        watermark: str = "2 hours", pattern: str = "events*.parquet") -> DataFrame:
-    """File stream -> meter view -> key de-dup within the watermark -> Parquet.
+def ingest_deduplicated(spark: SparkSession, folder: str, job_dir: str,
+                        pattern: str = "events*.parquet") -> DataFrame:
+    """File stream -> meter view -> rows of new keys appended to the table.
 
-    Returns the batch view of the written table.
+    Each micro-batch goes through ``append_new_only`` against the stored table:
+    the first row per (meter, timestamp) stays, later ones are skipped, and a
+    late row is kept like any other, however old.  The table is partitioned by
+    day, and a batch is compared with its own range of days only.  A batch that
+    runs again after a failure finds its rows stored and adds none twice.
+    Returns the batch view of the table.
     """
-    m = _event_time(meter_readings(event_stream(spark, folder, pattern)))
-    d = m.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(KEYS)
-    q = (d.drop("event_time").writeStream.format("parquet")
-         .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_ckpt")
-         .trigger(availableNow=True).start())
+    target = f"{job_dir}/data"
+    day = F.to_date("timestamp")
+
+    def append(batch: DataFrame, _epoch: int) -> None:
+        rows = batch.withColumn("day", day)
+        low, high, n = rows.agg(F.min("day"), F.max("day"), F.count(F.lit(1))).first()
+        if not n:
+            return
+        if path_exists(batch.sparkSession, target):
+            stored = batch.sparkSession.read.schema(rows.schema).parquet(target)
+            stored = stored.filter(F.col("day").isNull() | F.col("day").between(low, high))
+        else:
+            stored = rows.limit(0)
+        new = append_new_only(stored, rows, KEYS, [F.col("reading_id")])
+        new.write.mode("append").partitionBy("day").parquet(target)
+
+    q = (meter_readings(event_stream(spark, folder, pattern)).writeStream.foreachBatch(append)
+         .option("checkpointLocation", f"{job_dir}/_ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{out_dir}/data")
+    return spark.read.parquet(target).drop("day")
 
 
-def hourly_load_stream(spark: SparkSession, folder: str, out_dir: str,
-                       watermark: str = "2 hours", pattern: str = "events*.parquet") -> DataFrame:
+def hourly_load_stream(spark: SparkSession, folder: str, job_dir: str,
+                       pattern: str = "events*.parquet") -> DataFrame:
     """Hourly system load over event time.
 
-    Complete output through ``foreachBatch`` (state = hours x types, bounded
-    by the calendar), so every window is emitted, including the last open
-    ones that append mode would hold back.
+    Each micro-batch is aggregated by (hour, type) and its sums and counts are
+    appended as one more part of the table (a folder per micro-batch, rewritten
+    if the batch runs again); readers add the parts up.  So a trigger writes
+    what it has read, not the whole history, late rows count, and no state grows.
     """
-    src = _event_time(meter_readings(event_stream(spark, folder, pattern)))
-    agg = (src.withWatermark("event_time", watermark)
-           .groupBy(F.window("event_time", "1 hour").alias("w"), "consumer_type")
-           .agg(F.sum("consumption_kwh").alias("total_kwh"), F.avg("voltage_v").alias("avg_voltage"),
-                F.avg("power_factor").alias("avg_pf"), F.count(F.lit(1)).alias("readings")))
-    target = f"{out_dir}/data"
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.select(instant_as_ntz("w.start").alias("hour_start"), "consumer_type",
-                     "total_kwh", "avg_voltage", "avg_pf", "readings") \
-            .write.mode("overwrite").parquet(target)
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", f"{out_dir}/_ckpt").trigger(availableNow=True).start())
+    target = f"{job_dir}/data"
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        part = batch.groupBy(F.col("timestamp").alias("hour_start"), "consumer_type").agg(
+            F.sum("consumption_kwh").alias("kwh"), F.sum("voltage_v").alias("v"), F.count("voltage_v").alias("n_v"),
+            F.sum("power_factor").alias("pf"), F.count("power_factor").alias("n_pf"), F.count(F.lit(1)).alias("n"))
+        part.write.mode("overwrite").parquet(f"{target}/batch={epoch}")
+
+    q = (meter_readings(event_stream(spark, folder, pattern)).writeStream.foreachBatch(write)
+         .option("checkpointLocation", f"{job_dir}/_ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(target)
+    parts = spark.read.option("basePath", target).parquet(target)
+    return parts.groupBy("hour_start", "consumer_type").agg(
+        F.sum("kwh").alias("total_kwh"), F.try_divide(F.sum("v"), F.sum("n_v")).alias("avg_voltage"),
+        F.try_divide(F.sum("pf"), F.sum("n_pf")).alias("avg_pf"), F.sum("n").alias("readings"))
 
 
 def low_consumption_sessions(meters: DataFrame, gap: str = "2 hours") -> DataFrame:

@@ -50,6 +50,13 @@ def test_range_join_open_ended(spark):
                                   "code string, rate double, effective_from timestamp_ntz, effective_to timestamp_ntz")
     got = {r.id: r.rate for r in L.range_join(facts, rates, "code", "at").collect()}
     assert got == {1: 8.0, 2: 9.0, 3: 9.0, 4: None}
+    # a rate after the last fact, one before the first, and an end far in the future
+    more = rates.unionByName(spark.createDataFrame(
+        [("D", 99.0, dt.datetime(2030, 1, 1), None), ("D", 1.0, dt.datetime(1999, 1, 1), dt.datetime(1999, 6, 1)),
+         ("X", 7.0, dt.datetime(2000, 1, 1), dt.datetime(9999, 12, 31))], rates.schema))
+    got = {r.id: r.rate for r in L.range_join(facts, more, "code", "at").collect()}
+    assert got == {1: 8.0, 2: 9.0, 3: 9.0, 4: 7.0}
+    assert L.range_join(facts.filter("id = 0"), more, "code", "at").count() == 0
 
 
 def test_validation_checks_thresholds(spark):

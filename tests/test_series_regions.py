@@ -172,3 +172,34 @@ def test_gini_cases(spark):
     assert got["b"].gini_coefficient == round(((2 * i - 3 - 1) * vals).sum() / (3 * vals.sum()), 4)
     assert got["b"].max_label == "z" and got["b"].ratio_max_to_min is None
     assert "c" not in got
+
+
+def test_ols_with_a_constant_feature_equals_lstsq(spark):
+    import numpy as np
+
+    from meterlens.operators.weather import ols_regression
+    r = np.random.default_rng(5)
+    a, b = r.normal(20, 4, 40), r.normal(100, 30, 40)
+    y = 3 + 0.2 * a - 0.05 * b + r.normal(0, 0.1, 40)
+    for c in (np.full(40, 5.0), 2 * a - 1, np.zeros(40), r.normal(size=40)):
+        rows = [tuple(map(float, x)) for x in zip(y, a, b, c)]
+        df = spark.createDataFrame(rows + [(None, 1.0, 1.0, 1.0)], "total_gwh double, a double, b double, c double")
+        got = ols_regression(df, features=["a", "b", "c"]).first()
+        want = np.linalg.lstsq(np.column_stack([np.ones(40), a, b, c]), y, rcond=None)[0]
+        assert np.allclose([got.intercept, got.coeff_a, got.coeff_b, got.coeff_c], want, atol=6e-5)
+        assert got.n_observations == 40
+
+
+def test_report_year_and_dimension_are_joined_once(spark):
+    from meterlens.operators import regions as R
+    fact = spark.createDataFrame([(1, "x", y, 100.0, 20.0, 50.0, 200.0, 1000) for y in (2022, 2023)],
+                                 "province_id int, province_name string, report_year int, annual_consumption_gwh_2023 double, "
+                                 "system_loss_pct double, electrification_pct_2021 double, per_capita_kwh_2023 double, households_2021 int")
+    dim = spark.createDataFrame([(1, "East", "Town")], "province_id int, province_name_en string, headquarter string")
+    for f in (R.electrification_gap_sql, R.loss_opportunity_sql, R.province_performance_sql):
+        assert [r.province_name_en for r in f(fact, dim).collect()] == ["East"]
+    loss = R.loss_opportunity_sql(fact, dim).first()
+    assert (loss.estimated_loss_gwh, loss.revenue_lost_npr_mn, loss.recoverable_gwh) == (20.0, 180.0, 5.0)
+    view = R.province_performance_view(fact, dim).collect()
+    assert sorted(r.report_year for r in view) == [2022, 2023] and {r.headquarter for r in view} == {"Town"}
+    assert view[0].estimated_revenue_npr_mn == 850.0

@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterlens.operators import series as S
@@ -29,7 +30,9 @@ def test_raw_csv_declared_schema_and_annual_derivations(spark):
     paths = {"annual": _write(d, "annual.csv", ANNUAL_CSV),
              "province_electricity": _write(d, "province.csv", PROVINCE_CSV),
              "weather": os.path.join(d, "missing.csv")}
-    bundle = raw.extract_bundle(spark, paths)
+    with pytest.raises(FileNotFoundError):
+        raw.extract_bundle(spark, paths)
+    bundle = raw.extract_bundle(spark, {k: f"file://{p}" for k, p in paths.items()}, optional={"weather"})
     assert set(bundle) == {"annual", "province_electricity"}
     s = S.annual_summary(S.clean_annual(bundle["annual"])).orderBy("fiscal_year").collect()
     assert [r.fiscal_year for r in s] == ["2015/16", "2016/17"]     # trimmed, sorted
@@ -38,7 +41,22 @@ def test_raw_csv_declared_schema_and_annual_derivations(spark):
     assert s[1].trade_balance_gwh == -1140.0
     p = {r.province_id: r for r in bundle["province_electricity"].collect()}
     assert p[1].major_projects == "Plant A, Plant B, Plant C" and p[1].province_name_np == "पूर्व"
-    assert p[2].area_sq_km is None                                   # malformed field -> NULL
+    assert p[2].area_sq_km is None and "not-a-number" in p[2]._corrupt_record  # the bad row's text is kept
+    assert p[1]._corrupt_record is None
+
+
+def test_stored_or_and_weather_range(spark):
+    d = tempfile.mkdtemp(prefix="ml-stored-")
+    fallback = spark.range(2)
+    assert raw.stored_or(spark, f"file://{d}/none", fallback).count() == 2
+    spark.range(5).write.parquet(f"{d}/there")
+    assert raw.stored_or(spark, f"file://{d}/there", fallback).count() == 5
+    head = raw.WEATHER_SCHEMA.split(", ")
+    names = [h.split()[0] for h in head]
+    rows = [["2024-01-0%d" % k, "ST"] + ["x" if "string" in h else "1" for h in head[2:]] for k in (1, 2, 3)]
+    path = _write(d, "w.csv", "\n".join([",".join(names), *[",".join(r) for r in rows]]) + "\n")
+    got = raw.load_weather(spark, path, "2024-01-02", "2024-01-03")
+    assert [str(r.date) for r in got.orderBy("date").collect()] == ["2024-01-02", "2024-01-03"]
 
 
 def test_versioned_table_and_load_count(spark):
@@ -49,9 +67,14 @@ def test_versioned_table_and_load_count(spark):
                                              "fiscal_year string, v double"), t, 2)
     assert (v1, v2) == (1, 2)
     assert sorted(tuple(r) for r in read_current(spark, t).collect()) == [("2015/16", 2.0), ("2016/17", 3.0)]
+    write_version(spark.createDataFrame([("2015/16", 4.0)], "fiscal_year string, v double"), t, 2)  # a retry replaces
+    assert [tuple(r) for r in read_current(spark, t).collect()] == [("2015/16", 4.0)]
+    spark.range(3).write.parquet(f"{t}/version=9")                                                # unfinished: no pointer
+    assert read_current(spark, t).columns == ["fiscal_year", "v"]
     df = spark.createDataFrame([(1, float("nan"), "x"), (2, 1.0, "y")], "id int, v double, cleaned_at string")
     n = load_dataframe(df, os.path.join(base, "facts"), "replace")
     back = spark.read.parquet(os.path.join(base, "facts"))
+    assert load_dataframe(df.limit(0), os.path.join(base, "facts"), "replace") == 0   # empty input replaces nothing
     assert n == 2 and "cleaned_at" not in back.columns
     assert back.filter(F.col("v").isNull()).count() == 1
     export_csv(back, os.path.join(base, "export"), single_file=True)

@@ -5,6 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from meterlens.operators import meters as M
+from meterlens.session import checkpoint_folder
 from meterlens.sources.tables import meter_readings
 from meterlens.streaming import ingest as ST
 
@@ -16,7 +17,7 @@ def _write(spark, folder, rows):
 
 
 def test_incremental_ingest_dedupes_across_batches(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
+    base = checkpoint_folder(spark)
     src = tempfile.mkdtemp(prefix="ml-src-")
     out = ST.run_dir(base, "test-ingest")
     t = dt.datetime(2024, 1, 1, 10, 5)
@@ -34,11 +35,37 @@ def test_incremental_ingest_dedupes_across_batches(spark):
                     (7, dt.datetime(2024, 1, 1, 12))]
 
 
+def test_late_files_are_kept_and_batches_are_not_stored_twice(spark):
+    base = checkpoint_folder(spark)
+    src, job = tempfile.mkdtemp(prefix="ml-src-"), ST.run_dir(base, "test-late")
+    t = dt.datetime(2024, 1, 20)
+    _write(spark, src, [(10, t, 1, "click", 3.0, '{"k": 50}'), (11, t, None, "view", 4.0, '{"k": 9}')])
+    ST.ingest_deduplicated(spark, src, job, pattern="part-*.parquet")
+    _write(spark, src, [(1, dt.datetime(2023, 5, 1), 1, "click", 7.0, '{"k": 1}'), (2, t, 1, "click", 8.0, '{"k": 2}'),
+                        (3, t, None, "view", 8.0, '{"k": 2}')])
+    got = ST.ingest_deduplicated(spark, src, job, pattern="part-*.parquet")
+    assert sorted(r.reading_id for r in got.collect()) == [1, 10, 11]
+    assert got.columns == meter_readings(spark.read.parquet(src)).columns
+    again = ST.ingest_deduplicated(spark, src, job, pattern="part-*.parquet")
+    assert again.count() == 3
+
+
+def test_hourly_stream_adds_up_over_triggers(spark):
+    base = checkpoint_folder(spark)
+    src, job = tempfile.mkdtemp(prefix="ml-src-"), ST.run_dir(base, "test-hours")
+    t = dt.datetime(2024, 1, 1, 5, 30)
+    for k in (2, 1):
+        _write(spark, src, [(k, t, k, "click", 10.0 * k, '{"k": %d}' % (10 * k))])
+        got = ST.hourly_load_stream(spark, src, job, pattern="part-*.parquet")
+    r = got.collect()
+    assert len(r) == 1 and (r[0].total_kwh, r[0].avg_voltage, r[0].readings) == (30.0, 185.0, 2)
+
+
 def test_hourly_stream_matches_batch(spark):
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
         return
-    out = ST.run_dir(spark.conf.get("spark.checkpoint.dir"), "test-hourly")
+    out = ST.run_dir(checkpoint_folder(spark), "test-hourly")
     s = ST.hourly_load_stream(spark, sf, out)
     b = (meter_readings(spark.read.parquet(f"{sf}/events.parquet"))
          .groupBy(F.col("timestamp").alias("hour_start"), "consumer_type")
