@@ -48,12 +48,19 @@ def duplicate_keys(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
                  F.count(F.lit(1)).alias("violations"))
 
 
-def orphans(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose foreign key has no parent (anti join)."""
-    o = child.select(fk).filter(F.col(fk).isNotNull()).join(
-        parent.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return o.agg(F.lit(table).alias("table_name"), F.lit(f"foreign_key({fk})").alias("check_name"),
-                 F.count(F.lit(1)).alias("violations"))
+def table_audit(df: DataFrame, table: str, references: dict[str, tuple[DataFrame, str]] | None = None,
+                rules: dict[str, Column] | None = None) -> DataFrame:
+    """Foreign keys and CHECK / NOT NULL rules of one table, all counted in one
+    pass: the child is joined with each parent's distinct keys, then one
+    aggregate counts the rows that fail each test.  ``references``: foreign key
+    -> (parent, its key); a NULL foreign key refers to nothing and passes."""
+    x, tests = df, {}
+    for fk, (parent, pk) in (references or {}).items():
+        keys = parent.select(F.col(pk).alias(f"_p_{fk}")).filter(F.col(f"_p_{fk}").isNotNull()).distinct()
+        x = x.join(keys, F.col(fk) == F.col(f"_p_{fk}"), "left")
+        tests[f"foreign_key({fk})"] = F.col(fk).isNull() | F.col(f"_p_{fk}").isNotNull()
+    tests.update(rules or {})
+    return rule_violations(x, table, tests)
 
 
 def rule_violations(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
@@ -132,12 +139,12 @@ def metric_rows(df: DataFrame, name: str, value: Column, labels: dict[str, Colum
                      (ts if ts is not None else F.lit(None)).cast("timestamp_ntz").alias("ts"))
 
 
-def latest_metrics(events: DataFrame) -> DataFrame:
-    """Q5 ``set`` semantics: last value per (name, labels) by timestamp.
-    Labels are compared as a sorted key string (maps are not groupable)."""
+def latest_metrics(events: DataFrame, tie: str = "value") -> DataFrame:
+    """Q5 ``set`` semantics: last value per (name, labels) by timestamp (by
+    ``tie`` among equal ones).  Labels are compared as a sorted key string (maps are not groupable)."""
     key = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels"))))
     return (events.withColumn("_k", key).groupBy("name", "_k")
-            .agg(F.max_by("value", F.struct("ts")).alias("value"),
+            .agg(F.max_by("value", F.struct("ts", tie)).alias("value"),
                  F.first("labels").alias("labels"), F.max("ts").alias("ts"))
             .drop("_k"))
 
@@ -147,20 +154,38 @@ def increment_totals(events: DataFrame) -> DataFrame:
     return events.groupBy("name").agg(F.sum("value").alias("value"))
 
 
-def check_alerts(metrics: DataFrame, rules: list[tuple[str, float, str]] | None = None) -> DataFrame:
-    """Q3: metric rows JOIN rule table; a breach is strictly greater.
-    The rule table is a literal of a few rows, so broadcasting it is bounded."""
+def check_alerts(metrics: DataFrame, rules: list[tuple[str, float, str]] | None = None,
+                 min_quality: float | None = None) -> DataFrame:
+    """Q3: metric rows JOIN rule table; a breach is strictly greater, or, for
+    ``min_quality``, a data quality strictly below it.  The rule table is a
+    literal of a few rows, so broadcasting it is bounded."""
     spark = metrics.sparkSession
-    r = spark.createDataFrame(rules or ALERT_RULES, "name string, threshold double, severity string")
+    rows = [(*r, True) for r in (rules or ALERT_RULES)]
+    if min_quality is not None:
+        rows.append(("data_quality_pct", min_quality, "WARNING", False))
+    r = spark.createDataFrame(rows, "name string, threshold double, severity string, above boolean")
     j = metrics.join(F.broadcast(r), "name")
-    return j.filter(F.col("value") > F.col("threshold")).select(
+    return j.filter(F.when(F.col("above"), F.col("value") > F.col("threshold")).otherwise(
+        F.col("value") < F.col("threshold"))).select(
         "severity", F.col("name").alias("metric"), "value", "threshold", "labels")
 
 
-def quality_alerts(quality: DataFrame, min_pct: float = 95.0) -> DataFrame:
-    return quality.filter(F.col("value") < min_pct).select(
-        F.lit("WARNING").alias("severity"), F.col("name").alias("metric"), "value",
-        F.lit(min_pct).alias("threshold"), "labels")
+# Colour bands of the dashboard's panels (start of band, colour).
+PANELS = {
+    "pipeline_status": [(0.0, "red"), (1000.0, "yellow"), (10000.0, "green")],
+    "peak_demand_mw": [(0.0, "green"), (2000.0, "yellow"), (2500.0, "red")],
+    "system_loss_pct": [(0.0, "green"), (18.0, "yellow"), (22.0, "red")],
+    "data_quality_pct": [(0.0, "red"), (90.0, "yellow"), (95.0, "green")],
+    "pipeline_duration_minutes": [(0.0, "green"), (60.0, "yellow"), (120.0, "red")],
+}
+
+
+def panel_colours(metrics: DataFrame) -> DataFrame:
+    """Q6: the panel colour of every metric that has a panel."""
+    colour = F.lit(None).cast("string")
+    for name, bands in PANELS.items():
+        colour = F.when(F.col("name") == name, panel_band(F.col("value"), bands, bands[0][1])).otherwise(colour)
+    return metrics.filter(F.col("name").isin(list(PANELS))).withColumn("colour", colour)
 
 
 def panel_band(value: Column, bands: list[tuple[float, str]], base: str = "green") -> Column:

@@ -1,14 +1,12 @@
 """Report numbers and dashboard feeds: daily summary, monthly/yearly report
 totals, dashboard export, pipeline-run listing.
 
-Report outputs are long (section, metric, value) tables built by unpivoting
-one-row aggregates and unioning them -- no joins between scalars.
+Report outputs are long (section, metric, value) tables: each one-row aggregate
+is computed once and exploded into its rows -- no joins between scalars.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,20 +15,14 @@ from ..functions.exprs import exact, snap
 AVG_TARIFF = 9.0
 
 
-def _long(df: DataFrame, section: str, numeric: list[str], text: list[str] | None = None) -> DataFrame:
-    """One-row frame -> rows (section, metric, value_num, value_text)."""
-    frames = []
-    if numeric:
-        n = df.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
-            [], numeric, "metric", "value_num")
-        frames.append(n.select(F.lit(section).alias("section"), "metric", "value_num",
-                               F.lit(None).cast("string").alias("value_text")))
-    if text:
-        t = df.select(*[F.col(c).cast("string").alias(c) for c in text]).unpivot(
-            [], text, "metric", "value_text")
-        frames.append(t.select(F.lit(section).alias("section"), "metric",
-                               F.lit(None).cast("double").alias("value_num"), "value_text"))
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def _long(df: DataFrame, rows: list[tuple[str, str, str, bool]]) -> DataFrame:
+    """One-row frame -> rows (report, section, metric, value_num, value_text).
+    ``rows``: report, section, column, whether it is a number."""
+    cells = [F.struct(F.lit(report).alias("report"), F.lit(section).alias("section"), F.lit(c).alias("metric"),
+                      (F.col(c).cast("double") if number else F.lit(None).cast("double")).alias("value_num"),
+                      (F.lit(None).cast("string") if number else F.col(c).cast("string")).alias("value_text"))
+             for report, section, c, number in rows]
+    return df.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
 # ---------------------------------------------------------------- A20
@@ -73,30 +65,30 @@ def loss_totals(losses: DataFrame) -> DataFrame:
         F.min(loss).alias("lowest_loss_pct"))
 
 
-def monthly_report(monthly_trends: DataFrame, losses: DataFrame, year: int, month: int) -> DataFrame:
-    cur = monthly_trends.filter((F.col("year") == year) & (F.col("month") == month))
-    num = ["total_gwh", "peak_demand_mw", "load_factor_pct", "growth_rate_pct", "seasonal_index",
-           "total_gwh_3m_avg"]
-    lt = loss_totals(losses)
-    return (_long(cur, "current_month", num, ["month_name", "season", "fiscal_year"])
-            .unionByName(_long(lt, "system_losses",
-                               ["total_loss_gwh", "revenue_impact_npr_mn", "total_recoverable_gwh",
-                                "highest_loss_pct", "lowest_loss_pct"],
-                               ["highest_loss_province", "lowest_loss_province"]))
-            .withColumn("report", F.lit(f"monthly {year}-{month:02d}")))
-
-
-def yearly_report(annual_summary: DataFrame, losses: DataFrame, fiscal_year: str) -> DataFrame:
-    cur = annual_summary.filter(F.col("fiscal_year") == fiscal_year)
-    num = ["total_energy_gwh", "peak_demand_mw", "total_consumers", "per_capita_kwh",
-           "system_loss_pct", "total_energy_gwh_yoy_pct", "self_sufficiency_ratio", "load_factor_pct"]
-    lt = loss_totals(losses)
-    return (_long(cur, "fiscal_year", num, ["fiscal_year"])
-            .unionByName(_long(lt, "system_losses",
-                               ["total_loss_gwh", "revenue_impact_npr_mn", "total_recoverable_gwh"],
-                               ["highest_loss_province", "lowest_loss_province"]))
-            .withColumn("report", F.lit(f"yearly {fiscal_year}")))
+MONTH_NUMBERS = ["total_gwh", "peak_demand_mw", "load_factor_pct", "growth_rate_pct", "seasonal_index",
+                 "total_gwh_3m_avg"]
+MONTH_TEXTS = ["month_name", "season", "fiscal_year"]
+YEAR_NUMBERS = ["total_energy_gwh", "peak_demand_mw", "total_consumers", "per_capita_kwh",
+                "system_loss_pct", "total_energy_gwh_yoy_pct", "self_sufficiency_ratio", "load_factor_pct"]
+LOSS_NUMBERS = ["total_loss_gwh", "revenue_impact_npr_mn", "total_recoverable_gwh"]
+LOSS_RANGE = ["highest_loss_pct", "lowest_loss_pct"]
+LOSS_TEXTS = ["highest_loss_province", "lowest_loss_province"]
+
+
+def _cells(report: str, section: str, numbers: list[str], texts: list[str]) -> list[tuple[str, str, str, bool]]:
+    return [(report, section, c, True) for c in numbers] + [(report, section, c, False) for c in texts]
+
 
+def period_reports(monthly_trends: DataFrame, annual_summary: DataFrame, losses: DataFrame,
+                   year: int, month: int, fiscal_year: str) -> DataFrame:
+    """The monthly and the yearly report; the loss totals are computed once."""
+    m, y = f"monthly {year}-{month:02d}", f"yearly {fiscal_year}"
+    in_month = monthly_trends.filter((F.col("year") == year) & (F.col("month") == month))
+    in_year = annual_summary.filter(F.col("fiscal_year") == fiscal_year)
+    return (_long(in_month, _cells(m, "current_month", MONTH_NUMBERS, MONTH_TEXTS))
+            .unionByName(_long(in_year, _cells(y, "fiscal_year", YEAR_NUMBERS, ["fiscal_year"])))
+            .unionByName(_long(loss_totals(losses), _cells(m, "system_losses", LOSS_NUMBERS + LOSS_RANGE, LOSS_TEXTS)
+                               + _cells(y, "system_losses", LOSS_NUMBERS, LOSS_TEXTS))))
 
 
 # ---------------------------------------------------------------- S22

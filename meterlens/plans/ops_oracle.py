@@ -81,35 +81,6 @@ batch AS (SELECT * FROM meter WHERE "timestamp" >= TIMESTAMP '2024-01-15 00:00:0
           QUALIFY row_number() OVER (PARTITION BY meter_id, "timestamp" ORDER BY reading_id) = 1)
 SELECT b.* FROM batch b
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.meter_id = b.meter_id AND s."timestamp" = b."timestamp")
-"""),
-    "constraint_audit": with_views(METER_VIEW, """
-SELECT 'orders' AS table_name, 'unique(o_orderkey)' AS check_name, count(*) AS violations
-  FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'lineitem', 'unique(l_orderkey, l_linenumber)', count(*)
-  FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
-UNION ALL SELECT 'customer', 'unique(c_custkey)', count(*)
-  FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'meter_readings', 'unique(meter_id, timestamp)', count(*)
-  FROM (SELECT meter_id, "timestamp" FROM meter GROUP BY 1, 2 HAVING count(*) > 1)
-UNION ALL SELECT 'lineitem', 'foreign_key(l_orderkey)', count(*) FROM lineitem
-  WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)
-UNION ALL SELECT 'lineitem', 'foreign_key(l_suppkey)', count(*) FROM lineitem
-  WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL)
-UNION ALL SELECT 'lineitem', 'foreign_key(l_partkey)', count(*) FROM lineitem
-  WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL)
-UNION ALL SELECT 'orders', 'foreign_key(o_custkey)', count(*) FROM orders
-  WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)
-UNION ALL SELECT 'customer', 'foreign_key(c_nationkey)', count(*) FROM customer
-  WHERE c_nationkey IS NOT NULL AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey IS NOT NULL)
-UNION ALL SELECT 'supplier', 'foreign_key(s_nationkey)', count(*) FROM supplier
-  WHERE s_nationkey IS NOT NULL AND s_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey IS NOT NULL)
-UNION ALL SELECT 'meter_readings', 'hour_between_0_23', count(*) FILTER (WHERE NOT COALESCE(hour("timestamp") BETWEEN 0 AND 23, false)) FROM meter
-UNION ALL SELECT 'meter_readings', 'meter_id_not_null', count(*) FILTER (WHERE meter_id IS NULL) FROM meter
-UNION ALL SELECT 'meter_readings', 'consumption_non_negative', count(*) FILTER (WHERE NOT COALESCE(consumption_kwh >= 0, false)) FROM meter
-UNION ALL SELECT 'meter_readings', 'voltage_in_180_260', count(*) FILTER (WHERE NOT COALESCE(voltage_v BETWEEN 180 AND 260, false)) FROM meter
-UNION ALL SELECT 'meter_readings', 'power_factor_in_0_1', count(*) FILTER (WHERE NOT COALESCE(power_factor BETWEEN 0 AND 1, false)) FROM meter
-UNION ALL SELECT 'lineitem', 'discount_in_0_1', count(*) FILTER (WHERE NOT COALESCE(l_discount BETWEEN 0 AND 1, false)) FROM lineitem
-UNION ALL SELECT 'lineitem', 'quantity_positive', count(*) FILTER (WHERE NOT COALESCE(l_quantity > 0, false)) FROM lineitem
 """),
     "validation_checks": with_views(ANNUAL_VIEW + "," + CLEAN_VIEW + "," + PROVINCE_VIEW + "," + MONTHLY_VIEW.replace("\nmonthly_g", "\nmonthly_g", 1), f""",
 d AS (SELECT total_energy_gwh - lag(total_energy_gwh) OVER (ORDER BY fiscal_year) AS dd FROM annual)
@@ -246,6 +217,12 @@ _PROFILE_COLS = {
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
 }
 ORACLE["table_profiles"] = " UNION ALL ".join(
     f"SELECT '{t}' AS dataset, count(*) AS rows, {len(cols)} AS columns, "
@@ -338,3 +315,82 @@ SELECT {snap('arg_max(avg_daily_mwh, (year, month))', 1)} AS est_daily_mwh,
        {snap('arg_max(peak_demand_mw, (year, month))', 1)} AS est_peak_mw
 FROM monthly
 """)
+
+_UNIQUE = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
+           "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey, l_linenumber", "events": "event_id",
+           "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id",
+           "conversations": "conv_id, turn"}
+_FOREIGN = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("lineitem", "l_partkey", "part", "p_partkey"), ("orders", "o_custkey", "customer", "c_custkey"),
+            ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey")]
+_RULES = [("meter_readings", "meter", "hour_between_0_23", 'hour("timestamp") BETWEEN 0 AND 23'),
+          ("meter_readings", "meter", "meter_id_not_null", "meter_id IS NOT NULL"),
+          ("meter_readings", "meter", "consumption_non_negative", "consumption_kwh >= 0"),
+          ("meter_readings", "meter", "voltage_in_180_260", "voltage_v BETWEEN 180 AND 260"),
+          ("meter_readings", "meter", "power_factor_in_0_1", "power_factor BETWEEN 0 AND 1"),
+          ("lineitem", "lineitem", "discount_in_0_1", "l_discount BETWEEN 0 AND 1"),
+          ("lineitem", "lineitem", "quantity_positive", "l_quantity > 0")]
+ORACLE["constraint_audit"] = with_views(METER_VIEW, "\n" + "\nUNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, 'unique({k})' AS check_name, count(*) AS violations "
+     f"FROM (SELECT {k} FROM {t} GROUP BY ALL HAVING count(*) > 1)" for t, k in _UNIQUE.items()]
+    + ["SELECT 'meter_readings', 'unique(meter_id, timestamp)', count(*) "
+       'FROM (SELECT meter_id, "timestamp" FROM meter GROUP BY ALL HAVING count(*) > 1)']
+    + [f"SELECT '{c}', 'foreign_key({fk})', count(*) FROM {c} WHERE {fk} IS NOT NULL AND {fk} NOT IN "
+       f"(SELECT {pk} FROM {p} WHERE {pk} IS NOT NULL)" for c, fk, p, pk in _FOREIGN]
+    + [f"SELECT '{n}', '{rule}', count(*) FILTER (WHERE NOT COALESCE({test}, false)) FROM {t}" for n, t, rule, test in _RULES]))
+
+ORACLE["weather_payload_decode"] = f"""
+SELECT l_orderkey, l_linenumber, l_quantity AS avg_temp_c, l_quantity + 5 AS max_temp_c, l_quantity - 5 AS min_temp_c,
+  l_quantity - 1 AS feels_like_c, l_extendedprice AS humidity_pct,
+  CAST(round_even(l_linenumber * CAST(0.5 AS DOUBLE) * 3.6, 1) AS DOUBLE) AS wind_speed_kmh, l_discount AS cloud_cover_pct,
+  CASE WHEN l_linestatus = 'O' THEN l_tax ELSE 0.0 END AS rainfall_mm, l_returnflag AS weather_desc, false AS malformed
+FROM lineitem
+"""
+ORACLE["worldbank_payload_decode"] = f"""
+WITH g AS (SELECT o_orderpriority AS p, CAST(year(o_orderdate) AS INTEGER) AS year, {snap('avg(o_totalprice) / 1000', 4)} AS v
+           FROM orders GROUP BY 1, 2)
+SELECT year, v AS per_capita_kwh_wb, 'World Bank' AS source FROM g WHERE v IS NOT NULL AND NOT (p = '5-LOW' AND year % 2 = 0)
+"""
+ORACLE["load_stage"] = with_views(ANNUAL_VIEW + "," + MONTHLY_VIEW + "," + CLEAN_VIEW + "," + PROVINCE_VIEW, """,
+n AS (SELECT 'annual' AS table_name, count(*) AS rows_loaded, true AS again FROM annual
+  UNION ALL SELECT 'monthly', count(*), true FROM monthly UNION ALL SELECT 'smart_meter', count(*), false FROM clean
+  UNION ALL SELECT 'province', count(*), true FROM province UNION ALL SELECT 'weather', count(*), true FROM lineitem),
+r AS (SELECT 1 AS run, table_name, rows_loaded FROM n
+  UNION ALL SELECT 2, table_name, CASE WHEN again THEN rows_loaded ELSE 0 END FROM n)
+SELECT run, table_name, rows_loaded FROM r
+UNION ALL SELECT run, 'total', sum(rows_loaded)::BIGINT FROM r GROUP BY run
+UNION ALL SELECT 0, 'log:success', sum(rows_loaded)::BIGINT FROM r
+""")
+ORACLE["metric_state"] = with_views(ANNUAL_VIEW, f""",
+e AS (SELECT * FROM events WHERE ts IS NOT NULL),
+x AS (SELECT 'latest' AS kind, event_type AS name, arg_max(value, (ts, event_id)) AS value,
+        'unit=' || CAST(user_id % 5 AS VARCHAR) AS label FROM e GROUP BY event_type, user_id % 5
+  UNION ALL SELECT 'total', event_type, sum(value), '' FROM e GROUP BY event_type
+  UNION ALL SELECT 'stage', 'extraction_rows', count(*), 'source=' || event_type FROM e GROUP BY event_type
+  UNION ALL SELECT 'stage', 'extraction_duration', datesub('second', min(ts), max(ts)), 'source=' || event_type FROM e GROUP BY event_type
+  UNION ALL SELECT 'stage', 'load_rows', count(*), 'table=' || event_type FROM e GROUP BY event_type
+  UNION ALL SELECT 'stage', 'load_errors', count(*) FILTER (WHERE value < 1), 'table=' || event_type FROM e GROUP BY event_type
+  UNION ALL (SELECT 'stage', 'peak_demand_mw', peak_demand_mw, '' FROM annual ORDER BY fiscal_year DESC LIMIT 1))
+SELECT kind, name, {snap('value', 6)} AS value, label FROM x
+""")
+
+
+def _panel(bands) -> str:
+    return "CASE " + " ".join(f"WHEN value >= {start} THEN '{colour}'" for start, colour in reversed(bands)) + f" ELSE '{bands[0][1]}' END"
+
+
+ORACLE["panel_colours"] = (ORACLE["quality_and_alerts"].split(",\nrules AS")[0] + f""",
+r AS (SELECT event_type || '-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS run_id, min(ts) AS a, max(ts) AS b, count(*) AS n
+      FROM events GROUP BY event_type, CAST(ts AS DATE)),
+runs AS (SELECT *, date_diff('microsecond', a, b) / 60e6 AS minutes FROM r ORDER BY a DESC, run_id LIMIT 20),
+v AS (SELECT metric AS name, value, label FROM m UNION ALL SELECT 'pipeline_status', n, 'run=' || run_id FROM runs
+      UNION ALL SELECT 'pipeline_duration_minutes', minutes, 'run=' || run_id FROM runs)
+SELECT name, value, label, CASE name
+  WHEN 'pipeline_status' THEN {_panel([(0.0, "red"), (1000.0, "yellow"), (10000.0, "green")])}
+  WHEN 'peak_demand_mw' THEN {_panel([(0.0, "green"), (2000.0, "yellow"), (2500.0, "red")])}
+  WHEN 'system_loss_pct' THEN {_panel([(0.0, "green"), (18.0, "yellow"), (22.0, "red")])}
+  WHEN 'data_quality_pct' THEN {_panel([(0.0, "red"), (90.0, "yellow"), (95.0, "green")])}
+  ELSE {_panel([(0.0, "green"), (60.0, "yellow"), (120.0, "red")])} END AS colour
+FROM v
+""")

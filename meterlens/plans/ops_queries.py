@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from ..functions.exprs import snap
 from ..operators import dates as D
+from ..operators import load_stage as LS
 from ..operators import loads as L
 from ..operators import meters as M
 from ..operators import quality as Q
@@ -15,8 +16,8 @@ from ..operators import regions as R
 from ..operators import series as S
 from ..operators import summary as U
 from ..session import checkpoint_folder
-from ..sources.payloads import decode_props
-from ..sources.tables import EVENT_TYPE_BOUNDS, national_annual, read_table
+from ..sources.payloads import decode_props, decode_weather, decode_worldbank
+from ..sources.tables import EVENT_TYPE_BOUNDS, TABLES, national_annual, read_table, weather_observations
 from ..streaming import ingest as ST
 from .meter_queries import clean as clean_meters
 from .meter_queries import raw_meters
@@ -71,39 +72,39 @@ def q_append_new_only(spark, sf):
     return L.append_new_only(stored, batch, ["meter_id", "timestamp"], [F.col("reading_id")])
 
 
+KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
+        "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"],
+        "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"],
+        "labels": ["doc_id"], "conversations": ["conv_id", "turn"]}
+
+
 def q_constraint_audit(spark, sf):
     t = lambda n: read_table(spark, sf, n)
     meters = raw_meters(spark, sf)
-    checks = [
-        Q.duplicate_keys(t("orders"), "orders", ["o_orderkey"]),
-        Q.duplicate_keys(t("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]),
-        Q.duplicate_keys(t("customer"), "customer", ["c_custkey"]),
+    checks = [Q.duplicate_keys(t(n), n, keys) for n, keys in KEYS.items()]
+    checks += [
         Q.duplicate_keys(meters, "meter_readings", ["meter_id", "timestamp"]),
-        Q.orphans(t("lineitem"), "lineitem", "l_orderkey", t("orders"), "o_orderkey"),
-        Q.orphans(t("lineitem"), "lineitem", "l_suppkey", t("supplier"), "s_suppkey"),
-        Q.orphans(t("lineitem"), "lineitem", "l_partkey", t("part"), "p_partkey"),
-        Q.orphans(t("orders"), "orders", "o_custkey", t("customer"), "c_custkey"),
-        Q.orphans(t("customer"), "customer", "c_nationkey", t("nation"), "n_nationkey"),
-        Q.orphans(t("supplier"), "supplier", "s_nationkey", t("nation"), "n_nationkey"),
-        Q.rule_violations(meters, "meter_readings", {
+        Q.table_audit(t("lineitem"), "lineitem", {
+            "l_orderkey": (t("orders"), "o_orderkey"), "l_suppkey": (t("supplier"), "s_suppkey"),
+            "l_partkey": (t("part"), "p_partkey")}, {
+            "discount_in_0_1": F.col("l_discount").between(0, 1),
+            "quantity_positive": F.col("l_quantity") > 0}),
+        Q.table_audit(t("orders"), "orders", {"o_custkey": (t("customer"), "c_custkey")}),
+        Q.table_audit(t("customer"), "customer", {"c_nationkey": (t("nation"), "n_nationkey")}),
+        Q.table_audit(t("supplier"), "supplier", {"s_nationkey": (t("nation"), "n_nationkey")}),
+        Q.table_audit(t("nation"), "nation", {"n_regionkey": (t("region"), "r_regionkey")}),
+        Q.table_audit(meters, "meter_readings", rules={
             "hour_between_0_23": F.hour("timestamp").between(0, 23),
             "meter_id_not_null": F.col("meter_id").isNotNull(),
             "consumption_non_negative": F.col("consumption_kwh") >= 0,
             "voltage_in_180_260": F.col("voltage_v").between(180, 260),
-            "power_factor_in_0_1": F.col("power_factor").between(0, 1),
-        }),
-        Q.rule_violations(t("lineitem"), "lineitem", {
-            "discount_in_0_1": F.col("l_discount").between(0, 1),
-            "quantity_positive": F.col("l_quantity") > 0,
-        }),
+            "power_factor_in_0_1": F.col("power_factor").between(0, 1)}),
     ]
     return Q.constraint_audit(checks)
 
 
 def q_table_profiles(spark, sf):
-    frames = [Q.profile(read_table(spark, sf, n), n)
-              for n in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                        "events"]]
+    frames = [Q.profile(read_table(spark, sf, n), n) for n in TABLES]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -140,10 +141,8 @@ def _metrics(spark, sf):
 
 def q_quality_and_alerts(spark, sf):
     dq, other = _metrics(spark, sf)
-    alerts = Q.check_alerts(dq.unionByName(other)).unionByName(Q.quality_alerts(dq))
-    label = F.array_join(F.transform(F.map_entries("labels"),
-                                     lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
-    return alerts.select("severity", "metric", "value", "threshold", label.alias("label"),
+    alerts = Q.check_alerts(dq.unionByName(other), min_quality=95.0)
+    return alerts.select("severity", "metric", "value", "threshold", label_text().alias("label"),
                          Q.panel_band(F.col("value") / F.col("threshold"),
                                       [(0.9, "orange"), (1.0, "red")]).alias("band"))
 
@@ -161,10 +160,82 @@ def q_daily_summary_fallback(spark, sf):
 
 
 def q_period_report(spark, sf):
-    losses = R.system_losses_by_province(provinces(spark, sf))
-    m = U.monthly_report(S.monthly_trends(monthly(spark, sf)), losses, 1998, 6)
-    y = U.yearly_report(S.annual_summary(annual(spark, sf)), losses, "1998/99")
-    return m.unionByName(y)
+    return U.period_reports(S.monthly_trends(monthly(spark, sf)), S.annual_summary(annual(spark, sf)),
+                            R.system_losses_by_province(provinces(spark, sf)), 1998, 6, "1998/99")
+
+
+def q_panel_colours(spark, sf):
+    dq, other = _metrics(spark, sf)
+    runs = U.recent_runs(U.pipeline_runs_from_events(read_table(spark, sf, "events")), 20)
+    run = {"run": F.col("run_id")}
+    metrics = (dq.unionByName(other).unionByName(Q.metric_rows(runs, "pipeline_status", F.col("records_loaded"), run))
+               .unionByName(Q.metric_rows(runs, "pipeline_duration_minutes", F.col("duration_minutes"), run)))
+    return Q.panel_colours(metrics).select("name", "value", label_text().alias("label"), "colour")
+
+
+def label_text():
+    return F.array_join(F.transform(F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+
+
+def q_load_stage(spark, sf):
+    """Two runs of the load stage on the same batch; the second finds all
+    readings stored.  Rows per table and run, and the run log's totals."""
+    base = ST.run_dir(_stream_base(spark), "load")
+    frames = {"annual": annual(spark, sf), "monthly": S.monthly_trends(monthly(spark, sf)),
+              "smart_meter": clean_meters(spark, sf), "province": provinces(spark, sf),
+              "weather": weather_observations(read_table(spark, sf, "lineitem"))}
+    out = None
+    for run in (1, 2):
+        part = LS.load_totals(spark, LS.run_load(spark, frames, base)).withColumn("run", F.lit(run))
+        out = part if out is None else out.unionByName(part)
+    log = spark.read.parquet(f"{base}/pipeline_runs").groupBy("status").agg(F.sum("records_loaded").alias("rows_loaded"))
+    return out.select("run", "table_name", "rows_loaded").unionByName(
+        log.select(F.lit(0).alias("run"), F.concat(F.lit("log:"), F.col("status")).alias("table_name"), "rows_loaded"))
+
+
+def q_metric_state(spark, sf):
+    """Q4 and Q5: extraction, load and peak metrics of the tables; the last value
+    by labels and the running total of metric events."""
+    events = read_table(spark, sf, "events").filter(F.col("ts").isNotNull())
+    stream = events.select(F.col("event_type").alias("name"), "value", F.create_map(
+        F.lit("unit"), (F.col("user_id") % 5).cast("string")).alias("labels"), "ts", "event_id")
+    latest = Q.latest_metrics(stream, "event_id").select(F.lit("latest").alias("kind"), "name", "value", "labels")
+    total = Q.increment_totals(stream).select(F.lit("total").alias("kind"), "name", "value",
+                                              F.create_map().cast("map<string,string>").alias("labels"))
+    extracted = events.groupBy(F.col("event_type").alias("source")).agg(
+        F.count(F.lit(1)).alias("rows"), F.timestamp_diff("SECOND", F.min("ts"), F.max("ts")).alias("seconds"))
+    loaded = events.groupBy(F.col("event_type").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("rows_loaded"), F.count_if(F.col("value") < 1).alias("errors"))
+    stage = LS.stage_metrics(extracted, loaded, annual(spark, sf)).select(F.lit("stage").alias("kind"), "name", "value", "labels")
+    return latest.unionByName(total).unionByName(stage).select(
+        "kind", "name", snap("value", 6).alias("value"), label_text().alias("label"))
+
+
+def q_weather_payload_decode(spark, sf):
+    """S11 over payloads built from line items: rain only where the line is open."""
+    li = read_table(spark, sf, "lineitem")
+    rain = F.when(F.col("l_linestatus") == "O", F.struct(F.col("l_tax").alias("1h")))
+    payload = F.to_json(F.struct(
+        F.struct(F.col("l_quantity").alias("temp"), (F.col("l_quantity") + 5).alias("temp_max"),
+                 (F.col("l_quantity") - 5).alias("temp_min"), (F.col("l_quantity") - 1).alias("feels_like"),
+                 F.col("l_extendedprice").alias("humidity")).alias("main"),
+        F.struct((F.col("l_linenumber") * 0.5).alias("speed")).alias("wind"),
+        F.struct(F.col("l_discount").alias("all")).alias("clouds"), rain.alias("rain"),
+        F.array(F.struct(F.col("l_returnflag").alias("description"))).alias("weather")))
+    return decode_weather(li.select("l_orderkey", "l_linenumber", payload.alias("payload")))
+
+
+def q_worldbank_payload_decode(spark, sf):
+    """S10 over one ``[meta, rows]`` payload an order priority: a row a year, no
+    value where the year is even and the priority low."""
+    orders = read_table(spark, sf, "orders")
+    g = orders.groupBy("o_orderpriority", F.year("o_orderdate").alias("y")).agg(
+        snap(F.avg("o_totalprice") / 1000, 4).alias("v"))
+    value = F.when(~((F.col("o_orderpriority") == "5-LOW") & (F.col("y") % 2 == 0)), F.col("v"))
+    rows = g.groupBy("o_orderpriority").agg(F.collect_list(F.struct(  # a row a year: bounded by the calendar
+        F.col("y").cast("string").alias("date"), value.alias("value"))).alias("r"))
+    payload = F.concat(F.lit('[{"page": 1}, '), F.to_json("r"), F.lit("]"))
+    return decode_worldbank(rows.select(payload.alias("payload")))
 
 
 def q_dashboard_export(spark, sf):
@@ -269,6 +340,11 @@ QUERIES = {
     "dashboard_import_export": q_dashboard_import_export,
     "tariff_asof": q_tariff_asof,
     "json_payload_decode": q_json_payload_decode,
+    "weather_payload_decode": q_weather_payload_decode,
+    "worldbank_payload_decode": q_worldbank_payload_decode,
+    "load_stage": q_load_stage,
+    "metric_state": q_metric_state,
+    "panel_colours": q_panel_colours,
     "stream_ingest_parity": q_stream_ingest_parity,
     "stream_hourly_load": q_stream_hourly_load,
     "stream_sessions": q_stream_sessions,

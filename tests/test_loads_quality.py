@@ -110,3 +110,47 @@ def test_worldbank_payload_decode(spark):
                                         {"date": "2013", "value": 120.0}]])
     out = decode_worldbank(spark.createDataFrame([(payload,)], "payload string")).collect()
     assert [(r.year, r.per_capita_kwh_wb) for r in out] == [(2013, 120.0), (2015, 131.5)]
+
+
+def test_load_stage_merges_skips_and_logs(spark):
+    import tempfile
+
+    import pytest
+
+    from meterlens.operators import load_stage as LS
+    from meterlens.sources.sinks import read_current
+    base = tempfile.mkdtemp(prefix="ml-load-")
+    annual = spark.createDataFrame([("2015/16", 1.0, 10.0, float("nan"))], "fiscal_year string, total_energy_gwh double, peak_demand_mw double, x double")
+    m = "meter_id string, timestamp timestamp_ntz, kwh double, reading_id long"
+    t0 = dt.datetime(2024, 1, 5)
+    meters = spark.createDataFrame([("A", t0, 1.0, 2), ("A", t0, 2.0, 1), (None, t0, 3.0, 3)], m)
+    assert LS.run_load(spark, {"annual": annual, "smart_meter": meters}, base) == {"annual": 1, "smart_meter": 2}
+    later = spark.createDataFrame([("2015/16", 5.0, 50.0, 1.0), ("2016/17", 6.0, 60.0, 1.0)], annual.schema)
+    old = spark.createDataFrame([("A", t0, 9.0, 9), (None, t0, 9.0, 9), ("A", t0 - dt.timedelta(days=900), 4.0, 4)], m)
+    assert LS.run_load(spark, {"annual": later, "smart_meter": old}, base) == {"annual": 2, "smart_meter": 1}
+    got = {r.fiscal_year: r for r in read_current(spark, f"{base}/annual").collect()}
+    assert got["2015/16"].total_energy_gwh == 5.0 and got["2015/16"].x is None and len(got) == 2
+    stored = spark.read.parquet(f"{base}/smart_meter")
+    assert sorted(r.reading_id for r in stored.collect()) == [1, 3, 4]
+    with pytest.raises(Exception):
+        LS.run_load(spark, {"annual": later, "smart_meter": later}, base)
+    log = spark.read.parquet(f"{base}/pipeline_runs").orderBy("start_time").collect()
+    assert [(r.status, r.records_loaded) for r in log] == [("success", 3), ("success", 3), ("failed", 2)]
+    assert log[2].error_message and LS.run_load(spark, {"annual": later.limit(0)}, base) == {"annual": 0}
+
+
+def test_table_audit_counts_each_test_once(spark):
+    child = spark.createDataFrame([(1, 5, 0.5), (2, 9, 2.0), (None, 5, None), (7, None, 0.1)], "a int, b int, v double")
+    pa = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    pb = spark.createDataFrame([(5,)], "k int")
+    got = {r.check_name: r.violations for r in Q.table_audit(
+        child, "t", {"a": (pa, "k"), "b": (pb, "k")}, {"v_small": F.col("v") < 1}).collect()}
+    assert got == {"foreign_key(a)": 1, "foreign_key(b)": 1, "v_small": 2}
+
+
+def test_panel_colours_and_quality_floor(spark):
+    m = spark.createDataFrame([("system_loss_pct", 17.9), ("system_loss_pct", 18.0), ("system_loss_pct", 22.0), ("data_quality_pct", 94.9),
+                               ("pipeline_duration_minutes", 120.0), ("other", 1.0)], "name string, value double").withColumn("labels", F.create_map().cast("map<string,string>"))
+    got = [(r.name, r.value, r.colour) for r in Q.panel_colours(m).collect()]
+    assert [c for _, _, c in got] == ["green", "yellow", "red", "yellow", "red"]
+    assert [(r.metric, r.value) for r in Q.check_alerts(m, min_quality=95.0).collect()] == [("data_quality_pct", 94.9)]
