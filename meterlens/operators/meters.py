@@ -34,6 +34,7 @@ CONSUMPTION_BOUNDS = {
 }
 VOLTAGE_MIN, VOLTAGE_MAX = 180.0, 260.0
 SCALE = 4_950_000 / 100
+SUSPECT_FLAG = "Possible 2-hour outage"  # fixed value
 
 TS, METER, TYPE, KWH, VOLT, PF, RID = (
     "timestamp", "meter_id", "consumer_type", "consumption_kwh", "voltage_v",
@@ -335,7 +336,7 @@ def outage_suspects(clean: DataFrame) -> DataFrame:
              .filter((F.col(f"_last.{KWH}") == 0) & (F.col("_next") == 0))
              .select(METER, F.col(f"_last.{TS}").alias(TS)))
     return inside.unionByName(edges).select(METER, F.col(TS).alias("suspected_outage_start"),
-                                            F.lit("Possible 2-hour outage").alias("flag"))
+                                            F.lit(SUSPECT_FLAG).alias("flag"))
 
 
 # ---------------------------------------------------------------- K1

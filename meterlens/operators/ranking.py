@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .sequence import null_safe_join
@@ -79,40 +78,3 @@ def rank_within_groups(df: DataFrame, group: list[str], order: list[Column],
     if size_col:
         out = out.withColumn(size_col, F.col("_rk_size"))
     return out.drop("_rk_g", "_rk_first", "_rk_size")
-
-
-def running_total(df: DataFrame, order: list[Column], weight: str, out_col: str = "_before",
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``out_col`` = sum of ``weight`` (a non-negative integer column) over
-    all rows strictly before each row in ``order`` (a total order).
-
-    Same cut as ``global_rank`` (range partitions stored once); the running
-    sum inside each partition is computed on Arrow batches with numpy
-    (``mapInPandas`` keeps the partition and its row order), and the
-    per-partition totals become a broadcast offset table of ``n`` rows.
-    """
-    import numpy as np
-
-    n = _num_partitions(df, num_partitions)
-    stored = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
-    with_pid = stored.withColumn(_PID, F.spark_partition_id())
-    totals = with_pid.groupBy(_PID).agg(F.sum(weight).alias(_CNT))
-    w = Window.orderBy(_PID)  # one row per range partition: bounded by n
-    offsets = totals.select(_PID, F.coalesce(
-        F.sum(_CNT).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
-
-    def local(batches):
-        carried = 0
-        for pdf in batches:
-            wts = pdf[weight].to_numpy(dtype="int64")
-            sums = np.cumsum(wts)
-            pdf[out_col] = sums - wts + carried
-            carried += int(sums[-1]) if len(sums) else 0
-            yield pdf
-
-    # a new StructType: .add() would mutate the DataFrame's cached schema
-    schema = T.StructType(list(with_pid.schema.fields) + [T.StructField(out_col, T.LongType())])
-    scanned = with_pid.mapInPandas(local, schema)
-    return (scanned.join(F.broadcast(offsets), _PID)
-            .withColumn(out_col, (F.col(out_col) + F.col(_OFF)).cast("long"))
-            .drop(_PID, _OFF))

@@ -25,8 +25,11 @@ DOMESTIC_TARIFF = 8.5
 AVG_TARIFF = 9.0
 CONNECTION_COST_NPR = 25_000
 LOSS_TARGET = 15.0
+# Population extras of J2; measures of the composite rank (and whether low is good).
 POP_COLS = ["province_id", "per_capita_income_usd", "gdp_contribution_pct",
             "avg_household_size", "urban_pct", "literacy_rate_pct"]
+COMPOSITE = [("per_capita_kwh_2023", False), ("electrification_pct_2021", False),
+             ("system_loss_pct", True), ("installed_capacity_mw_2023", False)]
 
 
 # ---------------------------------------------------------------- F5
@@ -122,9 +125,7 @@ def province_performance_view(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- W8
 def composite_rank(df: DataFrame) -> DataFrame:
-    spec = [("per_capita_kwh_2023", False), ("electrification_pct_2021", False),
-            ("system_loss_pct", True), ("installed_capacity_mw_2023", False)]
-    spec = [(c, a) for c, a in spec if c in df.columns]
+    spec = [(c, a) for c, a in COMPOSITE if c in df.columns]
     out = df
     names = []
     for c, asc in spec:

@@ -54,6 +54,7 @@ def clean_annual(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A9 / W2
+# Output columns of the annual summary, in order.
 ANNUAL_SUMMARY_COLS = [
     "fiscal_year", "total_energy_gwh", "domestic_gwh", "industrial_gwh", "commercial_gwh",
     "irrigation_gwh", "peak_demand_mw", "total_consumers", "per_capita_kwh", "system_loss_pct",

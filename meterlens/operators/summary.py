@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import exact, snap
 
+# Average tariff (NPR/kWh), note of a day without readings.
 AVG_TARIFF = 9.0
+NO_DATA = "No smart meter data found for "
 
 
 def _long(df: DataFrame, rows: list[tuple[str, str, str, bool]]) -> DataFrame:
@@ -36,7 +38,7 @@ def daily_summary(peak_calendar: DataFrame, report_date: str) -> DataFrame:
                 snap(F.avg("avg_pf"), 3).alias("avg_pf"))
     return a.select(F.lit(report_date).cast("date").alias("report_date"),
                     "total_kwh", "peak_kwh", "avg_kwh", "avg_pf",
-                    F.when(F.col("_n") == 0, F.concat(F.lit("No smart meter data found for "),
+                    F.when(F.col("_n") == 0, F.concat(F.lit(NO_DATA),
                                                       F.lit(report_date))).alias("note"))
 
 

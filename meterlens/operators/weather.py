@@ -22,6 +22,8 @@ from ..functions.exprs import clip, exact, safe_div, snap
 
 HDD_BASE, CDD_BASE = 18.0, 24.0
 REFERENCE_STATION = "KTM001"
+# Weather variables, regression features and the message of a short input.
+SHORT_INPUT = "Insufficient data for regression"
 CORR_VARS = ["avg_temp_c", "max_temp_c", "avg_humidity_pct", "total_rainfall_mm",
              "total_hdd", "total_cdd", "temp_demand_index"]
 OLS_FEATURES = ["avg_temp_c", "total_hdd", "total_cdd", "total_rainfall_mm"]
@@ -185,7 +187,7 @@ def ols_regression(df: DataFrame, target: str = "total_gwh",
               + ", ".join(f"coeff_{c} double" for c in feats))
     if n < min_rows:
         return spark.createDataFrame(
-            [(None, None, n, "Insufficient data for regression", *[None] * len(feats))], schema)
+            [(None, None, n, SHORT_INPUT, *[None] * len(feats))], schema)
     full = np.zeros((len(names), len(names)))
     for i, j in pairs:
         full[i, j] = full[j, i] = sums[f"s{i}_{j}"]

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlens.operators.quantiles import exact_percentiles, grouped_percentiles
-from meterlens.operators.ranking import running_total
 
 
 def _data(spark):
@@ -22,15 +21,6 @@ def _data(spark):
     return spark.createDataFrame(rows, "g string, v double")
 
 
-def test_running_total_matches_cumsum(spark):
-    df = spark.createDataFrame([(i, (i * 7) % 5) for i in range(500)], "k long, w long")
-    got = {r.k: r._before for r in running_total(df, [F.col("k")], "w", num_partitions=9).collect()}
-    acc = 0
-    for i in range(500):
-        assert got[i] == acc
-        acc += (i * 7) % 5
-
-
 def test_percentiles_equal_builtin(spark):
     df = _data(spark)
     probs = {"p95": 0.95, "p05": 0.05, "p50": 0.5, "p90": 0.9}

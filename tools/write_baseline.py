@@ -18,7 +18,7 @@ def main() -> None:
     out = [f"## Ours (round {rnd})\n",
            "Machine: `local[8]`, one JVM, 16 GB driver memory, shuffle partitions 8 (sf0.1) / 64 (x100), AQE on. "
            "Commands: `python bench.py` (sf0.1), `python tools/scale_events.py /root/testdata/sf0.1 DIR 100` + "
-           "`python tools/scale_run.py DIR 64 compare` (x100).  Times include building the plan (and any eager "
+           "`python tools/scale_run.py DIR 64` (x100).  Times include building the plan (and any eager "
            "step) and executing it in full into the `noop` sink.\n",
            "### Pipeline (the reference's end-to-end ETL run: extract -> clean -> transform -> aggregate -> export -> validate)\n",
            "| Input | Outputs | Cold run | Warm runs (median) | Reference (inferred, 72k meter rows, unknown hardware) |",
@@ -30,16 +30,8 @@ def main() -> None:
            "| Query (SURVEY §7.2) | sf0.1 seconds | x100 events seconds |", "|---|---|---|"]
     out += [f"| `{k}` | {v} | {s100.get(k, '')} |" for k, v in x1["seconds"].items()]
     out += ["",
-            f"Skew modes on the x100 table: `outage_islands` window {s100['outage_islands_window']} s, chunked "
-            f"{s100['outage_islands_chunked']} s, auto {s100['outage_islands']} s; `meter_features` window "
-            f"{s100['meter_features_window']} s, chunked {s100['meter_features_chunked']} s, auto "
-            f"{s100['meter_features']} s.  On one machine the hot meter (3.3 M raw rows) still fits one task, so the "
-            "plain window is fastest here; auto mode pays one count pass and a second, filtered branch so that on a "
-            "cluster no task holds a whole hot meter.  `meter_features` finds hot-meter candidates on the raw scan "
-            "(cheap, an upper bound) and confirms them on the cleaned rows of those meters only.\n",
-            "Exact percentiles on the x100 table (`hourly_load_profile`, warm): built-in `percentile` 19.6 s, "
-            "distributed `exact_percentiles` 35.9 s (stored range cut + running counts); `auto` uses the distributed "
-            "path only for groups above 1,000,000 rows, where one task would otherwise merge the whole group.\n",
+            "One path runs at every size: chunked rolling means, outages stitched from meter-days, percentiles by "
+            "ranges; no task holds a whole hot meter or group.\n",
             "### Every driver query at sf0.1 (one run each)\n",
             "| Query | s | Query | s | Query | s |", "|---|---|---|---|---|---|"]
     items = sorted(q.items())
