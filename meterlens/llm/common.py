@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_folder, cut_lineage
+
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -36,17 +38,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``.  A folder of its own is made
-    only for a local master that names none (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    sc = spark.sparkContext
-    if not hasattr(sc, "_meterlens_shared"):
-        sc._meterlens_shared = tempfile.mkdtemp(prefix="meterlens-shared-")
-    return sc._meterlens_shared
+    """The folder that the driver and all executors share."""
+    return checkpoint_folder(spark).rstrip("/")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -58,11 +51,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder."""
-    sc = df.sparkSession.sparkContext
-    sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+checkpoint = cut_lineage  # reliable, in the shared folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ is the smallest that holds the ``PERCENTILE`` share of its differences; the
 others are exceptions.  The index gives random access (``read_range``).
 
 Encoding splits a text at ASCII white space and looks the pieces up in a cache
-of ids (distinct pieces are encoded in batches by the library).  This equals
+of ids (new distinct pieces are encoded in batches by the library).  This equals
 encoding the whole text only for a tokenizer that drops white space and treats
 what lies between it independently, so the tokenizer's own description is
 checked first; any other tokenizer gets the whole texts.
@@ -37,6 +37,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -45,26 +46,54 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, ship, slices, text_rows
+from .common import shared_folder, ship, slices, span_hashes, text_rows, utf8
 
 END_ID, BLOCK_IDS, SEGMENT_IDS, PERCENTILE = 2, 128, 1 << 18, 0.9
-CACHE_PIECES = 300_000
+CACHE_PIECES, TABLE_BITS, LONGEST_KNOWN, JOINED = 1_200_000, 21, 1024, 200
 SLICE_BYTES = 4 << 20
 MAGIC, VERSION = b"PFR1", 1
 HEADER = struct.Struct("<4sIQIII")
 
 
 class PieceEncoder:
-    """Ids of texts whose pieces between separators encode independently."""
+    """Ids of texts whose pieces between separators encode independently.
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], split: Callable[[pa.Array], pa.Array]) -> None:
+    Distinct pieces of a batch are looked up in a table by 64-bit hash (one
+    place a hash, the last piece wins it); only the others are encoded.  The
+    table and its ids start anew after ``CACHE_PIECES`` pieces.  Pieces over
+    ``LONGEST_KNOWN`` bytes are never looked up."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], split: Callable[[pa.Array], pa.Array]) -> None:
         self.encode, self.split = encode, split
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.key, self.number = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.int32)
         self.flat, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The entry of each distinct piece."""
+        data, offsets = utf8(pieces)
+        base = int(offsets[0])
+        data, offsets = data[base:int(offsets[-1])], offsets - base
+        h = span_hashes(data, offsets[:-1], offsets[1:])
+        slot = (h & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+        short = np.diff(offsets) <= LONGEST_KNOWN
+        new = np.flatnonzero((self.key[slot] != h) | ~short | (h == 0))
+        if not len(new):
+            return self.number[slot]
+        if len(self.start) + len(new) > CACHE_PIECES and len(self.start) > 1:
+            self._clear()
+            new = np.arange(len(h))
+        out = self.number[slot].astype(np.int64)
+        out[new] = len(self.start) - 1 + np.arange(len(new))
+        ids, size = self.encode(pieces.take(pa.array(new)).to_pylist())
+        self.flat = np.concatenate([self.flat, ids])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        kept = new[short[new]]
+        self.key[slot[kept]], self.number[slot[kept]] = h[kept], out[kept]
+        return out
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each row)."""
         lists = self.split(texts)
@@ -72,18 +101,7 @@ class PieceEncoder:
         if not len(pieces):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > CACHE_PIECES:
-            self._clear()
-        new = [p for p in distinct if p not in self.known]
-        if new:
-            got = self.encode(new)
-            self.known.update(zip(new, range(len(self.start) - 1, len(self.start) - 1 + len(new))))
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            more = np.fromiter((i for ids in got for i in ids), np.int32, int(size.sum()))
-            self.flat = np.concatenate([self.flat, more])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[np.asarray(coded.indices)]
+        number = self._numbers(coded.dictionary)[np.asarray(coded.indices)]
         size = self.start[number + 1] - self.start[number]
         ends = np.cumsum(size)
         ids = self.flat[np.arange(int(ends[-1])) + np.repeat(self.start[number] - (ends - size), size)]
@@ -91,6 +109,31 @@ class PieceEncoder:
         return ids, np.diff(bounds)
 
 
+def encode_whole(library, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, ids of each text), each text by itself."""
+    rows = [e.ids for at in range(0, len(texts), 20_000)
+            for e in library.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False)]
+    size = np.fromiter(map(len, rows), np.int64, len(rows))
+    return np.fromiter((i for r in rows for i in r), np.int32, int(size.sum())), size
+
+
+def encode_joined(library, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``encode_whole`` for independent pieces, many to a text: joined by
+    spaces, and the ids given back to the pieces by their places."""
+    ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    groups = [pieces[at:at + JOINED] for at in range(0, len(pieces), JOINED)]
+    for at in range(0, len(groups), 100):
+        some = groups[at:at + 100]
+        for e, group in zip(library.encode_batch([" ".join(g) for g in some], add_special_tokens=False), some):
+            begin = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
+            begin = np.r_[-1, begin[:-1] - 1]  # a piece's ids may begin at the space before it
+            got = np.array(e.ids, np.int32)
+            place = np.fromiter((a for a, _ in e.offsets), np.int64, len(got))
+            ids.append(got)
+            sizes.append(np.bincount(np.searchsorted(begin, place, side="right") - 1, minlength=len(group)))
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
 def pieces_are_independent(spec: dict) -> bool:
     """Whether a tokenizer's description drops white space and treats the
     pieces between it one by one."""
@@ -107,27 +150,26 @@ def pieces_are_independent(spec: dict) -> bool:
     return plain and drops and added and spec.get("post_processor") is None
 
 
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
 def text_encoder(description: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
-    """An encoder for a tokenizer given as the text of its JSON file."""
+    """An encoder for a tokenizer given as the text of its JSON file; one is
+    kept in each worker process, so its table serves later tasks too."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
     os.environ.setdefault("RAYON_NUM_THREADS", "2")
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_str(description)
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for at in range(0, len(texts), 20_000):
-            out += [e.ids for e in library.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False)]
-        return out
-
-    if pieces_are_independent(json.loads(description)):
-        def split(texts: pa.Array) -> pa.Array:
-            lists = pc.ascii_split_whitespace(texts)
-            return _without_empty(lists)
-
-        return PieceEncoder(encode, split)
-    return PieceEncoder(encode, lambda texts: pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32), texts))
+    if description not in _ENCODERS:
+        library = Tokenizer.from_str(description)
+        if pieces_are_independent(json.loads(description)):
+            made = PieceEncoder(partial(encode_joined, library), lambda t: _without_empty(pc.ascii_split_whitespace(t)))
+        else:
+            made = PieceEncoder(partial(encode_whole, library),
+                                lambda t: pa.ListArray.from_arrays(np.arange(len(t) + 1, dtype=np.int32), t))
+        _ENCODERS.clear()
+        _ENCODERS[description] = made
+    return _ENCODERS[description]
 
 
 def _without_empty(lists: pa.Array) -> pa.ListArray:
@@ -267,30 +309,33 @@ def write(docs: DataFrame, description: str, path: str, end_id: int = END_ID, pa
 
     def run(batches):
         encode = text_encoder(shared.value)
-        part, seq = TaskContext.get().partitionId(), 0
-        before, held, ids_held = 0, [], []
-
-        def image():
-            ids, sizes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            doc = pa.array([pa.concat_arrays(ids_held).to_pylist()], pa.list_(batch_type[0]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()),
-                 pa.array([len(ids)], pa.int64()), doc, pa.array([write_segment(ids, sizes)], pa.binary())],
-                ["part", "seq", "before", "n_tokens", "doc_ids", "image"]), len(ids)
-
-        batch_type = [None]
-        for rows in slices(batches, "text", 1 << 20):
-            batch_type[0] = rows.column("doc_id").type
+        part, seq, before = TaskContext.get().partitionId(), 0, 0
+
+        def segment(doc_ids, ids, sizes):
+            nonlocal seq, before
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()),
+                 pa.ListArray.from_arrays(np.array([0, len(doc_ids)], np.int32), doc_ids), pa.array([write_segment(ids, sizes)], pa.binary())],
+                ["part", "seq", "before", "n_tokens", "doc_ids", "image"])
+            seq, before = seq + 1, before + len(ids)
+            return out
+
+        held = None  # doc_ids, ids and sizes that do not fill a segment yet
+        for rows in slices(batches, "text", SLICE_BYTES):
             ids, size = encode(rows.column("text"))
-            ids = np.insert(ids, np.cumsum(size), end_id)
-            held.append((ids, size + 1))
-            ids_held.append(rows.column("doc_id"))
-            if sum(len(h[0]) for h in held) >= SEGMENT_IDS:
-                out, n = image()
-                yield out
-                before, seq, held, ids_held = before + n, seq + 1, [], []
-        if held:
-            yield image()[0]
+            ids, size, doc_ids = np.insert(ids, np.cumsum(size), end_id), size + 1, rows.column("doc_id")
+            if held is not None:
+                doc_ids, ids, size = pa.concat_arrays([held[0], doc_ids]), np.concatenate([held[1], ids]), np.concatenate([held[2], size])
+            ends, at = np.cumsum(size), 0
+            while at < len(size) and ends[-1] - (ends[at] - size[at]) >= SEGMENT_IDS:
+                first = ends[at] - size[at]
+                to = int(np.searchsorted(ends, first + SEGMENT_IDS)) + 1
+                yield segment(doc_ids.slice(at, to - at), ids[first:ends[to - 1]], size[at:to])
+                at = to
+            first = ends[at] - size[at] if at < len(size) else len(ids)
+            held = (doc_ids.slice(at), ids[first:], size[at:])
+        if held is not None and len(held[2]):
+            yield segment(*held)
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = text_rows(docs, "doc_id")
