@@ -31,6 +31,8 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, slices, text_rows
-from .token_output import PieceEncoder
+from .common import ship, slices, text_rows, utf8
+from .token_output import PieceEncoder, encode_joined, encode_whole
 
 MARK = "▁"
 SLICE_BYTES = 2 << 20
@@ -158,13 +160,44 @@ class Codec:
         self.by_words = plain and self.model.dummy_prefix and self.model.cuts_at_spaces()
         names = "|".join(re.escape(p) for p, _, kind in self.model.pieces if kind in (UNKNOWN, CONTROL))
         self.spelled = rf"{names}|<0x[0-9A-F]{{2}}>" if self.model.kind == UNIGRAM else None
-        self.words = PieceEncoder(self._whole, lambda t: pc.split_pattern(t, " "))
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for at in range(0, len(texts), 20_000):
-            out += [e.ids for e in self.library.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False)]
-        return out
+        self.spelling = self._spellings()
+        self.words = PieceEncoder(partial(encode_joined, self.library), lambda t: pc.split_pattern(t, " "))
+
+    def _spellings(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that each piece stands for, end to end, and their ends."""
+        out = []
+        for p, _, kind in self.model.pieces:
+            out.append(bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode())
+        return np.frombuffer(b"".join(out), np.uint8), np.cumsum([0, *map(len, out)])
+
+    def restores(self, ids: np.ndarray, size: np.ndarray, texts: pa.Array) -> np.ndarray:
+        """Whether the ids of each row decode to its text.  Rows whose pieces
+        spell the text byte by byte do; the library decodes the others."""
+        data, offsets = utf8(texts)
+        data, offsets = data[int(offsets[0]):int(offsets[-1])], offsets - offsets[0]
+        letters, ends = self.spelling
+        n = (ends[1:] - ends[:-1])[ids]
+        upto = np.cumsum(n)
+        made = letters[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(ends[ids] - (upto - n), n)]
+        edge = np.r_[0, upto][np.cumsum(np.r_[0, size])]  # of the rows in ``made``
+        lead = np.zeros(len(size), np.int64)
+        if self.model.dummy_prefix and len(made):
+            first = np.minimum(edge[:-1], len(made) - 1)
+            lead = ((np.diff(edge) > 0) & (made[first] == 32)).astype(np.int64)
+        same = np.diff(edge) - lead == np.diff(offsets)
+        if len(made):
+            drop = np.ones(len(made), bool)
+            drop[edge[:-1][lead > 0]] = False
+            row = np.repeat(np.arange(len(size)), np.diff(edge) - lead)
+            fits = same[row]
+            kept = made[drop]
+            at = np.arange(len(kept)) - np.repeat((edge[:-1] - np.r_[0, np.cumsum(lead)[:-1]]) - offsets[:-1], np.diff(edge) - lead)
+            wrong = row[fits][kept[fits] != data[at[fits]]]
+            same[wrong] = False
+        for i in np.flatnonzero(~same):
+            a, b = int(size[:i].sum()), int(size[:i + 1].sum())
+            same[i] = self.library.decode(ids[a:b].tolist(), skip_special_tokens=False) == texts[int(i)].as_py()
+        return same
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each row) of texts without nulls."""
@@ -188,8 +221,9 @@ class Codec:
         for i in np.flatnonzero(left):
             rows[i] = np.array(self.judge.encode(texts[int(i)].as_py()), np.int32)
         whole = [int(i) for i in np.flatnonzero(odd & ~left) if texts[int(i)].as_py()]
-        for i, ids in zip(whole, self._whole([texts[i].as_py() for i in whole])):
-            rows[i] = np.array(ids, np.int32)
+        ids, size = encode_whole(self.library, [texts[i].as_py() for i in whole])
+        for i, part in zip(whole, np.split(ids, np.cumsum(size)[:-1]) if whole else []):
+            rows[i] = part
         return np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
 
     def checked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,7 +232,7 @@ class Codec:
         ids, size = self.encode(texts)
         wanted = self.judge.encode(texts.to_pylist(), num_threads=self.threads)
         length = np.fromiter(map(len, wanted), np.int64, len(wanted))
-        flat = np.fromiter((i for w in wanted for i in w), np.int32, int(length.sum()))
+        flat = np.fromiter(chain.from_iterable(wanted), np.int32, int(length.sum()))
         if len(ids) == len(flat) and (size == length).all() and (ids == flat).all():
             return ids, size, np.ones(len(texts), bool)
         mine, theirs = np.split(ids, np.cumsum(size)[:-1]), np.split(flat, np.cumsum(length)[:-1])
@@ -209,6 +243,17 @@ class Codec:
         return self.library.decode_batch(rows, skip_special_tokens=False)
 
 
+_CODECS: dict[bytes, Codec] = {}
+
+
+def codec_of(data: bytes) -> Codec:
+    """The model's codec; one is kept in each worker process."""
+    if data not in _CODECS:
+        _CODECS.clear()
+        _CODECS[data] = Codec(data)
+    return _CODECS[data]
+
+
 def encode(docs: DataFrame, model: bytes) -> DataFrame:
     """doc_id, ids, n_tokens, parity (equal to the sentencepiece library),
     decoded (whether the ids decode to the text again)."""
@@ -218,11 +263,11 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for part in slices(batches, "text", SLICE_BYTES):
             texts = part.column("text")
             ids, size, same = codec.checked(texts)
-            back = pc.equal(pa.array(codec.decode(ids, size), pa.string()), texts)
+            back = pa.array(codec.restores(ids, size, texts))
             rows = pa.ListArray.from_arrays(np.cumsum(np.r_[0, size]).astype(np.int32), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), rows, pa.array(size, pa.int64()), pa.array(same), back],
                                              ["doc_id", "ids", "n_tokens", "parity", "decoded"])
@@ -239,7 +284,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -260,11 +305,11 @@ def digest(docs: DataFrame, model: bytes) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for part in slices(batches, "text", SLICE_BYTES):
             texts = part.column("text")
             ids, size, same = codec.checked(texts)
-            back = pc.equal(pa.array(codec.decode(ids, size), pa.string()), texts)
+            back = pa.array(codec.restores(ids, size, texts))
             raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(size)
             crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip((ends - size).tolist(), ends.tolist())]
             yield pa.RecordBatch.from_arrays(
