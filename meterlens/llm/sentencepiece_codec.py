@@ -13,8 +13,8 @@ Texts are encoded in batches, multithreaded.  No piece of such a model reaches
 over a gap (a character other than the marker, then the marker): this is checked
 on the vocabulary, and then a text may be cut at single spaces and its words be
 looked up in a cache, the distinct new ones encoded as a batch.  Texts that a
-normaliser would change, or with runs of spaces or a space at an end, go
-whole.  A unigram lattice of the tokenizers library would also take the names of
+normaliser would change, that hold the marker itself, runs of spaces or a space
+at an end go whole.  A unigram lattice of the tokenizers library would also take the names of
 control, unknown and byte pieces for those pieces when a text spells them out;
 such texts are left to the sentencepiece library.  ``encode`` verifies parity with the sentencepiece library on every
 text; where the ids differ, the library's ids are kept and ``parity`` is false.
@@ -203,7 +203,7 @@ class Codec:
         """(ids, ids of each row) of texts without nulls."""
         if self.by_words:
             odd = np.asarray(pc.or_(pc.match_substring(texts, "  "), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " "))))
-            odd = odd | (np.asarray(pc.binary_length(texts)) == 0)
+            odd = odd | np.asarray(pc.match_substring(texts, MARK)) | (np.asarray(pc.binary_length(texts)) == 0)
         else:
             odd = np.ones(len(texts), bool)
         left = np.zeros(len(texts), bool)

@@ -83,7 +83,7 @@ def test_conversations_with_nulls_ties_and_repeats(spark, tmp_path):
 # ---- SentencePiece ----------------------------------------------------------------
 
 TEXTS = ["", "a", " a", "a  b", "   ", "x y ", "naïve €uro 漢字 😀\n\ttab", "▁▁ mark", "====== -----   aaaaaaa", "<s> </s> <unk> <0x0A>", "a\n\n  b", "zero\x00nul",
-         "the cat sat on the mat", "word " * 20_000]
+         "the cat sat on the mat", "word " * 20_000, "a▁ b ▁c the▁▁ d", "the the the▁ the"]
 
 
 def piece_file():
@@ -97,6 +97,9 @@ def test_bpe_parity_and_decoding():
     assert same.all()
     rows = [ids[e - n:e].tolist() for e, n in zip(size.cumsum(), size)]
     assert codec.decode(ids, size) == codec.judge.decode(rows)
+    assert codec.restores(ids, size, pa.array(TEXTS)).tolist() == [a == b for a, b in zip(codec.decode(ids, size), TEXTS)]
+    shuffled = TEXTS[1:] + TEXTS[:1]
+    assert codec.restores(ids, size, pa.array(shuffled)).tolist() == [a == b for a, b in zip(codec.decode(ids, size), shuffled)]
 
 
 def varint(n):
@@ -128,6 +131,31 @@ def unigram_file(single_spaces):
     return message(*body, (2, trainer), (3, message((1, b"identity"), (3, 1), (4, int(single_spaces)), (5, 1))))
 
 
+def test_parity_of_random_texts():
+    r = random.Random(8)
+    bits = ["a", "the", "▁", " ", " ", "  ", "\n", "ß", "e\u0301", "漢", "😀", "\x00", "ing", "==", "<s>", "<0x41>", "\u00a0", "İ", "Σ", "ﬁ", "'s"]
+    texts = ["".join(r.choices(bits, k=r.randint(0, 40))) for _ in range(3000)]
+    codec = sentencepiece_codec.Codec(piece_file())
+    for at in (0, 1000, 2000):  # later parts find pieces known from the earlier ones
+        assert codec.checked(pa.array(texts[at:at + 1000]))[2].all()
+
+
+def test_pieces_of_random_texts_equal_whole_encoding():
+    from tokenizers import Tokenizer
+
+    from meterlens.llm import token_output
+    r = random.Random(9)
+    bits = ["a", "the", "The", " ", " ", "\n", "\t", "ß", "e", "\u0301", "漢", "😀", "ing", "==", "<|endoftext|>", "'s", "'", "\u00a0", "\x85", "\x1c", "İ", "Σ", "ﬁ", "12", "\x0b"]
+    texts = ["".join(r.choices(bits, k=r.randint(0, 40))) for _ in range(3000)]
+    with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as f:
+        description = f.read()
+    encode, library = token_output.text_encoder(description), Tokenizer.from_str(description)
+    for at in (0, 1000, 2000):
+        ids, size = encode(pa.array(texts[at:at + 1000]))
+        rows = [ids[e - n:e].tolist() for e, n in zip(size.cumsum(), size)]
+        assert rows == [e.ids for e in library.encode_batch(texts[at:at + 1000], add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("single_spaces", [False, True])
 def test_unigram_parity(single_spaces):
     codec = sentencepiece_codec.Codec(unigram_file(single_spaces))
