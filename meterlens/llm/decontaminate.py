@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from .common import runs, ship, slices, span_hashes, text_rows, utf8
 
 WINDOW, SHARE = 13, 20
-SHARD_BYTES, BLOCK_BYTES = 6 << 20, 8 << 20
+SHARD_BYTES, BLOCK_BYTES = 3 << 20, 8 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

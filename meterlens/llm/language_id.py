@@ -28,8 +28,8 @@ from . import linear_svm
 from .common import held_out, ship, slices, text_rows, utf8
 
 BUCKETS = 1 << 15
-SAMPLE_ROWS = 2400
-SLICE_BYTES = 4 << 20
+SAMPLE_ROWS = 1600
+SLICE_BYTES = 2 << 20
 UNDETERMINED = "und"
 MIN_SCORE = 0.2  # of a kept document
 

@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from .common import byte_rows, checkpoint, ship, slices, store, text_rows
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 ROW = "__meterlens_row"  # stands for doc_id where that is null
-PIECE = 1 << 18  # shingles whose hashes are held at once
+PIECE = 1 << 16  # shingles whose hashes are held at once
 SMALL_GROUP = 64  # groups up to this size are compared in one vectorised pass
 
 # The binary Golay code's generator polynomial and its parameters.

@@ -49,8 +49,8 @@ from pyspark.sql import functions as F
 from .common import shared_folder, ship, slices, span_hashes, text_rows, utf8
 
 END_ID, BLOCK_IDS, SEGMENT_IDS, PERCENTILE = 2, 128, 1 << 18, 0.9
-CACHE_PIECES, TABLE_BITS, LONGEST_KNOWN, JOINED = 1_200_000, 21, 1024, 200
-SLICE_BYTES = 4 << 20
+CACHE_PIECES, TABLE_BITS, LONGEST_KNOWN, JOINED = 700_000, 20, 1024, 200
+SLICE_BYTES = 2 << 20
 MAGIC, VERSION = b"PFR1", 1
 HEADER = struct.Struct("<4sIQIII")
 

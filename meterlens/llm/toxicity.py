@@ -41,10 +41,10 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
 BUCKETS = 1 << 18
 GRAMS = (4, 5)
 INPUTS = 2 + 2 * len(GRAMS)
-BLOCK = 2048  # windows scored at once
+BLOCK = 1024  # windows scored at once
 LEAST_STEPS = 50  # Adam steps a round
 CAUTION = 1.64  # standard deviations taken off every log-odds
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 THRESHOLD = 0.7
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -287,16 +287,17 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 6, seed: int = 3) -> Mode
     share = float(y.mean()) if len(y) else 0.5
     if not len(y) or y.all() or not y.any():
         return Model(None, None, share)
-    evidence, parts = Evidence(), []
-    for at in range(0, len(y), 500):
-        words, yy = Words(pa.array(texts[at:at + 500], pa.string())), y[at:at + 500]
-        evidence.add(words, yy)
-        parts.append((words, yy))
+    parts = range(0, len(y), 250)
+    evidence = Evidence()
+    for at in parts:
+        evidence.add(Words(pa.array(texts[at:at + 250], pa.string())), y[at:at + 250])
     own = [evidence.tables(c) for c in (0, 1)]
-    sets = []
-    for words, yy in parts:
+    sets = []  # inputs of the distinct words as either class sees them, windows, their rows, labels
+    for at in parts:
+        words, yy = Words(pa.array(texts[at:at + 250], pa.string())), y[at:at + 250]
         index, row = windows(words, len(yy))
-        sets.append((np.stack([inputs(words, t) for t in own]), index, row, yy))
+        sets.append((np.stack([inputs(words, t) for t in own]), index.astype(np.int32), row, yy))
+    del own
     rng, net = np.random.default_rng(seed), Network()
     for r in range(rounds):
         xs, masks, ys = [], [], []
@@ -338,7 +339,11 @@ def train_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic:
     train = labelled(docs, labels, label).join(F.broadcast(chosen), "doc_id")
     got = train.select("doc_id", "y", "text").toPandas().sort_values(["doc_id", "y"], kind="stable")
     order = np.random.default_rng(1).permutation(len(got))  # toxic and clean mixed in each part
-    return fit([got["text"].iloc[i] for i in order], got["y"].to_numpy()[order])
+    texts, y = got["text"].tolist(), got["y"].to_numpy()[order]
+    del got
+    model = fit([texts[i] for i in order], y)
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
