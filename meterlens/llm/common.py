@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_folder, cut_lineage
@@ -63,6 +63,22 @@ def held_out(doc_id) -> "F.Column":
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def smallest_hashes(ids: DataFrame, group: str, per_group: int) -> DataFrame:
+    """doc_id and ``group`` of the ``per_group`` rows of smallest doc_id hash in
+    each group.  The groups' sizes come first (a few classes or languages), and
+    a bound on the hash leaves about three times as many rows as wanted, so the
+    ranking never sees a large group."""
+    counts = [(r[0], r[1]) for r in ids.groupBy(group).count().collect() if r[0] is not None]
+    share = {g: min(1.0, (3.0 * per_group + 50) / n) for g, n in counts}
+    if not share:
+        return ids.select("doc_id", group).limit(0)
+    bound = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col(group))
+    hashed = ids.select("doc_id", group, (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)).alias("_h"))
+    near = hashed.filter(F.col(group).isNotNull()).filter(F.col("_h") < bound)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_h", "doc_id"))
+    return near.withColumn("_k", rank).filter(F.col("_k") <= per_group).select("doc_id", group)
+
+
 def text_rows(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` columns and ``text`` with null as the empty string."""
     return docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

@@ -21,11 +21,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import linear_svm
-from .common import held_out, ship, slices, text_rows, utf8
+from .common import held_out, ship, slices, smallest_hashes, text_rows, utf8
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 1600
@@ -111,13 +111,11 @@ class Model:
 def train_model(docs: DataFrame, rows: int = SAMPLE_ROWS, cost: float = 4.0) -> Model:
     ship(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    ids = known.select("doc_id", "lang")
     languages = sorted(r[0] for r in ids.select("lang").distinct().collect())
     if not languages:
         return Model([])
-    each = max(1, rows // len(languages))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = ids.withColumn("k", first).filter(F.col("k") <= each).select("doc_id", "lang").distinct()
+    chosen = smallest_hashes(ids, "lang", max(1, rows // len(languages))).distinct()
 
     def sparse(batches):
         for part in slices(batches, "text", SLICE_BYTES):

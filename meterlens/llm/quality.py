@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import linear_svm
-from .common import held_out, mix, runs, ship, slices, span_hashes, text_rows, utf8
+from .common import held_out, mix, runs, ship, slices, smallest_hashes, span_hashes, text_rows, utf8
 
 BUCKETS = 1 << 18
 SAMPLE_PER_CLASS = 2000
@@ -98,18 +98,20 @@ def features(part: pa.RecordBatch) -> list[np.ndarray]:
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """doc_id, text, y of the training fold's labelled documents."""
-    y = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("y IN (0, 1)")
-    y = y.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    y = training_ids(labels, label)
     y = F.broadcast(y) if y.count() <= BROADCAST_ROWS else y
     return text_rows(docs, "doc_id").join(y, "doc_id")
 
 
+def training_ids(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id and y (0 or 1) of the labels outside the held-out fold."""
+    ids = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("y IN (0, 1)")
+    return ids.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+
+
 def sample(train: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """The rows of ``train`` of the ``per_class`` smallest doc_id hashes a label."""
-    ids = labels.select("doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("h"))
-    ids = ids.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    parts = [ids.filter(F.col("y") == c).orderBy("h", "doc_id").limit(per_class) for c in (0, 1)]
-    chosen = parts[0].unionByName(parts[1]).select("doc_id").distinct()
+    chosen = smallest_hashes(training_ids(labels, label), "y", per_class).select("doc_id").distinct()
     return train.join(F.broadcast(chosen), "doc_id")
 
 

@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, mix, runs, ship, slices, span_hashes, text_rows, utf8
-from .quality import labelled
+from .common import held_out, mix, runs, ship, slices, smallest_hashes, span_hashes, text_rows, utf8
+from .quality import labelled, training_ids
 
 WINDOW, STEP, HIDDEN, ATTEND = 32, 16, 8, 8
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
@@ -332,9 +332,8 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 6, seed: int = 3) -> Mode
 
 def train_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic: int = SAMPLE_TOXIC,
                 clean: int = SAMPLE_CLEAN) -> Model:
-    ids = labels.select("doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("h"))
-    ids = ids.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    parts = [ids.filter(F.col("y") == c).orderBy("h", "doc_id").limit(n) for c, n in ((0, clean), (1, toxic))]
+    ids = training_ids(labels, label)
+    parts = [smallest_hashes(ids.filter(F.col("y") == c), "y", n) for c, n in ((0, clean), (1, toxic))]
     chosen = parts[0].unionByName(parts[1]).select("doc_id").distinct()
     train = labelled(docs, labels, label).join(F.broadcast(chosen), "doc_id")
     got = train.select("doc_id", "y", "text").toPandas().sort_values(["doc_id", "y"], kind="stable")
