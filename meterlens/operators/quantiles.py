@@ -21,10 +21,10 @@ _ZERO_OFFSET = 100_000  # beyond the largest |64 * log2(x)| of a double
 
 
 def _range_code(v: Column) -> Column:
-    """An integer that never falls when ``v`` rises; NaN ranks last."""
+    """An integer that never falls when ``v`` rises; NaN ranks last, NULL has none."""
     size = F.floor(F.least(F.log2(F.abs(v)) * 64, F.lit(_ZERO_OFFSET - 1.0))) + _ZERO_OFFSET
     return (F.when(F.isnan(v), F.lit(10 * _ZERO_OFFSET)).when(v == 0, F.lit(0))
-            .when(v > 0, size).otherwise(-size).cast("long"))
+            .when(v > 0, size).when(v < 0, -size).cast("long"))
 
 
 def _counted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -32,9 +32,16 @@ def _counted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def _picked(counts: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+def _ranges(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of the counted rows by (group, range); NULL values have no range."""
+    v, c = F.col("_v"), F.col("_c")
+    return counts.groupBy(*keys, _range_code(v).alias("_b")).agg(
+        F.sum(c).alias("_rows"), F.sum(v * c).alias("_s1"), F.sum(v * v * c).alias("_s2"), F.max(v).alias("_top"))
+
+
+def _picked(counts: DataFrame, ranges: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
     known = counts.filter(F.col("_v").isNotNull()).withColumn("_b", _range_code(F.col("_v")))
-    ranges = known.groupBy(*keys, "_b").agg(F.sum("_c").alias("_rows"))
+    ranges = ranges.filter(F.col("_b").isNotNull()).select(*keys, "_b", "_rows")
     w = Window.partitionBy(*keys)
     up_to = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select("*", F.coalesce(F.sum("_rows").over(up_to), F.lit(0)).alias("_before"),
@@ -68,7 +75,8 @@ def _picked(counts: DataFrame, keys: list[str], probs: dict[str, float]) -> Data
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """One row per group that has a value: ``keys`` + one column per name in ``probs``."""
-    return _picked(_counted(df, keys, value), keys, probs)
+    counts = _counted(df, keys, value)
+    return _picked(counts, _ranges(counts, keys), keys, probs)
 
 
 def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
@@ -77,15 +85,16 @@ def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[
     one (group, value, count) aggregation.  ``stats``: name -> ``avg``, ``max``,
     ``std`` (sample), ``count`` (of values) or ``rows``."""
     counts = _counted(df, keys, value)
-    v, c = F.col("_v"), F.col("_c")
-    n, total = F.sum(F.when(v.isNotNull(), c)), F.sum(v * c)
+    ranges = _ranges(counts, keys)
+    known = F.col("_b").isNotNull()
+    n, total = F.sum(F.when(known, F.col("_rows"))), F.sum("_s1")
     forms = {
         "avg": F.try_divide(total, n),
-        "max": F.max(v),
-        "std": F.when(n > 1, F.sqrt(F.greatest(F.sum(v * v * c) - total * total / n, F.lit(0.0)) / (n - 1))),
+        "max": F.max("_top"),
+        "std": F.when(n > 1, F.sqrt(F.greatest(F.sum("_s2") - total * total / n, F.lit(0.0)) / (n - 1))),
         "count": F.coalesce(n, F.lit(0)),
-        "rows": F.sum(c),
+        "rows": F.sum("_rows"),
     }
-    base = counts.groupBy(*keys).agg(*[forms[kind].alias(name) for name, kind in stats.items()])
-    out = null_safe_join(base, _picked(counts, keys, probs), keys, "left")
+    base = ranges.groupBy(*keys).agg(*[forms[kind].alias(name) for name, kind in stats.items()])
+    out = null_safe_join(base, _picked(counts, ranges, keys, probs), keys, "left")
     return out.select(*keys, *stats, *probs)

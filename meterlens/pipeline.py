@@ -33,7 +33,8 @@ STATION = "ST-N"
 
 
 def build(spark: SparkSession, sf_dir: str) -> tuple[dict, list[DataFrame]]:
-    """Named outputs and the persisted intermediates."""
+    """Named outputs (DataFrames, or functions that build them) and the persisted
+    intermediates."""
     t = lambda n: read_table(spark, sf_dir, n)
     raw = meter_readings(t("events"))
     clean = M.clean_meters(raw, bounds=EVENT_TYPE_BOUNDS).persist(StorageLevel.MEMORY_AND_DISK)
@@ -50,7 +51,8 @@ def build(spark: SparkSession, sf_dir: str) -> tuple[dict, list[DataFrame]]:
     out = {
         # extract
         "meter_registry": M.meter_registry(raw),
-        "outage_events": M.outage_islands(raw),
+        # the larger plans are built inside the worker pool
+        "outage_events": lambda: M.outage_islands(raw),
         "demand_peaks": M.demand_peaks(raw, 100),
         # clean
         "annual_cleaned": annual,
@@ -61,7 +63,7 @@ def build(spark: SparkSession, sf_dir: str) -> tuple[dict, list[DataFrame]]:
         # transform
         "annual_transformed": annual.withColumn("date", cal.fiscal_year_start_date("fiscal_year")),
         "monthly_revenue_transformed": monthly_rev,
-        "smart_meter_features": M.engineer_features(clean),
+        "smart_meter_features": lambda: M.engineer_features(clean),
         "weather_consumption_transformed": W.consumption_weather(monthly, weather, STATION),
         "province_enriched_transformed": R.province_enriched(prov, population_facts(t("customer"))),
         "hourly_system_load": M.hourly_system_load(clean),
@@ -69,7 +71,7 @@ def build(spark: SparkSession, sf_dir: str) -> tuple[dict, list[DataFrame]]:
         "annual_kpi_summary": summary,
         "monthly_trends": S.monthly_trends(monthly),
         "province_ranking": R.province_ranking(prov),
-        "hourly_load_profile": M.hourly_load_profile(clean),
+        "hourly_load_profile": lambda: M.hourly_load_profile(clean),
         "peak_demand_calendar": M.peak_calendar(clean),
         "system_losses_by_province": losses,
         "revenue_by_sector": S.revenue_by_sector(monthly_rev),
@@ -89,6 +91,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     def one(item):
         name, df = item
         t0 = time.perf_counter()
+        df = df() if callable(df) else df
         w = df.write.mode("overwrite")
         if out_dir:
             w.parquet(f"{out_dir.rstrip('/')}/{name}")
