@@ -1,7 +1,9 @@
 """Exact top-k inner-product search with ball trees.
 
-The vectors are dealt by hash into shards of bounded size, the queries into
-blocks of bounded size; (shard, block) pairs meet by an equi-join key and are
+The vectors are dealt by a hash of their stored row number into shards of about
+``SHARD_ROWS`` rows, so rows that repeat a vec_id spread over all shards; the
+queries are dealt by a hash of id and vector into blocks of about
+``BLOCK_QUERIES``.  (shard, block) pairs meet by an equi-join key and are
 searched independently.  In each shard a ball tree (centre, radius, smallest
 id of every node) is built; a node's best possible score for a query is
 ``q . centre + |q| * radius``.  Search is branch and bound: nodes are opened
@@ -37,11 +39,11 @@ from pyspark.sql import functions as F
 from .common import ship, store
 
 TOP_K, SCALE = 20, 64
-SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 65536, 16384, 128  # upper bounds a task holds
+SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 65536, 16384, 128  # dealt by hash: expected sizes, see _ID_BITS
 SMALL_SHARD = 4096  # shards are not cut smaller than this for parallelism
 RESULT = "query_id long, vec_id long, score long"
 _LOWEST = np.iinfo(np.int64).min
-_ID_BITS = 17  # holds a shard's row number
+_ID_BITS = 17  # holds a shard's row number; twice SHARD_ROWS, a larger shard is an error
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -119,6 +121,8 @@ def search(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, bou
     kind = _exact_kind(x, q)
     if kind is object:
         return _search_wide(ids, x, q_ids, q, bound_score, bound_id, k)
+    if len(ids) > 1 << _ID_BITS:
+        raise ValueError(f"a shard of {len(ids)} rows: a key holds row numbers below {1 << _ID_BITS}")
     n, tie = len(ids), (1 << _ID_BITS) - 1 - np.arange(len(ids))
     tree = BallTree(x.astype(np.float64))
     sorted_x, sorted_id, sorted_tie = x[tree.order].astype(kind), ids[tree.order], tie[tree.order]
@@ -215,16 +219,16 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP_K) -> DataFrame:
     of ``vectors`` (vec_id, embedding) for which ``is_query`` (a Column) holds."""
     spark = vectors.sparkSession
     ship(spark)
-    ready = store(quantised(vectors), "topk-vectors")
+    ready = store(quantised(vectors).withColumn("n", F.monotonically_increasing_id()), "topk-vectors")
     count = ready.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(1, math.ceil(count[0] / SHARD_ROWS), min(math.ceil(count[0] / SMALL_SHARD), tasks))
     blocks = max(1, math.ceil(count[1] / BLOCK_QUERIES))
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(blocks)).cast("int")
+    shard = F.pmod(F.xxhash64("n"), F.lit(shards)).cast("int")
+    block = F.pmod(F.xxhash64("query_id", "v", F.lit(1)), F.lit(blocks)).cast("int")
     rows = ready.select(shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "v")
     none = F.lit(None).cast("long")
-    ask = ready.filter(is_query).dropDuplicates(["vec_id", "v"]).select(
+    ask = ready.filter(is_query).groupBy("vec_id", "v").agg(F.min("n").alias("n")).select(
         shard.alias("home"), F.col("vec_id").alias("query_id"), "v", none.alias("low"), none.alias("low_id")).withColumn("block", block)
     keys = ["shard", "block"]
 

@@ -250,6 +250,44 @@ def test_top_k_of_few_and_no_vectors(spark):
     assert topk_search.top_k(frame.filter("vec_id = 9"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_with_one_id_on_more_rows_than_a_shard_holds(spark):
+    hot = spark.range(200_000).select(F.when(F.col("id") < 199_000, 7).otherwise(F.col("id")).cast("long").alias("vec_id"), F.array(
+        *[F.pmod(F.xxhash64("id", F.lit(j)), F.lit(2001)) / 64.0 - 15 for j in range(3)]).alias("embedding"))
+    rows = hot.collect()
+    ids = np.array([r.vec_id for r in rows])
+    x = np.floor(64 * np.array([r.embedding for r in rows])).astype(np.int64)
+    want = set()
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[q]
+        best = np.lexsort((ids, -score))
+        best = best[ids[best] != ids[q]][:20]
+        want |= {(int(ids[q]), r + 1, int(ids[b]), int(score[b])) for r, b in enumerate(best)}
+    got = topk_search.top_k(hot, F.col("vec_id") % 20 == 0).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_top_k_of_one_query_id_with_many_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SMALL_SHARD", 100)
+    monkeypatch.setattr(topk_search, "BLOCK_QUERIES", 10)
+    rows = [(20, [float(i), float(-i)]) for i in range(90)] + [(i, [1.0 / i, 2.0]) for i in range(1, 200) if i % 20]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    x = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows if i != 20}
+    scored = sorted((-int(np.floor(64 * np.array(v)).astype(int) @ y), i) for q, v in rows if q == 20 for i, y in x.items())[:20]
+    got = topk_search.top_k(frame, F.col("vec_id") % 20 == 0).orderBy("rank").collect()
+    assert [tuple(r) for r in got] == [(20, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+
+
+def test_search_refuses_a_shard_beyond_its_row_numbers(monkeypatch):
+    monkeypatch.setattr(topk_search, "_ID_BITS", 6)
+    x = np.arange(130, dtype=np.int64).reshape(65, 2)
+    low = np.full(1, topk_search._LOWEST)
+    ask = (np.array([-1]), np.ones((1, 2), np.int64), low, np.zeros(1, np.int64))
+    row, ids, score = topk_search.search(np.arange(64), x[:64], *ask, k=3)
+    assert sorted(zip(score.tolist(), ids.tolist())) == [(245, 61), (249, 62), (253, 63)]
+    with pytest.raises(ValueError):
+        topk_search.search(np.arange(65), x, *ask, k=3)
+
+
 # ---- token files --------------------------------------------------------------------
 
 
