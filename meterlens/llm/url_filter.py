@@ -157,8 +157,9 @@ def _judge_by_joins(urls: DataFrame, rule_keys: DataFrame, blocking: DataFrame)
     pairs = urls.select("host", "path", "_hosts", "_asked").distinct()
     listed = rule_keys.select("key").distinct()
     fits = pairs.select("host", "path", F.explode("_asked").alias("key")).join(listed, "key", "left_semi")
+    host_length = F.instr(F.concat("key", F.lit("/")), "/")  # of equal lengths the longer host, also of a key without a path
     best = fits.groupBy("host", "path").agg(
-        F.max(F.struct(F.length("key"), -F.instr("key", "/"), F.col("key").alias("key")))["key"].alias("rule"))
+        F.max(F.struct(F.length("key"), host_length, F.col("key").alias("key")))["key"].alias("rule"))
     asked = pairs.join(best, ["host", "path"], "left").select(
         "host", "path", "rule", F.explode_outer(F.when(F.col("rule").isNotNull(), F.array("rule")).otherwise(
             F.transform("_hosts", lambda h: F.concat(F.lit("//"), h)))).alias("key"))

@@ -373,6 +373,19 @@ def test_url_verdicts_equal_brute_force(spark, monkeypatch, joins):
     assert url_filter.judge(pages_frame(spark, URLS).filter("page_id < 0"), rules, blocked).count() == 0
 
 
+@pytest.mark.parametrize("joins", [False, True])
+def test_url_rules_of_equal_length_take_the_longer_host(spark, monkeypatch, joins):
+    if joins:
+        monkeypatch.setattr(url_filter, "MAX_LISTED", 0)
+    rules = [("ab.example.com", "/", "allow"), ("example.com", "/xyz", "block"),
+             ("cd.example.org", "", "allow"), ("example.org", "/xy", "block")]
+    urls = ["http://ab.example.com/xyz", "http://cd.example.org/xy", "http://b.example.com/xyz", "http://cd.example.org"]
+    frame = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = url_filter.judge(pages_frame(spark, urls), frame, spark.createDataFrame([], "host string")).orderBy("page_id").collect()
+    assert [(r.rule, r.verdict) for r in got] == [("ab.example.com/", "allow"), ("cd.example.org", "allow"),
+                                                  ("example.com/xyz", "block"), ("cd.example.org", "allow")]
+
+
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", 2)  # many false positives: several levels
     universe = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
