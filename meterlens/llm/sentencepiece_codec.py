@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, slices, text_rows, utf8
+from .common import ship, slices, text_rows
 from .token_output import PieceEncoder, encode_joined, encode_whole
 
 MARK = "▁"
@@ -160,44 +160,11 @@ class Codec:
         self.by_words = plain and self.model.dummy_prefix and self.model.cuts_at_spaces()
         names = "|".join(re.escape(p) for p, _, kind in self.model.pieces if kind in (UNKNOWN, CONTROL))
         self.spelled = rf"{names}|<0x[0-9A-F]{{2}}>" if self.model.kind == UNIGRAM else None
-        self.spelling = self._spellings()
         self.words = PieceEncoder(partial(encode_joined, self.library), lambda t: pc.split_pattern(t, " "))
 
-    def _spellings(self) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes that each piece stands for, end to end, and their ends."""
-        out = []
-        for p, _, kind in self.model.pieces:
-            out.append(bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode())
-        return np.frombuffer(b"".join(out), np.uint8), np.cumsum([0, *map(len, out)])
-
     def restores(self, ids: np.ndarray, size: np.ndarray, texts: pa.Array) -> np.ndarray:
-        """Whether the ids of each row decode to its text.  Rows whose pieces
-        spell the text byte by byte do; the library decodes the others."""
-        data, offsets = utf8(texts)
-        data, offsets = data[int(offsets[0]):int(offsets[-1])], offsets - offsets[0]
-        letters, ends = self.spelling
-        n = (ends[1:] - ends[:-1])[ids]
-        upto = np.cumsum(n)
-        made = letters[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(ends[ids] - (upto - n), n)]
-        edge = np.r_[0, upto][np.cumsum(np.r_[0, size])]  # of the rows in ``made``
-        lead = np.zeros(len(size), np.int64)
-        if self.model.dummy_prefix and len(made):
-            first = np.minimum(edge[:-1], len(made) - 1)
-            lead = ((np.diff(edge) > 0) & (made[first] == 32)).astype(np.int64)
-        same = np.diff(edge) - lead == np.diff(offsets)
-        if len(made):
-            drop = np.ones(len(made), bool)
-            drop[edge[:-1][lead > 0]] = False
-            row = np.repeat(np.arange(len(size)), np.diff(edge) - lead)
-            fits = same[row]
-            kept = made[drop]
-            at = np.arange(len(kept)) - np.repeat((edge[:-1] - np.r_[0, np.cumsum(lead)[:-1]]) - offsets[:-1], np.diff(edge) - lead)
-            wrong = row[fits][kept[fits] != data[at[fits]]]
-            same[wrong] = False
-        for i in np.flatnonzero(~same):
-            a, b = int(size[:i].sum()), int(size[:i + 1].sum())
-            same[i] = self.library.decode(ids[a:b].tolist(), skip_special_tokens=False) == texts[int(i)].as_py()
-        return same
+        """Whether the built decoder turns the ids of each row into its text again."""
+        return np.asarray(pc.equal(pa.array(self.decode(ids, size), texts.type), texts))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each row) of texts without nulls."""

@@ -102,6 +102,17 @@ def test_bpe_parity_and_decoding():
     assert codec.restores(ids, size, pa.array(shuffled)).tolist() == [a == b for a, b in zip(codec.decode(ids, size), shuffled)]
 
 
+def test_a_fault_in_the_built_decoder_shows():
+    from tokenizers import decoders
+
+    codec = sentencepiece_codec.Codec(piece_file())
+    texts = pa.array(["the cat sat on the mat", "a\u00e9b"])
+    ids, size, _ = codec.checked(texts)
+    assert codec.restores(ids, size, texts).tolist() == [True, True]
+    codec.library.decoder = decoders.Fuse()
+    assert codec.restores(ids, size, texts).tolist() == [False, False]
+
+
 def varint(n):
     out = b""
     while n > 127:
