@@ -18,6 +18,9 @@ Linking at ``MAX_BITS`` = 3 differing bits is exact:
   Inside a key the linked sets are found by breadth-first growth over the rest
   of the key's fingerprints, which emits one edge per fingerprint reached, not
   all pairs: a tight group of copies is consumed in about one sweep.
+* A key of more than ``GROUP_ROWS`` fingerprints is cut into blocks by a second
+  hash, and each pair of blocks meets by a key of its own, so a task holds and
+  compares at most about that many at once however common a key is.
 
 Exact copies collapse before that (one row per fingerprint), so a group of
 copies of any size is one node.  Components come from large-star/small-star
@@ -43,6 +46,7 @@ SLICE_BYTES = 2 << 20
 ROW = "__meterlens_row"  # stands for doc_id where that is null
 PIECE = 1 << 16  # shingles whose hashes are held at once
 SMALL_GROUP = 64  # groups up to this size are compared in one vectorised pass
+GROUP_ROWS = 1 << 16  # fingerprints of one key that meet in one place; more are dealt over block pairs
 
 # The binary Golay code's generator polynomial and its parameters.
 GOLAY_POLY, GOLAY_BITS, GOLAY_PARITY, GOLAY_REACH = 0xAE3, 23, 11, 4
@@ -221,10 +225,24 @@ def _edge_batches(batches):
         yield _edges_of(key, fp)
 
 
+def spread(keyed: DataFrame) -> DataFrame:
+    """(key, fp) with every key of more than ``GROUP_ROWS`` rows replaced by one
+    key for each pair of its blocks; two fingerprints of a key still meet.
+    Pairs whose new keys collide only meet more rows, and links are verified."""
+    size = F.count(F.lit(1))
+    common = keyed.groupBy("key").agg(size.alias("n")).filter(F.col("n") > GROUP_ROWS)
+    blocks = store(common.select("key", F.ceil(2 * F.col("n") / GROUP_ROWS).cast("int").alias("_blocks")), "simhash-common")
+    mine = F.pmod(F.xxhash64("fp"), F.col("_blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda b: b != mine)
+    pairs = F.transform(others, lambda b: F.xxhash64("key", F.least(b, mine), F.greatest(b, mine)))
+    keys = F.when(F.col("_blocks").isNull(), F.array("key")).otherwise(pairs)
+    return keyed.join(blocks, "key", "left").select(F.explode(keys).alias("key"), "fp")
+
+
 def links(fps: DataFrame) -> DataFrame:
     """Edges (u, v) between distinct fingerprints of column ``fp`` that join
     exactly the sets linked by steps of at most ``MAX_BITS`` bits."""
-    keyed = fps.select("fp").mapInArrow(_key_batches, "key long, fp long")
+    keyed = spread(fps.select("fp").mapInArrow(_key_batches, "key long, fp long"))
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = keyed.repartition(n, "key").sortWithinPartitions("key")
     return met.mapInArrow(_edge_batches, "u long, v long").distinct()

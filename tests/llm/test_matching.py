@@ -86,6 +86,26 @@ def test_keep_one_keeps_the_smallest_row_of_each_group(spark):
     assert set(got) == want
 
 
+def test_a_common_key_is_dealt_over_block_pairs(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    low = int(r.integers(0, 1 << 46))  # all segments A and B alike: one group of keys
+    prints = {(int(c) << 46) | low for c in r.choice(1 << 18, 900, replace=False)}
+    fps = spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in sorted(prints)], "fp long")
+
+    def sets(edges):
+        got = {}
+        for row in simhash_dedup.components(edges).collect():
+            got.setdefault(row.root, set()).add(row.node)
+        return sorted(map(sorted, got.values()))
+
+    want = sets(simhash_dedup.links(fps))
+    monkeypatch.setattr(simhash_dedup, "GROUP_ROWS", 100)
+    assert sets(simhash_dedup.links(fps)) == want and want
+    keyed = fps.mapInArrow(simhash_dedup._key_batches, "key long, fp long")
+    assert keyed.groupBy("key").count().agg(F.max("count")).first()[0] == 900
+    assert simhash_dedup.spread(keyed).groupBy("key").count().agg(F.max("count")).first()[0] < 150
+
+
 def test_golay_keys_meet_at_two_bits_and_prints_at_three():
     g = simhash_dedup.golay()
     r = np.random.default_rng(2)
