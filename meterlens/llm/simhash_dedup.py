@@ -36,14 +36,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_rows, checkpoint, ship, slices, store, text_rows
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 SLICE_BYTES = 2 << 20
-ROW = "__meterlens_row"  # stands for doc_id where that is null
+ROW, RANK = "__meterlens_row", "__meterlens_rank"  # hash of doc_id and text, and the order of its rows
 PIECE = 1 << 16  # shingles whose hashes are held at once
 SMALL_GROUP = 64  # groups up to this size are compared in one vectorised pass
 GROUP_ROWS = 1 << 16  # fingerprints of one key that meet in one place; more are dealt over block pairs
@@ -81,11 +81,11 @@ def _fingerprint_batches(batches):
         yield pa.RecordBatch.from_arrays([*rest, pa.array(f.view(np.int64))], [*names, "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, ``keep`` and ``fp``, the fingerprint's 64 bits as a signed long."""
     ship(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return text_rows(docs, "doc_id").mapInArrow(_fingerprint_batches, f"doc_id {kind}, fp long")
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *keep)]
+    return text_rows(docs, "doc_id", *keep).mapInArrow(_fingerprint_batches, ", ".join([*kinds, "fp long"]))
 
 
 class Golay:
@@ -279,36 +279,37 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.unionByName(roots.select("node", F.col("node").alias("root")))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every row."""
-    prints = store(fingerprints(docs), "simhash")
+def _members(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, ``keep``, fp, component_id and root (the component's smallest
+    fingerprint) of every row."""
+    prints = store(fingerprints(docs, *keep), "simhash")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     roots = components(links(distinct))
     named = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     named = store(named, "simhash-roots")
     ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_print = named.join(ids, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_print = named.join(ids, "root").select("fp", "component_id", "root")
+    return prints.join(by_print, "fp").select("doc_id", *keep, "fp", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id of every row."""
+    return _members(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of each component (all
-    columns).  Of rows repeating that doc_id one stays; of a component without
-    any doc_id the row with the smallest text hash stays."""
-    group = near_duplicates(docs)
-    keep = group.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi")
-    unnamed = group.filter("component_id IS NULL").select("fingerprint").distinct()
-    out = named.dropDuplicates(["doc_id"])
-    if not unnamed.take(1):
-        return out
-    bare = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
-    bare_fp = bare.withColumn(ROW, F.xxhash64("text"))
-    prints = fingerprints(bare_fp.select(F.col(ROW).alias("doc_id"), "text")).withColumnRenamed("doc_id", ROW)
-    alone = prints.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(unnamed, "fingerprint", "left_semi")
-    roots = near_duplicates(bare_fp.join(alone.select(ROW), ROW, "left_semi")
-                            .select(F.col(ROW).alias("doc_id"), "text"))
-    first = roots.filter("doc_id = component_id").select(F.col("doc_id").alias(ROW))
-    return out.unionByName(bare_fp.join(first, ROW, "left_semi").select(*docs.columns))
+    """One row (all columns) of each component: that of the smallest doc_id
+    (null last), then of the smallest hash of doc_id and text.  Of rows equal in
+    both one stays, chosen by a hash of all columns.  Components that share a
+    doc_id keep a row each."""
+    name = F.col("doc_id").cast("string")
+    row = F.sha2(F.concat(F.coalesce(F.length(name).cast("string"), F.lit("")), F.lit(":"), F.coalesce(name, F.lit("")),
+                          F.coalesce(F.col("text").cast("string"), F.lit(""))), 256)
+    rows = docs.withColumn(ROW, row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col(ROW).alias("row")))
+    kept = _members(rows, ROW).groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(ROW))
+    chosen = rows.join(kept, ROW, "left_semi")
+    whole = F.xxhash64(*[F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    same = F.row_number().over(Window.partitionBy(ROW).orderBy(whole))
+    return chosen.withColumn(RANK, same).filter(F.col(RANK) == 1).select(*docs.columns)

@@ -86,6 +86,14 @@ def test_keep_one_keeps_the_smallest_row_of_each_group(spark):
     assert set(got) == want
 
 
+def test_keep_one_keeps_a_row_of_every_component_of_a_repeated_id(spark):
+    a, b, c = words_of(80, 41), words_of(80, 42), words_of(80, 43)
+    rows = [(3, a), (7, b)] + [(7, a)] * 5 + [(9, c), (9, c), (None, b), (7, c)]
+    for order in (rows, rows[::-1]):  # whichever row comes first
+        kept = simhash_dedup.keep_one(docs_frame(spark, order).coalesce(1)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == sorted([(3, a), (7, b), (7, c)])
+
+
 def test_a_common_key_is_dealt_over_block_pairs(spark, monkeypatch):
     r = np.random.default_rng(6)
     low = int(r.integers(0, 1 << 46))  # all segments A and B alike: one group of keys
