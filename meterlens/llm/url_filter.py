@@ -9,9 +9,10 @@ of an odd number of levels have it).  The universe is every key that the
 corpus's urls can ask for, so the answer is exact, and asking needs no join:
 the levels are literals inside the expression.
 
-The levels' size follows the list, not the corpus: a list of more than
-``MAX_LISTED`` keys is not made a literal but joined (``left_semi`` on the
-distinct keys), which is exact too.
+Level 1's size follows the list; the others hold false positives, whose number
+follows the universe.  Every level is counted before it is built: where the
+list or a level has more than ``MAX_LISTED`` keys, none is made a literal and
+the answer comes by joins (``left_semi`` on the distinct keys), exact too.
 
 Rules are (host, path, verdict) with ``key`` = host + path.  A url's candidate
 keys are the suffixes of its host (as many labels as the longest listed host)
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BITS_PER_KEY, HASHES, MAX_LISTED = 10, 4, 400_000
+BITS_PER_KEY, LEAST_BITS, HASHES, MAX_LISTED = 10, 1024, 4, 400_000
 
 # The rules and the blocked hosts of the registered query.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -63,11 +64,11 @@ class Level:
     """One Bloom filter: ``bits`` positions as 64-bit words."""
 
     def __init__(self, keys: DataFrame, count: int, salt: int) -> None:
-        self.salt, self.bits = salt, max(64, 1 << math.ceil(math.log2(max(1, count) * BITS_PER_KEY)))
+        self.salt, self.bits = salt, max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, count) * BITS_PER_KEY)))
         at = keys.select(F.explode(F.array(*[self._position(F.col("key"), i) for i in range(HASHES)])).alias("p"))
         words = at.groupBy(F.shiftright("p", 6).alias("w")).agg(
             F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("b"))
-        found = {r["w"]: r["b"] for r in words.collect()}  # bits / 64 words at most: follows the list's size
+        found = {r["w"]: r["b"] for r in words.collect()}  # bits / 64 words at most: cascade() bounds the count
         self.words = [found.get(w, 0) for w in range(self.bits // 64)]
 
     def _position(self, key: Column, i: int) -> Column:
@@ -88,7 +89,7 @@ class Level:
 
 def cascade(listed: DataFrame, universe: DataFrame) -> Callable[[Column], Column] | None:
     """Exact membership in ``listed`` (column ``key``) for keys of ``universe``;
-    None if the list is too long for literals (see ``MAX_LISTED``)."""
+    None if the list or a level is too long for literals (see ``MAX_LISTED``)."""
     listed = listed.select("key").filter("key IS NOT NULL").distinct()
     n = listed.count()
     if n > MAX_LISTED:
@@ -103,6 +104,8 @@ def cascade(listed: DataFrame, universe: DataFrame) -> Callable[[Column], Column
         n = side.count()
         if not n:
             break
+        if n > MAX_LISTED:
+            return None
         levels.append(Level(side, n, len(levels) + 1))
         taken = levels[-1].has(F.col("key"))
         if len(levels) % 2:

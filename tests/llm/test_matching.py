@@ -414,6 +414,15 @@ def test_url_rules_of_equal_length_take_the_longer_host(spark, monkeypatch, join
                                                   ("example.com/xyz", "block"), ("cd.example.org", "allow")]
 
 
+def test_cascade_counts_false_positives_before_making_literals(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BITS_PER_KEY", 2)
+    monkeypatch.setattr(url_filter, "MAX_LISTED", 300)
+    listed = spark.range(200).select(F.concat(F.lit("k"), "id").alias("key"))
+    universe = spark.range(30_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    assert url_filter.cascade(listed, universe) is None
+    assert url_filter.cascade(listed, listed) is not None
+
+
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", 2)  # many false positives: several levels
     universe = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
