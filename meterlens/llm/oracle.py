@@ -64,4 +64,51 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
     formatted_chars::BIGINT AS formatted_chars FROM g
 """
 
-ORACLE: dict[str, str] = {"op1_topk_search": OP1, "op3_decontamination": OP3, "op6_url_filter": OP6, "op9_chat_format": OP9}
+OP11 = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+    UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) > 1
+    UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w WHERE len(w) > 2),
+f AS (SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE size > 1 AND f >= 10),
+cuts AS (SELECT c.*, k, array_to_string(p[1:k], ' ') AS lp, array_to_string(p[k + 1:], ' ') AS rp
+    FROM cand c, (VALUES (1), (2)) AS v(k) WHERE k < size),
+scored AS (SELECT c.lang, c.size, c.phrase, c.a, l.f AS l, r.f AS r, (1000000 * a * a) // (l.f * r.f) AS score,
+        row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000000 * a * a) // (l.f * r.f), k) AS pick
+    FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = lp JOIN f r ON r.lang = c.lang AND r.phrase = rp),
+longer AS (SELECT lang, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS phrase, a FROM cand WHERE size = 3),
+kept AS (SELECT * FROM scored s WHERE pick = 1 AND NOT EXISTS (
+    SELECT 1 FROM longer g WHERE g.lang = s.lang AND g.phrase = s.phrase AND 100 * g.a >= 50 * s.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+flags AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)] AS fails
+    FROM d LEFT JOIN marks USING (doc_id)),
+cells AS (SELECT part, good, toxic, fails, count(*) AS n FROM flags GROUP BY ALL),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (SELECT part, n, good, toxic, fails, o, s.i AS step, o[s.i] AS f, fails[o[s.i]] AS here,
+    len(list_filter(o[1:s.i - 1], lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) = 1 AND fails[o[s.i]] AS alone
+    FROM cells, orders, l s),
+sums AS (SELECT part, o, step, f, sum(CASE WHEN gone OR here THEN 0 ELSE n END)::BIGINT AS kept,
+    sum(CASE WHEN here AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN here AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN here AND NOT gone THEN n * good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN here AND NOT gone THEN n * toxic ELSE 0 END)::BIGINT AS toxic_lost FROM steps GROUP BY part, o, step, f)
+SELECT part, array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') AS filter_order, step::INTEGER AS step, kept, removed, redundant,
+    unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM sums
+"""
+
+ORACLE: dict[str, str] = {"op1_topk_search": OP1, "op3_decontamination": OP3, "op6_url_filter": OP6, "op9_chat_format": OP9,
+                          "op11_collocations": OP11, "op13_filter_audit": OP13}

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, quality, sentencepiece_codec, simhash_dedup, token_output, topk_search, toxicity, url_filter
+from . import (chat_format, collocations, decontaminate, filter_audit, fingerprints, language_id, quality, sentencepiece_codec,
+               simhash_dedup, token_output, topk_search, toxicity, url_filter)
 from .common import table
 
 
@@ -66,6 +67,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.versions(table(spark, sf_dir, "documents")).drop("edited_diff", "next_diff")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.document_cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_sentencepiece": op2_sentencepiece,
@@ -77,4 +90,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_filter_audit": op13_filter_audit,
 }
