@@ -31,12 +31,16 @@ are ignored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS = 3
 WIDTH = 8
-GROUP = 10
-RETRIES = 7
+GROUP = 20
+GROUP_WIDTH = 16
+RETRIES = 6
 ROUNDS = 12
 BLOCK_ROWS = 1024
 MAX_BLOCKS = 65536
@@ -53,34 +57,42 @@ def _check(x: str) -> str:
     return f"(xxhash64({x}, 77) & 4294967295L)"
 
 
-def _in_cell(x: str, i: str, w: int) -> str:
-    """Whether digest ``x`` lies in cell ``i``: row i div w takes ten bits of x."""
-    return f"(shiftrightunsigned({x}, CAST(10 * ({i} div {w}) AS int)) & {w - 1}L) = ({i} % {w})"
+def _place(x: str, row: int, w: int) -> str:
+    """Cell of digest ``x`` in a row of ``w`` (a power of two): ten bits of x a row."""
+    return f"(shiftrightunsigned({x}, {10 * row}) & {w - 1}L)"
 
 
 def sketch_sql(keys: str, w: int) -> str:
-    """Cells (n, k, c) of an array of digests."""
-    held = f"filter({keys}, x -> {_in_cell('x', 'i', w)})"
-    cell = (f"aggregate({held}, named_struct('n', 0L, 'k', 0L, 'c', 0L), "
-            f"(s, x) -> named_struct('n', s.n + 1L, 'k', s.k ^ x, 'c', s.c ^ {_check('x')}))")
-    return f"transform(sequence(0L, {3 * w - 1}L), i -> {cell})"
+    """Rows of cells (n, k, c) of an array of digests."""
+    rows = []
+    for row in range(ROWS):
+        cell = (f"aggregate(filter({keys}, x -> {_place('x', row, w)} = i), named_struct('n', 0L, 'k', 0L, 'c', 0L), "
+                f"(s, x) -> named_struct('n', s.n + 1L, 'k', s.k ^ x, 'c', s.c ^ {_check('x')}))")
+        rows.append(f"transform(sequence(0L, {w - 1}L), i -> {cell})")
+    return f"array({', '.join(rows)})"
 
 
 def subtract_sql(a: str, b: str) -> str:
-    return f"zip_with({a}, {b}, (p, q) -> named_struct('n', p.n - q.n, 'k', p.k ^ q.k, 'c', p.c ^ q.c))"
+    less = "(p, q) -> named_struct('n', p.n - q.n, 'k', p.k ^ q.k, 'c', p.c ^ q.c)"
+    return f"zip_with({a}, {b}, (g, h) -> zip_with(g, h, {less}))"
 
 
 def peel_sql(cells: str, w: int) -> str:
     """array of (k, n): the differing digests, n = 1 in the first version only,
     -1 in the second only; null where peeling stops short."""
-    pure = f"array_distinct(transform(filter(s.cells, c -> abs(c.n) = 1 AND c.c = {_check('c.k')}), c -> named_struct('k', c.k, 'n', c.n)))"
-    hits = f"filter(found, f -> {_in_cell('f.k', 'i', w)})"
-    less = (f"transform(s.cells, (c, i) -> aggregate({hits}, c, "
-            f"(e, f) -> named_struct('n', e.n - f.n, 'k', e.k ^ f.k, 'c', e.c ^ {_check('f.k')})))")
-    step = (f"aggregate(array({pure}), s, (s, found) -> if(size(found) = 0, s, "
-            f"named_struct('cells', {less}, 'keys', concat(s.keys, found))))")
-    start = f"named_struct('cells', {cells}, 'keys', CAST(array() AS array<struct<k:bigint,n:bigint>>))"
-    done = "if(forall(s.cells, c -> c.n = 0 AND c.k = 0 AND c.c = 0), s.keys, NULL)"
+    # the cells with one digest left hold (n, k, c) of that digest
+    pure = f"array_distinct(flatten(transform(s.rows, g -> filter(g, c -> abs(c.n) = 1 AND c.c = {_check('c.k')}))))"
+    rows = []
+    for row in range(ROWS):
+        placed = f"transform(found, f -> named_struct('at', {_place('f.k', row, w)}, 'f', f))"
+        less = ("transform(s.rows[{0}], (c, i) -> if(c.n = 0 AND c.k = 0, c, aggregate(filter(placed, p -> p.at = i), c, "
+                "(e, p) -> named_struct('n', e.n - p.f.n, 'k', e.k ^ p.f.k, 'c', e.c ^ p.f.c))))").format(row)
+        rows.append(f"transform(array({placed}), placed -> {less})[0]")
+    step = (f"if(s.stop, s, aggregate(array({pure}), s, (s, found) -> named_struct('rows', if(size(found) = 0, s.rows, array({', '.join(rows)})), "
+            "'keys', concat(s.keys, found), 'stop', size(found) = 0)))")
+    start = f"named_struct('rows', {cells}, 'keys', CAST(array() AS array<struct<n:bigint,k:bigint,c:bigint>>), 'stop', false)"
+    done = ("if(forall(s.rows, g -> forall(g, c -> c.n = 0 AND c.k = 0 AND c.c = 0)), "
+            "transform(s.keys, f -> named_struct('k', f.k, 'n', f.n)), NULL)")
     return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> {step}, s -> {done})"
 
 
@@ -91,7 +103,7 @@ def _plain_sql(a: str, b: str) -> str:
 
 def _grouped_sql(a: str, b: str, groups: str) -> str:
     """The differing digests by sketches of groups; ``groups`` is a power of two, as 2^(g1 + g2)."""
-    tries = [peel_sql(subtract_sql(sketch_sql("g.a", w), sketch_sql("g.b", w)), w) for w in (WIDTH << r for r in range(RETRIES + 1))]
+    tries = [peel_sql(subtract_sql(sketch_sql("g.a", w), sketch_sql("g.b", w)), w) for w in (GROUP_WIDTH << r for r in range(RETRIES + 1))]
     peeled = f"coalesce({', '.join(tries)}, {_plain_sql('g.a', 'g.b')})"
     coarse, fine = f"CAST({groups} div 2 AS int)", f"CAST({groups} - {groups} div 2 AS int)"
     top = f"shiftrightunsigned(x, 64 - greatest({coarse}, 1)) * if({coarse} = 0, 0, 1)"
@@ -124,7 +136,7 @@ def likeness(a: str, b: str, differing: str) -> Column:
 def serialise(cells: str) -> Column:
     """A sketch as text: per cell 8 digits of the count, 16 of the digests, 8 of the checks."""
     digits = "lpad(hex(c.n), 8, '0') || lpad(hex(c.k), 16, '0') || lpad(hex(c.c), 8, '0')"
-    return F.lower(F.expr(f"array_join(transform({cells}, c -> {digits}), '')"))
+    return F.lower(F.expr(f"array_join(transform(flatten({cells}), c -> {digits}), '')"))
 
 
 def _blocks(docs: DataFrame) -> tuple[Column, Column]:
@@ -136,8 +148,7 @@ def _blocks(docs: DataFrame) -> tuple[Column, Column]:
     if not cuts:
         return F.lit(None), F.lit(0)
     side = max(1, int(len(cuts) ** 0.5))
-    text = ";".join(",".join(map(str, cuts[i:i + side])) for i in range(0, len(cuts), side))
-    table = F.expr(f"transform(split('{text}', ';'), r -> transform(split(r, ','), x -> CAST(x AS bigint)))")
+    table = F.from_json(F.lit(json.dumps([cuts[i:i + side] for i in range(0, len(cuts), side)])), "array<array<bigint>>")
 
     def cuts_(test: str) -> str:
         rows = f"size(filter(_cuts, r -> r[0] {test} _at))"
