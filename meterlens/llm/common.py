@@ -5,12 +5,15 @@ written-and-reread cuts in the shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,19 +67,42 @@ def held_out(doc_id) -> "F.Column":
 
 
 def smallest_hashes(ids: DataFrame, group: str, per_group: int) -> DataFrame:
-    """doc_id and ``group`` of the ``per_group`` rows of smallest doc_id hash in
-    each group.  The groups' sizes come first (a few classes or languages), and
-    a bound on the hash leaves about three times as many rows as wanted, so the
-    ranking never sees a large group."""
-    counts = [(r[0], r[1]) for r in ids.groupBy(group).count().collect() if r[0] is not None]
-    share = {g: min(1.0, (3.0 * per_group + 50) / n) for g, n in counts}
+    """doc_id and ``group`` of the ``per_group`` distinct doc_ids of smallest hash
+    in each group.  The groups' sizes come first (a few classes or languages),
+    counted in distinct doc_ids like the bound on the hash, which leaves about
+    three times as many as wanted, so the ranking never sees a large group and
+    no group comes out empty however often its rows repeat."""
+    ids = ids.select("doc_id", group).filter(F.col(group).isNotNull()).distinct()
+    share = {r[0]: min(1.0, (3.0 * per_group + 50) / r[1]) for r in ids.groupBy(group).count().collect()}
     if not share:
-        return ids.select("doc_id", group).limit(0)
+        return ids.limit(0)
     bound = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col(group))
     hashed = ids.select("doc_id", group, (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)).alias("_h"))
-    near = hashed.filter(F.col(group).isNotNull()).filter(F.col("_h") < bound)
     rank = F.row_number().over(Window.partitionBy(group).orderBy("_h", "doc_id"))
-    return near.withColumn("_k", rank).filter(F.col("_k") <= per_group).select("doc_id", group)
+    return hashed.filter(F.col("_h") < bound).withColumn("_k", rank).filter(F.col("_k") <= per_group).select("doc_id", group)
+
+
+def one_text_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per ``keys``: that of the smallest text hash.  A sample of ids thus
+    has as many rows, however often an id repeats."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("text"), "text"))
+    return rows.withColumn("_first", first).filter(F.col("_first") == 1).drop("_first")
+
+
+def fit_in_task(rows: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
+    """``fit`` of ``rows`` (a sample of bounded size) in one task: what comes to
+    the driver is the fitted model alone.  A task that runs again fits the same."""
+    ship(rows.sparkSession)
+    names = rows.columns
+
+    def run(batches):
+        got = list(batches)
+        frame = pa.Table.from_batches(got).to_pandas() if got else pd.DataFrame(columns=names)
+        del got
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(frame))], pa.binary())], ["model"])
+
+    found = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0][0]) if found else fit(pd.DataFrame(columns=names))
 
 
 def text_rows(docs: DataFrame, *keep: str) -> DataFrame:

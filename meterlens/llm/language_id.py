@@ -19,16 +19,17 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import linear_svm
-from .common import held_out, ship, slices, smallest_hashes, text_rows, utf8
+from .common import fit_in_task, held_out, one_text_each, ship, slices, smallest_hashes, text_rows, utf8
 
 BUCKETS = 1 << 15
-SAMPLE_ROWS = 1600
+SAMPLE_ROWS = 2400
 SLICE_BYTES = 2 << 20
 UNDETERMINED = "und"
 MIN_SCORE = 0.2  # of a kept document
@@ -128,21 +129,25 @@ def train_model(docs: DataFrame, rows: int = SAMPLE_ROWS, cost: float = 4.0) ->
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = known.select("doc_id", "lang", F.col("text").cast("string").alias("text"))
-    got = (text.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text")
-           .mapInArrow(sparse, f"doc_id {kind}, lang string, f array<int>, v array<float>").toPandas()
-           .sort_values(["doc_id", "lang"], kind="stable"))
-    model = Model(languages)
-    at = [np.asarray(f, np.int32) for f in got["f"]]
-    x = [np.asarray(v, np.float32) for v in got["v"]]
-    lang = got["lang"].to_numpy()
-    family = np.array([_FAMILY_OF.get(c, f"own:{c}") for c in lang], object)
-    tasks = [(family == t, np.ones(len(lang), bool)) for t in model.tops]
-    tasks += [(lang == a, (lang == a) | (lang == b)) for a, b in model.pairs]
-    for j, (positive, used) in enumerate(tasks):
-        n = np.flatnonzero(used)
-        w, b = linear_svm.fit([at[i] for i in n], [x[i] for i in n], np.where(positive[n], 1.0, -1.0), BUCKETS, cost)
-        model.weight[:, j], model.bias[j] = w, b
-    return model
+    rows = one_text_each(text.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text"), "doc_id", "lang")
+    rows = rows.mapInArrow(sparse, f"doc_id {kind}, lang string, f array<int>, v array<float>")
+
+    def learn(got: pd.DataFrame) -> Model:
+        got = got.sort_values(["doc_id", "lang"], kind="stable")
+        model = Model(languages)
+        at = [np.asarray(f, np.int32) for f in got["f"]]
+        x = [np.asarray(v, np.float32) for v in got["v"]]
+        lang = got["lang"].to_numpy()
+        family = np.array([_FAMILY_OF.get(c, f"own:{c}") for c in lang], object)
+        tasks = [(family == t, np.ones(len(lang), bool)) for t in model.tops]
+        tasks += [(lang == a, (lang == a) | (lang == b)) for a, b in model.pairs]
+        for j, (positive, used) in enumerate(tasks):
+            n = np.flatnonzero(used)
+            w, b = linear_svm.fit([at[i] for i in n], [x[i] for i in n], np.where(positive[n], 1.0, -1.0), BUCKETS, cost)
+            model.weight[:, j], model.bias[j] = w, b
+        return model
+
+    return fit_in_task(rows, learn)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import linear_svm
-from .common import held_out, mix, runs, ship, slices, smallest_hashes, span_hashes, text_rows, utf8
+from .common import held_out, mix, one_text_each, runs, ship, slices, smallest_hashes, span_hashes, text_rows, utf8
 
 BUCKETS = 1 << 18
 SAMPLE_PER_CLASS = 2000
@@ -162,8 +162,8 @@ def train_model(docs: DataFrame, labels: DataFrame, label: str = "quality", per_
                                              ["doc_id", "y", "f"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got: pd.DataFrame = sample(train, labels, label, per_class).select("doc_id", "y", "text").mapInArrow(
-        rows, f"doc_id {kind}, y int, f array<int>").toPandas().sort_values(["doc_id", "y"], kind="stable")
+    picked = one_text_each(sample(train, labels, label, per_class).select("doc_id", "y", "text"), "doc_id", "y")
+    got: pd.DataFrame = picked.mapInArrow(rows, f"doc_id {kind}, y int, f array<int>").toPandas().sort_values(["doc_id", "y"], kind="stable")
     y = got["y"].to_numpy() == 1
     if not len(y) or y.all() or not y.any():
         p = float(y.mean()) if len(y) else 0.5

@@ -29,11 +29,12 @@ extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, mix, runs, ship, slices, smallest_hashes, span_hashes, text_rows, utf8
+from .common import fit_in_task, held_out, mix, one_text_each, runs, ship, slices, smallest_hashes, span_hashes, text_rows, utf8
 from .quality import labelled, training_ids
 
 WINDOW, STEP, HIDDEN, ATTEND = 32, 16, 8, 8
@@ -336,13 +337,16 @@ def train_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic:
     parts = [smallest_hashes(ids.filter(F.col("y") == c), "y", n) for c, n in ((0, clean), (1, toxic))]
     chosen = parts[0].unionByName(parts[1]).select("doc_id").distinct()
     train = labelled(docs, labels, label).join(F.broadcast(chosen), "doc_id")
-    got = train.select("doc_id", "y", "text").toPandas().sort_values(["doc_id", "y"], kind="stable")
-    order = np.random.default_rng(1).permutation(len(got))  # toxic and clean mixed in each part
-    texts, y = got["text"].tolist(), got["y"].to_numpy()[order]
-    del got
-    model = fit([texts[i] for i in order], y)
-    pa.default_memory_pool().release_unused()
-    return model
+    train = one_text_each(train.select("doc_id", "y", "text"), "doc_id", "y")
+
+    def learn(got: pd.DataFrame) -> Model:
+        got = got.sort_values(["doc_id", "y"], kind="stable")
+        order = np.random.default_rng(1).permutation(len(got))  # toxic and clean mixed in each part
+        texts, y = got["text"].tolist(), got["y"].to_numpy(np.int64)[order]
+        del got
+        return fit([texts[i] for i in order], y)
+
+    return fit_in_task(train, learn)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
