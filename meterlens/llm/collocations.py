@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import mix, runs, ship, slices, span_hashes, store, utf8
+from .common import gather, mix, runs, ship, slices, span_hashes, store, utf8
 
 EVERY = 24
 MAX_TOKENS = 512
@@ -56,15 +56,6 @@ _LOWER[65:91] += 32
 _SPACE, _DOT = 32, 46
 
 
-def _gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The spans of ``data`` as a string column (spans may overlap)."""
-    sizes = ends - starts
-    offsets = np.zeros(len(sizes) + 1, np.int64)
-    np.cumsum(sizes, out=offsets[1:])
-    at = np.arange(offsets[-1], dtype=np.int64) + np.repeat(starts - offsets[:-1], sizes)
-    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data[at]))
-
-
 def _parse(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, chunk starts, chunk ends, row of each chunk): tokens joined by a
     space, a break written as a dot, which no word holds."""
@@ -117,7 +108,7 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[p
         data, offsets = utf8(batch.column("text"))
         out, starts, ends, row = _parse(data, offsets, window)
         if len(starts):
-            table = pa.table({"lang": batch.column("lang").take(pa.array(row)), "chunk": _gather(out, starts, ends),
+            table = pa.table({"lang": batch.column("lang").take(pa.array(row)), "chunk": gather(out, starts, ends),
                               "n": pa.array(np.ones(len(starts), np.int64))})
             yield from _sums(table, ["lang", "chunk"])
 
@@ -188,7 +179,7 @@ def _gram_batches(batches: Iterator[pa.RecordBatch], size: int, window: int, fie
             continue
         weight = np.asarray(batch.column("n"))[row[at]]
         table = pa.table({"lang": batch.column("lang").take(pa.array(row[at])),
-                          "phrase": _gather(data, starts[at], ends[at + size - 1]), "n": pa.array(weight)})
+                          "phrase": gather(data, starts[at], ends[at + size - 1]), "n": pa.array(weight)})
         yield from _sums(table, ["lang", "phrase"])
         if size == 1:
             table = table.set_column(1, "phrase", pa.array([""] * len(at), pa.large_string()))

@@ -186,6 +186,24 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
+def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The spans of ``data`` as a string column (spans may overlap)."""
+    sizes = ends - starts
+    offsets = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    at = np.arange(offsets[-1], dtype=np.int64) + np.repeat(starts - offsets[:-1], sizes)
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data[at]))
+
+
+def same_spans(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether ``a`` and ``b`` hold the same bytes in each pair of spans."""
+    ends = np.cumsum(sizes)
+    at = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    other = np.zeros(len(at) + 1, np.int64)
+    np.cumsum(a[at + np.repeat(a_starts, sizes)] != b[at + np.repeat(b_starts, sizes)], out=other[1:])
+    return other[ends] == other[ends - sizes]
+
+
 def runs(mask: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true in ``mask``; a run also ends at each
     position in ``cuts`` (row boundaries)."""

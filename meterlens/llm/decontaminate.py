@@ -34,11 +34,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import runs, ship, slices, span_hashes, text_rows, utf8
+from .common import gather, runs, ship, slices, span_hashes, text_rows, utf8
 
 WINDOW, SHARE = 13, 20
 SHARD_BYTES, BLOCK_BYTES = 3 << 20, 8 << 20
@@ -50,22 +51,28 @@ for _a, _b in ((48, 58), (97, 123), (128, 256)):
     _WORD[_a:_b] = True
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and, per row, where its words begin (n + 1 places)."""
+def split_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(lower-cased bytes, word starts, word ends) and, per row, where its words begin (n + 1 places)."""
     data, offsets = utf8(column)
     base = int(offsets[0])
     data, offsets = _LOWER[data[base:int(offsets[-1])]], offsets - base
     starts, ends = runs(_WORD[data], offsets)
-    return span_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+    return data, starts, ends, np.searchsorted(starts, offsets)
 
 
 class TestSet:
     """One block of the benchmark: numbered words and packed test suffixes."""
 
     def __init__(self, item_ids: list, texts: list[str | None], window: int = WINDOW) -> None:
-        h, first = word_hashes(pa.array(texts, pa.string()))
-        self.vocabulary, ids = np.unique(h, return_inverse=True)
-        self.bits = max(1, int(len(self.vocabulary)).bit_length())
+        data, starts, ends, first = split_words(pa.array(texts, pa.string()))
+        h = span_hashes(data, starts, ends)
+        coded = gather(data, starts, ends).dictionary_encode()
+        codes = np.asarray(coded.indices)
+        where = np.unique(codes, return_index=True)[1]
+        order = np.argsort(h[where], kind="stable")
+        self.vocabulary, self.hashes = coded.dictionary.take(pa.array(order)), h[where][order]  # words by hash; equal hashes may differ
+        ids = np.argsort(order)[codes]
+        self.bits = max(1, len(self.vocabulary).bit_length())
         self.per_key = max(1, 63 // self.bits)
         self.window = window
         self.names = item_ids
@@ -91,6 +98,18 @@ class TestSet:
         self.window_item = pairs[:, 1]
         self.window_first = np.searchsorted(pairs[:, 0], np.arange(len(where) + 1))
 
+    def ids_of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Number of each word from 1, 0 for words that the test set lacks: the
+        hash finds what may be one of its words, the bytes decide."""
+        ids = np.zeros(len(starts), np.int64)
+        if len(starts) and len(self.hashes):
+            h = span_hashes(data, starts, ends)
+            near = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            maybe = np.flatnonzero(self.hashes[near] == h)
+            found = pc.index_in(gather(data, starts[maybe], ends[maybe]), value_set=self.vocabulary)
+            ids[maybe] = np.asarray(pc.fill_null(found, -1)) + 1
+        return ids
+
     def _pack(self, words: np.ndarray) -> np.ndarray:
         """Key of the ``per_key`` words at every place (zero past the end)."""
         padded = np.r_[words, np.zeros(self.per_key + 1, np.int64)]
@@ -112,11 +131,8 @@ class TestSet:
 class SuffixArray:
     """Sorted word positions of a shard, for one test set."""
 
-    def __init__(self, test: TestSet, hashes: np.ndarray, first: np.ndarray, depth_words: int) -> None:
-        n, rows = len(hashes), len(first) - 1
-        near = np.searchsorted(test.vocabulary, hashes)
-        near = np.minimum(near, max(0, len(test.vocabulary) - 1))
-        ids = np.where(test.vocabulary[near] == hashes, near + 1, 0) if len(test.vocabulary) else np.zeros(n, np.int64)
+    def __init__(self, test: TestSet, ids: np.ndarray, first: np.ndarray, depth_words: int) -> None:
+        n, rows = len(ids), len(first) - 1
         self.row = np.repeat(np.arange(rows), np.diff(first))
         self.place = np.arange(n) + self.row  # a zero after each document
         self.words = np.zeros(n + rows, np.int64)
@@ -163,12 +179,12 @@ class SuffixArray:
         return lo
 
 
-def shard_hits(test: TestSet, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shard_hits(test: TestSet, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A flag for each word of the shard, and (row, item) pairs that occur."""
-    array = SuffixArray(test, hashes, first, test.window)
+    array = SuffixArray(test, ids, first, test.window)
     hit = np.zeros(len(array.words) + test.window + 1, np.int64)
     if not len(array.at) or not len(test.low):
-        return np.zeros(len(hashes), bool), np.zeros((0, 2), np.int64)
+        return np.zeros(len(ids), bool), np.zeros((0, 2), np.int64)
     lo, hi = array.bound(test.low, False), array.bound(test.high, True)
     size = hi - lo
     found = np.repeat(np.arange(len(size)), size)
@@ -183,10 +199,10 @@ def shard_hits(test: TestSet, hashes: np.ndarray, first: np.ndarray) -> tuple[np
     return (np.cumsum(hit) > 0)[array.place], pairs
 
 
-def shard_longest(test: TestSet, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+def shard_longest(test: TestSet, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(item, item_start, n_words, row, row_start) of the longest match of each
     test suffix in the shard; ties take the first place in the shard."""
-    array = SuffixArray(test, hashes, first, max(1, test.longest))
+    array = SuffixArray(test, ids, first, max(1, test.longest))
     if not len(array.at) or not len(test.at):
         return []
     keys = np.stack([test._pack(test.words)[np.minimum(test.at + j * test.per_key, len(test.words))] for j in range(array.depth)], axis=1)
@@ -228,11 +244,11 @@ def test_blocks(benchmark: DataFrame, window: int = WINDOW) -> list:
 
 def _judged(part: pa.RecordBatch, blocks: list) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
     """Words, hit words and occurring item ids of each row."""
-    hashes, first = word_hashes(part.column("text"))
-    hit = np.zeros(len(hashes), bool)
+    *words, first = split_words(part.column("text"))
+    hit = np.zeros(int(first[-1]), bool)
     items: list[set] = [set() for _ in range(part.num_rows)]
     for block in blocks:
-        more, pairs = shard_hits(block.value, hashes, first)
+        more, pairs = shard_hits(block.value, block.value.ids_of(*words), first)
         hit |= more
         for row, item in pairs.tolist():
             if block.value.names[item] is not None:
@@ -283,9 +299,9 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
     def run(batches):
         for part in slices(batches, "text", SHARD_BYTES):
-            hashes, first = word_hashes(part.column("text"))
+            *words, first = split_words(part.column("text"))
             for block in blocks:
-                found = shard_longest(block.value, hashes, first)
+                found = shard_longest(block.value, block.value.ids_of(*words), first)
                 rows = pa.array([f[3] for f in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block.value.names[f[0]] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()),

@@ -160,7 +160,7 @@ class Codec:
         self.by_words = plain and self.model.dummy_prefix and self.model.cuts_at_spaces()
         names = "|".join(re.escape(p) for p, _, kind in self.model.pieces if kind in (UNKNOWN, CONTROL))
         self.spelled = rf"{names}|<0x[0-9A-F]{{2}}>" if self.model.kind == UNIGRAM else None
-        self.words = PieceEncoder(partial(encode_joined, self.library), lambda t: pc.split_pattern(t, " "))
+        self.words = PieceEncoder(partial(encode_joined, self.library), lambda t: pc.split_pattern(t, " "), 700_000, 20)
 
     def restores(self, ids: np.ndarray, size: np.ndarray, texts: pa.Array) -> np.ndarray:
         """Whether the built decoder turns the ids of each row into its text again."""

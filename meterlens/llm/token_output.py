@@ -46,10 +46,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, ship, slices, span_hashes, text_rows, utf8
+from .common import gather, same_spans, shared_folder, ship, slices, span_hashes, text_rows, utf8
 
 END_ID, BLOCK_IDS, SEGMENT_IDS, PERCENTILE = 2, 128, 1 << 18, 0.9
-CACHE_PIECES, TABLE_BITS, LONGEST_KNOWN, JOINED = 700_000, 20, 1024, 200
+CACHE_PIECES, TABLE_BITS, LONGEST_KNOWN, JOINED = 1_200_000, 21, 1024, 200
 SLICE_BYTES = 2 << 20
 MAGIC, VERSION = b"PFR1", 1
 HEADER = struct.Struct("<4sIQIII")
@@ -59,40 +59,51 @@ class PieceEncoder:
     """Ids of texts whose pieces between separators encode independently.
 
     Distinct pieces of a batch are looked up in a table by 64-bit hash (one
-    place a hash, the last piece wins it); only the others are encoded.  The
-    table and its ids start anew after ``CACHE_PIECES`` pieces.  Pieces over
-    ``LONGEST_KNOWN`` bytes are never looked up."""
-
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], split: Callable[[pa.Array], pa.Array]) -> None:
-        self.encode, self.split = encode, split
+    place a hash, the last piece wins it) and compared with the bytes of the
+    entry found; only the others are encoded.  The table of 2^``bits`` places and
+    its ids start anew after ``most`` pieces.  Pieces over ``LONGEST_KNOWN``
+    bytes are never looked up."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], split: Callable[[pa.Array], pa.Array],
+                 most: int = CACHE_PIECES, bits: int = TABLE_BITS) -> None:
+        self.encode, self.split, self.most, self.bits = encode, split, most, bits
         self._clear()
 
     def _clear(self) -> None:
-        self.key, self.number = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.int32)
+        self.key, self.number = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
         self.flat, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.spelled, self.spelled_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)  # bytes of the short entries
 
     def _numbers(self, pieces: pa.Array) -> np.ndarray:
         """The entry of each distinct piece."""
         data, offsets = utf8(pieces)
         base = int(offsets[0])
         data, offsets = data[base:int(offsets[-1])], offsets - base
+        sizes = np.diff(offsets)
         h = span_hashes(data, offsets[:-1], offsets[1:])
-        slot = (h & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
-        short = np.diff(offsets) <= LONGEST_KNOWN
-        new = np.flatnonzero((self.key[slot] != h) | ~short | (h == 0))
+        slot = (h & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+        short = sizes <= LONGEST_KNOWN
+        known = (self.key[slot] == h) & short & (h != 0)
+        entry = self.number[slot].astype(np.int64)
+        known[known] = np.diff(self.spelled_at)[entry[known]] == sizes[known]
+        at = np.flatnonzero(known)
+        known[at] = same_spans(data, offsets[at], self.spelled, self.spelled_at[entry[at]], sizes[at])
+        new = np.flatnonzero(~known)
         if not len(new):
-            return self.number[slot]
-        if len(self.start) + len(new) > CACHE_PIECES and len(self.start) > 1:
+            return entry
+        if len(self.start) + len(new) > self.most and len(self.start) > 1:
             self._clear()
             new = np.arange(len(h))
-        out = self.number[slot].astype(np.int64)
-        out[new] = len(self.start) - 1 + np.arange(len(new))
+        entry[new] = len(self.start) - 1 + np.arange(len(new))
         ids, size = self.encode(pieces.take(pa.array(new)).to_pylist())
         self.flat = np.concatenate([self.flat, ids])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
         kept = new[short[new]]
-        self.key[slot[kept]], self.number[slot[kept]] = h[kept], out[kept]
-        return out
+        held = gather(data, offsets[kept], offsets[kept + 1])
+        self.spelled = np.concatenate([self.spelled, utf8(held)[0]])
+        self.spelled_at = np.concatenate([self.spelled_at, self.spelled_at[-1] + np.cumsum(np.where(short[new], sizes[new], 0))])
+        self.key[slot[kept]], self.number[slot[kept]] = h[kept], entry[kept]
+        return entry
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each row)."""
@@ -339,8 +350,8 @@ def write(docs: DataFrame, description: str, path: str, end_id: int = END_ID, pa
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = text_rows(docs, "doc_id")
-    # only doc_id is drawn to place the range bounds; the order within equal ids is the text's hash
-    dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    order = ["doc_id", F.xxhash64("text")]  # the hash spreads a doc_id of many rows over partitions
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     dealt.mapInArrow(run, f"part int, seq int, before long, n_tokens long, doc_ids array<{kind}>, image binary").write.parquet(path)
 
 

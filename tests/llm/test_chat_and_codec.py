@@ -210,4 +210,4 @@ def test_pipeline_stages_in_order(spark):
 
 
 def test_every_numbered_operator_has_one_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
