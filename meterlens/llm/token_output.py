@@ -50,11 +50,31 @@ from .common import gather, same_spans, shared_folder, ship, slices, span_hashes
 
 END_ID, BLOCK_IDS, SEGMENT_IDS, PERCENTILE = 2, 128, 1 << 18, 0.9
 CACHE_PIECES, TABLE_BITS, LONGEST_KNOWN, JOINED = 1_200_000, 21, 1024, 200
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 MAGIC, VERSION = b"PFR1", 1
 HEADER = struct.Struct("<4sIQIII")
 
 
+class _Growing:
+    """An array that doubles its room when it is full."""
+
+    def __init__(self, start: np.ndarray) -> None:
+        self.room, self.size = start, len(start)
+
+    def add(self, more: np.ndarray) -> None:
+        need = self.size + len(more)
+        if need > len(self.room):
+            room = np.empty(max(need, 2 * len(self.room)), self.room.dtype)
+            room[:self.size] = self.room[:self.size]
+            self.room = room
+        self.room[self.size:need] = more
+        self.size = need
+
+    @property
+    def held(self) -> np.ndarray:
+        return self.room[:self.size]
+
+
 class PieceEncoder:
     """Ids of texts whose pieces between separators encode independently.
 
@@ -71,8 +91,8 @@ class PieceEncoder:
 
     def _clear(self) -> None:
         self.key, self.number = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
-        self.flat, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        self.spelled, self.spelled_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)  # bytes of the short entries
+        self.flat, self.start = _Growing(np.zeros(0, np.int32)), _Growing(np.zeros(1, np.int64))
+        self.spelled, self.spelled_at = _Growing(np.zeros(0, np.uint8)), _Growing(np.zeros(1, np.int64))  # bytes of the short entries
 
     def _numbers(self, pieces: pa.Array) -> np.ndarray:
         """The entry of each distinct piece."""
@@ -85,23 +105,25 @@ class PieceEncoder:
         short = sizes <= LONGEST_KNOWN
         known = (self.key[slot] == h) & short & (h != 0)
         entry = self.number[slot].astype(np.int64)
-        known[known] = np.diff(self.spelled_at)[entry[known]] == sizes[known]
-        at = np.flatnonzero(known)
-        known[at] = same_spans(data, offsets[at], self.spelled, self.spelled_at[entry[at]], sizes[at])
+        at, spelled_at = np.flatnonzero(known), self.spelled_at.held
+        begin = spelled_at[entry[at]]
+        known[at] = spelled_at[entry[at] + 1] - begin == sizes[at]
+        alike = known[at]
+        at, begin = at[alike], begin[alike]
+        known[at] = same_spans(data, offsets[at], self.spelled.held, begin, sizes[at])
         new = np.flatnonzero(~known)
         if not len(new):
             return entry
-        if len(self.start) + len(new) > self.most and len(self.start) > 1:
+        if self.start.size + len(new) > self.most and self.start.size > 1:
             self._clear()
             new = np.arange(len(h))
-        entry[new] = len(self.start) - 1 + np.arange(len(new))
+        entry[new] = self.start.size - 1 + np.arange(len(new))
         ids, size = self.encode(pieces.take(pa.array(new)).to_pylist())
-        self.flat = np.concatenate([self.flat, ids])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        self.flat.add(ids)
+        self.start.add(self.start.held[-1] + np.cumsum(size))
         kept = new[short[new]]
-        held = gather(data, offsets[kept], offsets[kept + 1])
-        self.spelled = np.concatenate([self.spelled, utf8(held)[0]])
-        self.spelled_at = np.concatenate([self.spelled_at, self.spelled_at[-1] + np.cumsum(np.where(short[new], sizes[new], 0))])
+        self.spelled.add(utf8(gather(data, offsets[kept], offsets[kept + 1]))[0])
+        self.spelled_at.add(self.spelled_at.held[-1] + np.cumsum(np.where(short[new], sizes[new], 0)))
         self.key[slot[kept]], self.number[slot[kept]] = h[kept], entry[kept]
         return entry
 
@@ -113,9 +135,10 @@ class PieceEncoder:
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         coded = pieces.dictionary_encode()
         number = self._numbers(coded.dictionary)[np.asarray(coded.indices)]
-        size = self.start[number + 1] - self.start[number]
+        start = self.start.held
+        size = start[number + 1] - start[number]
         ends = np.cumsum(size)
-        ids = self.flat[np.arange(int(ends[-1])) + np.repeat(self.start[number] - (ends - size), size)]
+        ids = self.flat.held[np.arange(int(ends[-1])) + np.repeat(start[number] - (ends - size), size)]
         bounds = np.r_[0, ends][np.cumsum(np.r_[0, np.asarray(lists.value_lengths())])]
         return ids, np.diff(bounds)
 
