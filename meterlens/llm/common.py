@@ -4,6 +4,8 @@ written-and-reread cuts in the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import pickle
 import tempfile
@@ -97,9 +99,12 @@ def fit_in_task(rows: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
 
     def run(batches):
         got = list(batches)
-        frame = pa.Table.from_batches(got).to_pandas() if got else pd.DataFrame(columns=names)
+        frames = [pa.Table.from_batches(got).to_pandas() if got else pd.DataFrame(columns=names)]
         del got
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(frame))], pa.binary())], ["model"])
+        release()
+        model = pickle.dumps(fit(frames.pop()))
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     found = rows.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(found[0][0]) if found else fit(pd.DataFrame(columns=names))
@@ -110,6 +115,17 @@ def text_rows(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker that waits for its next
+    task keeps no more than it holds."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Row ranges of the batches with at most ``max_bytes`` of ``column`` each;
     a longer single row comes alone and whole."""
@@ -124,6 +140,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
             to = min(max(to, at + 1), n)
             yield batch.slice(at, to - at)
             at = to
+        del batch
+    release()
 
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
