@@ -46,20 +46,26 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"<\\(\\*)\|", r"<$1|")
 
 
+def _plain_id(c: str) -> Column:
+    """An id as text without the separators of a key; different ids stay different."""
+    text = F.replace(F.col(c).cast("string"), F.lit("%"), F.lit("%25"))
+    return F.replace(F.replace(text, F.lit("/"), F.lit("%2F")), F.lit("#"), F.lit("%23"))
+
+
 def _keyed(nodes: DataFrame) -> DataFrame:
     """Adds ``key`` and ``up`` (the parent's key or null), unique strings."""
-    tree = F.coalesce(F.concat(F.lit("t"), F.col("tree_id").cast("string")), F.lit("-"))
+    tree = F.coalesce(F.concat(F.lit("t"), _plain_id("tree_id")), F.lit("-"))
     n = nodes.select("tree_id", "node_id", "parent_id", F.coalesce("role", F.lit("")).alias("role"),
                      F.coalesce("text", F.lit("")).alias("text"),
                      F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     again = F.row_number().over(Window.partitionBy("tree_id", "node_id").orderBy("role", "text"))
-    name = F.concat(tree, F.lit("/"), F.coalesce(F.col("node_id").cast("string"), F.lit("-")))
+    name = F.concat(tree, F.lit("/"), F.coalesce(_plain_id("node_id"), F.lit("%")))
     n = n.withColumn("_again", again)
     return n.select(
         "tree_id", "node_id", "role", "text", "score",
         F.concat(name, F.when(F.col("_again") > 1, F.concat(F.lit("#"), F.col("_again").cast("string")))
                  .otherwise("")).alias("key"),
-        F.concat(tree, F.lit("/"), F.col("parent_id").cast("string")).alias("up"))
+        F.concat(tree, F.lit("/"), _plain_id("parent_id")).alias("up"))
 
 
 def ancestor_tables(nodes: DataFrame) -> list[DataFrame]:

@@ -106,7 +106,9 @@ class BallTree:
 
 def _exact_kind(x: np.ndarray, q: np.ndarray):
     """The narrowest number type in which every partial sum is exact."""
-    top = max(1, x.shape[1]) * float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0))
+    # Python integers: the absolute value of the smallest long is no long
+    sizes = [max(int(a.max(initial=0)), -int(a.min(initial=0))) for a in (x, q)]
+    top = max(1, x.shape[1]) * sizes[0] * sizes[1]
     if top < 1 << 24:
         return np.float32
     return np.float64 if top < 1 << 45 else object

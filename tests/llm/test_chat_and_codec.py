@@ -69,6 +69,17 @@ def test_paths_and_round_trip_equal_the_recursive_version(spark, seed):
     assert chat_format.format_trees(nodes.filter("tree_id = -5")).count() == 0
 
 
+def test_ids_that_hold_the_separators_of_keys_stay_apart(spark):
+    rows = [("a/1", "2", None, "user", "x"), ("a", "1/2", None, "user", "y"), ("a", "-", None, "user", "dash"), ("a", None, None, "user", "none"),
+            ("b", "1", None, "user", "first"), ("b", "1", None, "user", "second"), ("b", "1#2", None, "user", "named"),
+            ("c", "%2F", None, "user", "code"), ("c", "/", None, "user", "slash"), ("c", "z", "/", "assistant", "reply")]
+    nodes = spark.createDataFrame([(*r, 0.0) for r in rows], "tree_id string, node_id string, parent_id string, role string, text string, score double")
+    out = chat_format.format_trees(nodes).withColumn("f", chat_format.formatted(F.col("segments")))
+    got = sorted((r.tree_id, tuple(t.text for t in r.turns)) for r in out.select("tree_id", chat_format.read_turns(F.col("f")).alias("turns")).collect())
+    assert got == sorted([("a/1", ("x",)), ("a", ("y",)), ("a", ("dash",)), ("a", ("none",)), ("b", ("first",)), ("b", ("second",)),
+                          ("b", ("named",)), ("c", ("code",)), ("c", ("slash", "reply"))])
+
+
 def test_conversations_with_nulls_ties_and_repeats(spark, tmp_path):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, None, None), (1, 2, "assistant", "b"), (None, 0, "assistant", ATTACK[0]), (2, 5, "system", "")]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")

@@ -305,6 +305,14 @@ def test_top_k_of_one_query_id_with_many_vectors(spark, monkeypatch):
     assert [tuple(r) for r in got] == [(20, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
 
 
+def test_top_k_of_the_largest_finite_components(spark):
+    rows = [(0, [1.0, 1.0]), (1, [-1e30, 1.0]), (2, [-64.0, -64.0]), (3, [1e30, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.top_k(frame, F.col("vec_id") == 0).orderBy("rank").collect()
+    lowest, highest = -(1 << 63) + 1, (1 << 63) - 1  # scores beyond 64 bits are saturated
+    assert [tuple(r) for r in got] == [(0, 1, 3, highest), (0, 2, 2, -2 * 64 * 4096), (0, 3, 1, lowest)]
+
+
 def test_search_refuses_a_shard_beyond_its_row_numbers(monkeypatch):
     monkeypatch.setattr(topk_search, "_ID_BITS", 6)
     x = np.arange(130, dtype=np.int64).reshape(65, 2)
