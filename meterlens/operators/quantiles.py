@@ -33,10 +33,8 @@ def _counted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def _ranges(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums of the counted rows by (group, range); NULL values have no range."""
-    v, c = F.col("_v"), F.col("_c")
-    return counts.groupBy(*keys, _range_code(v).alias("_b")).agg(
-        F.sum(c).alias("_rows"), F.sum(v * c).alias("_s1"), F.sum(v * v * c).alias("_s2"), F.max(v).alias("_top"))
+    """Rows by (group, range); NULL values have no range."""
+    return counts.groupBy(*keys, _range_code(F.col("_v")).alias("_b")).agg(F.sum("_c").alias("_rows"))
 
 
 def _picked(counts: DataFrame, ranges: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
@@ -81,20 +79,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
 
 def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
                         stats: dict[str, str]) -> DataFrame:
-    """Percentiles and simple statistics of ``value`` by ``keys``, all from the
-    one (group, value, count) aggregation.  ``stats``: name -> ``avg``, ``max``,
-    ``std`` (sample), ``count`` (of values) or ``rows``."""
+    """Percentiles and simple statistics of ``value`` by ``keys``.  ``stats``: name
+    -> ``avg``, ``max``, ``std`` (sample), ``count`` (of values) or ``rows``; these
+    are Spark's own (centred) aggregates, one buffer a group and task."""
+    v = F.col(value).cast("double")
+    forms = {"avg": F.avg(v), "max": F.max(v), "std": F.stddev_samp(v), "count": F.count(v), "rows": F.count(F.lit(1))}
+    base = df.groupBy(*keys).agg(*[forms[kind].alias(name) for name, kind in stats.items()])
     counts = _counted(df, keys, value)
-    ranges = _ranges(counts, keys)
-    known = F.col("_b").isNotNull()
-    n, total = F.sum(F.when(known, F.col("_rows"))), F.sum("_s1")
-    forms = {
-        "avg": F.try_divide(total, n),
-        "max": F.max("_top"),
-        "std": F.when(n > 1, F.sqrt(F.greatest(F.sum("_s2") - total * total / n, F.lit(0.0)) / (n - 1))),
-        "count": F.coalesce(n, F.lit(0)),
-        "rows": F.sum("_rows"),
-    }
-    base = ranges.groupBy(*keys).agg(*[forms[kind].alias(name) for name, kind in stats.items()])
-    out = null_safe_join(base, _picked(counts, ranges, keys, probs), keys, "left")
+    out = null_safe_join(base, _picked(counts, _ranges(counts, keys), keys, probs), keys, "left")
     return out.select(*keys, *stats, *probs)

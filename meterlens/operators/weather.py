@@ -13,12 +13,12 @@ Fixed values that must equal the reference:
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.exprs import clip, exact, safe_div, snap
+from .moments import co_moments, least_squares
 
 HDD_BASE, CDD_BASE = 18.0, 24.0
 REFERENCE_STATION = "KTM001"
@@ -152,50 +152,24 @@ def correlations(df: DataFrame, target: str = "total_gwh",
 
 
 # ---------------------------------------------------------------- A18
-def least_norm_solution(gram: np.ndarray, moment: np.ndarray) -> np.ndarray:
-    """The x of least norm among all minimisers, from the normal equations
-    ``gram x = moment``.  Rank is judged on the equations scaled to a unit
-    diagonal; the part of a solution that lies in the null space is removed."""
-    size = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
-    values, vectors = np.linalg.eigh(gram / np.outer(size, size))
-    real = values > 1e-10 * max(values.max(initial=0.0), 1e-300)
-    used = vectors[:, real]
-    x = (used @ ((used.T @ (moment / size)) / values[real])) / size
-    if real.all():
-        return x
-    null, _ = np.linalg.qr(vectors[:, ~real] / size[:, None])
-    return x - null @ (null.T @ x)
-
-
 def ols_regression(df: DataFrame, target: str = "total_gwh",
                    features: list[str] | None = None, min_rows: int = 10) -> DataFrame:
-    """Multi-variable OLS by normal equations.
+    """Multi-variable OLS from centred moments.
 
-    Spark sums the cross products of (1, features, target) in one aggregation;
-    only the k x k system (k = features + 1) reaches the driver, where the
-    minimum-norm solution over intercept and coefficients is taken.
+    One aggregation gives count, means and centred products of (features,
+    target); only those k x k numbers reach the driver, where the minimum-norm
+    solution over intercept and coefficients is taken.
     """
     spark = df.sparkSession
     feats = [c for c in (features or OLS_FEATURES) if c in df.columns]
-    clean = df.select(target, *feats).dropna()
-    terms = {"1": F.lit(1.0), **{c: F.col(c).cast("double") for c in [*feats, target]}}
-    names = list(terms)
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    sums = clean.agg(*[F.sum(terms[names[i]] * terms[names[j]]).alias(f"s{i}_{j}") for i, j in pairs]).first()
-    n = int(sums["s0_0"] or 0)
+    part = co_moments(df, [], [*feats, target]).first()
+    n = int(part["n"])
     schema = ("r_squared double, intercept double, n_observations long, error string, "
               + ", ".join(f"coeff_{c} double" for c in feats))
     if n < min_rows:
         return spark.createDataFrame(
             [(None, None, n, SHORT_INPUT, *[None] * len(feats))], schema)
-    full = np.zeros((len(names), len(names)))
-    for i, j in pairs:
-        full[i, j] = full[j, i] = sums[f"s{i}_{j}"]
-    gram, moment = full[:-1, :-1], full[:-1, -1]
-    x = least_norm_solution(gram, moment)
-    total = full[-1, -1] - full[0, -1] ** 2 / n
-    left = full[-1, -1] - 2 * float(x @ moment) + float(x @ gram @ x)
-    r2 = 1 - left / total if total > 0 else 0.0
+    x, r2 = least_squares(part, target, feats)
     row = spark.createDataFrame([(float(r2), float(x[0]), n, None, *[float(b) for b in x[1:]])], schema)
     return row.select(snap("r_squared", 4).alias("r_squared"), snap("intercept", 4).alias("intercept"),
                       "n_observations", "error", *[snap(f"coeff_{c}", 6).alias(f"coeff_{c}") for c in feats])
