@@ -7,6 +7,23 @@ from .sqlkit import CLEAN_VIEW, METER_VIEW, exact, fiscal_quarter, fiscal_year,
 KWH = "consumption_kwh"
 
 ORACLE = {
+    "distinct_meters_rollup": with_views(CLEAN_VIEW, """
+SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, consumer_type,
+       count(DISTINCT meter_id) AS meter_count, TRUE AS estimate_close
+FROM clean GROUP BY ALL
+"""),
+    "load_quantiles_rollup": with_views(CLEAN_VIEW, f"""
+SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, consumer_type, count(*) AS readings,
+       {snap(f'quantile_cont({KWH}, 0.5)', 4)} AS p50_kwh, {snap(f'quantile_cont({KWH}, 0.9)', 4)} AS p90_kwh,
+       TRUE AS p50_kwh_close, TRUE AS p90_kwh_close
+FROM clean WHERE {KWH} IS NOT NULL GROUP BY ALL
+"""),
+    "load_moments_rollup": with_views(CLEAN_VIEW, f"""
+SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, consumer_type, count(*) AS readings,
+       {snap(f'avg({KWH})', 4)} AS avg_kwh, {snap(f'stddev_samp({KWH})', 4)} AS std_kwh,
+       {snap(f"CASE WHEN stddev_pop({KWH}) * stddev_pop(voltage_v) > 0 THEN corr({KWH}, voltage_v) END", 4)} AS r_kwh_voltage
+FROM clean WHERE {KWH} IS NOT NULL AND voltage_v IS NOT NULL GROUP BY ALL
+"""),
     "meter_readings_range": with_views(METER_VIEW, """
 SELECT * FROM meter
 WHERE "timestamp" >= TIMESTAMP '2024-01-05 00:00:00' AND "timestamp" <= TIMESTAMP '2024-01-20 00:00:00'

@@ -7,7 +7,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import snap
 from ..operators import meters as M
+from ..operators import moments, sketches
 from ..sources.tables import EVENT_TYPE_BOUNDS, meter_readings, read_table
 
 RANGE_START, RANGE_END = "2024-01-05", "2024-01-20"
@@ -119,7 +121,30 @@ def q_load_duration_curve(spark, sf):
     return M.load_duration_curve(clean(spark, sf))
 
 
+def q_distinct_meters_rollup(spark, sf):
+    return sketches.distinct_meters_checked(clean(spark, sf))
+
+
+def q_load_quantiles_rollup(spark, sf):
+    out = sketches.load_quantiles_checked(clean(spark, sf), {"p50_kwh": 0.5, "p90_kwh": 0.9})
+    return out.withColumns({c: snap(c, 4) for c in ("p50_kwh", "p90_kwh")})
+
+
+def q_load_moments_rollup(spark, sf):
+    """Days' moments of load and voltage, merged into months."""
+    cols = [M.KWH, M.VOLT]
+    days = moments.co_moments(clean(spark, sf), ["date", M.TYPE], cols)
+    days = days.select("*", F.year("date").alias("year"), F.month("date").alias("month"))
+    months = moments.merge_moments(days, ["year", "month", M.TYPE], cols)
+    return months.select("year", "month", M.TYPE, F.col("n").alias("readings"), snap(moments.mean_col(M.KWH), 4).alias("avg_kwh"),
+                         snap(moments.std_of(M.KWH), 4).alias("std_kwh"),
+                         snap(moments.correlation_of(*cols), 4).alias("r_kwh_voltage"))
+
+
 QUERIES = {
+    "distinct_meters_rollup": q_distinct_meters_rollup,
+    "load_quantiles_rollup": q_load_quantiles_rollup,
+    "load_moments_rollup": q_load_moments_rollup,
     "meter_readings_range": q_meter_readings_range,
     "meter_extract_stats": q_meter_extract_stats,
     "meter_registry": q_meter_registry,
