@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,15 @@ UPSERTS = {
     "monthly": (["year", "month"], ["total_gwh", "peak_demand_mw", "seasonal_index"]),
 }
 METER_KEYS = ["meter_id", "timestamp"]
+APPENDS = ("province", "weather", "district", "hydro_projects")
+BY_PERIOD = ("annual", "monthly", "province", "district")  # bounded by the calendar or by geography
 PIPELINE_NAME = "main_etl"
 
 
 def load_upserted(spark: SparkSession, batch: DataFrame, table_dir: str, keys: list[str], update: list[str],
                   version: int | None = None) -> int:
     """Merge a batch into a versioned table; the number of batch rows."""
-    n = batch.count()  # annual and monthly series: one row a period
+    n = batch.count()
     if not n:
         return 0
     rows = prepare_for_load(batch)
@@ -46,23 +49,35 @@ def load_upserted(spark: SparkSession, batch: DataFrame, table_dir: str, keys: l
 
 def load_meters(spark: SparkSession, batch: DataFrame, table_dir: str) -> int:
     """Append the readings whose (meter, timestamp) is not stored yet; the
-    number appended.  Stored days outside the batch's range are not read."""
+    number appended.  Only stored days that occur in the batch are read, and a
+    day's new readings are dealt to few files, a large day to several."""
     rows = prepare_for_load(batch).withColumn("day", F.to_date("timestamp"))
     if path_exists(spark, table_dir):
-        low, high = rows.agg(F.min("day"), F.max("day")).first()
-        stored = spark.read.schema(rows.schema).parquet(table_dir).filter(F.col("day").isNull() | F.col("day").between(low, high))
+        days = [r.day for r in rows.select("day").distinct().collect()]  # bounded by the calendar
+        at = F.col("day").isin([d for d in days if d is not None])
+        stored = spark.read.schema(rows.schema).parquet(table_dir).filter(at | F.col("day").isNull() if None in days else at)
     else:
-        stored = rows.limit(0)
+        stored = spark.createDataFrame([], rows.schema)
     seen = Observation("meters")
-    new = append_new_only(stored, rows, METER_KEYS, [F.col("reading_id")]).observe(seen, F.count(F.lit(1)).alias("rows"))
-    new.write.mode("append").partitionBy("day").parquet(table_dir)
+    new = append_new_only(stored, rows, METER_KEYS, [F.col("reading_id")]).hint("rebalance", "day")
+    new.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("day").parquet(table_dir)
     return int(seen.get["rows"])
 
 
 def run_load(spark: SparkSession, frames: dict[str, DataFrame], base_dir: str) -> dict[str, int]:
-    """Load the given datasets (``annual``, ``monthly``, ``smart_meter``,
-    ``province``, ``weather``); rows per table.  The run is logged as success,
-    or as failed with the rows loaded so far, and the error goes on."""
+    """Load the given datasets (``annual``, ``monthly``, ``smart_meter`` and those
+    of ``APPENDS``); rows per table.  The run is logged as success, or as failed
+    with the rows loaded so far, and the error goes on.  Frames of ``BY_PERIOD``
+    are counted and written from one computation."""
+    frames = {name: df.persist(StorageLevel.MEMORY_AND_DISK) if name in BY_PERIOD else df for name, df in frames.items()}
+    try:
+        return _logged_load(spark, frames, base_dir)
+    finally:
+        for name in set(BY_PERIOD) & set(frames):
+            frames[name].unpersist()
+
+
+def _logged_load(spark: SparkSession, frames: dict[str, DataFrame], base_dir: str) -> dict[str, int]:
     start, counts = dt.datetime.now(dt.UTC).replace(tzinfo=None), {}
 
     def log(status: str, error: str | None = None) -> None:
@@ -76,7 +91,7 @@ def run_load(spark: SparkSession, frames: dict[str, DataFrame], base_dir: str) -
                 counts[name] = load_upserted(spark, frames[name], f"{base_dir}/{name}", keys, update, time.time_ns())
         if "smart_meter" in frames:
             counts["smart_meter"] = load_meters(spark, frames["smart_meter"], f"{base_dir}/smart_meter")
-        for name in ("province", "weather"):
+        for name in APPENDS:
             if name in frames:
                 counts[name] = load_dataframe(frames[name], f"{base_dir}/{name}", "append")
     except Exception as e:

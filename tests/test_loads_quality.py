@@ -139,6 +139,35 @@ def test_load_stage_merges_skips_and_logs(spark):
     assert log[2].error_message and LS.run_load(spark, {"annual": later.limit(0)}, base) == {"annual": 0}
 
 
+def test_load_of_meters_reads_only_the_days_of_the_batch(spark):
+    import tempfile
+
+    from meterlens.operators import load_stage as LS
+    base = tempfile.mkdtemp(prefix="ml-load-") + "/meters"
+    t0 = dt.datetime(2024, 1, 5)
+    first = [(f"m{i}", t0 + dt.timedelta(days=d, hours=h), 1.0, 1000 * i + 24 * d + h) for i in range(5) for d in range(10) for h in range(24)]
+    m = "meter_id string, timestamp timestamp_ntz, kwh double, reading_id long"
+    assert LS.load_meters(spark, spark.createDataFrame(first, m).repartition(16), base) == 1200
+    files = spark.read.parquet(base).select("day", F.input_file_name().alias("f")).distinct().groupBy("day").count().collect()
+    assert len(files) == 10 and all(r["count"] == 1 for r in files)
+    # a day between the two days of the batch is damaged: it must not be read
+    with open(f"{base}/day=2024-01-08/part-bad.parquet", "w") as f:
+        f.write("no parquet")
+    late = [("m0", t0, 9.0, 1), ("m9", t0, 1.0, 2), ("m9", t0 + dt.timedelta(days=9), 1.0, 3)]
+    assert LS.load_meters(spark, spark.createDataFrame(late, m), base) == 2
+
+
+def test_load_of_projects_and_districts(spark):
+    import tempfile
+
+    from meterlens.operators import load_stage as LS
+    base = tempfile.mkdtemp(prefix="ml-load-")
+    hydro = spark.createDataFrame([("P1", 10.0), ("P2", float("nan"))], "project string, capacity_mw double")
+    district = spark.createDataFrame([(1, "D")], "district_id int, district_name string")
+    assert LS.run_load(spark, {"hydro_projects": hydro, "district": district}, base) == {"district": 1, "hydro_projects": 2}
+    assert {r.capacity_mw for r in spark.read.parquet(f"{base}/hydro_projects").collect()} == {10.0, None}
+
+
 def test_table_audit_counts_each_test_once(spark):
     child = spark.createDataFrame([(1, 5, 0.5), (2, 9, 2.0), (None, 5, None), (7, None, 0.1)], "a int, b int, v double")
     pa = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
