@@ -81,6 +81,21 @@ batch AS (SELECT * FROM meter WHERE "timestamp" >= TIMESTAMP '2024-01-15 00:00:0
           QUALIFY row_number() OVER (PARTITION BY meter_id, "timestamp" ORDER BY reading_id) = 1)
 SELECT b.* FROM batch b
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.meter_id = b.meter_id AND s."timestamp" = b."timestamp")
+"""),
+    "merge_by_file": with_views(METER_VIEW, """,
+known AS (SELECT * FROM meter WHERE meter_id IS NOT NULL AND "timestamp" IS NOT NULL),
+stored AS (SELECT * FROM known WHERE read_at < TIMESTAMP '2024-01-20 00:00:00'
+           QUALIFY row_number() OVER (PARTITION BY meter_id, "timestamp" ORDER BY reading_id) = 1),
+batch AS (SELECT * FROM known WHERE read_at >= TIMESTAMP '2024-01-15 00:00:00'
+          QUALIFY row_number() OVER (PARTITION BY meter_id, "timestamp" ORDER BY reading_id DESC) = 1)
+SELECT COALESCE(s.meter_id, b.meter_id) AS meter_id, COALESCE(s."timestamp", b."timestamp") AS "timestamp",
+  CASE WHEN s.meter_id IS NULL THEN b.consumer_type ELSE s.consumer_type END AS consumer_type,
+  CASE WHEN b.meter_id IS NULL THEN s.consumption_kwh ELSE b.consumption_kwh END AS consumption_kwh,
+  CASE WHEN b.meter_id IS NULL THEN s.voltage_v ELSE b.voltage_v END AS voltage_v,
+  CASE WHEN b.meter_id IS NULL THEN s.power_factor ELSE b.power_factor END AS power_factor,
+  CASE WHEN s.meter_id IS NULL THEN b.read_at ELSE s.read_at END AS read_at,
+  CASE WHEN s.meter_id IS NULL THEN b.reading_id ELSE s.reading_id END AS reading_id
+FROM stored s FULL OUTER JOIN batch b ON s.meter_id = b.meter_id AND s."timestamp" = b."timestamp"
 """),
     "validation_checks": with_views(ANNUAL_VIEW + "," + CLEAN_VIEW + "," + PROVINCE_VIEW + "," + MONTHLY_VIEW.replace("\nmonthly_g", "\nmonthly_g", 1), f""",
 d AS (SELECT total_energy_gwh - lag(total_energy_gwh) OVER (ORDER BY fiscal_year) AS dd FROM annual)

@@ -16,6 +16,7 @@ from ..operators import regions as R
 from ..operators import series as S
 from ..operators import summary as U
 from ..session import checkpoint_folder
+from ..sources.keyed_table import KeyedTable
 from ..sources.payloads import decode_props, decode_weather, decode_worldbank
 from ..sources.tables import EVENT_TYPE_BOUNDS, TABLES, national_annual, read_table, weather_observations
 from ..streaming import ingest as ST
@@ -72,6 +73,19 @@ def q_append_new_only(spark, sf):
     return L.append_new_only(stored, batch, ["meter_id", "timestamp"], [F.col("reading_id")])
 
 
+def q_merge_by_file(spark, sf):
+    """Readings stored in a keyed table by day, then the last days' readings
+    merged into the files that hold them; the whole merged table."""
+    m = raw_meters(spark, sf).filter(F.col("meter_id").isNotNull() & F.col("timestamp").isNotNull())
+    stored = M.dedupe_first(m.filter(F.col("read_at") < F.to_timestamp_ntz(F.lit("2024-01-20"))),
+                            ["meter_id", "timestamp"], ["reading_id"])
+    batch = m.filter(F.col("read_at") >= F.to_timestamp_ntz(F.lit("2024-01-15")))
+    table = KeyedTable(ST.run_dir(_stream_base(spark), "keyed"), ("meter_id", "timestamp"), "to_date(timestamp)")
+    table.create(stored)
+    table.merge(batch, ["consumption_kwh", "voltage_v", "power_factor"], [F.col("reading_id")])
+    return table.read(spark).drop("loaded_at")
+
+
 KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
         "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"],
         "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"],
@@ -325,6 +339,7 @@ QUERIES = {
     "upsert_merge": q_upsert_merge,
     "upsert_monthly": q_upsert_monthly,
     "append_new_only": q_append_new_only,
+    "merge_by_file": q_merge_by_file,
     "constraint_audit": q_constraint_audit,
     "table_profiles": q_table_profiles,
     "validation_checks": q_validation_checks,
