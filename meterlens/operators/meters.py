@@ -25,7 +25,7 @@ from ..functions import calendar as cal
 from ..functions.exprs import clip, exact, safe_div, snap
 from .quantiles import grouped_percentiles
 from .ranking import global_rank
-from .sequence import DEFAULT_CHUNK_ROWS, index_within, rolling_avgs
+from .sequence import DEFAULT_CHUNK_ROWS, cut_buckets, index_within, rolling_avgs
 
 CONSUMPTION_BOUNDS = {
     "Domestic": (0.0, 15.0),
@@ -271,7 +271,7 @@ def low_power_factor_meters(clean: DataFrame, low: float = 0.85, having: float =
 
 
 # ---------------------------------------------------------------- W10
-def outage_islands(raw: DataFrame, min_hours: float = 2.0) -> DataFrame:
+def outage_islands(raw: DataFrame, min_hours: float = 2.0, segment_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Gaps-and-islands outage detection.
 
     A run of bad readings starts at its first bad row and ends at the first
@@ -279,16 +279,18 @@ def outage_islands(raw: DataFrame, min_hours: float = 2.0) -> DataFrame:
     open at the end of a meter's data are dropped, and readings without a
     timestamp have no place in the order and are left out.
 
-    Runs that begin and end on one day are found inside (meter, day); runs that
-    touch a day's edge are stitched from a table with one row per meter and
-    day, so no task holds a whole hot meter.
+    Runs that begin and end in one segment, a meter's day or at most
+    ``segment_rows`` consecutive readings of a longer one, are found inside it;
+    runs that touch a segment's edge are stitched from a table with one row per
+    segment, so no task holds a hot meter or a hot day of it.
     """
     bad = F.coalesce((F.col(KWH) == 0) | (F.col(VOLT) < VOLTAGE_MIN), F.lit(False))
     x = raw.filter(F.col(TS).isNotNull()).select(
         METER, TYPE, TS, RID, bad.alias("_bad"), cal.trunc_ntz("day", TS).alias("_day"))
-    day = Window.partitionBy(METER, "_day").orderBy(*_meter_order())
+    x = cut_buckets(x, [METER], "_day", [TS, RID], segment_rows)
+    day = Window.partitionBy(METER, "_day", "_part").orderBy(*_meter_order())
     x = x.select("*", F.lag("_bad", 1).over(day).alias("_prev"))
-    begins = F.when(F.col("_bad") & ~F.col("_prev"), F.col(TS))  # NULL on a day's first row
+    begins = F.when(F.col("_bad") & ~F.col("_prev"), F.col(TS))  # NULL on a segment's first row
     x = x.select("*", begins.alias("_begin"), F.last(begins, ignorenulls=True).over(
         day.rowsBetween(Window.unboundedPreceding, 0)).alias("_open"))
     inside = x.filter(~F.col("_bad") & F.col("_prev") & F.col("_open").isNotNull()).select(
@@ -296,16 +298,16 @@ def outage_islands(raw: DataFrame, min_hours: float = 2.0) -> DataFrame:
 
     at = F.struct(TS, RID)
     good = ~F.col("_bad")
-    days = x.groupBy(METER, "_day").agg(
+    days = x.groupBy(METER, "_day", "_part").agg(
         F.min(TS).alias("_first"), F.max(good).alias("_has_good"),
         F.min_by("_bad", at).alias("_leads_bad"), F.max_by("_bad", at).alias("_ends_bad"),
         F.min_by(F.struct(TYPE, TS), F.when(good, at)).alias("_good"), F.max("_begin").alias("_begin"))
     left_open = F.when(~F.col("_has_good"), F.col("_first")).when(F.col("_ends_bad"), F.col("_begin"))
-    order = Window.partitionBy(METER).orderBy("_day")  # one row per meter and day
+    order = Window.partitionBy(METER).orderBy("_day", "_part")  # one row per segment
     days = days.select("*", left_open.alias("_left_open"), F.sum(F.col("_has_good").cast("int")).over(
         order.rowsBetween(Window.unboundedPreceding, 0)).alias("_seg"))
-    # a segment: a day with a good reading and the wholly bad days after it
-    seg = Window.partitionBy(METER, "_seg").orderBy("_day").rowsBetween(
+    # a group: a segment with a good reading and the wholly bad ones after it
+    seg = Window.partitionBy(METER, "_seg").orderBy("_day", "_part").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     days = days.select("*", F.first("_left_open", ignorenulls=True).over(seg).alias("_carry"))
     days = days.select("*", F.lag("_carry", 1).over(order).alias("_since"))

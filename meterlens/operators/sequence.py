@@ -9,6 +9,9 @@ rig), so row-order operators never do that here:
   (one row per key and bucket, summed by a small per-key window).  It is a
   deterministic function of the data -- no sampling, same result on every
   recomputation -- and no task holds more than one key-bucket.
+* ``cut_buckets``    -- parts buckets of more rows than a bound into runs of
+  consecutive rows by range partitioning, so the order inside a hot bucket is
+  never one task's work; summaries of the runs are then combined in order.
 * ``rolling_avgs``   -- trailing N-row means.  Each key is cut into chunks of
   ``chunk_rows`` consecutive rows; the last N-1 rows of a chunk are copied
   into the next one (a halo), so every chunk window is exact and no task
@@ -21,12 +24,14 @@ keys use ``null_safe_join``.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import trunc_ntz
+from ..session import cut_lineage
 
 DEFAULT_CHUNK_ROWS = 100_000
 DEFAULT_BUCKET = "day"
@@ -60,6 +65,29 @@ def index_within(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str], i
             .drop("_bk", "_rn", "_off"))
 
 
+def cut_buckets(df: DataFrame, keys: list[str], bucket_col: str, order: list[str],
+                max_rows: int = DEFAULT_CHUNK_ROWS, part: str = "_part") -> DataFrame:
+    """Adds ``part``: 0 for rows of a (keys, bucket) of at most ``max_rows`` rows,
+    else the number of a run of consecutive rows by ``order`` with no more than
+    that.  (keys, bucket, part) ascending is the order of the rows' runs.
+
+    One count per (keys, bucket) finds the large ones.  Only their rows are range
+    partitioned, into twice the partitions needed since the ranges come from a
+    sample, and stored once, so that later stages and repeated tasks see the same
+    cut.  Rows equal in keys and ``order`` stay together.
+    """
+    sizes = df.groupBy(*keys, bucket_col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    large = cut_lineage(sizes)  # at most one row in max_rows
+    total = large.agg(F.sum("_n")).first()[0]
+    if not total:
+        return df.withColumn(part, F.lit(0))
+    at = [*keys, bucket_col]
+    large = large.select(*at)
+    runs = null_safe_join(df, large, at, "left_semi").repartitionByRange(ceil(2 * total / max_rows), *at, *order)
+    runs = cut_lineage(runs).withColumn(part, F.spark_partition_id())
+    return null_safe_join(df, large, at, "left_anti").withColumn(part, F.lit(0)).unionByName(runs)
+
+
 def rolling_avgs(indexed: DataFrame, keys: list[str], idx: str, specs: dict[str, tuple[str, int]],
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``specs``: output name -> (value column, window rows N); mean of the

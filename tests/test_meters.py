@@ -257,3 +257,26 @@ def test_global_rank_consistent_across_pruned_branches(spark):
     for x in checked:
         per.setdefault(x.g, []).append(x.r)
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per.values())
+
+
+def test_outage_islands_of_a_hot_day_are_cut_by_row_count(spark):
+    """One meter's day holds most rows, many of them in one hour: segments stay
+    within the bound and the outages equal the loop's."""
+    from meterlens.functions.calendar import trunc_ntz
+    from meterlens.operators.sequence import cut_buckets
+    rnd, rows = random.Random(11), []
+    hours = sorted([rnd.choice(range(24, 48)) for _ in range(1200)] + [30] * 1200)
+    run = 0
+    for t in [*range(0, 24, 3), *hours, *range(48, 80)]:
+        run = run - 1 if run > 0 else (rnd.choice([0, 0, 3, 700]) if rnd.random() < 0.2 else 0)
+        rows.append((t, "hot", "Domestic", 0.0 if run else 5.0, 230.0, 0.9))
+    for m in range(20):
+        rows += [(t, f"m{m}", "Domestic", rnd.choice([0.0, 4.0]), 230.0, 0.9) for t in range(60)]
+    df = frame(spark, rows).repartition(16)
+    x = cut_buckets(df.withColumn("_day", trunc_ntz("day", "timestamp")), ["meter_id"], "_day", ["timestamp", "reading_id"], 200)
+    sizes = x.groupBy("meter_id", "_day", "_part").count()
+    assert sizes.agg({"count": "max"}).first()[0] <= 200 and x.count() == len(rows)
+    assert sizes.filter("meter_id = 'hot'").count() > 12
+    want = brute_outages(df.toPandas())
+    assert sorted(tuple(r) for r in M.outage_islands(df, segment_rows=200).collect()) == want and want
+    assert sorted(tuple(r) for r in M.outage_islands(df).collect()) == want
