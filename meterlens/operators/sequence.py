@@ -77,12 +77,11 @@ def cut_buckets(df: DataFrame, keys: list[str], bucket_col: str, order: list[str
     cut.  Rows equal in keys and ``order`` stay together.
     """
     sizes = df.groupBy(*keys, bucket_col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    large = cut_lineage(sizes)  # at most one row in max_rows
-    total = large.agg(F.sum("_n")).first()[0]
+    total = sizes.agg(F.sum("_n")).first()[0]
     if not total:
         return df.withColumn(part, F.lit(0))
     at = [*keys, bucket_col]
-    large = large.select(*at)
+    large = cut_lineage(sizes.select(*at))  # at most one row in max_rows
     runs = null_safe_join(df, large, at, "left_semi").repartitionByRange(ceil(2 * total / max_rows), *at, *order)
     runs = cut_lineage(runs).withColumn(part, F.spark_partition_id())
     return null_safe_join(df, large, at, "left_anti").withColumn(part, F.lit(0)).unionByName(runs)
