@@ -68,6 +68,21 @@ class KeyedTable:
         v = self.version(spark) if version is None else version
         return self._files(spark, v, self.manifest(spark, v))
 
+    def read_range(self, spark: SparkSession, lo: tuple, hi: tuple, slices: str = "true",
+                   version: int | None = None) -> DataFrame:
+        """Rows whose leading keys lie between ``lo`` and ``hi`` (inclusive), of the
+        slices for which ``slices``, SQL over the column ``slice``, holds.  Only
+        files whose manifest ranges meet both are opened, and inside them Parquet's
+        own statistics skip row groups, since files are sorted by slice and keys."""
+        v = self.version(spark) if version is None else version
+        schema, keys = self._schema(spark, v), self.keys[:len(lo)]
+        bound = [F.struct(*[F.lit(x).cast(schema[k].dataType).alias(k) for k, x in zip(keys, b)]) for b in (lo, hi)]
+        at = [F.struct(*[F.col(f"{end}.{k}").alias(k) for k in keys]) for end in ("lo", "hi")]
+        files = self.manifest(spark, v).filter(slices).filter((at[0] <= bound[1]) & (at[1] >= bound[0]))
+        rows = self._files(spark, v, files).filter(F.col(keys[0]).between(lo[0], hi[0]))  # reaches the scan
+        inside = F.struct(*keys).between(*bound)
+        return rows.withColumn("slice", F.expr(self.slice_by)).filter(inside).filter(slices).drop("slice")
+
     def manifest(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         """folder, file, slice, lo, hi, n_rows, bits (of the file's filter)."""
         return spark.read.parquet(f"{self.path}/manifests/{self.version(spark) if version is None else version}")

@@ -129,3 +129,16 @@ def test_nulls_empty_batches_other_types_and_columns(spark):
     assert content(empty.read(spark)) == sorted([r[:4] for r in rows], key=str)
     with pytest.raises(ValueError):
         empty.create(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_a_meter_and_time_range_opens_few_files(spark):
+    t, stored = KeyedTable(tempfile.mkdtemp(prefix="ml-keyed-") + "/t", KEYS, "to_date(timestamp)", 150), facts(60, 40)
+    t.create(spark.createDataFrame(stored, SCHEMA))
+    files = t.manifest(spark).select("folder", "file").distinct().count()
+    part = t.read_range(spark, ("m7",), ("m7",), "slice between '2024-01-11' and '2024-01-13'")
+    want = [r[:4] for r in stored if r[0] == "m7" and at(10) <= r[1] < at(13)]
+    assert content(part) == sorted(want, key=str) and len(want) == 12
+    assert files > 40 and len(part.inputFiles()) <= 6  # a tenth of the table's files at most
+    point = t.read_range(spark, ("m7", at(20)), ("m7", at(20, 6)))
+    assert content(point) == sorted([r[:4] for r in stored if r[0] == "m7" and at(20) <= r[1] <= at(20, 6)], key=str)
+    assert t.read_range(spark, ("zz",), ("zz",)).isEmpty()
