@@ -82,6 +82,15 @@ batch AS (SELECT * FROM meter WHERE "timestamp" >= TIMESTAMP '2024-01-15 00:00:0
 SELECT b.* FROM batch b
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.meter_id = b.meter_id AND s."timestamp" = b."timestamp")
 """),
+    "landed_weather_files": """
+WITH p AS (SELECT *, CASE WHEN l_returnflag = 'R' AND l_tax >= 0.08 THEN 'not a JSON object'
+                          WHEN l_linenumber >= 7 OR l_quantity IS NULL THEN 'no temperature' END AS reason FROM lineitem)
+SELECT l_returnflag AS label, count(*) AS payloads, min(CAST(l_quantity AS DOUBLE)) AS low, max(CAST(l_quantity AS DOUBLE)) AS high,
+       max(CAST(l_extendedprice AS DOUBLE)) AS humidity, sum(CAST(0 AS DOUBLE)) AS rain
+FROM p WHERE reason IS NULL GROUP BY l_returnflag
+UNION ALL
+SELECT reason, count(*), NULL, NULL, NULL, NULL FROM p WHERE reason IS NOT NULL GROUP BY reason
+""",
     "merge_by_file": with_views(METER_VIEW, """,
 known AS (SELECT * FROM meter WHERE meter_id IS NOT NULL AND "timestamp" IS NOT NULL),
 stored AS (SELECT * FROM known WHERE read_at < TIMESTAMP '2024-01-20 00:00:00'

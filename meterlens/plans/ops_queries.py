@@ -17,6 +17,7 @@ from ..operators import series as S
 from ..operators import summary as U
 from ..session import checkpoint_folder
 from ..sources.keyed_table import KeyedTable
+from ..sources.landed import read_payloads, split_bad, weather_files
 from ..sources.payloads import decode_props, decode_weather, decode_worldbank
 from ..sources.tables import EVENT_TYPE_BOUNDS, TABLES, national_annual, read_table, weather_observations
 from ..streaming import ingest as ST
@@ -239,6 +240,25 @@ def q_weather_payload_decode(spark, sf):
     return decode_weather(li.select("l_orderkey", "l_linenumber", payload.alias("payload")))
 
 
+def q_landed_weather_files(spark, sf):
+    """S11 from a folder: payloads of the line items are landed as text, a line
+    each, those of fully taxed returns cut short and those of the last line
+    number without a temperature; good and bad ones by description."""
+    li = read_table(spark, sf, "lineitem")
+    temp = F.when(F.col("l_linenumber") < 7, F.col("l_quantity"))
+    whole = F.to_json(F.struct(
+        F.struct(temp.alias("temp"), F.col("l_extendedprice").alias("humidity")).alias("main"),
+        F.array(F.struct(F.col("l_returnflag").alias("description"))).alias("weather")))
+    cut = (F.col("l_returnflag") == "R") & (F.col("l_tax") >= 0.08)
+    folder = ST.run_dir(_stream_base(spark), "landed")
+    li.select(F.when(cut, F.substring(whole, 1, 12)).otherwise(whole).alias("value")).write.text(folder)
+    good, bad = split_bad(weather_files(read_payloads(spark, folder, lines=True)))
+    bounds = [F.count(F.lit(1)).alias("payloads"), F.min("avg_temp_c").alias("low"), F.max("avg_temp_c").alias("high"),
+              F.max("humidity_pct").alias("humidity"), F.sum("rainfall_mm").alias("rain")]
+    return good.groupBy(F.col("weather_desc").alias("label")).agg(*bounds).unionByName(
+        bad.groupBy(F.col("reason").alias("label")).agg(F.count(F.lit(1)).alias("payloads")), allowMissingColumns=True)
+
+
 def q_worldbank_payload_decode(spark, sf):
     """S10 over one ``[meta, rows]`` payload an order priority: a row a year, no
     value where the year is even and the priority low."""
@@ -357,6 +377,7 @@ QUERIES = {
     "json_payload_decode": q_json_payload_decode,
     "weather_payload_decode": q_weather_payload_decode,
     "worldbank_payload_decode": q_worldbank_payload_decode,
+    "landed_weather_files": q_landed_weather_files,
     "load_stage": q_load_stage,
     "metric_state": q_metric_state,
     "panel_colours": q_panel_colours,
