@@ -26,7 +26,8 @@ def read_payloads(spark: SparkSession, folder: str, lines: bool = False, stream:
                   files_per_trigger: int | None = None) -> DataFrame:
     """payload, file (its name), modified and a column per group of
     ``name_pattern``, a regular expression over the file name (NULL where the
-    name does not fit).  ``lines``: a payload a line, empty lines left out."""
+    name does not fit).  ``lines``: a payload a line, empty lines left out.  An
+    empty file gives no row: Spark's file sources pass it over."""
     reader = (spark.readStream if stream else spark.read).option("recursiveFileLookup", True)
     if stream and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
